@@ -47,7 +47,7 @@ def _join(*parts: Column | str) -> Column:
 def rating_lines_from_events(events: DataFrame) -> DataFrame:
     """``event_id, value`` lines: user = user_id, item = event_id, rating = value."""
     u, m, r = _s("user_id"), _s("event_id"), _s("value")
-    t = _s(F.unix_seconds(F.col("ts")))
+    t = _s(F.unix_seconds(F.col("ts").cast("timestamp")))
     cls = F.pmod(F.col("event_id"), F.lit(RATING_FAULT_CLASSES))
     line = (
         F.when(cls == 1, _join(u, ", ", m, ".0, ", r, ", ", t))
