@@ -15,6 +15,7 @@ task puts every row in the same place again.
 from __future__ import annotations
 
 import math
+from collections import OrderedDict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -38,12 +39,30 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(value) if value is not None else default
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
+_MEASURED: OrderedDict = OrderedDict()  # (app, plan hash, input files) -> size
+_MEASURED_MAX = 256
+
+
+def measure(df: DataFrame, memo: bool = True) -> tuple[int, int]:
     """``(rows, approximate bytes)`` of ``df`` in one distributed aggregate.
 
     Variable-length columns are measured exactly (octet length); fixed-width
-    columns count 8 bytes.  Only a two-number row reaches the driver.
+    columns count 8 bytes.  Only a two-number row reaches the driver.  A
+    dimension is measured once per session: the result is remembered under
+    the plan's semantic hash and its input file list (a changed file set is
+    measured again).  The size only steers the join strategy, never results.
     """
+    if memo:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+               tuple(sorted(df.inputFiles())))
+        if key in _MEASURED:
+            _MEASURED.move_to_end(key)
+            return _MEASURED[key]
+        value = measure(df, memo=False)
+        _MEASURED[key] = value
+        if len(_MEASURED) > _MEASURED_MAX:
+            _MEASURED.popitem(last=False)
+        return value
     var_cols = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     n_fixed = len(df.schema.fields) - len(var_cols)

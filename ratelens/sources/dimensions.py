@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions import field, first_char, jtrim, parse_int, split_fields
 from ratelens.operators.dedup import last_wins
-from ratelens.sources.text_lines import line_position
+from ratelens.sources.text_lines import line_position, parse_once
 
 MOVIES_SCHEMA = "movie_id int, title_full string, title_short string, genres string"
 
@@ -31,12 +31,12 @@ def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value")
     """
     line = jtrim(F.col(value_col))
     raw = F.split(line, ",")  # keeps trailing empty fields: counts commas
-    rows = lines.select(
+    rows = parse_once(lines, F.struct(
         line.alias("line"),
         (F.size(raw) >= 3).alias("two_commas"),
         parse_int(F.substring_index(line, ",", 1)).alias("movie_id"),
         line_position(lines).alias("_pos"),
-    ).where((F.col("line") != "") & F.col("two_commas") & F.col("movie_id").isNotNull())
+    )).where((F.col("line") != "") & F.col("two_commas") & F.col("movie_id").isNotNull())
     movies = rows.select(
         "movie_id",
         jtrim(F.regexp_extract("line", _FULL_TITLE, 1)).alias("title_full"),
@@ -79,10 +79,10 @@ def parse_users(
         cols.append(parse_int(field(parts, 2)).alias("age"))
         keep = keep & F.col("age").isNotNull()
         values.append("age")
-    users = lines.select(
+    users = parse_once(lines, F.struct(
         *cols, F.size(parts).alias("_n"), line.alias("_line"),
         line_position(lines).alias("_pos"),
-    ).where(keep)
+    )).where(keep)
     if dedup:
         return last_wins(users, "user_id", "_pos", values)
     return users.select("user_id", *values)
@@ -94,12 +94,12 @@ def parse_keyed(lines: DataFrame, value_index: int, value_name: str,
     ``value_index`` as ``value_name``; the last valid line of an id wins."""
     line = jtrim(F.col(value_col))
     parts = split_fields(line)
-    rows = lines.select(
+    rows = parse_once(lines, F.struct(
         parse_int(field(parts, 0)).alias("key_id"),
         jtrim(field(parts, value_index)).alias(value_name),
         F.size(parts).alias("_n"), line.alias("_line"),
         line_position(lines).alias("_pos"),
-    ).where((F.col("_line") != "") & F.col("key_id").isNotNull()
+    )).where((F.col("_line") != "") & F.col("key_id").isNotNull()
             & (F.col("_n") > value_index))
     if dedup:
         return last_wins(rows, "key_id", "_pos", [value_name])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions import field, jtrim, parse_double, parse_int, split_fields
+from ratelens.sources.text_lines import parse_once
 
 RATINGS_SCHEMA = "user_id int, movie_id int, rating double"
 
@@ -37,13 +38,8 @@ def parse_ratings(
         parse_double(field(parts, 2)).alias("rating"),
         (line == F.lit("")).alias("blank"),
     )
-    p = lines.select(parsed.alias("p"))
-    keep = (~F.col("p.blank")) & (F.col("p.n") >= min_fields) \
-        & F.col("p.movie_id").isNotNull() & F.col("p.rating").isNotNull()
+    keep = (~F.col("blank")) & (F.col("n") >= min_fields) \
+        & F.col("movie_id").isNotNull() & F.col("rating").isNotNull()
     if require_user:
-        keep = keep & F.col("p.user_id").isNotNull()
-    return p.where(keep).select(
-        F.col("p.user_id").alias("user_id"),
-        F.col("p.movie_id").alias("movie_id"),
-        F.col("p.rating").alias("rating"),
-    )
+        keep = keep & F.col("user_id").isNotNull()
+    return parse_once(lines, parsed).where(keep).select("user_id", "movie_id", "rating")

@@ -31,6 +31,16 @@ def read_lines(
     return reader.text(list(paths))
 
 
+def parse_once(lines: DataFrame, record: Column) -> DataFrame:
+    """The fields of the struct ``record`` as columns, computed once per line.
+
+    Filters on parsed fields would otherwise be pushed below the projection
+    with the whole parse inlined into every condition; a one-element
+    ``inline`` generator is a boundary the filters stay above.
+    """
+    return lines.select(F.inline(F.array(record)))
+
+
 def line_position(lines: DataFrame) -> Column:
     """Sortable position of a line within its input.
 
