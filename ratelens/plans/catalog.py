@@ -38,6 +38,7 @@ from ratelens.sources import (
 from ratelens.sources import render
 from ratelens.sources import tables as T
 from ratelens.functions import fmt2
+from ratelens.streaming import current_item_stats, start_item_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,6 +232,19 @@ def age_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     return with_position(lines, ["movie_id"]).select("line", "position")
 
 
+# ------------------------------------------------------------- streaming
+
+def stream_item_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-item average and count maintained by a file stream over the
+    rating files (one micro-batch per file), read back as the current table."""
+    root = _lineitem_rating_dir(spark, sf, with_dimensions=False)
+    out = scratch_path(spark, "stream-out")
+    query = start_item_stats(spark, f"{root}/*/part-*", out, scratch_path(spark, "stream-ckpt"),
+                             min_fields=3, max_files_per_trigger=1)
+    query.awaitTermination()
+    return current_item_stats(spark, out)
+
+
 QUERIES: dict[str, Query] = {
     "movie_avg_count": movie_avg_count,
     "top_movie_min5": top_movie_min5,
@@ -254,4 +268,5 @@ QUERIES: dict[str, Query] = {
     "genre_report_lines": genre_report_lines,
     "gender_report_lines": gender_report_lines,
     "age_report_lines": age_report_lines,
+    "stream_item_stats": stream_item_stats,
 }

@@ -196,4 +196,8 @@ ORACLE_SQL: dict[str, str] = {
                  AS line,
                CAST(row_number() OVER (ORDER BY movie_id) - 1 AS BIGINT) AS position
         FROM ages""",
+    "stream_item_stats": """
+        SELECT CAST(l_partkey AS INTEGER) AS movie_id, avg(l_quantity / 2) AS avg_rating,
+               CAST(count(*) AS BIGINT) AS n
+        FROM lineitem GROUP BY l_partkey""",
 }
