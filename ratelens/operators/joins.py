@@ -74,16 +74,37 @@ def measure(df: DataFrame, memo: bool = True) -> tuple[int, int]:
     return rows, rows * (_ROW_OVERHEAD + _FIXED_WIDTH * (n_fixed + len(var_cols))) + var
 
 
+def broadcast_limit(df: DataFrame) -> int:
+    """Largest dimension size (bytes) that may be broadcast; <= 0 disables."""
+    return _conf_int(df, BROADCAST_MAX_BYTES_KEY, BROADCAST_MAX_BYTES)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when the measured size of ``df`` is within the broadcast limit."""
-    limit = max_bytes if max_bytes is not None else _conf_int(
-        df, BROADCAST_MAX_BYTES_KEY, BROADCAST_MAX_BYTES)
+    limit = max_bytes if max_bytes is not None else broadcast_limit(df)
     if limit <= 0:
         return False
     _, size = measure(df)
     return size <= limit
 
 
+def bound_fits_broadcast(df: DataFrame, max_rows: int, row_bytes: int) -> bool:
+    """True when ``max_rows`` rows of at most ``row_bytes`` fit the limit.
+
+    For a derived dimension whose row count is bounded by an input (for
+    example an inner join of that input with unique keys), so the check does
+    not have to compute the dimension itself.
+    """
+    limit = broadcast_limit(df)
+    return limit > 0 and max_rows * (_ROW_OVERHEAD + row_bytes) <= limit
+
+
+def detect_hot_keys(fact: DataFrame, key: str) -> list[tuple]:
+    """``hot_keys`` with the session's thresholds."""
+    return hot_keys(fact, key, _conf_int(fact, HOT_KEY_ROWS_KEY, HOT_KEY_ROWS),
+                    _conf_int(fact, MAX_HOT_KEYS_KEY, MAX_HOT_KEYS))
+
+
 def hot_keys(fact: DataFrame, key: str, min_rows: int, max_keys: int) -> list[tuple]:
     """Keys of ``fact`` with at least ``min_rows`` rows, largest first.
 
@@ -135,7 +156,7 @@ def lookup_join(
     key: str,
     how: str = "inner",
     broadcast: bool | None = None,
-    skew: str = "detect",
+    skew: str | Sequence[tuple] = "detect",
     salt_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``fact`` (left side) to ``dim`` on ``key``; ``how`` is inner or left.
@@ -143,7 +164,8 @@ def lookup_join(
     ``broadcast``: True/False forces the strategy, None measures ``dim``.
     ``skew``: ``detect`` looks for hot fact keys before a shuffle join,
     ``none`` skips that (for joins whose fact keys are unique, such as an
-    aggregate joined to its titles).
+    aggregate joined to its titles), or a precomputed hot-key list (found on
+    a cheaper input, e.g. the rows before a pre-aggregation).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -151,12 +173,16 @@ def lookup_join(
         broadcast = fits_broadcast(dim)
     if broadcast:
         return fact.join(F.broadcast(dim), key, how)
-    if skew == "detect":
+    if isinstance(skew, str):
+        if skew == "detect":
+            hot = detect_hot_keys(fact, key)
+        elif skew == "none":
+            hot = []
+        else:
+            raise ValueError("skew must be 'detect', 'none' or a hot-key list")
+    else:
+        hot = list(skew)
+    if hot:
         rows_per_salt = _conf_int(fact, HOT_KEY_ROWS_KEY, HOT_KEY_ROWS)
-        max_keys = _conf_int(fact, MAX_HOT_KEYS_KEY, MAX_HOT_KEYS)
-        hot = hot_keys(fact, key, rows_per_salt, max_keys)
-        if hot:
-            return salted_join(fact, dim, key, how, hot, rows_per_salt, salt_cols)
-    elif skew != "none":
-        raise ValueError("skew must be 'detect' or 'none'")
+        return salted_join(fact, dim, key, how, hot, rows_per_salt, salt_cols)
     return fact.join(dim, key, how)

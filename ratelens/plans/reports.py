@@ -37,6 +37,7 @@ from ratelens.operators import (
     avg_count_by,
     best_group,
     conditional_avgs,
+    detect_hot_keys,
     explode_tokens,
     fits_broadcast,
     lookup_join,
@@ -129,10 +130,15 @@ def _rated(ratings: DataFrame, user_dim: DataFrame, attr: str,
     """
     b = fits_broadcast(user_dim) if broadcast_users is None else broadcast_users
     partials = as_partial(ratings, ["user_id", "movie_id"])
-    if not b:
-        partials = pre_aggregate(partials, ["user_id", "movie_id"])
-    rated = lookup_join(partials, user_dim, "user_id", "inner", broadcast=b,
-                        salt_cols=["movie_id"])
+    if b:
+        return lookup_join(partials, user_dim, "user_id", "inner", broadcast=True) \
+            .drop("user_id")
+    # Hot users are found on the raw ratings (a partial count per user, no
+    # large shuffle); the pre-aggregate is then shuffled once, for the join.
+    hot = detect_hot_keys(ratings, "user_id")
+    partials = pre_aggregate(partials, ["user_id", "movie_id"])
+    rated = lookup_join(partials, user_dim, "user_id", "inner", broadcast=False,
+                        skew=hot, salt_cols=["movie_id"])
     return rated.drop("user_id")
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.operators.joins import lookup_join
+from ratelens.operators.joins import bound_fits_broadcast, lookup_join, measure
 
 # Fixed values of the mapping: a rating is half the quantity; the selective
 # subset is return flag A with line status F; items with size above 40 and
@@ -25,6 +25,7 @@ SELECTIVE_FLAG = "A"
 SELECTIVE_STATUS = "F"
 MOVIES_MAX_SIZE = 40
 USERS_MIN_BALANCE = 0.0
+ATTR_MAX_BYTES = 16  # a user attribute: one letter or an age-bucket label
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,5 +109,9 @@ def rated_with_user(spark: SparkSession, sf_dir: str, user_dim: DataFrame, attr:
                       (F.col("l_quantity") / RATING_DIVISOR).alias("s"),
                       F.lit(1).cast("long").alias("n"))
     ou = order_users(spark, sf_dir, user_dim, attr)
-    return lookup_join(facts, ou, "l_orderkey", "inner",
+    # (orders JOIN users) has at most one row per order (user ids are unique),
+    # so the order count bounds its size without computing the join.
+    n_orders, _ = measure(table(spark, sf_dir, "orders").select("o_orderkey"))
+    small = bound_fits_broadcast(ou, n_orders, 8 * 2 + ATTR_MAX_BYTES)
+    return lookup_join(facts, ou, "l_orderkey", "inner", broadcast=small,
                        salt_cols=["movie_id", "s"]).drop("l_orderkey")
