@@ -105,9 +105,17 @@ def age_group_avg(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------- text ingest
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Round-robin over the default parallelism when the input has fewer
+    partitions (a single-row-group file is read by one task); a large input
+    already has more partitions and is left as it is."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _write_text(df: DataFrame, path: str, order: str | None = None) -> str:
     if order is None:
-        df.select("value").write.mode("errorifexists").text(path)
+        _spread(df.select("value")).write.mode("errorifexists").text(path)
     else:
         write_lines(df, path, [order], line_col="value")
     return path
@@ -236,11 +244,12 @@ def age_report_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_item_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Per-item average and count maintained by a file stream over the
-    rating files (one micro-batch per file), read back as the current table."""
+    rating files (several micro-batches of up to 8 files), read back as the
+    current table."""
     root = _lineitem_rating_dir(spark, sf, with_dimensions=False)
     out = scratch_path(spark, "stream-out")
     query = start_item_stats(spark, f"{root}/*/part-*", out, scratch_path(spark, "stream-ckpt"),
-                             min_fields=3, max_files_per_trigger=1)
+                             min_fields=3, max_files_per_trigger=8)
     query.awaitTermination()
     return current_item_stats(spark, out)
 
