@@ -56,6 +56,11 @@ def top_movie_min5(spark: SparkSession, sf: str) -> DataFrame:
     return best_movie(stats)
 
 
+def top_movie_min5_all(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 best item over all ratings."""
+    return best_movie(movie_stats(T.item_ratings(spark, sf), T.movies(spark, sf, gaps=True)))
+
+
 def genre_membership(spark: SparkSession, sf: str) -> DataFrame:
     """One row per (item, genre token)."""
     m = T.movies(spark, sf, gaps=False).select("movie_id", "genres")
@@ -103,6 +108,11 @@ def age_group_avg(spark: SparkSession, sf: str) -> DataFrame:
     return _age(spark, sf, selective=True)
 
 
+def age_group_avg_all(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 typed over all ratings."""
+    return _age(spark, sf, selective=False)
+
+
 # ------------------------------------------------------------- text ingest
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -234,6 +244,18 @@ def gender_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     return with_position(lines, ["movie_id"]).select("line", "position")
 
 
+def gender_report_lines_all(spark: SparkSession, sf: str) -> DataFrame:
+    """R3 rendered over all ratings."""
+    lines = gender_lines(_gender(spark, sf, selective=False, with_counts=False))
+    return with_position(lines, ["movie_id"]).select("line", "position")
+
+
+def age_report_lines_all(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 rendered over all ratings."""
+    lines = age_lines(_age(spark, sf, selective=False))
+    return with_position(lines, ["movie_id"]).select("line", "position")
+
+
 def age_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     """R4 rendered on the selective subset (NA occurs)."""
     lines = age_lines(_age(spark, sf, selective=True))
@@ -257,12 +279,14 @@ def stream_item_stats(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "movie_avg_count": movie_avg_count,
     "top_movie_min5": top_movie_min5,
+    "top_movie_min5_all": top_movie_min5_all,
     "genre_membership": genre_membership,
     "genre_avg": genre_avg,
     "gender_avg": gender_avg,
     "gender_other_only": gender_other_only,
     "age_bucket_counts": age_bucket_counts,
     "age_group_avg": age_group_avg,
+    "age_group_avg_all": age_group_avg_all,
     "parse_ratings": parse_ratings_q,
     "parse_ratings_min3": parse_ratings_min3,
     "parse_movies": parse_movies_q,
@@ -277,5 +301,7 @@ QUERIES: dict[str, Query] = {
     "genre_report_lines": genre_report_lines,
     "gender_report_lines": gender_report_lines,
     "age_report_lines": age_report_lines,
+    "gender_report_lines_all": gender_report_lines_all,
+    "age_report_lines_all": age_report_lines_all,
     "stream_item_stats": stream_item_stats,
 }

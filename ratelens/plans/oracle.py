@@ -75,7 +75,7 @@ r AS (
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE l.l_returnflag = 'A' AND l.l_linestatus = 'F'),
+  {where}),
 a AS (
   SELECT movie_id,
          avg(rating) FILTER (WHERE age_group = '0-18') AS age_0_18,
@@ -88,6 +88,8 @@ ages AS (
   FROM a JOIN part p ON a.movie_id = p.p_partkey
   WHERE p.p_size <= 40 AND p.p_name <> '')
 """.replace("{group}", _AGE_GROUP.format(a="CAST(floor(c.c_acctbal / 100) AS INTEGER)"))
+_AGE_SEL = _AGE_STATS.replace("{where}", "WHERE l.l_returnflag = 'A' AND l.l_linestatus = 'F'")
+_AGE_ALL = _AGE_STATS.replace("{where}", "")
 
 
 def _fmt(x: str) -> str:
@@ -98,9 +100,24 @@ def _age_cell(label: str, col: str) -> str:
     return f"chr(9) || '{label}: ' || coalesce({_fmt(col)}, 'NA')"
 
 
+_GENDER_LINES = f"""
+        SELECT title || chr(9) || 'Male: ' || {_fmt('male_avg')} || ', Female: '
+                 || {_fmt('female_avg')} AS line,
+               CAST(row_number() OVER (ORDER BY movie_id) - 1 AS BIGINT) AS position
+        FROM gs"""
+
+_AGE_LINES = f"""
+        SELECT title || {_age_cell('0-18', 'age_0_18')} || {_age_cell('18-35', 'age_18_35')}
+                 || {_age_cell('35-50', 'age_35_50')} || {_age_cell('50+', 'age_50_plus')}
+                 AS line,
+               CAST(row_number() OVER (ORDER BY movie_id) - 1 AS BIGINT) AS position
+        FROM ages"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "movie_avg_count": "WITH " + _R1_STATS.format(where="") + "SELECT * FROM stats",
     "top_movie_min5": "WITH " + _R1_STATS.format(where=_SELECTIVE) + "SELECT * FROM best",
+    "top_movie_min5_all": "WITH " + _R1_STATS.format(where="") + "SELECT * FROM best",
     "genre_membership": """
         SELECT movie_id, genre FROM (
           SELECT p_partkey AS movie_id,
@@ -118,7 +135,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT {_AGE_GROUP.format(a='a')} AS age_group, CAST(count(*) AS BIGINT) AS n
         FROM (SELECT CAST(floor(c_acctbal / 100) AS INTEGER) AS a FROM customer)
         GROUP BY 1""",
-    "age_group_avg": "WITH " + _AGE_STATS + "SELECT * FROM ages",
+    "age_group_avg": "WITH " + _AGE_SEL + "SELECT * FROM ages",
+    "age_group_avg_all": "WITH " + _AGE_ALL + "SELECT * FROM ages",
     # Text cases: fault class = event_id % 10 (every row is rendered and parsed).
     "parse_ratings": """
         SELECT CASE WHEN event_id % 10 = 5 THEN NULL ELSE CAST(user_id AS INTEGER) END
@@ -185,17 +203,10 @@ ORACLE_SQL: dict[str, str] = {
                  || CAST(n AS VARCHAR) AS line,
                CAST(row_number() OVER (ORDER BY genre) - 1 AS BIGINT) AS position
         FROM gs""",
-    "gender_report_lines": "WITH " + _GENDER_STATS.format(and_where=_SEL_AND) + f"""
-        SELECT title || chr(9) || 'Male: ' || {_fmt('male_avg')} || ', Female: '
-                 || {_fmt('female_avg')} AS line,
-               CAST(row_number() OVER (ORDER BY movie_id) - 1 AS BIGINT) AS position
-        FROM gs""",
-    "age_report_lines": "WITH " + _AGE_STATS + f"""
-        SELECT title || {_age_cell('0-18', 'age_0_18')} || {_age_cell('18-35', 'age_18_35')}
-                 || {_age_cell('35-50', 'age_35_50')} || {_age_cell('50+', 'age_50_plus')}
-                 AS line,
-               CAST(row_number() OVER (ORDER BY movie_id) - 1 AS BIGINT) AS position
-        FROM ages""",
+    "gender_report_lines": "WITH " + _GENDER_STATS.format(and_where=_SEL_AND) + _GENDER_LINES,
+    "gender_report_lines_all": "WITH " + _GENDER_STATS.format(and_where="") + _GENDER_LINES,
+    "age_report_lines": "WITH " + _AGE_SEL + _AGE_LINES,
+    "age_report_lines_all": "WITH " + _AGE_ALL + _AGE_LINES,
     "stream_item_stats": """
         SELECT CAST(l_partkey AS INTEGER) AS movie_id, avg(l_quantity / 2) AS avg_rating,
                CAST(count(*) AS BIGINT) AS n
