@@ -28,8 +28,23 @@ USERS_MIN_BALANCE = 0.0
 ATTR_MAX_BYTES = 16  # a user attribute: one letter or an age-bucket label
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``name`` (read-only inputs).
+
+    The DataFrame is created once per session and path: creating it lists the
+    files and infers the schema, which costs more than planning a query.
+    DataFrames are lazy plans, so every query still scans the data.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def _selective() -> Column:
