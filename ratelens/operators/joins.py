@@ -4,8 +4,9 @@ The reports join a large fact (ratings) to dimensions (items, users).  A
 dimension is broadcast only after an explicit measurement shows it fits
 (``fits_broadcast``); otherwise both sides are shuffled on the key.  In the
 shuffle case a key that holds a large share of the fact rows would land in a
-single task, so the fact's hot keys are found first (a partial-aggregated
-count per key, of which at most ``max_hot_keys`` are kept - a bounded list),
+single task, so the fact's hot keys are found first (a count per key on a
+fixed-seed sample sized so a key at the threshold shows about a thousand
+sampled rows; at most ``max_hot_keys`` are kept - a bounded list),
 their rows are spread over ``ceil(rows / hot_key_rows)`` salt values, and the
 dimension rows of just those keys are replicated once per salt value.  Cold
 keys join unchanged.  The salt is a hash of row contents, so a re-executed
@@ -105,13 +106,26 @@ def detect_hot_keys(fact: DataFrame, key: str) -> list[tuple]:
                     _conf_int(fact, MAX_HOT_KEYS_KEY, MAX_HOT_KEYS))
 
 
-def hot_keys(fact: DataFrame, key: str, min_rows: int, max_keys: int) -> list[tuple]:
-    """Keys of ``fact`` with at least ``min_rows`` rows, largest first.
+SAMPLED_ROWS_AT_THRESHOLD = 1000
+SAMPLE_SEED = 17
 
-    At most ``max_keys`` are returned, so the driver receives a bounded
-    list; keys beyond it still join exactly, only without salting.
+
+def hot_keys(fact: DataFrame, key: str, min_rows: int, max_keys: int,
+             fraction: float | None = None) -> list[tuple]:
+    """Keys of ``fact`` with (an estimated) ``min_rows`` rows or more, largest first.
+
+    The count runs on a fixed-seed sample of ``fraction`` of the rows
+    (default: enough that a key at the threshold expects about a thousand
+    sampled rows; 1.0 - exact - for small thresholds), so finding hot keys
+    does not shuffle every key of a large fact.  The estimate only decides
+    which keys are salted; every row is joined whatever it says.  At most
+    ``max_keys`` are returned, so the driver receives a bounded list.
     """
-    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    if fraction is None:
+        fraction = min(1.0, SAMPLED_ROWS_AT_THRESHOLD / max(min_rows, 1))
+    src = fact if fraction >= 1.0 else fact.sample(fraction=fraction, seed=SAMPLE_SEED)
+    counts = src.groupBy(key).agg(
+        (F.count(F.lit(1)) / F.lit(fraction)).cast("long").alias("_rows"))
     top = (counts.where(F.col("_rows") >= min_rows)
            .orderBy(F.desc("_rows"), F.asc(key)).limit(max_keys))
     return [(r[key], int(r["_rows"])) for r in top.collect()]

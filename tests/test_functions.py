@@ -37,6 +37,15 @@ def test_parse_double_rules(spark):
                                                   None, None, None]
 
 
+def test_parse_double_java_forms(spark):
+    vals = ["1e1f", "1.5e-3d", "+.5", "-.5e1", "0x1.8p1d", "1e+2", "0X1P3", "5D",
+            ".", "e5", "1e", "0x10", "1__2", "Infinityd", "NaNd", "0x1p", "1 2"]
+    got = one_col(spark, vals, parse_double)
+    assert got[:8] == [10.0, 0.0015, 0.5, -5.0, 3.0, 100.0, 8.0, 5.0]
+    assert got[8:] == [None] * 9
+    assert one_col(spark, ["1.0e400", "-1e400"], parse_double) == [math.inf, -math.inf]
+
+
 def test_parse_double_special_spellings(spark):
     vals = ["NaN", "-NaN", "Infinity", "-Infinity", "+Infinity", "nan", "inf", "INF",
             "infinity", "NAN"]

@@ -37,6 +37,13 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
     assert rows_of(salted) == rows_of(plain)
 
 
+def test_sampled_hot_key_detection(spark):
+    fact = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    hot = hot_keys(fact, "k", 50_000, 10, fraction=0.02)
+    assert [k for k, _ in hot] == [-1] and 55_000 < hot[0][1] < 78_000
+
+
 def test_salt_spreads_hot_key(spark, skewed):
     fact, dim = skewed
     hot = [(7, 3000)]
