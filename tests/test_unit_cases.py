@@ -93,6 +93,27 @@ def test_existing_output_directory_raises(spark, tmp_path):
     assert len(files) == 1 and files[0].read_text() == "a\nb\n"
 
 
+def test_single_file_is_bounded(spark, tmp_path):
+    df = text_df(spark, ["a", "b", "c"]).withColumnRenamed("value", "line")
+    with pytest.raises(ValueError):
+        write_lines(df, str(tmp_path / "o"), ["line"], single_file=True, single_file_max_rows=2)
+
+
+def test_equal_keys_are_spread_over_ranges(spark, tmp_path):
+    from pyspark.sql import functions as F
+    df = spark.range(4000).select((F.col("id") >= 10).cast("int").alias("k"),
+                                  F.format_string("%04d", "id").alias("line"))
+    out = tmp_path / "spread"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_lines(df, str(out), ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(p for p in out.iterdir() if p.name.startswith("part-"))
+    lines = [ln for p in parts for ln in p.read_text().splitlines()]
+    assert len(parts) > 2 and lines == [f"{i:04d}" for i in range(4000)]
+
+
 def test_gender_other_only_row_survives(spark):
     r = ratings(spark, [(5, 1, 3.0)])
     u = spark.createDataFrame([(5, "X")], "user_id int, gender string")
