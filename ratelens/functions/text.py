@@ -77,9 +77,9 @@ def first_char(c: Column | str) -> Column:
     return F.when(F.length(s) > 0, F.substring(s, 1, 1))
 
 
-def split_list(c: Column | str) -> Column:
+def split_list(c: Column | str, separator_regex: str = LIST_SEPARATOR_REGEX) -> Column:
     """Split a pipe-separated list (empty tokens are kept, filter later)."""
-    return F.split(_col(c), LIST_SEPARATOR_REGEX)
+    return F.split(_col(c), separator_regex)
 
 
 def fmt2(c: Column | str) -> Column:

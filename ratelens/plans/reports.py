@@ -32,6 +32,8 @@ from ratelens.functions import (
     fmt2,
     unknown_label,
 )
+from ratelens.functions.labels import UNKNOWN_PREFIX
+from ratelens.functions.text import LIST_SEPARATOR_REGEX
 from ratelens.operators import (
     as_partial,
     avg_count_by,
@@ -61,14 +63,16 @@ MIN_RATINGS = 5
 # ---------------------------------------------------------------- R1
 
 def movie_stats(ratings: DataFrame, movies: DataFrame, title_col: str = "title_full",
-                broadcast: bool | None = None) -> DataFrame:
-    """``movie_id, title, avg_rating, n`` for every rated item."""
+                broadcast: bool | None = None,
+                unknown_prefix: str = UNKNOWN_PREFIX) -> DataFrame:
+    """``movie_id, title, avg_rating, n`` for every rated item; an item
+    without a title row is labelled ``<unknown_prefix><id>)``."""
     agg = avg_count_by(as_partial(ratings, ["movie_id"]), "movie_id")
     titles = movies.select("movie_id", F.col(title_col).alias("title"))
     joined = lookup_join(agg, titles, "movie_id", "left", broadcast=broadcast, skew="none")
     return joined.select(
         "movie_id",
-        F.coalesce(F.col("title"), unknown_label("movie_id")).alias("title"),
+        F.coalesce(F.col("title"), unknown_label("movie_id", unknown_prefix)).alias("title"),
         "avg_rating", "n",
     )
 
@@ -100,13 +104,14 @@ def movie_lines(stats: DataFrame, best: DataFrame, min_count: int = MIN_RATINGS)
 
 # ---------------------------------------------------------------- R2
 
-def genre_stats(ratings: DataFrame, movies: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def genre_stats(ratings: DataFrame, movies: DataFrame, broadcast: bool | None = None,
+                separator_regex: str = LIST_SEPARATOR_REGEX) -> DataFrame:
     """``genre, avg_rating, n``; items without a title row or with an empty
     genre list are left out."""
     per_item = pre_aggregate(as_partial(ratings, ["movie_id"]), ["movie_id"])
     genres = movies.select("movie_id", "genres").where(F.col("genres") != "")
     joined = lookup_join(per_item, genres, "movie_id", "inner", broadcast=broadcast, skew="none")
-    return avg_count_by(explode_tokens(joined, "genres", "genre"), "genre")
+    return avg_count_by(explode_tokens(joined, "genres", "genre", separator_regex), "genre")
 
 
 def genre_lines(stats: DataFrame) -> DataFrame:
