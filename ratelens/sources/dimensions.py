@@ -8,17 +8,20 @@ For a repeated id the last valid line wins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions import field, first_char, jtrim, parse_int, split_fields
 from ratelens.operators.dedup import last_wins
 from ratelens.sources.text_lines import line_position, parse_once
 
-MOVIES_SCHEMA = "movie_id int, title_full string, title_short string, genres string"
 
-# Text between the first and the last comma (greedy middle group).
-_FULL_TITLE = r"^[^,]*,(.*),[^,]*$"
+
+def _between_first_and_last_comma(line: Column) -> Column:
+    """Text strictly between the first and the last comma (1-based positions)."""
+    first = F.instr(line, ",")
+    last = F.length(line) - F.instr(F.reverse(line), ",") + 1
+    return line.substr(first + 1, last - first - 1)
 
 
 def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value") -> DataFrame:
@@ -39,7 +42,7 @@ def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value")
     )).where((F.col("line") != "") & F.col("two_commas") & F.col("movie_id").isNotNull())
     movies = rows.select(
         "movie_id",
-        jtrim(F.regexp_extract("line", _FULL_TITLE, 1)).alias("title_full"),
+        jtrim(_between_first_and_last_comma(F.col("line"))).alias("title_full"),
         jtrim(field(F.split("line", ","), 1)).alias("title_short"),
         jtrim(F.substring_index("line", ",", -1)).alias("genres"),
         "_pos",

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from ratelens.functions import field, jtrim, parse_double, parse_int, split_fields
 from ratelens.sources.text_lines import parse_once
 
-RATINGS_SCHEMA = "user_id int, movie_id int, rating double"
-
-
 def parse_ratings(
     lines: DataFrame,
     min_fields: int = 4,
