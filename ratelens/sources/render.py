@@ -78,7 +78,8 @@ def movie_lines_from_part(part: DataFrame) -> DataFrame:
     ident = F.when(bad_id, _join("m", _s(pk))).otherwise(_s(pk))
     title = F.when(comma_title, _join(F.col("p_name"), ", ", F.col("p_brand"))) \
         .otherwise(F.col("p_name"))
-    genres = F.concat(F.col("p_type"), F.lit("|"), F.regexp_replace("p_name", " ", "|"))
+    genres = F.concat(F.col("p_type"), F.lit("|"),
+                      F.replace(F.col("p_name"), F.lit(" "), F.lit("|")))
     line = F.when(no_genres, _join(ident, ", ", title)) \
         .otherwise(_join(ident, ", ", title, ", ", genres))
     return part.select("p_partkey", line.alias("value"))

@@ -83,7 +83,7 @@ def movies(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
         F.col("p_name").alias("title_full"),
         F.col("p_name").alias("title_short"),
         F.concat(F.col("p_type"), F.lit("|"),
-                 F.regexp_replace(F.col("p_name"), " ", "|")).alias("genres"),
+                 F.replace(F.col("p_name"), F.lit(" "), F.lit("|"))).alias("genres"),
     )
 
 
