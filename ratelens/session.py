@@ -29,6 +29,11 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Post-shuffle partitions of about 128 MiB: large enough to keep task
+        # counts sane at scale, small enough that aggregations do not spill.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # Checkpoint files (ordinal positions) are removed once unreferenced.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
     }
     if shuffle_partitions:
