@@ -108,3 +108,32 @@ def test_file_order_position(spark, tmp_path):
     df.orderBy("line").repartitionByRange(5, "line").write.text(out)
     got = file_order_position(spark.read.text(out)).collect()
     assert sorted((int(r["value"]), r["position"]) for r in got) == [(i, i) for i in range(3000)]
+
+
+@pytest.fixture()
+def tiny_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_file_order_position_across_splits(spark, tmp_path, tiny_splits):
+    p = tmp_path / "big.txt"
+    p.write_text("".join(f"{i:06d}\n" for i in range(20000)))
+    lines = spark.read.text(str(p))
+    assert lines.rdd.getNumPartitions() > 10
+    got = file_order_position(lines).collect()
+    assert sorted((int(r["value"]), r["position"]) for r in got) == [(i, i) for i in range(20000)]
+
+
+def test_last_line_wins_across_splits(spark, tmp_path, tiny_splits):
+    from ratelens.sources import parse_keyed, read_lines
+    p = tmp_path / "dim.txt"
+    # every id appears in many splits; the last occurrence has value "v<last line>"
+    p.write_text("".join(f"{i % 7}, v{i}\n" for i in range(6000)))
+    lines = read_lines(spark, str(p))
+    assert lines.rdd.getNumPartitions() > 5
+    got = sorted(tuple(r) for r in parse_keyed(lines, 1, "v").collect())
+    assert got == sorted((k, f"v{max(i for i in range(6000) if i % 7 == k)}") for k in range(7))
