@@ -41,6 +41,7 @@ from ratelens.sources import tables as T
 from ratelens.streaming import current_item_stats, start_item_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
+STREAM_TIMEOUT_SEC = 3600
 
 
 # ------------------------------------------------------------- parquet reports
@@ -250,18 +251,18 @@ def gender_report_lines_all(spark: SparkSession, sf: str) -> DataFrame:
     return with_position(lines, ["movie_id"]).select("line", "position")
 
 
-def age_report_lines_all(spark: SparkSession, sf: str) -> DataFrame:
-    """R4 rendered over all ratings."""
-    lines = age_lines(_age(spark, sf, selective=False))
-    return with_position(lines, ["movie_id"]).select("line", "position")
-
-
 def age_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     """R4 rendered on the selective subset (NA occurs)."""
     lines = age_lines(_age(spark, sf, selective=True))
     return with_position(lines, ["movie_id"]).select("line", "position")
 
 
+def age_report_lines_all(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 rendered over all ratings."""
+    lines = age_lines(_age(spark, sf, selective=False))
+    return with_position(lines, ["movie_id"]).select("line", "position")
+
+
 # ------------------------------------------------------------- streaming
 
 def stream_item_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +273,11 @@ def stream_item_stats(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "stream-out")
     query = start_item_stats(spark, f"{root}/*/part-*", out, scratch_path(spark, "stream-ckpt"),
                              min_fields=3, max_files_per_trigger=8)
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_SEC):
+        query.stop()
+        raise TimeoutError(f"stream did not finish within {STREAM_TIMEOUT_SEC}s")
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
     return current_item_stats(spark, out)
 
 
