@@ -15,6 +15,7 @@ task puts every row in the same place again.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import OrderedDict
 from collections.abc import Sequence
@@ -54,8 +55,8 @@ def measure(df: DataFrame, memo: bool = True) -> tuple[int, int]:
     measured again).  The size only steers the join strategy, never results.
     """
     if memo:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-               tuple(sorted(df.inputFiles())))
+        files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files)
         if key in _MEASURED:
             _MEASURED.move_to_end(key)
             return _MEASURED[key]
