@@ -5,17 +5,7 @@ import os
 import pytest
 
 from ratelens.plans import runner
-
-T = "\t"
-EDGE_R2 = [
-    f"Action{T}Avg: 3.50, Count: 1",
-    f"Drama{T}Avg: 3.70, Count: 15",
-    f"Music{T}Avg: 1.00, Count: 1",
-    f"Romance{T}Avg: 3.70, Count: 5",
-    f"Sci-Fi{T}Avg: 4.50, Count: 6",
-    f"War{T}Avg: 3.70, Count: 5",
-    f"action{T}Avg: 0.12, Count: 2",
-]
+from tests.test_edge_fixture import EDGE_R1, EDGE_R2, EDGE_R3, EDGE_R4
 
 
 def read_report(path):
@@ -53,9 +43,16 @@ def test_cli_usage_error_exits_2():
     assert e.value.code == 2
 
 
-def test_cli_gender_report(spark, edge_dir, tmp_path):
+@pytest.mark.parametrize("report,expected,with_users", [
+    ("movies", EDGE_R1, False), ("genres", EDGE_R2, False),
+    ("gender", EDGE_R3, True), ("age", EDGE_R4, True)])
+def test_cli_reports(spark, edge_dir, tmp_path, report, expected, with_users):
     from ratelens.__main__ import main
-    out = str(tmp_path / "r3")
-    assert main(["gender", edge_dir, out, os.path.join(edge_dir, "movies.txt"),
-                 os.path.join(edge_dir, "users.txt")]) == 0
-    assert read_report(out)[1] == f"Beta{T}Male: 0.00, Female: 0.00"
+    out = str(tmp_path / report)
+    args = [report, edge_dir, out, os.path.join(edge_dir, "movies.txt")]
+    if with_users:
+        args.append(os.path.join(edge_dir, "users.txt"))
+    assert main(args) == 0
+    assert read_report(out) == expected
+    assert main(args + ["--overwrite", "--single-file"]) == 0
+    assert read_report(out) == expected
