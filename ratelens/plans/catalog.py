@@ -17,9 +17,11 @@ from ratelens.functions import fmt2
 from ratelens.operators import explode_tokens, file_order_position, last_wins, with_position
 from ratelens.plans.reports import (
     age_lines,
+    age_stats,
     age_stats_from_rated,
     best_movie,
     gender_lines,
+    gender_stats,
     gender_stats_from_rated,
     genre_lines,
     genre_stats,
@@ -212,6 +214,51 @@ def mixed_dir_reject(spark: SparkSession, sf: str) -> DataFrame:
                          require_user=True)
 
 
+def _report_text_dir(spark: SparkSession, sf: str) -> str:
+    """Rating, item and user files in one directory, as the reports read them."""
+    root = scratch_path(spark, "report-text")
+    _write_text(render.rating_lines_with_users(T.table(spark, sf, "lineitem"),
+                                               T.table(spark, sf, "orders")),
+                f"{root}/ratings")
+    _write_text(render.movie_lines_from_part(T.table(spark, sf, "part")), f"{root}/movies")
+    _write_text(render.user_lines_from_customer(T.table(spark, sf, "customer")),
+                f"{root}/users")
+    return root
+
+
+def _text_inputs(spark: SparkSession, sf: str):
+    root = _report_text_dir(spark, sf)
+    return (read_lines(spark, root, recursive=True),
+            read_lines(spark, f"{root}/movies"), read_lines(spark, f"{root}/users"))
+
+
+def movie_avg_count_text(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 typed from text files (ratings, items and users in one directory)."""
+    lines, movie_text, _ = _text_inputs(spark, sf)
+    return movie_stats(parse_ratings(lines, min_fields=4), parse_movies(movie_text))
+
+
+def genre_avg_text(spark: SparkSession, sf: str) -> DataFrame:
+    """R2 typed from text files."""
+    lines, movie_text, _ = _text_inputs(spark, sf)
+    return genre_stats(parse_ratings(lines, min_fields=3), parse_movies(movie_text))
+
+
+def gender_avg_text(spark: SparkSession, sf: str) -> DataFrame:
+    """R3 typed from text files."""
+    lines, movie_text, user_text = _text_inputs(spark, sf)
+    return gender_stats(parse_ratings(lines, min_fields=3, require_user=True),
+                        parse_users(user_text, with_gender=True), parse_movies(movie_text))
+
+
+def age_group_avg_text(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 typed from text files."""
+    lines, movie_text, user_text = _text_inputs(spark, sf)
+    return age_stats(parse_ratings(lines, min_fields=3, require_user=True),
+                     parse_users(user_text, with_gender=False, with_age=True),
+                     parse_movies(movie_text))
+
+
 # ------------------------------------------------------------- sinks, lines
 
 def text_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -301,6 +348,10 @@ QUERIES: dict[str, Query] = {
     "dim_last_wins_text": dim_last_wins_text,
     "scan_ratings_dir": scan_ratings_dir,
     "mixed_dir_reject": mixed_dir_reject,
+    "movie_avg_count_text": movie_avg_count_text,
+    "genre_avg_text": genre_avg_text,
+    "gender_avg_text": gender_avg_text,
+    "age_group_avg_text": age_group_avg_text,
     "text_sink_roundtrip": text_sink_roundtrip,
     "movie_report_lines": movie_report_lines,
     "genre_report_lines": genre_report_lines,

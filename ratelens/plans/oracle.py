@@ -114,6 +114,58 @@ _AGE_LINES = f"""
         FROM ages"""
 
 
+# Text reports: the item and user lines carry the fault classes of render.py.
+_TEXT_MOVIES = """
+tm AS (
+  SELECT p_partkey AS movie_id,
+         CASE WHEN p_partkey % 7 = 0 THEN p_name
+              WHEN p_partkey % 3 = 0 THEN p_name || ', ' || p_brand
+              ELSE p_name END AS title_full,
+         p_name AS title_short,
+         CASE WHEN p_partkey % 7 = 0 THEN p_brand
+              ELSE p_type || '|' || replace(p_name, ' ', '|') END AS genres
+  FROM part
+  WHERE p_partkey % 11 <> 0 AND (p_partkey % 7 <> 0 OR p_partkey % 3 = 0))
+"""
+
+_TEXT_RATED = """
+tr AS (
+  SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity / 2 AS rating
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+"""
+
+_TEXT_R3 = """
+g AS (
+  SELECT r.movie_id, r.rating, substr(c.c_mktsegment, 1, 1) AS gender
+  FROM tr r JOIN customer c ON r.user_id = c.c_custkey
+  WHERE c.c_custkey % 13 <> 0),
+a AS (
+  SELECT movie_id,
+         coalesce(avg(rating) FILTER (WHERE gender = 'M'), CAST(0 AS DOUBLE)) AS male_avg,
+         coalesce(avg(rating) FILTER (WHERE gender = 'F'), CAST(0 AS DOUBLE)) AS female_avg
+  FROM g GROUP BY movie_id)
+SELECT CAST(a.movie_id AS INTEGER) AS movie_id, tm.title_short AS title, a.male_avg, a.female_avg
+FROM a JOIN tm ON a.movie_id = tm.movie_id WHERE tm.title_short <> ''
+"""
+
+_TEXT_R4 = """
+g AS (
+  SELECT r.movie_id, r.rating, {group} AS age_group
+  FROM tr r JOIN customer c ON r.user_id = c.c_custkey
+  WHERE c.c_custkey % 13 <> 0 AND c.c_custkey % 5 <> 0 AND c.c_custkey % 4 <> 0),
+a AS (
+  SELECT movie_id,
+         avg(rating) FILTER (WHERE age_group = '0-18') AS age_0_18,
+         avg(rating) FILTER (WHERE age_group = '18-35') AS age_18_35,
+         avg(rating) FILTER (WHERE age_group = '35-50') AS age_35_50,
+         avg(rating) FILTER (WHERE age_group = '50+') AS age_50_plus
+  FROM g GROUP BY movie_id)
+SELECT CAST(a.movie_id AS INTEGER) AS movie_id, tm.title_short AS title,
+       a.age_0_18, a.age_18_35, a.age_35_50, a.age_50_plus
+FROM a JOIN tm ON a.movie_id = tm.movie_id WHERE tm.title_short <> ''
+""".replace("{group}", _AGE_GROUP.format(a="CAST(floor(c.c_acctbal / 100) AS INTEGER)"))
+
+
 ORACLE_SQL: dict[str, str] = {
     "movie_avg_count": "WITH " + _R1_STATS.format(where="") + "SELECT * FROM stats",
     "top_movie_min5": "WITH " + _R1_STATS.format(where=_SELECTIVE) + "SELECT * FROM best",
@@ -211,4 +263,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(l_partkey AS INTEGER) AS movie_id, avg(l_quantity / 2) AS avg_rating,
                CAST(count(*) AS BIGINT) AS n
         FROM lineitem GROUP BY l_partkey""",
+    "movie_avg_count_text": "WITH " + _TEXT_MOVIES + """,
+        agg AS (
+          SELECT l_partkey AS movie_id, avg(l_quantity / 2) AS avg_rating,
+                 CAST(count(*) AS BIGINT) AS n
+          FROM lineitem GROUP BY l_partkey)
+        SELECT CAST(a.movie_id AS INTEGER) AS movie_id,
+               coalesce(tm.title_full, 'UnknownMovie(' || CAST(a.movie_id AS VARCHAR) || ')')
+                 AS title,
+               a.avg_rating, a.n
+        FROM agg a LEFT JOIN tm ON a.movie_id = tm.movie_id""",
+    "genre_avg_text": "WITH " + _TEXT_MOVIES + """,
+        g AS (
+          SELECT movie_id, trim(tok) AS genre FROM (
+            SELECT movie_id, unnest(string_split(genres, '|')) AS tok FROM tm WHERE genres <> ''))
+        SELECT g.genre, avg(l.l_quantity / 2) AS avg_rating, CAST(count(*) AS BIGINT) AS n
+        FROM lineitem l JOIN g ON l.l_partkey = g.movie_id
+        WHERE g.genre <> '' GROUP BY g.genre""",
+    "gender_avg_text": "WITH " + _TEXT_MOVIES + "," + _TEXT_RATED + "," + _TEXT_R3,
+    "age_group_avg_text": "WITH " + _TEXT_MOVIES + "," + _TEXT_RATED + "," + _TEXT_R4,
 }

@@ -112,6 +112,16 @@ def rating_lines_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select("l_linenumber", line.alias("value"))
 
 
+def rating_lines_with_users(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """``custkey, partkey, quantity/2, linenumber`` lines: each line item rated
+    by its order's customer (all valid)."""
+    rated = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),
+                          "l_orderkey")
+    line = _join(_s("o_custkey"), ", ", _s("l_partkey"), ", ",
+                 _s(F.col("l_quantity") / 2.0), ", ", _s("l_linenumber"))
+    return rated.select(line.alias("value"))
+
+
 def dimension_lines_from_events(events: DataFrame) -> DataFrame:
     """``user_id, event_type, event_id`` lines: one user appears many times."""
     line = _join(_s("user_id"), ", ", F.col("event_type"), ", ", _s("event_id"))
