@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelens.session import session_key
+
 # Tunables (session conf keys and their defaults).
 BROADCAST_MAX_BYTES_KEY = "ratelens.broadcast.maxBytes"
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -56,7 +58,7 @@ def measure(df: DataFrame, memo: bool = True) -> tuple[int, int]:
     """
     if memo:
         files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files)
+        key = (session_key(df.sparkSession), df.semanticHash(), files)
         if key in _MEASURED:
             _MEASURED.move_to_end(key)
             return _MEASURED[key]

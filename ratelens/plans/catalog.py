@@ -122,8 +122,12 @@ def _spread(df: DataFrame) -> DataFrame:
     """Round-robin over the default parallelism when the input has fewer
     partitions (a single-row-group file is read by one task); a large input
     already has more partitions and is left as it is."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (Spark Connect): leave the input as it is
+        return df
+    return df.repartition(n) if parts < n else df
 
 
 def _write_text(df: DataFrame, path: str, order: str | None = None) -> str:

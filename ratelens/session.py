@@ -55,7 +55,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     temporary folder; on a cluster a machine-local folder would not survive the
     loss of an executor, so an unset folder is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the context lives on the server
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set on the server session")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -72,6 +78,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a session for per-session memos."""
+    return (spark.conf.get("spark.app.id", ""), id(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.operators.joins import bound_fits_broadcast, lookup_join, measure
+from ratelens.session import session_key
 
 # Fixed values of the mapping: a rating is half the quantity; the selective
 # subset is return flag A with line status F; items with size above 40 and
@@ -39,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     DataFrames are lazy plans, so every query still scans the data.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    key = (session_key(spark), path)
     df = _TABLES.get(key)
     if df is None:
         df = spark.read.parquet(path)
