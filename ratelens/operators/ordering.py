@@ -32,7 +32,8 @@ def _segments_offsets(df: DataFrame, seg_cols: Sequence[str], count_col: str) ->
     return df.select(*seg_cols, F.coalesce(F.sum(count_col).over(w), F.lit(0)).alias("_off"))
 
 
-def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[Column | str],
+                  name: str = "position") -> DataFrame:
     """``df`` sorted by ``order`` plus its 0-based ordinal ``name``.
 
     ``order`` must be a total order (unique keys) for the ordinal to be

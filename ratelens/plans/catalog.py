@@ -29,6 +29,7 @@ from ratelens.plans.reports import (
     movie_stats,
     user_age_groups,
 )
+from ratelens.plans import runner
 from ratelens.plans.sinks import write_lines
 from ratelens.session import scratch_path
 from ratelens.sources import (
@@ -263,6 +264,28 @@ def age_group_avg_text(spark: SparkSession, sf: str) -> DataFrame:
                      parse_movies(movie_text))
 
 
+def _read_report(spark: SparkSession, path: str) -> DataFrame:
+    back = file_order_position(spark.read.text(path))
+    return back.select(F.col("value").alias("line"), "position")
+
+
+def movie_report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 as the runner does it - text files in, ordered report files out -
+    read back with each line's position in file order."""
+    root = _report_text_dir(spark, sf)
+    out = scratch_path(spark, "r1-out")
+    runner.run_movie_report(spark, root, out, f"{root}/movies")
+    return _read_report(spark, out)
+
+
+def age_report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 as the runner does it, read back with positions."""
+    root = _report_text_dir(spark, sf)
+    out = scratch_path(spark, "r4-out")
+    runner.run_age_report(spark, root, out, f"{root}/movies", f"{root}/users")
+    return _read_report(spark, out)
+
+
 # ------------------------------------------------------------- sinks, lines
 
 def text_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -356,6 +379,8 @@ QUERIES: dict[str, Query] = {
     "genre_avg_text": genre_avg_text,
     "gender_avg_text": gender_avg_text,
     "age_group_avg_text": age_group_avg_text,
+    "movie_report_files": movie_report_files,
+    "age_report_files": age_report_files,
     "text_sink_roundtrip": text_sink_roundtrip,
     "movie_report_lines": movie_report_lines,
     "genre_report_lines": genre_report_lines,

@@ -282,4 +282,35 @@ ORACLE_SQL: dict[str, str] = {
         WHERE g.genre <> '' GROUP BY g.genre""",
     "gender_avg_text": "WITH " + _TEXT_MOVIES + "," + _TEXT_RATED + "," + _TEXT_R3,
     "age_group_avg_text": "WITH " + _TEXT_MOVIES + "," + _TEXT_RATED + "," + _TEXT_R4,
+    "movie_report_files": "WITH " + _TEXT_MOVIES + f""",
+        agg AS (
+          SELECT l_partkey AS movie_id, avg(l_quantity / 2) AS avg_rating,
+                 CAST(count(*) AS BIGINT) AS n
+          FROM lineitem GROUP BY l_partkey),
+        stats AS (
+          SELECT a.movie_id,
+                 coalesce(tm.title_full, 'UnknownMovie(' || CAST(a.movie_id AS VARCHAR) || ')')
+                   AS title, a.avg_rating, a.n
+          FROM agg a LEFT JOIN tm ON a.movie_id = tm.movie_id),
+        best AS (
+          SELECT * FROM (
+            SELECT * FROM stats
+            WHERE n >= 5 AND NOT isnan(avg_rating) AND avg_rating > CAST('-inf' AS DOUBLE)
+            ORDER BY avg_rating DESC, movie_id ASC LIMIT 1)
+          WHERE title <> ''),
+        lines AS (
+          SELECT 0 AS section, movie_id,
+                 title || chr(9) || 'Average rating: ' || {_fmt('avg_rating')}
+                   || ' (Total ratings: ' || CAST(n AS VARCHAR) || ')' AS line
+          FROM stats
+          UNION ALL
+          SELECT 1 AS section, movie_id,
+                 title || ' is the highest rated movie with an average rating of '
+                   || {_fmt('avg_rating')} || ' among movies with at least 5 ratings.'
+          FROM best)
+        SELECT line, CAST(row_number() OVER (ORDER BY section, movie_id) - 1 AS BIGINT)
+                 AS position
+        FROM lines""",
+    "age_report_files": "WITH " + _TEXT_MOVIES + "," + _TEXT_RATED + ", ages AS (WITH "
+                        + _TEXT_R4 + ")" + _AGE_LINES,
 }

@@ -1,9 +1,9 @@
 """End-to-end reports: text inputs in, one ordered text report out.
 
-Each report reads every file below ``ratings_path`` as rating lines (other
-files lying there fall out by the row rules), parses the dimension file(s),
-computes the typed report and writes one line per group, ordered as the
-report requires, through ``write_lines``.
+Each report reads every file below ``ratings_path`` (sub-folders included)
+as rating lines (other files lying there fall out by the row rules), parses
+the dimension file(s), computes the typed report and writes one line per
+group, ordered as the report requires, through ``write_lines``.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def run_movie_report(spark: SparkSession, ratings_path: str, output: str, movies
                      min_count: int = MIN_RATINGS) -> None:
     """R1: ``title<TAB>Average rating: x (Total ratings: n)`` by item id, then
     the best-item line."""
-    ratings = parse_ratings(read_lines(spark, ratings_path), min_fields=4)
+    ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=4)
     stats = movie_stats(ratings, parse_movies(read_lines(spark, movies_path)))
     lines = movie_lines(stats, best_movie(stats, min_count), min_count)
     write_lines(lines, output, ["section", "movie_id"], mode=mode, single_file=single_file)
@@ -40,7 +40,7 @@ def run_movie_report(spark: SparkSession, ratings_path: str, output: str, movies
 def run_genre_report(spark: SparkSession, ratings_path: str, output: str, movies_path: str,
                      mode: str = "errorifexists", single_file: bool = False) -> None:
     """R2: ``genre<TAB>Avg: x, Count: n`` by genre (byte order)."""
-    ratings = parse_ratings(read_lines(spark, ratings_path), min_fields=3)
+    ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=3)
     stats = genre_stats(ratings, parse_movies(read_lines(spark, movies_path)))
     write_lines(genre_lines(stats), output, ["genre"], mode=mode, single_file=single_file)
 
@@ -49,7 +49,8 @@ def run_gender_report(spark: SparkSession, ratings_path: str, output: str, movie
                       users_path: str, mode: str = "errorifexists",
                       single_file: bool = False) -> None:
     """R3: ``title<TAB>Male: x, Female: y`` by item id."""
-    ratings = parse_ratings(read_lines(spark, ratings_path), min_fields=3, require_user=True)
+    ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=3,
+                            require_user=True)
     users = parse_users(read_lines(spark, users_path), with_gender=True)
     stats = gender_stats(ratings, users, parse_movies(read_lines(spark, movies_path)))
     write_lines(gender_lines(stats), output, ["movie_id"], mode=mode, single_file=single_file)
@@ -59,7 +60,8 @@ def run_age_report(spark: SparkSession, ratings_path: str, output: str, movies_p
                    users_path: str, mode: str = "errorifexists",
                    single_file: bool = False) -> None:
     """R4: ``title<TAB>0-18: x<TAB>18-35: x<TAB>35-50: x<TAB>50+: x`` by item id."""
-    ratings = parse_ratings(read_lines(spark, ratings_path), min_fields=3, require_user=True)
+    ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=3,
+                            require_user=True)
     users = parse_users(read_lines(spark, users_path), with_gender=False, with_age=True)
     stats = age_stats(ratings, users, parse_movies(read_lines(spark, movies_path)))
     write_lines(age_lines(stats), output, ["movie_id"], mode=mode, single_file=single_file)
