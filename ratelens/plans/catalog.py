@@ -2,8 +2,9 @@
 
 Every query reads whole tables (or text Spark renders from them) and runs
 the library's operators; see ``ratelens.plans.oracle`` for the equivalent
-SQL of each.  Text cases write their lines to a fresh folder below the
-session's checkpoint folder and read them back.
+SQL of each.  Text inputs are rendered from the tables into a folder below
+the session's checkpoint folder, once per session, and read back by every
+call; the sink cases write fresh output each time.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from ratelens.plans.reports import (
 )
 from ratelens.plans import runner
 from ratelens.plans.sinks import write_lines
-from ratelens.session import scratch_path
+from ratelens.session import scratch_path, session_key
 from ratelens.sources import (
     parse_keyed,
     parse_movies,
@@ -139,9 +140,27 @@ def _write_text(df: DataFrame, path: str, order: str | None = None) -> str:
     return path
 
 
+_RENDERED: dict[tuple, str] = {}
+
+
+def _rendered(spark: SparkSession, sf: str, name: str, build: Callable[[str], None]) -> str:
+    """Folder with the text input ``name`` rendered from the tables of ``sf``.
+
+    The input is written once per session (the tables are read-only) and
+    then reused; each query still parses and computes over all of it.
+    """
+    key = (session_key(spark), sf, name)
+    path = _RENDERED.get(key)
+    if path is None:
+        path = scratch_path(spark, name)
+        build(path)
+        _RENDERED[key] = path
+    return path
+
+
 def _event_rating_lines(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "event-ratings")
-    _write_text(render.rating_lines_from_events(T.table(spark, sf, "events")), path)
+    path = _rendered(spark, sf, "event-ratings", lambda p: _write_text(
+        render.rating_lines_from_events(T.table(spark, sf, "events")), p))
     return read_lines(spark, path)
 
 
@@ -157,14 +176,14 @@ def parse_ratings_min3(spark: SparkSession, sf: str) -> DataFrame:
 
 def parse_movies_q(spark: SparkSession, sf: str) -> DataFrame:
     """Item lines with commas in titles, missing genre fields and bad ids."""
-    path = scratch_path(spark, "part-movies")
-    _write_text(render.movie_lines_from_part(T.table(spark, sf, "part")), path)
+    path = _rendered(spark, sf, "part-movies", lambda p: _write_text(
+        render.movie_lines_from_part(T.table(spark, sf, "part")), p))
     return parse_movies(read_lines(spark, path))
 
 
 def _customer_user_lines(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "customer-users")
-    _write_text(render.user_lines_from_customer(T.table(spark, sf, "customer")), path)
+    path = _rendered(spark, sf, "customer-users", lambda p: _write_text(
+        render.user_lines_from_customer(T.table(spark, sf, "customer")), p))
     return read_lines(spark, path)
 
 
@@ -194,15 +213,17 @@ def dim_last_wins_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lineitem_rating_dir(spark: SparkSession, sf: str, with_dimensions: bool) -> str:
-    root = scratch_path(spark, "rating-dir")
-    lines = render.rating_lines_from_lineitem(T.table(spark, sf, "lineitem"))
-    _write_text(lines.where(F.col("l_linenumber") <= 3), f"{root}/ratings_1")
-    _write_text(lines.where(F.col("l_linenumber") > 3), f"{root}/ratings_2")
-    if with_dimensions:
-        _write_text(render.movie_lines_from_part(T.table(spark, sf, "part")), f"{root}/movies")
-        _write_text(render.user_lines_from_customer(T.table(spark, sf, "customer")),
-                    f"{root}/users")
-    return root
+    def build(root: str) -> None:
+        lines = render.rating_lines_from_lineitem(T.table(spark, sf, "lineitem"))
+        _write_text(lines.where(F.col("l_linenumber") <= 3), f"{root}/ratings_1")
+        _write_text(lines.where(F.col("l_linenumber") > 3), f"{root}/ratings_2")
+        if with_dimensions:
+            _write_text(render.movie_lines_from_part(T.table(spark, sf, "part")),
+                        f"{root}/movies")
+            _write_text(render.user_lines_from_customer(T.table(spark, sf, "customer")),
+                        f"{root}/users")
+
+    return _rendered(spark, sf, "mixed-dir" if with_dimensions else "rating-dir", build)
 
 
 def scan_ratings_dir(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,14 +242,16 @@ def mixed_dir_reject(spark: SparkSession, sf: str) -> DataFrame:
 
 def _report_text_dir(spark: SparkSession, sf: str) -> str:
     """Rating, item and user files in one directory, as the reports read them."""
-    root = scratch_path(spark, "report-text")
-    _write_text(render.rating_lines_with_users(T.table(spark, sf, "lineitem"),
-                                               T.table(spark, sf, "orders")),
-                f"{root}/ratings")
-    _write_text(render.movie_lines_from_part(T.table(spark, sf, "part")), f"{root}/movies")
-    _write_text(render.user_lines_from_customer(T.table(spark, sf, "customer")),
-                f"{root}/users")
-    return root
+    def build(root: str) -> None:
+        _write_text(render.rating_lines_with_users(T.table(spark, sf, "lineitem"),
+                                                   T.table(spark, sf, "orders")),
+                    f"{root}/ratings")
+        _write_text(render.movie_lines_from_part(T.table(spark, sf, "part")),
+                    f"{root}/movies")
+        _write_text(render.user_lines_from_customer(T.table(spark, sf, "customer")),
+                    f"{root}/users")
+
+    return _rendered(spark, sf, "report-text", build)
 
 
 def _text_inputs(spark: SparkSession, sf: str):
