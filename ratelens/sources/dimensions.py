@@ -34,12 +34,12 @@ def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value")
     """
     line = jtrim(F.col(value_col))
     raw = F.split(line, ",")  # keeps trailing empty fields: counts commas
-    rows = parse_once(lines, F.struct(
+    rows = parse_once(lines, [
         line.alias("line"),
         (F.size(raw) >= 3).alias("two_commas"),
         parse_int(F.substring_index(line, ",", 1)).alias("movie_id"),
         line_position(lines).alias("_pos"),
-    )).where((F.col("line") != "") & F.col("two_commas") & F.col("movie_id").isNotNull())
+    ], (F.col("line") != "") & F.col("two_commas") & F.col("movie_id").isNotNull())
     movies = rows.select(
         "movie_id",
         jtrim(_between_first_and_last_comma(F.col("line"))).alias("title_full"),
@@ -82,10 +82,10 @@ def parse_users(
         cols.append(parse_int(field(parts, 2)).alias("age"))
         keep = keep & F.col("age").isNotNull()
         values.append("age")
-    users = parse_once(lines, F.struct(
+    users = parse_once(lines, [
         *cols, F.size(parts).alias("_n"), line.alias("_line"),
         line_position(lines).alias("_pos"),
-    )).where(keep)
+    ], keep)
     if dedup:
         return last_wins(users, "user_id", "_pos", values)
     return users.select("user_id", *values)
@@ -97,13 +97,12 @@ def parse_keyed(lines: DataFrame, value_index: int, value_name: str,
     ``value_index`` as ``value_name``; the last valid line of an id wins."""
     line = jtrim(F.col(value_col))
     parts = split_fields(line)
-    rows = parse_once(lines, F.struct(
+    rows = parse_once(lines, [
         parse_int(field(parts, 0)).alias("key_id"),
         jtrim(field(parts, value_index)).alias(value_name),
         F.size(parts).alias("_n"), line.alias("_line"),
         line_position(lines).alias("_pos"),
-    )).where((F.col("_line") != "") & F.col("key_id").isNotNull()
-            & (F.col("_n") > value_index))
+    ], (F.col("_line") != "") & F.col("key_id").isNotNull() & (F.col("_n") > value_index))
     if dedup:
         return last_wins(rows, "key_id", "_pos", [value_name])
     return rows.select("key_id", value_name)

@@ -28,15 +28,15 @@ def parse_ratings(
     """
     line = jtrim(F.col(value_col))
     parts = split_fields(line)
-    parsed = F.struct(
-        F.size(parts).alias("n"),
+    fields = [
         parse_int(field(parts, 0)).alias("user_id"),
         parse_int(field(parts, 1)).alias("movie_id"),
         parse_double(field(parts, 2)).alias("rating"),
-        (line == F.lit("")).alias("blank"),
-    )
-    keep = (~F.col("blank")) & (F.col("n") >= min_fields) \
+        F.size(parts).alias("_n"),
+        (line == F.lit("")).alias("_blank"),
+    ]
+    keep = (~F.col("_blank")) & (F.col("_n") >= min_fields) \
         & F.col("movie_id").isNotNull() & F.col("rating").isNotNull()
     if require_user:
         keep = keep & F.col("user_id").isNotNull()
-    return parse_once(lines, parsed).where(keep).select("user_id", "movie_id", "rating")
+    return parse_once(lines, fields, keep).select("user_id", "movie_id", "rating")

@@ -31,14 +31,19 @@ def read_lines(
     return reader.text(list(paths))
 
 
-def parse_once(lines: DataFrame, record: Column) -> DataFrame:
-    """The fields of the struct ``record`` as columns, computed once per line.
+def parse_once(lines: DataFrame, fields: Sequence[Column], keep: Column) -> DataFrame:
+    """Parsed ``fields`` of every line, then the rows where ``keep`` holds.
 
-    Filters on parsed fields would otherwise be pushed below the projection
-    with the whole parse inlined into every condition; a one-element
-    ``inline`` generator is a boundary the filters stay above.
+    Left alone, Catalyst pushes the filter below the projection and inlines
+    the whole parse into each condition (a text scan takes no pushed filters
+    anyway), so every line is split and converted several times.  A
+    nondeterministic column in the projection is a barrier the filter is not
+    pushed through: the projection computes the shared sub-expressions (the
+    split fields) once, and the filter reads the computed columns.  The
+    marker is a row id; it is dropped after the filter.
     """
-    return lines.select(F.inline(F.array(record)))
+    marked = lines.select(*fields, F.monotonically_increasing_id().alias("_line_id"))
+    return marked.where((F.col("_line_id") >= 0) & keep).drop("_line_id")
 
 
 def line_position(lines: DataFrame) -> Column:
