@@ -40,10 +40,11 @@ def parse_once(lines: DataFrame, fields: Sequence[Column], keep: Column) -> Data
     nondeterministic column in the projection is a barrier the filter is not
     pushed through: the projection computes the shared sub-expressions (the
     split fields) once, and the filter reads the computed columns.  The
-    marker is a row id; it is dropped after the filter.
+    marker is a seeded ``rand`` (also allowed on streams); ``>= 0`` always
+    holds, and it is dropped after the filter.
     """
-    marked = lines.select(*fields, F.monotonically_increasing_id().alias("_line_id"))
-    return marked.where((F.col("_line_id") >= 0) & keep).drop("_line_id")
+    marked = lines.select(*fields, F.rand(seed=0).alias("_barrier"))
+    return marked.where((F.col("_barrier") >= 0) & keep).drop("_barrier")
 
 
 def line_position(lines: DataFrame) -> Column:
