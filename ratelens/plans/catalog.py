@@ -263,20 +263,23 @@ def _text_inputs(spark: SparkSession, sf: str):
 def movie_avg_count_text(spark: SparkSession, sf: str) -> DataFrame:
     """R1 typed from text files (ratings, items and users in one directory)."""
     lines, movie_text, _ = _text_inputs(spark, sf)
-    return movie_stats(parse_ratings(lines, min_fields=4), parse_movies(movie_text))
+    return movie_stats(parse_ratings(lines, min_fields=4),
+                       parse_movies(movie_text, fields=["title_full"]))
 
 
 def genre_avg_text(spark: SparkSession, sf: str) -> DataFrame:
     """R2 typed from text files."""
     lines, movie_text, _ = _text_inputs(spark, sf)
-    return genre_stats(parse_ratings(lines, min_fields=3), parse_movies(movie_text))
+    return genre_stats(parse_ratings(lines, min_fields=3),
+                       parse_movies(movie_text, fields=["genres"]))
 
 
 def gender_avg_text(spark: SparkSession, sf: str) -> DataFrame:
     """R3 typed from text files."""
     lines, movie_text, user_text = _text_inputs(spark, sf)
     return gender_stats(parse_ratings(lines, min_fields=3, require_user=True),
-                        parse_users(user_text, with_gender=True), parse_movies(movie_text))
+                        parse_users(user_text, with_gender=True),
+                        parse_movies(movie_text, fields=["title_short"]))
 
 
 def age_group_avg_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -284,7 +287,7 @@ def age_group_avg_text(spark: SparkSession, sf: str) -> DataFrame:
     lines, movie_text, user_text = _text_inputs(spark, sf)
     return age_stats(parse_ratings(lines, min_fields=3, require_user=True),
                      parse_users(user_text, with_gender=False, with_age=True),
-                     parse_movies(movie_text))
+                     parse_movies(movie_text, fields=["title_short"]))
 
 
 def _read_report(spark: SparkSession, path: str) -> DataFrame:

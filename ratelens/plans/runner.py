@@ -32,7 +32,8 @@ def run_movie_report(spark: SparkSession, ratings_path: str, output: str, movies
     """R1: ``title<TAB>Average rating: x (Total ratings: n)`` by item id, then
     the best-item line."""
     ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=4)
-    stats = movie_stats(ratings, parse_movies(read_lines(spark, movies_path)))
+    stats = movie_stats(ratings, parse_movies(read_lines(spark, movies_path),
+                                              fields=["title_full"]))
     lines = movie_lines(stats, best_movie(stats, min_count), min_count)
     write_lines(lines, output, ["section", "movie_id"], mode=mode, single_file=single_file)
 
@@ -41,7 +42,7 @@ def run_genre_report(spark: SparkSession, ratings_path: str, output: str, movies
                      mode: str = "errorifexists", single_file: bool = False) -> None:
     """R2: ``genre<TAB>Avg: x, Count: n`` by genre (byte order)."""
     ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=3)
-    stats = genre_stats(ratings, parse_movies(read_lines(spark, movies_path)))
+    stats = genre_stats(ratings, parse_movies(read_lines(spark, movies_path), fields=["genres"]))
     write_lines(genre_lines(stats), output, ["genre"], mode=mode, single_file=single_file)
 
 
@@ -52,7 +53,8 @@ def run_gender_report(spark: SparkSession, ratings_path: str, output: str, movie
     ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=3,
                             require_user=True)
     users = parse_users(read_lines(spark, users_path), with_gender=True)
-    stats = gender_stats(ratings, users, parse_movies(read_lines(spark, movies_path)))
+    stats = gender_stats(ratings, users, parse_movies(read_lines(spark, movies_path),
+                                                      fields=["title_short"]))
     write_lines(gender_lines(stats), output, ["movie_id"], mode=mode, single_file=single_file)
 
 
@@ -63,5 +65,6 @@ def run_age_report(spark: SparkSession, ratings_path: str, output: str, movies_p
     ratings = parse_ratings(read_lines(spark, ratings_path, recursive=True), min_fields=3,
                             require_user=True)
     users = parse_users(read_lines(spark, users_path), with_gender=False, with_age=True)
-    stats = age_stats(ratings, users, parse_movies(read_lines(spark, movies_path)))
+    stats = age_stats(ratings, users, parse_movies(read_lines(spark, movies_path),
+                                                   fields=["title_short"]))
     write_lines(age_lines(stats), output, ["movie_id"], mode=mode, single_file=single_file)

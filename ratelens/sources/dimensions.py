@@ -8,6 +8,8 @@ For a repeated id the last valid line wins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +26,24 @@ def _between_first_and_last_comma(line: Column) -> Column:
     return line.substr(first + 1, last - first - 1)
 
 
-def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value") -> DataFrame:
-    """Movies dimension: ``movie_id, title_full, title_short, genres``.
+MOVIE_FIELDS = ("title_full", "title_short", "genres")
+
+
+def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value",
+                 fields: Sequence[str] = MOVIE_FIELDS) -> DataFrame:
+    """Movies dimension: ``movie_id`` and ``fields`` (default all three of
+    ``title_full, title_short, genres``).
 
     A line is valid with at least two commas and an int before the first.
     ``title_full`` lies between the first and the last comma, ``title_short``
     between the first and the second; ``genres`` is the raw text after the
-    last comma (split it with ``operators.explode_tokens``).
+    last comma (split it with ``operators.explode_tokens``).  Asking only for
+    the fields a report reads keeps the others out of the de-duplication
+    shuffle (fields packed into the last-wins aggregate are not pruned).
     """
+    unknown = set(fields) - set(MOVIE_FIELDS)
+    if unknown or not fields:
+        raise ValueError(f"fields must be a non-empty subset of {MOVIE_FIELDS}")
     line = jtrim(F.col(value_col))
     raw = F.split(line, ",")  # keeps trailing empty fields: counts commas
     rows = parse_once(lines, [
@@ -40,15 +52,14 @@ def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value")
         parse_int(F.substring_index(line, ",", 1)).alias("movie_id"),
         line_position(lines).alias("_pos"),
     ], (F.col("line") != "") & F.col("two_commas") & F.col("movie_id").isNotNull())
-    movies = rows.select(
-        "movie_id",
-        jtrim(_between_first_and_last_comma(F.col("line"))).alias("title_full"),
-        jtrim(field(F.split("line", ","), 1)).alias("title_short"),
-        jtrim(F.substring_index("line", ",", -1)).alias("genres"),
-        "_pos",
-    )
+    exprs = {
+        "title_full": jtrim(_between_first_and_last_comma(F.col("line"))),
+        "title_short": jtrim(field(F.split("line", ","), 1)),
+        "genres": jtrim(F.substring_index("line", ",", -1)),
+    }
+    movies = rows.select("movie_id", *[exprs[f].alias(f) for f in fields], "_pos")
     if dedup:
-        return last_wins(movies, "movie_id", "_pos", ["title_full", "title_short", "genres"])
+        return last_wins(movies, "movie_id", "_pos", list(fields))
     return movies.drop("_pos")
 
 
