@@ -2,7 +2,6 @@
 line-by-line model of the report rules on random inputs."""
 
 import math
-import os
 import uuid
 from collections import defaultdict
 from decimal import ROUND_HALF_EVEN, Decimal
