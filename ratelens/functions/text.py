@@ -32,8 +32,8 @@ def _col(c: Column | str) -> Column:
 def jtrim(c: Column | str) -> Column:
     """Strip control characters and spaces (<= U+0020) at both ends.
 
-    A character-set trim, not a regex: the parse rules are inlined into
-    filters by the optimizer, so every piece must be cheap to repeat.
+    A character-set trim, not a regex: it runs on every line and on every
+    field of every line.
     """
     return F.trim(_col(c), F.lit(TRIM_CHARS))
 
