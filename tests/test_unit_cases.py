@@ -119,3 +119,24 @@ def test_gender_other_only_row_survives(spark):
     u = spark.createDataFrame([(5, "X")], "user_id int, gender string")
     out = gender_stats(r, u, movies(spark, [(1, "A", "x")]), with_counts=True).collect()
     assert [(x.male_avg, x.female_avg, x.male_n, x.female_n) for x in out] == [(0.0, 0.0, 0, 0)]
+
+
+def test_custom_age_buckets(spark):
+    from ratelens.plans import age_stats
+    r = ratings(spark, [(1, 1, 2.0), (2, 1, 4.0), (3, 1, 5.0)])
+    u = spark.createDataFrame([(1, 10), (2, 40), (3, 70)], "user_id int, age int")
+    out = age_stats(r, u, movies(spark, [(1, "A", "x")]), bounds=(30, 60),
+                    labels=("young", "mid", "old"))
+    assert out.columns == ["movie_id", "title", "age_young", "age_mid", "age_old"]
+    assert [tuple(x) for x in out.collect()] == [(1, "A", 2.0, 4.0, 5.0)]
+
+
+def test_size_memo_sees_a_changed_file_set(spark, tmp_path):
+    from ratelens.operators import measure
+    from ratelens.sources import read_lines
+    d = tmp_path / "dim"
+    d.mkdir()
+    (d / "a.txt").write_text("1, x, y\n")
+    assert measure(read_lines(spark, str(d)))[0] == 1
+    (d / "b.txt").write_text("2, x, y\n3, x, y\n")
+    assert measure(read_lines(spark, str(d)))[0] == 3  # new file: measured again
