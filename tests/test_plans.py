@@ -75,3 +75,10 @@ def test_text_parse_runs_once_per_line(spark):
     assert "split(" not in filter_line and "try_cast" not in filter_line
     assert "rand(" in p
     assert "regexp_replace" not in p  # character-set trims only
+
+
+def test_best_item_is_a_per_task_top1(spark):
+    p = plan(queries()["top_movie_min5"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject(limit=1" in p
+    assert "rangepartitioning" not in p  # no global sort
+    assert p.count("Exchange hashpartitioning") == 1
