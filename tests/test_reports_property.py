@@ -17,6 +17,8 @@ from tests.test_runner import read_report
 def fmt(x: float) -> str:
     if math.isnan(x):
         return "NaN"
+    if math.isinf(x):
+        return "\u221e" if x > 0 else "-\u221e"  # the pattern's infinity symbol
     return str(Decimal(x).quantize(Decimal("0.01"), rounding=ROUND_HALF_EVEN))
 
 
@@ -136,7 +138,8 @@ def model_reports(all_lines, movie_lines, user_lines):
 
 _id = st.one_of(st.integers(1, 12).map(str), st.sampled_from(["x", " 3 ", "+4", "5.0", ""]))
 _rating = st.one_of(st.integers(-4, 20).map(lambda v: str(v / 4)),
-                    st.sampled_from(["NaN", "nan", "five", "4.0d", "1e0"]))
+                    st.sampled_from(["NaN", "nan", "five", "4.0d", "1e0", "Infinity",
+                                     "-Infinity"]))
 _title = st.text(alphabet="ab ,|()", max_size=6)
 _genres = st.lists(st.sampled_from(["Drama", "War", " ", "", "drama", "Sci-Fi"]), max_size=3)
 _gender = st.sampled_from(["M", "F", "X", "Male", "f", "", " "])
