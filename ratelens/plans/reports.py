@@ -45,6 +45,7 @@ from ratelens.operators import (
     lookup_join,
     pre_aggregate,
 )
+from ratelens.session import checkpoint_dir
 
 # The text around the numbers in each report line.
 R1_AVG = "\tAverage rating: "
@@ -131,17 +132,21 @@ def _rated(ratings: DataFrame, user_dim: DataFrame, attr: str,
 
     When the users are too big to broadcast, the ratings are first summed
     per (user, item) - the shuffle for that is spread over both keys - and
-    the join salts users that still own many rows.
+    the join salts users that still own many rows.  Broadcast users need
+    none of this: the join runs inside the scan stage.
     """
     b = fits_broadcast(user_dim) if broadcast_users is None else broadcast_users
     partials = as_partial(ratings, ["user_id", "movie_id"])
     if b:
         return lookup_join(partials, user_dim, "user_id", "inner", broadcast=True) \
             .drop("user_id")
-    # Hot users are found on the raw ratings (a partial count per user, no
-    # large shuffle); the pre-aggregate is then shuffled once, for the join.
-    hot = detect_hot_keys(ratings, "user_id")
-    partials = pre_aggregate(partials, ["user_id", "movie_id"])
+    # The (user, item) sums are computed once and checkpointed to the reliable
+    # folder: hot users are then counted on exactly the rows that enter the
+    # join, and neither the count nor the join re-runs whatever produced the
+    # ratings (a parse of text files, a join of two tables).
+    checkpoint_dir(ratings.sparkSession)
+    partials = pre_aggregate(partials, ["user_id", "movie_id"]).checkpoint(eager=True)
+    hot = detect_hot_keys(partials, "user_id")
     rated = lookup_join(partials, user_dim, "user_id", "inner", broadcast=False,
                         skew=hot, salt_cols=["movie_id"])
     return rated.drop("user_id")
