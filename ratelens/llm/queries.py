@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import mixing, quality
 from .common import read_table
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     entries = quality.apply_policy(quality.ledger(docs), "v2")
@@ -23,5 +27,6 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
     "op5_quality_rules": op5_quality_rules,
 }
