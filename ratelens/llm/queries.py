@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality
+from . import langid, mixing, quality
 from .common import read_table
 
 
@@ -17,6 +17,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn(
+        "held_out", langid.held_out("doc_id"))
+    model = langid.train(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"))
+    return langid.identify(docs, model, carry=["doc_id", "held_out"])
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     entries = quality.apply_policy(quality.ledger(docs), "v2")
@@ -28,5 +35,6 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_language_id": op3_language_id,
     "op5_quality_rules": op5_quality_rules,
 }
