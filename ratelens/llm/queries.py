@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality
+from . import bpe, langid, mixing, quality
 from .common import read_table
 
 
@@ -33,8 +33,30 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("fail_bits").bitwiseAND(base) != 0).alias("base_failed"), "kept", "fail_bits")
 
 
+def tokenizer() -> bpe.Tokenizer:
+    import public_tokenizers
+
+    return bpe.Tokenizer(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                         public_tokenizers.PATTERN)
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    t = tokenizer()
+    return token_digests(bpe.encode(docs, t, carry=["doc_id"]), t)
+
+
+def token_digests(encoded: DataFrame, t: bpe.Tokenizer) -> DataFrame:
+    """Digests of the ids, and of what they decode to."""
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), t.ranks()), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_language_id": op3_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op9_byte_bpe": op9_byte_bpe,
 }
