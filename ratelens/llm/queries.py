@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality
+from . import bpe, langid, lm, mixing, quality
 from .common import read_table
 
 
@@ -17,6 +17,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return lm.score(docs.withColumn("held_out", langid.held_out("doc_id", 5)))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn(
         "held_out", langid.held_out("doc_id"))
@@ -56,6 +61,7 @@ def token_digests(encoded: DataFrame, t: bpe.Tokenizer) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_lm_score": op2_lm_score,
     "op3_language_id": op3_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
