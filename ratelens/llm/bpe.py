@@ -25,7 +25,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import let, materialize
+from .tokens import slices
 
 LONG_WORD = 256
 _BITS = 16  # ids fit 16 bits
@@ -173,70 +174,80 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def slices(column: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
-    """Runs of rows of about ``most`` bytes (a longer text is a run of its own)."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes, dtype=np.int64)
-    lo = 0
-    while lo < len(column):
-        base = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
-        # a compact copy: string kernels misread the offsets of a sliced column
-        yield column.take(pa.array(np.arange(lo, hi)))
-        lo = hi
+def _expand(first: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Runs ``flat[first : first + size]``, one after the other."""
+    ends = np.cumsum(size, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(first - (ends - size), size)]
 
 
 class _Segments:
-    """Distinct segments of a run of texts, and each text as segment numbers.
+    """Words of a run of texts: distinct ``words`` and each text as numbers.
 
-    A segment is a space with what follows up to the next one.  The pattern
-    never matches across such a cut, unless more white space follows the
-    space; texts with that are cut by the pattern itself.
+    Texts are first cut into segments, a space with what follows up to the
+    next one, and only distinct segments are split by the pattern.  The
+    pattern never matches across such a cut, unless more white space follows
+    the space; texts with that are split as a whole.
     """
 
     def __init__(self, texts: pa.Array, pattern: str):
         split = regex.compile(pattern).findall
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = pc.match_substring_regex(texts, _ODD_SPACES).to_numpy(zero_copy_only=False)
-        plain = texts if not odd.any() else pc.if_else(pa.array(odd), "", texts)
+        odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACES)
+                             .to_numpy(zero_copy_only=False))
+        if len(odd):
+            mask = np.zeros(len(texts), dtype=bool)
+            mask[odd] = True
+            plain = pc.if_else(pa.array(mask), pa.scalar("", pa.large_string()), texts)
+        else:
+            plain = texts
         lists = pc.split_pattern(plain, " ")
         enc = lists.flatten().dictionary_encode()
         code = enc.indices.to_numpy().astype(np.int64) * 2
-        self.starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        code[self.starts[:-1]] += 1
+        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        code[starts[:-1]] += 1  # a text's first segment has no space
         there = np.zeros(2 * len(enc.dictionary) + 2, dtype=bool)
         there[code] = True
         number = np.cumsum(there) - 1
-        self.codes = number[code]
         names = enc.dictionary.to_pylist()
-        self.pieces = [split(names[k >> 1] if k & 1 else " " + names[k >> 1])
-                       for k in np.flatnonzero(there).tolist()]
-        self.odd = {int(i): split(texts[i].as_py()) for i in np.flatnonzero(odd)}
-
-    def words(self) -> set[str]:
-        out: set[str] = set()
-        for p in self.pieces:
-            out.update(p)
-        for p in self.odd.values():
-            out.update(p)
-        return out
-
-    def texts(self, ids: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
-        """Ids of every text."""
-        empty = np.zeros(0, dtype=np.int32)
-        per = [np.concatenate([ids[w] for w in p]) if len(p) > 1 else ids[p[0]] if p else empty
-               for p in self.pieces]
-        sizes = np.array([len(x) for x in per], dtype=np.int64)
-        flat = np.concatenate([empty, *per])
-        first = np.cumsum(sizes) - sizes
-        for i in range(len(self.starts) - 1):
-            if i in self.odd:
-                yield np.concatenate([empty, *(ids[w] for w in self.odd[i])])
-                continue
-            c = self.codes[self.starts[i]:self.starts[i + 1]]
-            n = sizes[c]
-            ends = np.cumsum(n)
-            yield flat[np.arange(ends[-1]) + np.repeat(first[c] - (ends - n), n)]
+        index: dict[str, int] = {}
+        flat: list[int] = []
+        sizes: list[int] = []
+
+        def add(pieces: list[str]) -> None:
+            flat.extend([index.setdefault(w, len(index)) for w in pieces])
+            sizes.append(len(pieces))
+
+        for k in np.flatnonzero(there).tolist():
+            name = names[k >> 1]
+            whole = name if k & 1 else " " + name
+            # letters alone are one word (checked where Unicode versions agree)
+            add([whole] if name.isalpha() and (name.isascii() or max(name) < "\u0250")
+                else split(whole))
+        del names, enc
+        codes, counts = number[code], np.diff(starts)
+        if len(odd):
+            parts = np.split(codes, starts[1:-1])
+            for i in odd.tolist():
+                parts[i] = np.array([len(sizes)])
+                add(split(texts[i].as_py()))
+            codes, counts = np.concatenate(parts), np.array([len(p) for p in parts])
+        self.words = list(index)
+        seg_size = np.array(sizes, dtype=np.int64)
+        seg_first = np.cumsum(seg_size) - seg_size
+        self._numbers = _expand(seg_first[codes], seg_size[codes], np.array(flat, dtype=np.int32))
+        per_text = np.cumsum(np.concatenate([[0], seg_size[codes]]))
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        self._ends = per_text[cuts]
+
+    def ids(self, first: np.ndarray, size: np.ndarray, ids: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and their offsets; ``first`` and ``size`` place
+        every word's ids."""
+        n = size[self._numbers]
+        ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        return (_expand(first[self._numbers].astype(np.int64), n, ids).astype(np.int32),
+                ends[self._ends])
 
 
 def words_of(texts: DataFrame, pattern: str) -> DataFrame:
@@ -246,7 +257,7 @@ def words_of(texts: DataFrame, pattern: str) -> DataFrame:
         held: set[str] = set()
         for b in batches:
             for run in slices(b.column(0)):
-                held |= _Segments(run, pattern).words()
+                held.update(_Segments(run, pattern).words)
                 if len(held) > 500_000:
                     yield pa.record_batch({"word": pa.array(list(held), pa.string())})
                     held = set()
@@ -285,8 +296,8 @@ def _hashes(words: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in words], dtype=np.uint64)
 
 
-def _packed(encoded: DataFrame) -> list:
-    """Compact parts of the word table: sorted hashes, sizes, ids."""
+def _word_table(encoded: DataFrame) -> tuple[np.ndarray, ...]:
+    """Compact word table: sorted hashes, place and number of ids, all ids."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -297,106 +308,115 @@ def _packed(encoded: DataFrame) -> list:
             yield pa.record_batch({k: pa.array([v.tobytes()], pa.binary())
                                    for k, v in (("h", h), ("n", sizes), ("ids", ids))})
 
-    return (encoded.select(F.xxhash64("word").alias("h"), "ids")
-            .mapInArrow(pack, "h binary, n binary, ids binary").collect())
-
-
-def _word_table(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(p["h"], np.uint64) for p in parts)])
-    n = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(p["n"], np.int32) for p in parts)])
-    ids = np.concatenate([np.zeros(0, np.uint16),
-                          *(np.frombuffer(p["ids"], np.uint16) for p in parts)])
-    first = np.cumsum(n, dtype=np.int64) - n
+    rows = (encoded.select(F.xxhash64("word").alias("h"), "ids")
+            .mapInArrow(pack, "h binary, n binary, ids binary").collect())  # size checked
+    h, n, ids = (np.concatenate([np.zeros(0, t), *(np.frombuffer(r[k], t) for r in rows)])
+                 for k, t in (("h", np.uint64), ("n", np.int32), ("ids", np.uint16)))
+    del rows
     order = np.argsort(h)
-    return h[order], first[order], n[order], ids
+    return h[order], (np.cumsum(n, dtype=np.int64) - n)[order], n[order], ids
 
 
-def _look_up(words: set[str], table: tuple) -> dict[str, np.ndarray]:
+def _spans(words: list[str], table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, first, n, ids = table
-    names = list(words)
-    at = np.searchsorted(h, _hashes(names))
-    lo, size = first[at], n[at]
-    return {w: ids[a:a + k].astype(np.int32) for w, a, k in zip(names, lo.tolist(), size.tolist())}
+    at = np.searchsorted(h, _hashes(words))
+    return first[at], n[at], ids
+
+
+Reduce = Callable[[np.ndarray, np.ndarray], dict[str, pa.Array]]
+
+
+def _ids_column(ids: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
+    return {"ids": pa.ListArray.from_arrays(offsets.astype(np.int32), ids)}
 
 
 def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
            carry: list[str] | None = None, table_bytes: int = 256 << 20,
-           block_docs: int = 2048) -> DataFrame:
-    """Add ``ids array<int>`` to ``docs`` (or to its ``carry`` columns)."""
-    carry = [c for c in (docs.columns if carry is None else carry) if c != "ids"]
+           block_docs: int = 2048, reduce: Reduce = _ids_column,
+           out: str = "ids array<int>") -> DataFrame:
+    """Add ``ids array<int>`` to ``docs`` (or to its ``carry`` columns).
+
+    ``reduce(ids, offsets)`` may turn a batch's ids into other columns
+    ``out`` in the task that made them, when the ids themselves needn't leave it.
+    """
+    spark = docs.sparkSession
+    added = T.StructType.fromDDL(out)
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in added.names]
     source = docs.select(*carry, F.col(text).alias("_text"))
-    encoded = materialize(
-        encode_words(words_of(docs.select(F.col(text)), tokenizer.pattern), tokenizer), "bpe-words")
+    words = materialize(words_of(docs.select(F.col(text)), tokenizer.pattern), "bpe-words")
+    encoded = materialize(encode_words(words, tokenizer), "bpe-encoded")
     size, clash = encoded.agg(
         F.sum(12 + 2 * F.size("ids")), F.count(F.lit(1)) - F.count_distinct(F.xxhash64("word"))
     ).first()
-    schema = T.StructType([*(docs.schema[c] for c in carry),
-                           T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*(docs.schema[c] for c in carry), *added])
     if (size or 0) > table_bytes or clash:
-        return _encode_blocks(source, encoded, tokenizer.pattern, carry, schema, block_docs)
-    shared = docs.sparkSession.sparkContext.broadcast(_packed(encoded))
+        return _encode_blocks(source, encoded, tokenizer.pattern, carry, schema, block_docs, reduce)
+    shared = spark.sparkContext.broadcast(_word_table(encoded))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _word_table(shared.value)
         for b in batches:
             at = 0
             for part in slices(b.column("_text")):
                 seg = _Segments(part, tokenizer.pattern)
-                yield _rows(b.slice(at, len(part)), carry, seg.texts(_look_up(seg.words(), table)))
+                done = reduce(*seg.ids(*_spans(seg.words, shared.value)))
+                yield _rows(b.slice(at, len(part)), carry, done)
                 at += len(part)
 
     return source.mapInArrow(run, schema)
 
 
-def _rows(batch: pa.RecordBatch, carry: list[str], ids: Iterable[np.ndarray]) -> pa.RecordBatch:
-    ids = list(ids)
-    offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-    flat = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [*(batch.column(c) for c in carry), pa.ListArray.from_arrays(offsets, flat)],
-        names=[*carry, "ids"])
+def _rows(batch: pa.RecordBatch, carry: list[str], done: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), *done.values()],
+                                      names=[*carry, *done])
 
 
 def _encode_blocks(source: DataFrame, encoded: DataFrame, pattern: str, carry: list[str],
-                   schema: T.StructType, block_docs: int) -> DataFrame:
+                   schema: T.StructType, block_docs: int, reduce: Reduce) -> DataFrame:
     """Encoding without a broadcast: each block of texts is joined with the
     rows of its own words."""
     n = max(1, source.count() // block_docs)
+    # equal texts spread over the blocks by the other columns
     blocks = source.withColumn("_block", F.pmod(F.xxhash64(
-        F.octet_length("_text"), F.xxhash64("_text")), F.lit(n)))
+        *carry, F.xxhash64("_text")), F.lit(n)))
 
     def own(table: pa.Table) -> pa.Table:
         found: set[str] = set()
         for run in slices(table.column("_text").combine_chunks()):
-            found |= _Segments(run, pattern).words()
+            found.update(_Segments(run, pattern).words)
         names = pa.array(list(found), pa.string())
         return pa.table({"_block": pa.array([table.column("_block")[0].as_py()] * len(names),
                                             pa.int64()), "word": names})
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = dict(zip(right.column("word").to_pylist(),
-                       (np.array(x, dtype=np.int32) for x in right.column("ids").to_pylist())))
+        place = {w: i for i, w in enumerate(right.column("word").to_pylist())}
+        lists = right.column("ids").combine_chunks()
+        n_ids = np.diff(lists.offsets.to_numpy())
+        first = np.cumsum(n_ids) - n_ids
+        flat = lists.flatten().to_numpy()
         out, at = [], 0
-        batch = left.combine_chunks().to_batches()[0] if left.num_rows else None
-        for part in slices(batch.column("_text")) if batch is not None else ():
-            out.append(_rows(batch.slice(at, len(part)), carry, _Segments(part, pattern).texts(ids)))
+        batch = left.combine_chunks().to_batches()[0]
+        for part in slices(batch.column("_text")):
+            seg = _Segments(part, pattern)
+            w = np.array([place[x] for x in seg.words], dtype=np.int64)
+            out.append(_rows(batch.slice(at, len(part)), carry,
+                             reduce(*seg.ids(first[w], n_ids[w], flat))))
             at += len(part)
-        return pa.Table.from_batches(out, schema=None if out else _arrow_schema(schema))
+        return pa.Table.from_batches(out)
 
     needed = blocks.groupBy("_block").applyInArrow(own, "_block long, word string")
     rows = needed.join(encoded, "word").select("_block", "word", "ids")
     return blocks.groupBy("_block").cogroup(rows.groupBy("_block")).applyInArrow(join, schema)
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    return to_arrow_schema(schema)
+def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    """Binary piece of every id."""
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+    return pieces
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     """Bytes of an id array: the tokens' binary pieces, concatenated."""
-    tokens = [""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token.hex()
-    pieces = literal_array(tokens, "string")
+    pieces = literal_array([x.hex() for x in token_bytes(ranks)], "string")
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))

@@ -6,10 +6,14 @@ table and derives the digest columns of its contract from the result.
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lm, mixing, quality
+from . import bpe, jaccard, langid, lm, mixing, quality
 from .common import read_table
 
 
@@ -45,18 +49,30 @@ def tokenizer() -> bpe.Tokenizer:
                          public_tokenizers.PATTERN)
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), jaccard.Join())
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    t = tokenizer()
-    return token_digests(bpe.encode(docs, t, carry=["doc_id"]), t)
+    return token_digests(docs, tokenizer(), ["doc_id"])
+
+
+def token_digests(docs: DataFrame, t: bpe.Tokenizer, carry: list[str]) -> DataFrame:
+    """Digests of the ids of every text, and of what the ids decode to."""
+    pieces = bpe.token_bytes(t.ranks())
 
+    def digest(ids: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
+        n, ids_sha, text_sha = np.diff(offsets), [], []
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            own = ids[a:b].tolist()
+            ids_sha.append(hashlib.sha256(",".join(map(str, own)).encode()).hexdigest())
+            text_sha.append(hashlib.sha256(b"".join([pieces[i] for i in own])).hexdigest())
+        return {"n_tokens": pa.array(n.astype(np.int64)), "ids_sha256": pa.array(ids_sha, pa.string()),
+                "decoded_sha256": pa.array(text_sha, pa.string())}
 
-def token_digests(encoded: DataFrame, t: bpe.Tokenizer) -> DataFrame:
-    """Digests of the ids, and of what they decode to."""
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), t.ranks()), 256).alias("decoded_sha256"))
+    return bpe.encode(docs, t, carry=carry, reduce=digest,
+                      out="n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 QUERIES = {
@@ -64,5 +80,6 @@ QUERIES = {
     "op2_lm_score": op2_lm_score,
     "op3_language_id": op3_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
 }
