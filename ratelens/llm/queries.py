@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, lm, mixing, quality
+from . import bpe, html_text, jaccard, langid, lm, mixing, quality, warc
 from .common import read_table
 
 
@@ -49,6 +49,21 @@ def tokenizer() -> bpe.Tokenizer:
                          public_tokenizers.PATTERN)
 
 
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    # the table has no capture time: one second per page after a fixed date
+    captured = F.timestamp_seconds(F.lit(1704067200) + F.pmod(
+        F.coalesce("page_id", F.lit(0)), F.lit(86400 * 3650)))
+    index = warc.archive_and_index(pages.withColumn("captured_at", captured))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                        "url_key", "captured_at")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return html_text.extract_text(pages, carry=["page_id", "url"])
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), jaccard.Join())
 
@@ -80,6 +95,8 @@ QUERIES = {
     "op2_lm_score": op2_lm_score,
     "op3_language_id": op3_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc_index": op6_warc_index,
+    "op7_html_text": op7_html_text,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
 }
