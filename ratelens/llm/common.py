@@ -18,15 +18,20 @@ SPACES = " \t\n\x0b\x0c\r"
 _MASK = (1 << 64) - 1
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, large_rows: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage like a checkpoint does, but as a table that Spark reads
-    with column pruning.
+    with column pruning.  ``large_rows`` writes small row groups: a reader
+    holds a row group's rows at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write
+    if large_rows:
+        writer = writer.option("parquet.block.size", 16 << 20).option(
+            "parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 4)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

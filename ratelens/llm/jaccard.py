@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, mix64
-from .components import components
+from .tiles import linked, shared_tiles
 from .tokens import slices, word_codes, word_hashes
 
 _SETS = ("doc_id long, n long, h1 long, h2 long, band int, rare boolean, bits binary, "
@@ -226,25 +226,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, join: Join) -> D
                        "join-links")
 
 
-def _open_tiles(members: DataFrame, roots: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """Pairs across components in tiles that hold several, by signature."""
-    rows = (members.join(roots, members["doc_id"] == roots["node"], "left")
-            .select("key", "doc_id", F.coalesce("root", "doc_id").alias("root")))
-    mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                    F.count(F.lit(1)).alias("size")).where("lo < hi")
-    mixed = mixed.withColumn("chunks", F.ceil(F.col("size") / join.chunk).cast("int"))
-    opened = (rows.join(mixed.select("key", "chunks"), "key")
-              .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-              # chunk x meets every chunk: the row goes to all tiles (min, max)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-              .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-              .join(sets.select("doc_id", "n", "bits"), "doc_id")
-              .select("key", "i", "j", "own", "doc_id", "root", "n", "bits"))
-
-    def pairs(t: pa.Table) -> pa.Table:
-        ids, root, n, own = (t.column(c).to_numpy() for c in ("doc_id", "root", "n", "own"))
+def _by_signature(join: Join):
+    """Test of a tile's rows: the bit count bounds the overlap."""
+
+    def prepare(t: pa.Table):
+        n = t.column("n").to_numpy()
         raw = t.column("bits").to_pylist()
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         width = min(map(len, raw))
         bits = np.zeros((len(raw), width), dtype=np.uint8)
         for r, v in enumerate(raw):
@@ -252,21 +239,15 @@ def _open_tiles(members: DataFrame, roots: DataFrame, sets: DataFrame, join: Joi
             while len(x) > width:
                 x = x[:len(x) // 2] ^ x[len(x) // 2:]
             bits[r] = x
-        a_out, b_out = [], []
-        for r in range(len(ids)):
-            most = n[r] + n - 2 * join.overlap(n[r], n)
-            ok = (root != root[r]) & (ids > ids[r]) & (join.overlap(n[r], n) <= np.minimum(n[r], n))
-            if i != j:
-                ok &= own != own[r]
-            at = np.flatnonzero(ok)
-            if len(at):
-                at = at[np.bitwise_count(bits[at] ^ bits[r]).sum(axis=1, dtype=np.int64) <= most[at]]
-                a_out.append(np.full(len(at), ids[r]))
-                b_out.append(ids[at])
-        empty = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([empty, *a_out]), "b": np.concatenate([empty, *b_out])})
-
-    return opened.groupBy("key", "i", "j").applyInArrow(pairs, "a long, b long").distinct()
+
+        def may(r: int, at: np.ndarray) -> np.ndarray:
+            least = join.overlap(n[r], n[at])
+            differ = np.bitwise_count(bits[at] ^ bits[r]).sum(axis=1, dtype=np.int64)
+            return (least <= np.minimum(n[r], n[at])) & (differ <= n[r] + n[at] - 2 * least)
+
+        return may
+
+    return prepare
 
 
 def groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -277,23 +258,14 @@ def groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
         .where(F.col("rep").isNotNull()), "join-classes")
     reps = sets.where("n > 0").join(classes.select(F.col("rep").alias("doc_id")).distinct(),
                                     "doc_id", "left_semi")
-    keyed = reps.select("doc_id", F.explode("keys").alias("key"))
-    shared = (keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"))
-              .where("hub < last").select("key", "hub"))
-    members = materialize(keyed.join(shared, "key").distinct(), "join-members")
+    members = shared_tiles(reps.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key")))
     rare = reps.where("rare").select(F.col("doc_id").alias("r"), F.explode(
         F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
     odd = (rare.join(reps.select("doc_id", "band"), "band").where("r != doc_id")
            .select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b")))
-    first = (members.where("doc_id > hub").groupBy("doc_id").agg(F.min("hub").alias("a"))
-             .select("a", F.col("doc_id").alias("b")).unionByName(odd).distinct())
-    links = _verify(first, reps, docs, join)
-    roots = components(links)
-    more = _open_tiles(members, roots, reps, join).join(first, ["a", "b"], "left_anti")
-    more = materialize(more, "join-more")
-    if more.head(1):
-        links = links.unionByName(_verify(more, reps, docs, join))
-        roots = components(links)
+    roots = linked(members, reps.select(F.col("doc_id").alias("node"), "n", "bits"),
+                   lambda pairs: _verify(pairs, reps, docs, join), _by_signature(join),
+                   join.chunk, odd)
     known = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         "h1", "h2", "n", F.coalesce("root", "rep").alias("component_id"))
     rows = sets.select("doc_id", "n", "h1", "h2")

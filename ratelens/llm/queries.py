@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard, langid, lm, mixing, quality, warc
+from . import bpe, html_text, jaccard, langid, lines, lm, mixing, quality, warc
 from .common import read_table
 
 
@@ -90,6 +90,13 @@ def token_digests(docs: DataFrame, t: bpe.Tokenizer, carry: list[str]) -> DataFr
                       out="n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return lines.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
@@ -99,4 +106,5 @@ QUERIES = {
     "op7_html_text": op7_html_text,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_line_dedup": op10_line_dedup,
 }

@@ -19,11 +19,11 @@ def blob_batch(part: int, vector: np.ndarray) -> pa.RecordBatch:
                             "blob": pa.array([vector.tobytes()], pa.binary())})
 
 
-def sum_blobs(df: DataFrame, dtype: str) -> np.ndarray | None:
+def sum_blobs(df: DataFrame, dtype: str, parts: int = _FAN ** 3) -> np.ndarray | None:
     """Sum of all vectors (equal lengths); ``None`` if there is no row.
 
-    Groups hold at most about ``_FAN`` vectors each up to ``_FAN`` cubed tasks,
-    so neither a task nor the driver sees more than that many at once.
+    A tree of groups of about ``_FAN`` vectors; ``parts`` is the number of
+    tasks expected, so neither a task nor the driver sees more at once.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,8 +35,11 @@ def sum_blobs(df: DataFrame, dtype: str) -> np.ndarray | None:
         if total is not None:
             yield blob_batch(part, total)
 
-    for groups in (_FAN * _FAN, _FAN, 1):
-        df = df.groupBy(F.pmod("part", F.lit(groups)).alias("_g")).applyInArrow(
+    groups = [1]
+    while groups[0] * _FAN < parts:
+        groups.insert(0, groups[0] * _FAN)
+    for width in groups:
+        df = df.groupBy(F.pmod("part", F.lit(width)).alias("_g")).applyInArrow(
             lambda t: pa.Table.from_batches(list(add(iter(t.select(["part", "blob"]).to_batches()))),
                                             schema=_ARROW), _SCHEMA)
     row = df.first()
