@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard, langid, lines, lm, mixing, quality, warc
+from . import ann, bpe, html_text, jaccard, langid, lines, lm, mixing, quality, warc
 from .common import read_table
 
 
@@ -33,6 +33,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, carry=["doc_id", "held_out"])
 
 
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, F.col("id") % 20 == 0)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     entries = quality.apply_policy(quality.ledger(docs), "v2")
@@ -76,14 +81,16 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame, t: bpe.Tokenizer, carry: list[str]) -> DataFrame:
     """Digests of the ids of every text, and of what the ids decode to."""
     pieces = bpe.token_bytes(t.ranks())
+    text_of = bpe.BytesOf(pieces)
+    name_of = bpe.BytesOf([b"%d," % i for i in range(len(pieces))])
 
     def digest(ids: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
-        n, ids_sha, text_sha = np.diff(offsets), [], []
+        ids_sha, text_sha = [], []
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            own = ids[a:b].tolist()
-            ids_sha.append(hashlib.sha256(",".join(map(str, own)).encode()).hexdigest())
-            text_sha.append(hashlib.sha256(b"".join([pieces[i] for i in own])).hexdigest())
-        return {"n_tokens": pa.array(n.astype(np.int64)), "ids_sha256": pa.array(ids_sha, pa.string()),
+            ids_sha.append(hashlib.sha256(name_of.join(ids[a:b])[:-1]).hexdigest())
+            text_sha.append(hashlib.sha256(text_of.join(ids[a:b])).hexdigest())
+        return {"n_tokens": pa.array(np.diff(offsets).astype(np.int64)),
+                "ids_sha256": pa.array(ids_sha, pa.string()),
                 "decoded_sha256": pa.array(text_sha, pa.string())}
 
     return bpe.encode(docs, t, carry=carry, reduce=digest,
@@ -101,6 +108,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
     "op3_language_id": op3_language_id,
+    "op4_nearest_vectors": op4_nearest_vectors,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc_index": op6_warc_index,
     "op7_html_text": op7_html_text,
