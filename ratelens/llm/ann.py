@@ -14,8 +14,9 @@ trees searched through one shared priority queue, then exact reranking.
   finds ``recall`` of the true neighbours of a bounded set of sample queries,
   whose brute-force answers are computed over all rows.
 * Leaves meet the queries that take them in bounded chunks; candidates are
-  scored exactly in double precision, and only those that reach the query's
-  k-th best in the sample (a lower bound) leave the task.
+  scored exactly in double precision.  The first eighth of a query's leaves
+  gives a lower bound of its k-th best, which candidates of the others must
+  reach to leave their task.
 
 Defined results for odd rows: vectors that are null, empty, zero or hold null
 or non-finite components take no part; vectors of other lengths are searched
@@ -188,77 +189,48 @@ def leaves_needed(index: DataFrame, forest: Forest, probes: pa.Table, dim: int,
     return min(everything, first[min(len(first) - 1, int(np.ceil(s.recall * len(first))) - 1)] + 1)
 
 
-def _candidates(index: DataFrame, queries: DataFrame, forest: Forest, points: np.ndarray,
-                own_ids: np.ndarray, most: int, dim: int, s: Settings) -> DataFrame:
-    """``q, c, score`` of the leaf candidates, best per query and leaf chunk."""
-    spark = index.sparkSession
-    cells = index.select("c", "v", F.explode("cells").alias("cell"))
-    sizes = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}  # bounded: leaves
-    chunks = np.array([-(-sizes.get(i, 0) // s.chunk) for i in range(forest.trees * forest.leaves)])
-    shared = spark.sparkContext.broadcast((points, own_ids, chunks))
+def _candidates(cells: DataFrame, queries: DataFrame, forest: Forest, chunks: np.ndarray,
+                lo: int, hi: int, dim: int, s: Settings) -> DataFrame:
+    """``q, c, score`` from the leaves ``lo`` to ``hi`` of every query's queue:
+    the best of each query and leaf chunk that reach the query's ``bound``."""
     n_chunks = F.get(F.lit(chunks.tolist()), F.col("cell").cast("int"))
     stored = cells.withColumn("chunk", F.pmod(F.xxhash64("c"), n_chunks))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points_, ids_, chunks_ = shared.value
         for b in batches:
-            v, c = _matrix(b.column("v"), dim), b.column("c").to_numpy()
-            for lo in range(0, len(c), 256):
-                x, own = v[lo:lo + 256], c[lo:lo + 256]
-                scores = x @ points_.T
-                scores[own[:, None] == ids_[None, :]] = -np.inf
-                bound = np.partition(scores, -s.k, axis=1)[:, -s.k] if len(ids_) > s.k \
-                    else np.full(len(x), -np.inf)
-                at, cell, chunk = [], [], []
-                for i, taken in enumerate(forest.nearest_cells(x, most)):
-                    for a in taken:
-                        for k in range(chunks_[a]):
-                            at.append(i)
-                            cell.append(a)
-                            chunk.append(k)
-                at = np.array(at, dtype=np.int64)
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                taken = forest.nearest_cells(_matrix(part.column("v"), dim), hi)
+                rows = [(i, a, k) for i, own in enumerate(taken) for a in own[lo:]
+                        for k in range(chunks[a])]
+                i, a, k = (pa.array(x, pa.int64()) for x in zip(*rows)) if rows else [
+                    pa.array([], pa.int64())] * 3
                 yield pa.record_batch({
-                    "cell": pa.array(cell, pa.int64()), "chunk": pa.array(chunk, pa.int64()),
-                    "q": pa.array(own[at]), "bound": pa.array(bound[at]),
-                    "x": b.column("v").slice(lo, 256).take(pa.array(at)).cast(pa.list_(pa.float64()))})
+                    "cell": a, "chunk": k, "q": part.column("c").take(i),
+                    "bound": part.column("bound").take(i),
+                    "x": part.column("v").take(i).cast(pa.list_(pa.float64()))})
 
-    asked = queries.select("c", "v").mapInArrow(
+    asked = queries.select("c", "v", "bound").mapInArrow(
         walk, "cell long, chunk long, q long, bound double, x array<double>")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         c, q = left.column("c").to_numpy(), right.column("q").to_numpy()
         v = _matrix(left.column("v").combine_chunks(), dim) if len(c) else np.zeros((0, dim))
         x, bound = right.column("x").combine_chunks(), right.column("bound").to_numpy()
+        # a hair below the bound: sums may round differently
+        bound = np.where(np.isfinite(bound), bound - 1e-9 * (1 + np.abs(bound)), -np.inf)
         out = []
-        for lo in range(0, len(q) if len(c) else 0, 512):
-            scores = _matrix(x.slice(lo, 512), dim) @ v.T
-            # a hair below the bound: sums may round differently
-            scores[scores < bound[lo:lo + 512, None] - 1e-9 * (1 + np.abs(bound[lo:lo + 512, None]))] = -np.inf
-            for i, row in enumerate(scores):
-                at = _top(row, s.k + 1)
-                at = at[row[at] > -np.inf]
-                out.append((np.full(len(at), q[lo + i]), c[at], row[at]))
+        for at in range(0, len(q) if len(c) else 0, 512):
+            for i, row in enumerate(_matrix(x.slice(at, 512), dim) @ v.T, at):
+                best = _top(row, s.k + 1)
+                best = best[row[best] >= bound[i]]
+                out.append((np.full(len(best), q[i]), c[best], row[best]))
         q_, c_, s_ = (np.concatenate(z) for z in zip(*out)) if out else (
             np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pa.table({"q": q_, "c": c_, "score": s_})
 
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points_, ids_, _ = shared.value
-        for b in batches:
-            v, c = _matrix(b.column("v"), dim), b.column("c").to_numpy()
-            for lo in range(0, len(c), 256):
-                scores = v[lo:lo + 256] @ points_.T
-                rows = [_top(x, s.k + 1) for x in scores]
-                q = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-                at = np.concatenate(rows)
-                yield pa.record_batch({"q": pa.array(c[lo + q]), "c": pa.array(ids_[at]),
-                                       "score": pa.array(scores[q, at])})
-
-    # the sampled vectors behind the bound are candidates too
     return (stored.groupBy("cell", "chunk").cogroup(asked.groupBy("cell", "chunk"))
-            .applyInArrow(score, "q long, c long, score double")
-            .unionByName(queries.select("c", "v").mapInArrow(
-                sampled, "q long, c long, score double")))
+            .applyInArrow(score, "q long, c long, score double"))
 
 
 def _search(rows: DataFrame, dim: int, is_query: Column, s: Settings) -> DataFrame:
@@ -271,8 +243,7 @@ def _search(rows: DataFrame, dim: int, is_query: Column, s: Settings) -> DataFra
     queries = classes.join(asked.select("c").distinct(), "c", "left_semi")
     order = F.xxhash64(F.lit(s.seed), "c")
     drawn = classes.select("c", "v").orderBy(order, "c").limit(s.sample).toArrow()
-    points, point_ids = _matrix(drawn.column("v").combine_chunks(), dim), drawn.column("c").to_numpy()
-    forest = Forest(points, n, longest, s)
+    forest = Forest(_matrix(drawn.column("v").combine_chunks(), dim), n, longest, s)
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cells = forest.cells(_matrix(b.column("v"), dim))
@@ -287,7 +258,22 @@ def _search(rows: DataFrame, dim: int, is_query: Column, s: Settings) -> DataFra
     if not probes.num_rows:
         return rows.sparkSession.createDataFrame([], RESULT)
     most = leaves_needed(index, forest, probes, dim, s)
-    found = _candidates(index, queries, forest, points, point_ids, most, dim, s)
+    cells = index.select("c", "v", F.explode("cells").alias("cell"))
+    sizes = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}  # one per leaf
+    chunks = np.array([-(-sizes.get(i, 0) // s.chunk) for i in range(forest.trees * forest.leaves)])
+    # the first leaves of the queue bound what the others must reach
+    few = min(most, max(forest.trees, most // 8))
+    open_ = queries.select("c", "v").withColumn("bound", F.lit(float("-inf")))
+    found = materialize(_candidates(cells, open_, forest, chunks, 0, few, dim, s)
+                        .groupBy("q", "c").agg(F.max("score").alias("score")), "ann-found")
+    if few < most:
+        place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))
+        # the query's own class may be among its best: k + 1
+        bounds = (found.withColumn("_n", place).where(F.col("_n") == s.k + 1)
+                  .select(F.col("q").alias("c"), F.col("score").alias("bound")))
+        bounded = queries.select("c", "v").join(bounds, "c", "left").withColumn(
+            "bound", F.coalesce("bound", F.lit(float("-inf"))))
+        found = found.unionByName(_candidates(cells, bounded, forest, chunks, few, most, dim, s))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     top = (found.groupBy("q", "c").agg(F.max("score").alias("score"))
            .withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= s.k + 1))
