@@ -35,6 +35,12 @@ def materialize(df: DataFrame, label: str, large_rows: bool = False) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """A stored table as the small side of a join: broadcast if it has at most
+    ``rows`` rows (counted), else left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """One given table, with the columns an operator needs."""
     checkpoint_dir(spark)
@@ -42,15 +48,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
-def ensure_partitions(df: DataFrame) -> DataFrame:
-    """Spread a table that arrives in fewer partitions than there are cores.
-
-    Only the layout changes; the rows go round-robin, never by a key.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want)
-
-
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body`` (inside one expression)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
