@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +44,7 @@ from .tokens import slices
 LONG_WORD = 256
 _BITS = 16  # ids fit 16 bits
 _ODD_SPACES = r" [\s\p{Z}\x{85}]"  # a space before other white space
+_LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+$"
 
 
 @dataclass(frozen=True)
@@ -117,9 +119,9 @@ def fold_merges(word: Column, ranks: dict[bytes, int]) -> Column:
     """Ids of a binary column: the ranked merges as a fold over its bytes."""
     rank_map = _RankMap(_pairs(ranks))
     of_byte = literal_array([ranks[bytes([i])] for i in range(256)])
-    ids = F.transform(
-        F.sequence(F.lit(1), F.octet_length(word)),
-        lambda i: F.get(of_byte, F.ascii(F.decode(F.substring(word, i, F.lit(1)), "ISO-8859-1"))))
+    ids = let(F.decode(word, "ISO-8859-1"), lambda w: F.transform(  # a character per byte
+        F.sequence(F.lit(1), F.length(w)),
+        lambda i: F.get(of_byte, F.ascii(F.substring(w, i, F.lit(1))))))
 
     def step(s: Column, _: Column) -> Column:
         p = s["p"]
@@ -176,96 +178,136 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _expand(first: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
     """Runs ``flat[first : first + size]``, one after the other."""
-    ends = np.cumsum(size, dtype=np.int64)
-    total = int(ends[-1]) if len(ends) else 0
-    return flat[np.arange(total) + np.repeat(first - (ends - size), size)]
+    out = []
+    for lo in range(0, len(size), 1 << 18):  # keeps the index arrays small
+        n = size[lo:lo + (1 << 18)]
+        ends = np.cumsum(n, dtype=np.int64)
+        at = np.repeat(first[lo:lo + (1 << 18)] - (ends - n), n)
+        at += np.arange(len(at))
+        out.append(flat[at])
+    return np.concatenate(out) if out else flat[:0]
+
+
+class BytesOf:
+    """Byte strings of ids, joined without a Python object per id."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(x) for x in strings], dtype=np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(strings), dtype=np.uint8)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        return _expand(self.first[ids], self.size[ids], self.flat).tobytes()
 
 
 class _Segments:
-    """Words of a run of texts: distinct ``words`` and each text as numbers.
+    """Words of a run of texts, and each text as numbers of ``words``.
 
     Texts are first cut into segments, a space with what follows up to the
     next one, and only distinct segments are split by the pattern.  The
     pattern never matches across such a cut, unless more white space follows
-    the space; texts with that are split as a whole.
+    the space; texts with that are split as a whole.  Segments of letters
+    alone are words as they are (checked where Unicode versions agree).
     """
 
     def __init__(self, texts: pa.Array, pattern: str):
-        split = regex.compile(pattern).findall
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACES)
-                             .to_numpy(zero_copy_only=False))
-        if len(odd):
+        self._split = regex.compile(pattern).findall
+        self._texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        self._odd = np.flatnonzero(pc.match_substring_regex(self._texts, _ODD_SPACES)
+                                   .to_numpy(zero_copy_only=False))
+        plain = self._texts
+        if len(self._odd):
             mask = np.zeros(len(texts), dtype=bool)
-            mask[odd] = True
-            plain = pc.if_else(pa.array(mask), pa.scalar("", pa.large_string()), texts)
-        else:
-            plain = texts
+            mask[self._odd] = True
+            plain = pc.if_else(pa.array(mask), pa.scalar("", pa.large_string()), plain)
         lists = pc.split_pattern(plain, " ")
         enc = lists.flatten().dictionary_encode()
         code = enc.indices.to_numpy().astype(np.int64) * 2
-        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        code[starts[:-1]] += 1  # a text's first segment has no space
+        self._starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        code[self._starts[:-1]] += 1  # a text's first segment has no space
         there = np.zeros(2 * len(enc.dictionary) + 2, dtype=bool)
         there[code] = True
-        number = np.cumsum(there) - 1
-        names = enc.dictionary.to_pylist()
+        self._codes = (np.cumsum(there, dtype=np.int32) - 1)[code]
+        kinds = np.flatnonzero(there)
+        names = enc.dictionary.take(pa.array(kinds >> 1))
+        wide = pa.large_string()
+        segments = pc.if_else(pa.array((kinds & 1).astype(bool)), names,
+                              pc.binary_join_element_wise(pa.scalar(" ", wide), names,
+                                                          pa.scalar("", wide)))
+        plain_word = pc.match_substring_regex(names, _LETTERS).to_numpy(zero_copy_only=False)
+        words = segments.filter(pa.array(plain_word))
         index: dict[str, int] = {}
         flat: list[int] = []
-        sizes: list[int] = []
-
-        def add(pieces: list[str]) -> None:
-            flat.extend([index.setdefault(w, len(index)) for w in pieces])
-            sizes.append(len(pieces))
-
-        for k in np.flatnonzero(there).tolist():
-            name = names[k >> 1]
-            whole = name if k & 1 else " " + name
-            # letters alone are one word (checked where Unicode versions agree)
-            add([whole] if name.isalpha() and (name.isascii() or max(name) < "\u0250")
-                else split(whole))
-        del names, enc
-        codes, counts = number[code], np.diff(starts)
-        if len(odd):
-            parts = np.split(codes, starts[1:-1])
-            for i in odd.tolist():
-                parts[i] = np.array([len(sizes)])
-                add(split(texts[i].as_py()))
+        self._size = np.ones(len(kinds), dtype=np.int32)
+        mixed = np.flatnonzero(~plain_word)
+        sizes = []
+        n, split = len(words), self._split
+        for piece in segments.filter(pa.array(~plain_word)).to_pylist():
+            found = split(piece)
+            sizes.append(len(found))
+            for w in found:
+                flat.append(index.setdefault(w, n + len(index)))
+        self._whole = {}
+        for i in self._odd.tolist():
+            self._whole[i] = [index.setdefault(w, n + len(index))
+                              for w in split(self._texts[i].as_py())]
+        self._size[mixed] = sizes
+        first = np.cumsum(self._size, dtype=np.int64) - self._size
+        self._flat = np.empty(int(self._size.sum()), dtype=np.int32)
+        self._flat[first[plain_word]] = np.arange(n)
+        is_mixed = np.repeat(~plain_word, self._size)
+        self._flat[is_mixed] = flat
+        self._first = first
+        self.words = pa.concat_arrays([words, pa.array(list(index), pa.large_string())])
+
+    def _numbers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of all texts, and their offsets."""
+        codes, counts = self._codes, np.diff(self._starts)
+        size, first, flat = self._size, self._first, self._flat
+        if self._whole:  # texts split as a whole are segments of their own
+            parts = np.split(codes, self._starts[1:-1])
+            more = [np.array(x, dtype=np.int32) for x in self._whole.values()]
+            for k, i in enumerate(self._whole):
+                parts[i] = np.array([len(size) + k], dtype=np.int32)
+            lengths = np.array([len(x) for x in more], dtype=np.int32)
+            first = np.concatenate([first, len(flat) + np.cumsum(lengths) - lengths])
+            size, flat = np.concatenate([size, lengths]), np.concatenate([flat, *more])
             codes, counts = np.concatenate(parts), np.array([len(p) for p in parts])
-        self.words = list(index)
-        seg_size = np.array(sizes, dtype=np.int64)
-        seg_first = np.cumsum(seg_size) - seg_size
-        self._numbers = _expand(seg_first[codes], seg_size[codes], np.array(flat, dtype=np.int32))
-        per_text = np.cumsum(np.concatenate([[0], seg_size[codes]]))
-        cuts = np.concatenate([[0], np.cumsum(counts)])
-        self._ends = per_text[cuts]
+        per_text = np.concatenate([[0], np.cumsum(size[codes], dtype=np.int64)])
+        return (_expand(first[codes], size[codes], flat),
+                per_text[np.concatenate([[0], np.cumsum(counts)])])
 
     def ids(self, first: np.ndarray, size: np.ndarray, ids: np.ndarray
             ) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and their offsets; ``first`` and ``size`` place
         every word's ids."""
-        n = size[self._numbers]
+        numbers, cuts = self._numbers()
+        n = size[numbers]
         ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
-        return (_expand(first[self._numbers].astype(np.int64), n, ids).astype(np.int32),
-                ends[self._ends])
+        return _expand(first[numbers], n, ids), ends[cuts]
 
 
 def words_of(texts: DataFrame, pattern: str) -> DataFrame:
     """Distinct words ``word`` of the only column of ``texts``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: set[str] = set()
+        held: list[pa.Array] = []
         for b in batches:
             for run in slices(b.column(0)):
-                held.update(_Segments(run, pattern).words)
-                if len(held) > 500_000:
-                    yield pa.record_batch({"word": pa.array(list(held), pa.string())})
-                    held = set()
-        yield pa.record_batch({"word": pa.array(list(held), pa.string())})
+                held.append(_Segments(run, pattern).words)
+                if sum(map(len, held)) > 1_000_000:
+                    yield _distinct(held)
+                    held = []
+        if held:
+            yield _distinct(held)
 
     return texts.mapInArrow(find, "word string").distinct()
 
 
+def _distinct(parts: list[pa.Array]) -> pa.RecordBatch:
+    return pa.record_batch({"word": pc.unique(pa.concat_arrays(parts)).cast(pa.string())})
+
+
 def encode_words(words: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """``word, ids`` for a table of distinct words."""
     ranks = tokenizer.ranks()
@@ -291,13 +333,14 @@ def encode_words(words: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     return folded.unionByName(long)
 
 
-def _hashes(words: list[str]) -> np.ndarray:
+def _hashes(words: pa.Array) -> np.ndarray:
     """xxhash64 as Spark computes it."""
-    return np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in words], dtype=np.uint64)
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(w, 42) for w in words.to_pylist()], dtype=np.uint64)
 
 
-def _word_table(encoded: DataFrame) -> tuple[np.ndarray, ...]:
-    """Compact word table: sorted hashes, place and number of ids, all ids."""
+def _word_table(encoded: DataFrame) -> dict[str, bytes]:
+    """Compact word table: steps of the sorted hashes, numbers of ids, ids."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -314,10 +357,27 @@ def _word_table(encoded: DataFrame) -> tuple[np.ndarray, ...]:
                  for k, t in (("h", np.uint64), ("n", np.int32), ("ids", np.uint16)))
     del rows
     order = np.argsort(h)
-    return h[order], (np.cumsum(n, dtype=np.int64) - n)[order], n[order], ids
+    first = (np.cumsum(n, dtype=np.int64) - n)[order]
+    h, n = h[order], n[order]
+    ids = _expand(first, n, ids)
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return {k: squeeze(np.ascontiguousarray(v).view(np.uint8).reshape(-1, v.itemsize).T.tobytes())
+            for k, v in (("h", np.diff(h, prepend=np.uint64(0))), ("n", n), ("ids", ids))}
+
+
+def _open_table(packed: dict[str, bytes]) -> tuple[np.ndarray, ...]:
+    unpack = zstandard.ZstdDecompressor().decompress
+
+    def column(name: str, kind: type) -> np.ndarray:
+        planes = np.frombuffer(unpack(packed[name]), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+        return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+    h = np.cumsum(column("h", np.uint64), dtype=np.uint64)
+    n = column("n", np.int32)
+    return h, (np.cumsum(n, dtype=np.int64) - n).astype(np.uint32), n, column("ids", np.uint16)
 
 
-def _spans(words: list[str], table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _spans(words: pa.Array, table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, first, n, ids = table
     at = np.searchsorted(h, _hashes(words))
     return first[at], n[at], ids
@@ -327,7 +387,7 @@ Reduce = Callable[[np.ndarray, np.ndarray], dict[str, pa.Array]]
 
 
 def _ids_column(ids: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
-    return {"ids": pa.ListArray.from_arrays(offsets.astype(np.int32), ids)}
+    return {"ids": pa.ListArray.from_arrays(offsets.astype(np.int32), ids.astype(np.int32))}
 
 
 def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
@@ -354,11 +414,13 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
     shared = spark.sparkContext.broadcast(_word_table(encoded))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None
         for b in batches:
             at = 0
-            for part in slices(b.column("_text")):
+            for part in slices(b.column("_text"), 4 << 20):
+                table = table or _open_table(shared.value)
                 seg = _Segments(part, tokenizer.pattern)
-                done = reduce(*seg.ids(*_spans(seg.words, shared.value)))
+                done = reduce(*seg.ids(*_spans(seg.words, table)))
                 yield _rows(b.slice(at, len(part)), carry, done)
                 at += len(part)
 
@@ -380,10 +442,8 @@ def _encode_blocks(source: DataFrame, encoded: DataFrame, pattern: str, carry: l
         *carry, F.xxhash64("_text")), F.lit(n)))
 
     def own(table: pa.Table) -> pa.Table:
-        found: set[str] = set()
-        for run in slices(table.column("_text").combine_chunks()):
-            found.update(_Segments(run, pattern).words)
-        names = pa.array(list(found), pa.string())
+        names = _distinct([_Segments(run, pattern).words for run in
+                           slices(table.column("_text").combine_chunks())]).column("word")
         return pa.table({"_block": pa.array([table.column("_block")[0].as_py()] * len(names),
                                             pa.int64()), "word": names})
 
@@ -397,7 +457,7 @@ def _encode_blocks(source: DataFrame, encoded: DataFrame, pattern: str, carry: l
         batch = left.combine_chunks().to_batches()[0]
         for part in slices(batch.column("_text")):
             seg = _Segments(part, pattern)
-            w = np.array([place[x] for x in seg.words], dtype=np.int64)
+            w = np.array([place[x] for x in seg.words.to_pylist()], dtype=np.int64)
             out.append(_rows(batch.slice(at, len(part)), carry,
                              reduce(*seg.ids(first[w], n_ids[w], flat))))
             at += len(part)
