@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit ... -m ratelens <report> <args>``.
+"""Command line: ``python -m ratelens <report> <args>``, or
+``spark-submit scripts/ratelens_report.py <report> <args>``.
 
   movies  <input_ratings> <output> <movies_file>
   genres  <input_ratings> <output> <movies_file>
@@ -14,10 +15,8 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
-
 from ratelens.plans import runner
-from ratelens.session import checkpoint_dir
+from ratelens.session import build_session
 
 _REPORTS = {
     "movies": (runner.run_movie_report, ["input_ratings", "output", "movies_file"]),
@@ -39,8 +38,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--single-file", action="store_true")
     ns = parser.parse_args(argv)
     fn, args = _REPORTS[ns.report]
-    spark = SparkSession.builder.appName(f"ratelens-{ns.report}").getOrCreate()
-    checkpoint_dir(spark)
+    spark = build_session(app_name=f"ratelens-{ns.report}", checkpoints=False)
     fn(spark, *[getattr(ns, a) for a in args],
        mode="overwrite" if ns.overwrite else "errorifexists", single_file=ns.single_file)
     return 0

@@ -23,6 +23,8 @@ FIELD_SEPARATOR = ","
 LIST_SEPARATOR_REGEX = r"[|]"
 SPECIAL_DOUBLE_ACCEPTED = r"^[+-]?(NaN|Infinity)$"
 DECIMAL_PATTERN = "0.00"
+DELETE_CHAR = "\x7f"
+ID_TYPES = ("int", "long")
 
 
 def _col(c: Column | str) -> Column:
@@ -48,13 +50,19 @@ def field(parts: Column, i: int) -> Column:
     return F.get(parts, F.lit(i))
 
 
-def parse_int(c: Column | str) -> Column:
-    """Trimmed text as a 32-bit int, NULL when it is not one.
+def parse_int(c: Column | str, id_type: str = "int") -> Column:
+    """Trimmed text as a 32-bit ``int`` (or a 64-bit ``long``), NULL when it is not one.
 
     Accepts an optional sign and ASCII digits; rejects decimals, suffixes and
-    values outside the int range.  (Non-ASCII digits are rejected as well.)
+    values outside the range of the type.  (Non-ASCII digits are rejected as
+    well.)
     """
-    return jtrim(c).try_cast("int")
+    if id_type not in ID_TYPES:
+        raise ValueError(f"id_type must be one of {ID_TYPES}")
+    s = jtrim(c)
+    # Spark's own cast also trims U+007F, which is no part of a number here
+    padded = s.startswith(DELETE_CHAR) | s.endswith(DELETE_CHAR)
+    return F.when(~padded, s.try_cast("int" if id_type == "int" else "bigint"))
 
 
 def parse_double(c: Column | str) -> Column:

@@ -10,9 +10,9 @@ from ratelens.operators.aggregates import (
 from ratelens.operators.dedup import last_wins
 from ratelens.operators.generators import explode_tokens
 from ratelens.operators.joins import (
-    bound_fits_broadcast,
     broadcast_limit,
     detect_hot_keys,
+    estimate,
     fits_broadcast,
     hot_keys,
     lookup_join,
@@ -24,7 +24,7 @@ from ratelens.operators.ordering import file_order_position, with_position
 __all__ = [
     "as_partial", "avg_count_by", "best_group", "conditional_avgs", "pre_aggregate",
     "last_wins", "explode_tokens",
-    "bound_fits_broadcast", "broadcast_limit", "detect_hot_keys", "fits_broadcast",
+    "broadcast_limit", "detect_hot_keys", "estimate", "fits_broadcast",
     "hot_keys", "lookup_join", "measure", "salted_join",
     "file_order_position", "with_position",
 ]

@@ -16,9 +16,10 @@ def last_wins(
 ) -> DataFrame:
     """One row per key: the values of the row with the greatest ``order``.
 
-    ``max_by`` is a declarative aggregate, so each map task keeps one
-    candidate per key before the shuffle (partial aggregation); a key that
-    holds a large share of the rows does not pile up in one reducer.
+    ``max_by`` combines before the shuffle, so each map task sends one
+    candidate per key and a key that holds a large share of the rows does not
+    pile up in one reducer.  Packed values have no fixed width, so both sides
+    aggregate by sorting (spilling), not by hash.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order_col = F.col(order) if isinstance(order, str) else order

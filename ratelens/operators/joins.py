@@ -6,7 +6,7 @@ dimension is broadcast only after an explicit measurement shows it fits
 shuffle case a key that holds a large share of the fact rows would land in a
 single task, so the fact's hot keys are found first (a count per key on a
 fixed-seed sample sized so a key at the threshold shows about a thousand
-sampled rows; at most ``max_hot_keys`` are kept - a bounded list),
+sampled rows; each also holds a least share of all rows, which bounds the list),
 their rows are spread over ``ceil(rows / hot_key_rows)`` salt values, and the
 dimension rows of just those keys are replicated once per salt value.  Cold
 keys join unchanged.  The salt is a hash of row contents, so a re-executed
@@ -15,24 +15,21 @@ task puts every row in the same place again.
 
 from __future__ import annotations
 
-import hashlib
 import math
-from collections import OrderedDict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.session import session_key
-
 # Tunables (session conf keys and their defaults).
 BROADCAST_MAX_BYTES_KEY = "ratelens.broadcast.maxBytes"
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 HOT_KEY_ROWS_KEY = "ratelens.skew.hotKeyRows"
 HOT_KEY_ROWS = 2_000_000
 MAX_HOT_KEYS_KEY = "ratelens.skew.maxHotKeys"
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
+EXPANSION = 4  # files may grow by this in memory
 
 _FIXED_WIDTH = 8     # bytes per fixed-width field in an unsafe row
 _ROW_OVERHEAD = 16   # header, null bits, hash-table pointer
@@ -43,30 +40,13 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(value) if value is not None else default
 
 
-_MEASURED: OrderedDict = OrderedDict()  # (app, plan hash, input files) -> size
-_MEASURED_MAX = 256
-
-
-def measure(df: DataFrame, memo: bool = True) -> tuple[int, int]:
+def measure(df: DataFrame) -> tuple[int, int]:
     """``(rows, approximate bytes)`` of ``df`` in one distributed aggregate.
 
     Variable-length columns are measured exactly (octet length); fixed-width
-    columns count 8 bytes.  Only a two-number row reaches the driver.  A
-    dimension is measured once per session: the result is remembered under
-    the plan's semantic hash and its input file list (a changed file set is
-    measured again).  The size only steers the join strategy, never results.
+    columns count 8 bytes.  Only a two-number row reaches the driver.  The
+    size only steers the join strategy, never results.
     """
-    if memo:
-        files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-        key = (session_key(df.sparkSession), df.semanticHash(), files)
-        if key in _MEASURED:
-            _MEASURED.move_to_end(key)
-            return _MEASURED[key]
-        value = measure(df, memo=False)
-        _MEASURED[key] = value
-        if len(_MEASURED) > _MEASURED_MAX:
-            _MEASURED.popitem(last=False)
-        return value
     var_cols = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     n_fixed = len(df.schema.fields) - len(var_cols)
@@ -78,31 +58,37 @@ def measure(df: DataFrame, memo: bool = True) -> tuple[int, int]:
     return rows, rows * (_ROW_OVERHEAD + _FIXED_WIDTH * (n_fixed + len(var_cols))) + var
 
 
+def estimate(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` in bytes (free: from file sizes and
+    plan statistics), or ``None`` where the plan can't be reached."""
+    plan = getattr(df, "_jdf", None)  # absent on Spark Connect
+    if plan is None:
+        return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def broadcast_limit(df: DataFrame) -> int:
     """Largest dimension size (bytes) that may be broadcast; <= 0 disables."""
     return _conf_int(df, BROADCAST_MAX_BYTES_KEY, BROADCAST_MAX_BYTES)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when the measured size of ``df`` is within the broadcast limit."""
+    """True when ``df`` is within the broadcast limit.
+
+    The free estimate decides where it is clear even if the files expand by
+    ``EXPANSION`` in memory; only otherwise is the dimension measured (nothing
+    is remembered, so a changed file is seen).
+    """
     limit = max_bytes if max_bytes is not None else broadcast_limit(df)
     if limit <= 0:
         return False
+    guess = estimate(df)
+    if guess is not None and guess * EXPANSION <= limit:
+        return True
     _, size = measure(df)
     return size <= limit
 
 
-def bound_fits_broadcast(df: DataFrame, max_rows: int, row_bytes: int) -> bool:
-    """True when ``max_rows`` rows of at most ``row_bytes`` fit the limit.
-
-    For a derived dimension whose row count is bounded by an input (for
-    example an inner join of that input with unique keys), so the check does
-    not have to compute the dimension itself.
-    """
-    limit = broadcast_limit(df)
-    return limit > 0 and max_rows * (_ROW_OVERHEAD + row_bytes) <= limit
-
-
 def detect_hot_keys(fact: DataFrame, key: str) -> list[tuple]:
     """``hot_keys`` with the session's thresholds."""
     return hot_keys(fact, key, _conf_int(fact, HOT_KEY_ROWS_KEY, HOT_KEY_ROWS),
@@ -121,16 +107,18 @@ def hot_keys(fact: DataFrame, key: str, min_rows: int, max_keys: int,
     (default: enough that a key at the threshold expects about a thousand
     sampled rows; 1.0 - exact - for small thresholds), so finding hot keys
     does not shuffle every key of a large fact.  The estimate only decides
-    which keys are salted; every row is joined whatever it says.  At most
-    ``max_keys`` are returned, so the driver receives a bounded list.
+    which keys are salted; every row is joined whatever it says.  A hot key
+    also holds at least ``1 / max_keys`` of all rows, so there are at most
+    ``max_keys`` of them and the list is bounded without a cut; smaller keys
+    cannot outweigh a partition by much.
     """
     if fraction is None:
         fraction = min(1.0, SAMPLED_ROWS_AT_THRESHOLD / max(min_rows, 1))
     src = fact if fraction >= 1.0 else fact.sample(fraction=fraction, seed=SAMPLE_SEED)
     counts = src.groupBy(key).agg(
         (F.count(F.lit(1)) / F.lit(fraction)).cast("long").alias("_rows"))
-    top = (counts.where(F.col("_rows") >= min_rows)
-           .orderBy(F.desc("_rows"), F.asc(key)).limit(max_keys))
+    least = max(min_rows, src.count() / fraction / max_keys)
+    top = counts.where(F.col("_rows") >= least).orderBy(F.desc("_rows"), F.asc(key))
     return [(r[key], int(r["_rows"])) for r in top.collect()]
 
 

@@ -53,23 +53,30 @@ def with_position(df: DataFrame, order: Sequence[Column | str],
             .select(*cols, (F.col("_off") + local).alias(name)))
 
 
+def file_order_key(path: Column) -> list[Column]:
+    """Sort columns of a file: folder, part number, name.
+
+    Part files carry their index in the name; it is compared as a number, so
+    ``part-100000`` comes after ``part-99999``.
+    """
+    number = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1)
+    return [F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("_folder"),
+            F.coalesce(number.try_cast("bigint"), F.lit(-1).cast("bigint")).alias("_part"),
+            path.alias("_file")]
+
+
 def file_order_position(lines: DataFrame, name: str = "position") -> DataFrame:
     """Lines of a text scan with their 0-based position in file order.
 
-    Files are ordered by path (part files carry their partition index in
-    the name), lines inside a file by split start and then by their order
-    inside the split.  Segments are (file, split); there is one row per
-    split in the offsets table.
+    Files are ordered by folder, part number and name, lines inside a file by
+    split start and then by their order inside the split; the numbering is
+    that of any sorted rows, so no task sees more than one range.
     """
     rows = lines.select(
         F.col("value"),
-        F.col("_metadata.file_path").alias("_f"),
-        F.col("_metadata.file_block_start").alias("_b"),
-        F.monotonically_increasing_id().alias("_rid"),
+        *file_order_key(F.col("_metadata.file_path")),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    segs = rows.groupBy("_f", "_b").agg(F.min("_rid").alias("_r0"),
-                                        F.count(F.lit(1)).alias("_c"))
-    offsets = _segments_offsets(segs, ["_f", "_b"], "_c").join(
-        segs.select("_f", "_b", "_r0"), ["_f", "_b"])
-    return (rows.join(F.broadcast(offsets), ["_f", "_b"])
-            .select("value", (F.col("_off") + F.col("_rid") - F.col("_r0")).alias(name)))
+    keys = ["_folder", "_part", "_file", "_block", "_row"]
+    return with_position(rows, keys, name).select("value", name)

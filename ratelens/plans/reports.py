@@ -45,7 +45,6 @@ from ratelens.operators import (
     lookup_join,
     pre_aggregate,
 )
-from ratelens.session import checkpoint_dir
 
 # The text around the numbers in each report line.
 R1_AVG = "\tAverage rating: "
@@ -127,28 +126,21 @@ def genre_lines(stats: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- R3 / R4
 
 def _rated(ratings: DataFrame, user_dim: DataFrame, attr: str,
-           broadcast_users: bool | None) -> DataFrame:
+           broadcast_users: bool | None, salt_users: bool = False) -> DataFrame:
     """``movie_id, <attr>, s, n`` partial sums of ratings by known users.
 
-    When the users are too big to broadcast, the ratings are first summed
-    per (user, item) - the shuffle for that is spread over both keys - and
-    the join salts users that still own many rows.  Broadcast users need
-    none of this: the join runs inside the scan stage.
+    Users that fit are broadcast into the scan stage.  Otherwise the ratings
+    are shuffled once, on the user, and Spark splits the partitions of users
+    that own many ratings at run time (adaptive skew join); the partial sums
+    per item and attribute follow in the same stage.  ``salt_users`` spreads
+    users found hot on a sample instead, at the price of reading the ratings
+    once more.
     """
     b = fits_broadcast(user_dim) if broadcast_users is None else broadcast_users
     partials = as_partial(ratings, ["user_id", "movie_id"])
-    if b:
-        return lookup_join(partials, user_dim, "user_id", "inner", broadcast=True) \
-            .drop("user_id")
-    # The (user, item) sums are computed once and checkpointed to the reliable
-    # folder: hot users are then counted on exactly the rows that enter the
-    # join, and neither the count nor the join re-runs whatever produced the
-    # ratings (a parse of text files, a join of two tables).
-    checkpoint_dir(ratings.sparkSession)
-    partials = pre_aggregate(partials, ["user_id", "movie_id"]).checkpoint(eager=True)
-    hot = detect_hot_keys(partials, "user_id")
-    rated = lookup_join(partials, user_dim, "user_id", "inner", broadcast=False,
-                        skew=hot, salt_cols=["movie_id"])
+    hot = detect_hot_keys(ratings.select("user_id"), "user_id") if salt_users and not b else []
+    rated = lookup_join(partials, user_dim, "user_id", "inner", broadcast=b, skew=hot,
+                        salt_cols=["movie_id", "s"])
     return rated.drop("user_id")
 
 
@@ -173,13 +165,14 @@ def gender_stats_from_rated(rated: DataFrame, movies: DataFrame, title_col: str
 def gender_stats(ratings: DataFrame, users: DataFrame, movies: DataFrame,
                  title_col: str = "title_short", missing: float | None = 0.0,
                  with_counts: bool = False, broadcast_users: bool | None = None,
-                 broadcast_movies: bool | None = None) -> DataFrame:
+                 broadcast_movies: bool | None = None, salt_users: bool = False) -> DataFrame:
     """``movie_id, title, male_avg, female_avg`` (+ ``male_n, female_n``).
 
     A user whose gender is neither M nor F adds to no average, but an item
     rated only by such users still gets a row (both averages ``missing``).
     """
-    rated = _rated(ratings, users.select("user_id", "gender"), "gender", broadcast_users)
+    rated = _rated(ratings, users.select("user_id", "gender"), "gender", broadcast_users,
+                   salt_users)
     return gender_stats_from_rated(rated, movies, title_col, missing, with_counts,
                                    broadcast_movies)
 
@@ -207,10 +200,10 @@ def user_age_groups(users: DataFrame, bounds: Sequence[int] = AGE_BOUNDS,
 def age_stats(ratings: DataFrame, users: DataFrame, movies: DataFrame,
               title_col: str = "title_short", bounds: Sequence[int] = AGE_BOUNDS,
               labels: Sequence[str] = AGE_LABELS, broadcast_users: bool | None = None,
-              broadcast_movies: bool | None = None) -> DataFrame:
+              broadcast_movies: bool | None = None, salt_users: bool = False) -> DataFrame:
     """``movie_id, title, age_0_18, age_18_35, age_35_50, age_50_plus``."""
     rated = _rated(ratings, user_age_groups(users, bounds, labels), "age_group",
-                   broadcast_users)
+                   broadcast_users, salt_users)
     return age_stats_from_rated(rated, movies, title_col, labels, broadcast_movies)
 
 

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
 
 def write_lines(
     df: DataFrame,
@@ -18,7 +16,6 @@ def write_lines(
     mode: str = "errorifexists",
     single_file: bool = False,
     compression: str | None = None,
-    single_file_max_rows: int = SINGLE_FILE_MAX_ROWS,
 ) -> None:
     """Write ``line_col`` as text, ordered by ``order_by`` across part files.
 
@@ -26,21 +23,18 @@ def write_lines(
     key range, each sorted, so reading the part files by name gives the
     global order and no task holds all rows.  ``mode`` is ``errorifexists``
     (an existing output is an error) or ``overwrite``.  ``single_file`` puts
-    everything in one part file through one task - only for outputs of at
-    most ``single_file_max_rows`` lines (checked with a count first).
+    everything in one part file: one task sorts all lines (spilling to disk),
+    so it is meant for small reports; it has no limit of its own.
 
     The line itself is the last sort key: rows with equal keys are spread
     over several ranges instead of all landing in one task.
     """
-    ordered = df.orderBy(*order_by, F.col(line_col)).select(line_col)
+    keys = [*order_by, F.col(line_col)]
     if single_file:
-        n = df.count()
-        if n > single_file_max_rows:
-            raise ValueError(
-                f"{n} lines exceed single_file_max_rows={single_file_max_rows}; "
-                "write ordered part files instead (single_file=False)")
-        ordered = ordered.coalesce(1)
-    writer = ordered.write.mode(mode)
+        ordered = df.repartition(1).sortWithinPartitions(*keys)
+    else:
+        ordered = df.orderBy(*keys)
+    writer = ordered.select(line_col).write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)
     writer.text(path)

@@ -14,6 +14,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     app_name: str = "ratelens",
     extra: dict[str, str] | None = None,
+    checkpoints: bool = True,
 ) -> SparkSession:
     """Session with the settings the plans are written for.
 
@@ -43,7 +44,8 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if checkpoints:  # the reports as such need no checkpoint folder
+        checkpoint_dir(spark)
     return spark
 
 
@@ -78,6 +80,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store its path names; absent is fine."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def session_key(spark: SparkSession) -> tuple:
     """Identity of a session for per-session memos."""
     return (spark.conf.get("spark.app.id", ""), id(spark))

@@ -30,7 +30,7 @@ MOVIE_FIELDS = ("title_full", "title_short", "genres")
 
 
 def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value",
-                 fields: Sequence[str] = MOVIE_FIELDS) -> DataFrame:
+                 fields: Sequence[str] = MOVIE_FIELDS, id_type: str = "int") -> DataFrame:
     """Movies dimension: ``movie_id`` and ``fields`` (default all three of
     ``title_full, title_short, genres``).
 
@@ -49,7 +49,7 @@ def parse_movies(lines: DataFrame, dedup: bool = True, value_col: str = "value",
     rows = parse_once(lines, [
         line.alias("line"),
         (F.size(raw) >= 3).alias("two_commas"),
-        parse_int(F.substring_index(line, ",", 1)).alias("movie_id"),
+        parse_int(F.substring_index(line, ",", 1), id_type).alias("movie_id"),
         line_position(lines).alias("_pos"),
     ], (F.col("line") != "") & F.col("two_commas") & F.col("movie_id").isNotNull())
     exprs = {
@@ -69,6 +69,7 @@ def parse_users(
     with_age: bool = False,
     dedup: bool = True,
     value_col: str = "value",
+    id_type: str = "int",
 ) -> DataFrame:
     """Users dimension: ``user_id`` plus ``gender`` and/or ``age``.
 
@@ -81,7 +82,7 @@ def parse_users(
         raise ValueError("read at least one of gender and age")
     line = jtrim(F.col(value_col))
     parts = split_fields(line)
-    cols = [parse_int(field(parts, 0)).alias("user_id")]
+    cols = [parse_int(field(parts, 0), id_type).alias("user_id")]
     keep = (F.col("_line") != "") & F.col("user_id").isNotNull() \
         & (F.col("_n") >= (3 if with_age else 2))
     values = []
@@ -103,13 +104,14 @@ def parse_users(
 
 
 def parse_keyed(lines: DataFrame, value_index: int, value_name: str,
-                dedup: bool = True, value_col: str = "value") -> DataFrame:
+                dedup: bool = True, value_col: str = "value",
+                id_type: str = "int") -> DataFrame:
     """Generic ``id, ...`` dimension: int id in field 0, trimmed text of field
     ``value_index`` as ``value_name``; the last valid line of an id wins."""
     line = jtrim(F.col(value_col))
     parts = split_fields(line)
     rows = parse_once(lines, [
-        parse_int(field(parts, 0)).alias("key_id"),
+        parse_int(field(parts, 0), id_type).alias("key_id"),
         jtrim(field(parts, value_index)).alias(value_name),
         F.size(parts).alias("_n"), line.alias("_line"),
         line_position(lines).alias("_pos"),

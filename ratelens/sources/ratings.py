@@ -13,6 +13,7 @@ def parse_ratings(
     min_fields: int = 4,
     require_user: bool = False,
     value_col: str = "value",
+    id_type: str = "int",
 ) -> DataFrame:
     """Valid rating rows of ``lines``; malformed lines are dropped silently.
 
@@ -23,14 +24,15 @@ def parse_ratings(
     is not one.  The timestamp is never read.  Lines of other files lying in
     the same directory (dimension rows) fail these rules and fall out.
 
-    Returns ``user_id int, movie_id int, rating double``; the rules are plain
+    Returns ``user_id, movie_id, rating double``; the ids are 32-bit ints, or
+    64-bit with ``id_type="long"`` for wide keys.  The rules are plain
     column expressions, so the filter runs inside the scan's codegen stage.
     """
     line = jtrim(F.col(value_col))
     parts = split_fields(line)
     fields = [
-        parse_int(field(parts, 0)).alias("user_id"),
-        parse_int(field(parts, 1)).alias("movie_id"),
+        parse_int(field(parts, 0), id_type).alias("user_id"),
+        parse_int(field(parts, 1), id_type).alias("movie_id"),
         parse_double(field(parts, 2)).alias("rating"),
         F.size(parts).alias("_n"),
         (line == F.lit("")).alias("_blank"),

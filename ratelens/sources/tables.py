@@ -5,6 +5,9 @@ ratings   lineitem (+ orders for the user): user = o_custkey,
 movies    part: title = p_name, genres = p_type | the words of p_name
 users     customer: gender = first letter of c_mktsegment (M, F; the other
           segments are neither), age = floor(c_acctbal / 100)
+orders as items: item = l_orderkey, title = o_orderpriority; an order has one
+          to seven ratings of one customer, so averages are missing for most
+          groups and many items have few ratings
 
 Only the needed columns are selected and filters are written directly on
 the scans, so they reach parquet as ``PushedFilters``/``ReadSchema``.
@@ -15,71 +18,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.operators.joins import bound_fits_broadcast, lookup_join, measure
-from ratelens.session import session_key
+from ratelens.operators.joins import fits_broadcast, lookup_join
 
-# Fixed values of the mapping: a rating is half the quantity; the selective
-# subset is return flag A with line status F; items with size above 40 and
-# users with a negative balance are left out of the "with gaps" dimensions.
+# Fixed value of the mapping: a rating is half the quantity.
 RATING_DIVISOR = 2.0
-SELECTIVE_FLAG = "A"
-SELECTIVE_STATUS = "F"
-MOVIES_MAX_SIZE = 40
-USERS_MIN_BALANCE = 0.0
-ATTR_MAX_BYTES = 16  # a user attribute: one letter or an age-bucket label
-
-
-_TABLES: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table ``name`` (read-only inputs).
-
-    The DataFrame is created once per session and path: creating it lists the
-    files and infers the schema, which costs more than planning a query.
-    DataFrames are lazy plans, so every query still scans the data.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (session_key(spark), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    """The parquet table ``name``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _selective() -> Column:
-    return (F.col("l_returnflag") == SELECTIVE_FLAG) & (F.col("l_linestatus") == SELECTIVE_STATUS)
+def _item(by_order: bool) -> Column:
+    return F.col("l_orderkey" if by_order else "l_partkey").alias("movie_id")
 
 
-def item_ratings(spark: SparkSession, sf_dir: str, selective: bool = False) -> DataFrame:
+def item_ratings(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
     """``movie_id, rating`` for reports that never read the user (R1, R2)."""
-    li = table(spark, sf_dir, "lineitem")
-    if selective:
-        li = li.where(_selective())
-    return li.select(F.col("l_partkey").alias("movie_id"),
-                     (F.col("l_quantity") / RATING_DIVISOR).alias("rating"))
+    return table(spark, sf_dir, "lineitem").select(
+        _item(by_order), (F.col("l_quantity") / RATING_DIVISOR).alias("rating"))
 
 
-def user_ratings(spark: SparkSession, sf_dir: str, selective: bool = False) -> DataFrame:
+def user_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id, movie_id, rating``: lineitem joined to its order's customer."""
-    li = table(spark, sf_dir, "lineitem")
-    if selective:
-        li = li.where(_selective())
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
-    facts = li.select("l_orderkey", F.col("l_partkey").alias("movie_id"),
-                      (F.col("l_quantity") / RATING_DIVISOR).alias("rating"))
+    facts = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", _item(False), (F.col("l_quantity") / RATING_DIVISOR).alias("rating"))
     return lookup_join(facts, orders, "l_orderkey", "inner",
                        salt_cols=["movie_id", "rating"]).drop("l_orderkey")
 
 
-def movies(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
-    """``movie_id, title_full, title_short, genres`` from ``part``."""
-    p = table(spark, sf_dir, "part")
-    if gaps:
-        p = p.where(F.col("p_size") <= MOVIES_MAX_SIZE)
-    return p.select(
+def movies(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
+    """``movie_id, title_full, title_short, genres`` from ``part`` (or the
+    orders, without genres)."""
+    if by_order:
+        title = F.col("o_orderpriority")
+        return table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("movie_id"), title.alias("title_full"),
+            title.alias("title_short"), F.lit("").alias("genres"))
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("movie_id"),
         F.col("p_name").alias("title_full"),
         F.col("p_name").alias("title_short"),
@@ -88,12 +66,9 @@ def movies(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
     )
 
 
-def users(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id, gender, age`` from ``customer``."""
-    c = table(spark, sf_dir, "customer")
-    if gaps:
-        c = c.where(F.col("c_acctbal") >= USERS_MIN_BALANCE)
-    return c.select(
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"),
         F.substring(F.col("c_mktsegment"), 1, 1).alias("gender"),
         F.floor(F.col("c_acctbal") / 100).cast("int").alias("age"),
@@ -116,18 +91,14 @@ def order_users(spark: SparkSession, sf_dir: str, user_dim: DataFrame,
 
 
 def rated_with_user(spark: SparkSession, sf_dir: str, user_dim: DataFrame, attr: str,
-                    selective: bool = False) -> DataFrame:
+                    by_order: bool = False) -> DataFrame:
     """``movie_id, <attr>, s, n`` partial sums of ratings by known users."""
-    li = table(spark, sf_dir, "lineitem")
-    if selective:
-        li = li.where(_selective())
-    facts = li.select("l_orderkey", F.col("l_partkey").alias("movie_id"),
-                      (F.col("l_quantity") / RATING_DIVISOR).alias("s"),
-                      F.lit(1).cast("long").alias("n"))
+    facts = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", _item(by_order), (F.col("l_quantity") / RATING_DIVISOR).alias("s"),
+        F.lit(1).cast("long").alias("n"))
     ou = order_users(spark, sf_dir, user_dim, attr)
     # (orders JOIN users) has at most one row per order (user ids are unique),
-    # so the order count bounds its size without computing the join.
-    n_orders, _ = measure(table(spark, sf_dir, "orders").select("o_orderkey"))
-    small = bound_fits_broadcast(ou, n_orders, 8 * 2 + ATTR_MAX_BYTES)
+    # so the orders bound its size without computing the join.
+    small = fits_broadcast(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     return lookup_join(facts, ou, "l_orderkey", "inner", broadcast=small,
                        salt_cols=["movie_id", "s"]).drop("l_orderkey")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratelens.operators.ordering import file_order_key
+
 
 def read_lines(
     spark: SparkSession,
@@ -50,21 +52,21 @@ def parse_once(lines: DataFrame, fields: Sequence[Column], keep: Column) -> Data
 def line_position(lines: DataFrame) -> Column:
     """Sortable position of a line within its input.
 
-    ``(file path, split start, row id)``: inside one split the row id grows
-    with the line order, so the struct orders lines as they appear in each
-    file.  It needs the reader's own DataFrame (the file metadata column);
+    ``(file, split start, row id)``, files by folder, part number and name:
+    inside one split the row id grows with the line order, so the struct
+    orders lines as they appear in each file.  It needs the reader's own DataFrame (the file metadata column);
     for other inputs the row id alone is used.
     """
     try:
         lines.select("_metadata.file_path")
         return F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            *file_order_key(F.col("_metadata.file_path")),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )
     except Exception:  # not a file scan: no metadata column
         return F.struct(
-            F.lit("").alias("file"),
+            *file_order_key(F.lit("")),
             F.lit(0).cast("long").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )

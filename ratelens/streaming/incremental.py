@@ -3,11 +3,12 @@
 The file-stream form of R1's aggregation: new text files in the input
 directory are parsed with the same row rules as the batch reports; a
 stateful ``groupBy`` keeps one running ``(sum, count)`` per item (the state
-grows with the number of items, not with the ratings).  In ``update`` mode
-each micro-batch emits only the items it changed; ``foreachBatch`` writes
-them to ``<out>/batch_id=<n>`` with overwrite, so a batch that is replayed
-after a failure rewrites the same folder (idempotent).  The current table
-is, per item, the row of the latest batch (``current_item_stats``).
+grows with the number of items, not with the ratings).  In ``complete`` mode
+each micro-batch emits the whole table; ``foreachBatch`` writes it to
+``<out>/batch_id=<n>`` with overwrite, so a batch that is replayed after a
+failure rewrites the same folder (idempotent), and then deletes the folders
+of all earlier batches but the last.  The output so stays at two tables; the
+current one is that of the latest batch (``current_item_stats``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ratelens.operators import last_wins
+from ratelens.session import remove_path
 from ratelens.sources.ratings import parse_ratings
 
 
@@ -26,6 +27,7 @@ def start_item_stats(
     out_dir: str,
     checkpoint_location: str,
     min_fields: int = 4,
+    id_type: str = "int",
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
@@ -39,14 +41,18 @@ def start_item_stats(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    ratings = parse_ratings(reader.load(input_path), min_fields=min_fields)
+    ratings = parse_ratings(reader.load(input_path), min_fields=min_fields,
+                            id_type=id_type)
     sums = ratings.groupBy("movie_id").agg(F.sum("rating").alias("s"),
                                            F.count(F.lit(1)).alias("n"))
 
+    root = out_dir.rstrip("/")
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        remove_path(spark, f"{root}/batch_id={batch_id - 2}")
 
-    writer = (sums.writeStream.outputMode("update").foreachBatch(write_batch)
+    writer = (sums.writeStream.outputMode("complete").foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -56,8 +62,9 @@ def start_item_stats(
 
 
 def current_item_stats(spark: SparkSession, out_dir: str) -> DataFrame:
-    """``movie_id, avg_rating, n`` from the batches written so far."""
-    updates = spark.read.parquet(out_dir)
-    latest = last_wins(updates, "movie_id", "batch_id", ["s", "n"])
-    return latest.select("movie_id", (F.col("s") / F.col("n")).alias("avg_rating"),
-                         F.col("n").cast("long").alias("n"))
+    """``movie_id, avg_rating, n`` as of the latest batch."""
+    tables = spark.read.parquet(out_dir)
+    last = tables.agg(F.max("batch_id")).first()[0]
+    return tables.where(F.col("batch_id") == last).select(
+        "movie_id", (F.col("s") / F.col("n")).alias("avg_rating"),
+        F.col("n").cast("long").alias("n"))

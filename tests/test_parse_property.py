@@ -88,7 +88,7 @@ def norm(rows):
                    for u, m, r in rows), key=repr)
 
 
-_pad = st.text(alphabet=" \t\x0b\x01\u00a0\u2003", max_size=2)
+_pad = st.text(alphabet=" \t\x0b\x01\x7f\u00a0\u2003", max_size=2)
 _int_txt = st.one_of(
     st.integers(-3_000_000_000, 3_000_000_000).map(str),
     st.integers(0, 99).map(lambda v: f"+{v}"),

@@ -29,15 +29,16 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+@pytest.mark.parametrize("salt", [False, True])
 @pytest.mark.parametrize("report", [gender_stats, age_stats])
-def test_salted_path_equals_broadcast_path(spark, skewed_inputs, report):
+def test_shuffle_paths_equal_broadcast_path(spark, skewed_inputs, report, salt):
     ratings, users, movies = skewed_inputs
     expected = rows(report(ratings, users, movies, broadcast_users=True, broadcast_movies=True))
     spark.conf.set("ratelens.skew.hotKeyRows", "500")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         got = rows(report(ratings, users, movies, broadcast_users=False,
-                          broadcast_movies=False))
+                          broadcast_movies=False, salt_users=salt))
     finally:
         spark.conf.unset("ratelens.skew.hotKeyRows")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

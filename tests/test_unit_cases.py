@@ -93,10 +93,51 @@ def test_existing_output_directory_raises(spark, tmp_path):
     assert len(files) == 1 and files[0].read_text() == "a\nb\n"
 
 
-def test_single_file_is_bounded(spark, tmp_path):
-    df = text_df(spark, ["a", "b", "c"]).withColumnRenamed("value", "line")
+def test_single_file_is_one_sorted_task(spark, tmp_path):
+    df = spark.range(3000).selectExpr("format_string('%04d', (id * 7) % 3000) AS line").repartition(9)
+    write_lines(df, str(tmp_path / "o"), ["line"], single_file=True)
+    parts = [p for p in (tmp_path / "o").iterdir() if p.name.startswith("part-")]
+    assert len(parts) == 1
+    assert parts[0].read_text().splitlines() == [f"{i:04d}" for i in range(3000)]
+
+
+def test_part_files_are_ordered_by_number(spark, tmp_path):
+    from ratelens.operators import file_order_position
+    for i, name in enumerate(("part-99999-x", "part-100000-x", "part-100001-x")):
+        (tmp_path / f"{name}.txt").write_text(f"line {i}\n")
+    rows = file_order_position(spark.read.text(str(tmp_path))).collect()
+    assert sorted((r["position"], r["value"]) for r in rows) == [
+        (0, "line 0"), (1, "line 1"), (2, "line 2")]
+
+
+def test_wide_ids_need_the_long_type(spark):
+    from ratelens.sources import parse_ratings, parse_users
+    lines = text_df(spark, [f"{2**31 + 5}, {2**40}, 3.5, 0", "1, 2, 4.0, 0", "1, 2\x7f, 4.0, 0",
+                            "\x7f1, 2, 4.0, 0"])
+    narrow = parse_ratings(lines, require_user=True).collect()
+    wide = parse_ratings(lines, require_user=True, id_type="long").collect()
+    assert [tuple(r) for r in narrow] == [(1, 2, 4.0)]
+    assert sorted(tuple(r) for r in wide) == [(1, 2, 4.0), (2**31 + 5, 2**40, 3.5)]
+    assert parse_users(text_df(spark, [f"{2**33}, M, 20"]), id_type="long").count() == 1
     with pytest.raises(ValueError):
-        write_lines(df, str(tmp_path / "o"), ["line"], single_file=True, single_file_max_rows=2)
+        parse_ratings(lines, id_type="short")
+
+
+def test_a_missing_dimension_file_is_an_error(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from ratelens.plans.runner import run_movie_report
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "a.txt").write_text("1, 2, 3.0, 4\n")
+    with pytest.raises(AnalysisException):
+        run_movie_report(spark, str(tmp_path / "r"), str(tmp_path / "o"), str(tmp_path / "none.txt"))
+
+
+def test_hot_keys_are_bounded_by_their_share(spark):
+    from ratelens.operators import hot_keys
+    df = spark.range(1000).selectExpr("CASE WHEN id < 500 THEN 0 ELSE id END AS k")
+    assert hot_keys(df, "k", 1, 100) == [(0, 500)]  # every other key holds 1/1000 only
+    assert len(hot_keys(df, "k", 1, 1000)) == 501
 
 
 def test_equal_keys_are_spread_over_ranges(spark, tmp_path):
@@ -131,12 +172,12 @@ def test_custom_age_buckets(spark):
     assert [tuple(x) for x in out.collect()] == [(1, "A", 2.0, 4.0, 5.0)]
 
 
-def test_size_memo_sees_a_changed_file_set(spark, tmp_path):
+def test_a_file_rewritten_in_place_is_measured_anew(spark, tmp_path):
     from ratelens.operators import measure
     from ratelens.sources import read_lines
     d = tmp_path / "dim"
     d.mkdir()
     (d / "a.txt").write_text("1, x, y\n")
     assert measure(read_lines(spark, str(d)))[0] == 1
-    (d / "b.txt").write_text("2, x, y\n3, x, y\n")
-    assert measure(read_lines(spark, str(d)))[0] == 3  # new file: measured again
+    (d / "a.txt").write_text("2, x, y\n" * 1000)
+    assert measure(read_lines(spark, str(d)))[0] == 1000
