@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, mix64
-from .tiles import linked, shared_tiles
+from .tiles import linked, open_tiles, shared_tiles
 from .tokens import slices, word_codes, word_hashes
 
 _SETS = ("doc_id long, n long, h1 long, h2 long, band int, rare boolean, bits binary, "
@@ -263,9 +263,10 @@ def groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
         F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
     odd = (rare.join(reps.select("doc_id", "band"), "band").where("r != doc_id")
            .select(F.least("r", "doc_id").alias("a"), F.greatest("r", "doc_id").alias("b")))
-    roots = linked(members, reps.select(F.col("doc_id").alias("node"), "n", "bits"),
-                   lambda pairs: _verify(pairs, reps, docs, join), _by_signature(join),
-                   join.chunk, odd)
+    signatures = reps.select(F.col("doc_id").alias("node"), "n", "bits")
+    roots = linked(members, lambda pairs: _verify(pairs, reps, docs, join),
+                   lambda roots: open_tiles(members, roots, signatures, _by_signature(join),
+                                            join.chunk), odd)
     known = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         "h1", "h2", "n", F.coalesce("root", "rep").alias("component_id"))
     rows = sets.select("doc_id", "n", "h1", "h2")

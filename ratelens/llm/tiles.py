@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -34,14 +34,22 @@ def shared_tiles(keyed: DataFrame) -> DataFrame:
     return materialize(keyed.join(shared, "key").distinct(), "tile-members")
 
 
-def open_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
-               test: Callable[[pa.Table], Test], chunk: int) -> DataFrame:
-    """Pairs ``a < b`` across components that share a tile and pass ``test``."""
-    rows = (members.join(roots.select(F.col("node"), "root"), "node", "left")
+def _mixed(members: DataFrame, roots: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """``key, node, root`` of all members, and ``key, chunks`` of the tiles that
+    hold several components."""
+    rows = (members.join(roots.select("node", "root"), "node", "left")
             .select("key", "node", F.coalesce("root", "node").alias("root")))
     mixed = (rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                      F.count(F.lit(1)).alias("size")).where("lo < hi")
              .select("key", F.ceil(F.col("size") / chunk).cast("int").alias("chunks")))
+    return rows, mixed
+
+
+def open_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
+               test: Callable[[pa.Table], Test], chunk: int) -> DataFrame:
+    """Pairs ``a < b`` across components that share a tile and pass ``test``,
+    which sees the payload of a pair of chunks at a time."""
+    rows, mixed = _mixed(members, roots, chunk)
     opened = (rows.join(mixed, "key")
               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
               # a chunk meets every chunk: the row goes to all its chunk pairs
@@ -68,16 +76,39 @@ def open_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
     return opened.groupBy("key", "i", "j").applyInArrow(pairs, "a long, b long").distinct()
 
 
-def linked(members: DataFrame, payload: DataFrame, verify: Callable[[DataFrame], DataFrame],
-           test: Callable[[pa.Table], Test], chunk: int, extra: DataFrame | None = None) -> DataFrame:
-    """``node, root`` of all nodes with links; ``extra`` are further candidates."""
+def join_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
+               test: Callable[[str, str], Column], chunk: int) -> DataFrame:
+    """The same by a join, for a test that Spark can express: ``test`` gets the
+    prefixes of the two sides' payload columns.  Suits many small tiles; a large
+    one is spread over its pairs of chunks."""
+    rows, mixed = _mixed(members, roots, chunk)
+    opened = (rows.join(mixed, "key").join(payload, "node")
+              .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
+    last = F.col("chunks") - 1
+    left = opened.withColumn("i", F.col("own")).withColumn("j", F.explode(F.sequence("own", last)))
+    right = opened.withColumn("j", F.col("own")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("own"))))
+    keep = ["node", "root", *[c for c in payload.columns if c != "node"]]
+    left, right = (df.select("key", "i", "j", *[F.col(c).alias(p + c) for c in keep])
+                   for df, p in ((left, "l_"), (right, "r_")))
+    return (left.join(right, ["key", "i", "j"])
+            .where((F.col("l_root") != F.col("r_root")) & test("l_", "r_")
+                   # inside one chunk each pair would meet twice
+                   & ((F.col("i") < F.col("j")) | (F.col("l_node") < F.col("r_node"))))
+            .select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b"))
+            .distinct())
+
+
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
+           across: Callable[[DataFrame], DataFrame], extra: DataFrame | None = None) -> DataFrame:
+    """``node, root`` of all nodes with links.  ``across`` gives the pairs of
+    opened tiles for the roots so far; ``extra`` are further candidates."""
     first = (members.where("node > hub").groupBy("node").agg(F.min("hub").alias("a"))
              .select("a", F.col("node").alias("b")))
     first = materialize(first if extra is None else first.unionByName(extra).distinct(), "tile-first")
     links = verify(first)
     roots = components(links)
-    more = materialize(open_tiles(members, roots, payload, test, chunk)
-                       .join(first, ["a", "b"], "left_anti"), "tile-more")
+    more = materialize(across(roots).join(first, ["a", "b"], "left_anti"), "tile-more")
     if not more.head(1):
         return roots
     return components(links.unionByName(verify(more)))

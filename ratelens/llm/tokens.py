@@ -26,6 +26,12 @@ def slices(column: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts, A-Z lower-cased: a number per
     word, the distinct words by number, and the words of each text."""
+    codes, names, counts = word_column(texts)
+    return codes, names.to_pylist(), counts
+
+
+def word_column(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The same, with the distinct words as a column."""
     lists = pc.ascii_split_whitespace(
         pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
     flat = lists.flatten()
@@ -33,7 +39,7 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
     offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     enc = flat.filter(real).dictionary_encode()
-    return enc.indices.to_numpy(), enc.dictionary.to_pylist(), np.diff(before[offsets])
+    return enc.indices.to_numpy(), enc.dictionary, np.diff(before[offsets])
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
