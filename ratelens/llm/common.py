@@ -10,12 +10,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.session import checkpoint_dir, scratch_path
+from ratelens.session import checkpoint_dir, remove_path, scratch_path
 
 #: The white space that separates words, fixed by the query contracts.
 SPACES = " \t\n\x0b\x0c\r"
 
-_MASK = (1 << 64) - 1
+_STORED: list[tuple[str, str]] = []  # (application, path) of the tables written
 
 
 def materialize(df: DataFrame, label: str, large_rows: bool = False) -> DataFrame:
@@ -32,9 +32,19 @@ def materialize(df: DataFrame, label: str, large_rows: bool = False) -> DataFram
         writer = writer.option("parquet.block.size", 16 << 20).option(
             "parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 4)
     writer.parquet(path)
+    _STORED.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_stored(spark: SparkSession) -> None:
+    """Delete the tables of ``materialize`` so far.  Results that still read
+    them must have been written."""
+    app = spark.sparkContext.applicationId
+    for entry in [e for e in _STORED if e[0] == app]:
+        remove_path(spark, entry[1])
+        _STORED.remove(entry)
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """A stored table as the small side of a join: broadcast if it has at most
     ``rows`` rows (counted), else left to a shuffle join."""
