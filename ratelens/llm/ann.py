@@ -13,10 +13,9 @@ trees searched through one shared priority queue, then exact reranking.
 * The number of leaves per query is measured, not guessed: the smallest that
   finds ``recall`` of the true neighbours of a bounded set of sample queries,
   whose brute-force answers are computed over all rows.
-* Leaves meet the queries that take them in bounded chunks; candidates are
-  scored exactly in double precision.  The first eighth of a query's leaves
-  gives a lower bound of its k-th best, which candidates of the others must
-  reach to leave their task.
+* Leaves lie in buckets of bounded size, which meet the queries that take any
+  of their leaves.  Candidates are scored exactly in double precision, and a
+  bucket returns the best of each query.
 
 Defined results for odd rows: vectors that are null, empty, zero or hold null
 or non-finite components take no part; vectors of other lengths are searched
@@ -50,7 +49,8 @@ class Settings:
     sample: int = 16_384       # vectors the trees are fitted on
     probes: int = 256          # queries that measure the recall
     recall: float = 0.95
-    chunk: int = 8_192         # vectors of a leaf in one task
+    chunk: int = 65_536        # vectors in one bucket of leaves
+    queries: int = 32_768      # queries of one bucket in one task
     seed: int = 5
 
 
@@ -189,50 +189,125 @@ def leaves_needed(index: DataFrame, forest: Forest, probes: pa.Table, dim: int,
     return min(everything, first[min(len(first) - 1, int(np.ceil(s.recall * len(first))) - 1)] + 1)
 
 
-def _candidates(cells: DataFrame, queries: DataFrame, forest: Forest, chunks: np.ndarray,
-                lo: int, hi: int, dim: int, s: Settings) -> DataFrame:
-    """``q, c, score`` from the leaves ``lo`` to ``hi`` of every query's queue:
-    the best of each query and leaf chunk that reach the query's ``bound``."""
-    n_chunks = F.get(F.lit(chunks.tolist()), F.col("cell").cast("int"))
-    stored = cells.withColumn("chunk", F.pmod(F.xxhash64("c"), n_chunks))
+def _buckets(sizes: dict[int, int], forest: Forest, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First bucket and number of buckets of every cell.
+
+    A bucket takes neighbouring leaves of one tree up to about ``most``
+    vectors, so it meets no vector twice; a larger leaf has several.
+    """
+    n = forest.trees * forest.leaves
+    first, count = np.zeros(n, np.int64), np.ones(n, np.int64)
+    bucket, held = 0, 0
+    for cell in range(n):
+        size = sizes.get(cell, 0)
+        if held and (held + size > most or cell % forest.leaves == 0):
+            bucket, held = bucket + 1, 0
+        first[cell], count[cell] = bucket, max(1, -(-size // most))
+        bucket, held = bucket + count[cell] - 1, held + size
+    return first, count
+
+
+class _Best:
+    """The ``k`` best candidates of every query, ties to the smaller id."""
+
+    def __init__(self, n: int, k: int):
+        self.k = k
+        self.least = np.full(n, -np.inf)
+        self.rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        at, col = np.nonzero(scores >= self.least[q][:, None])
+        self.rows.append((q[at], ids[col], scores[at, col]))
+        self.held += len(at)
+        if self.held > 500_000:
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        empty = np.zeros(0, np.int64)
+        q, c, s = (np.concatenate([e, *x]) for e, x in zip(
+            (empty, empty, np.zeros(0)), zip(*self.rows) if self.rows else ((), (), ())))
+        order = np.lexsort((c, -s, q))
+        q, c, s = q[order], c[order], s[order]
+        starts = np.searchsorted(q, np.arange(len(self.least)))
+        place = np.arange(len(q)) - starts[q]
+        last = place == self.k - 1
+        self.least[q[last]] = s[last]
+        keep = place < self.k
+        self.rows = [(q[keep], c[keep], s[keep])]
+        self.held = 0
+        return self.rows[0]
+
+
+def _candidates(cells: DataFrame, queries: DataFrame, forest: Forest, sizes: dict[int, int],
+                most: int, dim: int, s: Settings) -> DataFrame:
+    """``q, c, score``: the best of every query in each bucket of its leaves."""
+    first, count = _buckets(sizes, forest, s.chunk)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                taken = forest.nearest_cells(_matrix(part.column("v"), dim), hi)
-                rows = [(i, a, k) for i, own in enumerate(taken) for a in own[lo:]
-                        for k in range(chunks[a])]
-                i, a, k = (pa.array(x, pa.int64()) for x in zip(*rows)) if rows else [
-                    pa.array([], pa.int64())] * 3
+                rows, buckets, lists = [], [], []
+                for i, taken in enumerate(forest.nearest_cells(_matrix(part.column("v"), dim), most)):
+                    own: dict[int, list[int]] = {}
+                    for cell in taken:
+                        for k in range(first[cell], first[cell] + count[cell]):
+                            own.setdefault(k, []).append(cell)
+                    rows += [i] * len(own)
+                    buckets += own.keys()
+                    lists += own.values()
+                i = pa.array(rows, pa.int64())
                 yield pa.record_batch({
-                    "cell": a, "chunk": k, "q": part.column("c").take(i),
-                    "bound": part.column("bound").take(i),
+                    "bucket": pa.array(buckets, pa.int64()), "q": part.column("c").take(i),
+                    "taken": pa.array(lists, pa.list_(pa.int64())),
                     "x": part.column("v").take(i).cast(pa.list_(pa.float64()))})
 
-    asked = queries.select("c", "v", "bound").mapInArrow(
-        walk, "cell long, chunk long, q long, bound double, x array<double>")
+    asked = materialize(queries.select("c", "v").mapInArrow(
+        walk, "bucket long, q long, taken array<long>, x array<double>"), "ann-asked")
+    # many queries of one bucket are spread over copies of it
+    parts = F.coalesce(F.get(F.lit(_parts(asked, int((first + count).max()), s)),
+                             F.col("bucket").cast("int")), F.lit(1))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("q"), parts).cast("int"))
+    bucket = F.get(F.lit(first.tolist()), F.col("cell").cast("int")) + F.pmod(
+        F.xxhash64("c"), F.get(F.lit(count.tolist()), F.col("cell").cast("int")))
+    stored = cells.withColumn("bucket", bucket).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        c, q = left.column("c").to_numpy(), right.column("q").to_numpy()
-        v = _matrix(left.column("v").combine_chunks(), dim) if len(c) else np.zeros((0, dim))
-        x, bound = right.column("x").combine_chunks(), right.column("bound").to_numpy()
-        # a hair below the bound: sums may round differently
-        bound = np.where(np.isfinite(bound), bound - 1e-9 * (1 + np.abs(bound)), -np.inf)
-        out = []
-        for at in range(0, len(q) if len(c) else 0, 512):
-            for i, row in enumerate(_matrix(x.slice(at, 512), dim) @ v.T, at):
-                best = _top(row, s.k + 1)
-                best = best[row[best] >= bound[i]]
-                out.append((np.full(len(best), q[i]), c[best], row[best]))
-        q_, c_, s_ = (np.concatenate(z) for z in zip(*out)) if out else (
-            np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table({"q": q_, "c": c_, "score": s_})
-
-    return (stored.groupBy("cell", "chunk").cogroup(asked.groupBy("cell", "chunk"))
+        left, right = left.combine_chunks(), right.combine_chunks()
+        q = right.column("q").to_numpy()
+        best = _Best(len(q), s.k + 1)
+        if left.num_rows and len(q):
+            order = np.argsort(left.column("cell").to_numpy(), kind="stable")
+            cell, c = left.column("cell").to_numpy()[order], left.column("c").to_numpy()[order]
+            v, x = _matrix(left.column("v").chunk(0), dim)[order], _matrix(right.column("x").chunk(0), dim)
+            lists = right.column("taken").chunk(0)
+            owner = np.repeat(np.arange(len(q)), np.diff(lists.offsets.to_numpy()))
+            wanted = lists.flatten().to_numpy()
+            by = np.argsort(wanted, kind="stable")
+            wanted, owner = wanted[by], owner[by]
+            for k in np.unique(cell):
+                a, b = np.searchsorted(cell, (k, k + 1))
+                rows = owner[np.searchsorted(wanted, k):np.searchsorted(wanted, k + 1)]
+                for at in range(0, len(rows), 1024):
+                    own = rows[at:at + 1024]
+                    best.add(own, c[a:b], x[own] @ v[a:b].T)
+        at, c_, s_ = best.settle()
+        return pa.table({"q": q[at], "c": c_, "score": s_})
+
+    return (stored.groupBy("bucket", "part").cogroup(asked.groupBy("bucket", "part"))
             .applyInArrow(score, "q long, c long, score double"))
 
 
+def _parts(asked: DataFrame, n: int, s: Settings) -> list[int]:
+    """Copies of every bucket, by its number of queries (one row per bucket)."""
+    out = [1] * n
+    for r in asked.groupBy("bucket").count().collect():
+        out[r["bucket"]] = -(-r["count"] // s.queries)
+    return out
+
+
 def _search(rows: DataFrame, dim: int, is_query: Column, s: Settings) -> DataFrame:
     """Neighbours among the vectors of one length."""
     classes = materialize(classes_of(rows, s.k), "ann-classes")
@@ -260,20 +335,7 @@ def _search(rows: DataFrame, dim: int, is_query: Column, s: Settings) -> DataFra
     most = leaves_needed(index, forest, probes, dim, s)
     cells = index.select("c", "v", F.explode("cells").alias("cell"))
     sizes = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}  # one per leaf
-    chunks = np.array([-(-sizes.get(i, 0) // s.chunk) for i in range(forest.trees * forest.leaves)])
-    # the first leaves of the queue bound what the others must reach
-    few = min(most, max(forest.trees, most // 8))
-    open_ = queries.select("c", "v").withColumn("bound", F.lit(float("-inf")))
-    found = materialize(_candidates(cells, open_, forest, chunks, 0, few, dim, s)
-                        .groupBy("q", "c").agg(F.max("score").alias("score")), "ann-found")
-    if few < most:
-        place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))
-        # the query's own class may be among its best: k + 1
-        bounds = (found.withColumn("_n", place).where(F.col("_n") == s.k + 1)
-                  .select(F.col("q").alias("c"), F.col("score").alias("bound")))
-        bounded = queries.select("c", "v").join(bounds, "c", "left").withColumn(
-            "bound", F.coalesce("bound", F.lit(float("-inf"))))
-        found = found.unionByName(_candidates(cells, bounded, forest, chunks, few, most, dim, s))
+    found = _candidates(cells, queries, forest, sizes, most, dim, s)
     best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     top = (found.groupBy("q", "c").agg(F.max("score").alias("score"))
            .withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= s.k + 1))
