@@ -45,6 +45,9 @@ _WORDS = frozenset("ad ads advert adverts advertisement advertising adsense spon
                    "navigation breadcrumb breadcrumbs pagination header masthead topbar footer "
                    "comment comments commentlist respond disqus share sharing social related "
                    "recommended toolbar".split())
+_NOT_ARTICLES = frozenset("comment comments commentlist ad ads advert sponsored promo related "
+                          "recommended".split())
+_TITLES = frozenset("header masthead".split())  # inside an article they hold its title
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 _SIGMA = 1.0
@@ -86,16 +89,19 @@ class _Events(HTMLParser):
     def _left_out(self, tag: str, attrs: list, in_main: bool) -> bool:
         if tag in _NEVER or (tag == "header" and not in_main):
             return True
-        if tag in ("html", "body", "article", "main"):
+        if tag in ("html", "body", "main"):
             return False
+        words = _NOT_ARTICLES if tag == "article" else _WORDS - _TITLES if in_main else _WORDS
         for name, value in attrs:
             if not value:
                 if name == "hidden":
                     return True
-            elif name in ("class", "id") and not _WORDS.isdisjoint(_SPLIT.split(value.lower())):
+            elif name in ("class", "id") and not words.isdisjoint(_SPLIT.split(value.lower())):
                 return True
             elif name == "role" and value.lower() in _ROLES:
                 return True
+            elif name == "style" and "display:none" in value.lower().replace(" ", ""):
+                return True
         return False
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -115,7 +121,8 @@ class _Events(HTMLParser):
                     break
         out, region, link = self._top()
         block = tag not in _INLINE
-        if tag in _REGIONS and out and not any(t in _NEVER for t, *_ in self.stack):
+        if tag in _REGIONS and out and region not in self.main and not any(
+                t in _NEVER for t, *_ in self.stack):
             out = False  # an unclosed box before the article does not hold it
         if not out:
             out = bool(attrs or tag in _NEVER or tag == "header") and self._left_out(

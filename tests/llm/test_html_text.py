@@ -24,6 +24,13 @@ def test_page_without_an_article_element():
     assert html_text.extract(page) == f"{LONG.strip()}\nshort"
 
 
+def test_comments_and_hidden_parts_of_an_article():
+    page = (f'<main><div class="post-header"><h1>Title</h1></div><p>{LONG}</p>'
+            f'<article class="comment"><p>{LONG}</p></article><p style="display: none">x</p>'
+            f'<p hidden>y</p><div role="complementary">{LONG}</div><nav>z</nav></main>')
+    assert html_text.extract(page) == f"Title\n{LONG.strip()}"
+
+
 def test_odd_markup():
     assert html_text.extract(None) == html_text.extract("") == html_text.extract("<p>") == ""
     assert html_text.extract("just text") == "just text"
