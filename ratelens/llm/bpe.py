@@ -32,14 +32,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import let, materialize
-from .tokens import slices
+from .tokens import slices, word_keys
 
 LONG_WORD = 256
 _BITS = 16  # ids fit 16 bits
@@ -196,8 +195,12 @@ class BytesOf:
         self.first = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(strings), dtype=np.uint8)
 
-    def join(self, ids: np.ndarray) -> bytes:
-        return _expand(self.first[ids], self.size[ids], self.flat).tobytes()
+    def join(self, ids: np.ndarray, offsets: np.ndarray) -> list[memoryview]:
+        """The joined strings of every run ``ids[offsets[i]:offsets[i + 1]]``."""
+        size = self.size[ids]
+        data = memoryview(_expand(self.first[ids], size, self.flat))
+        cuts = np.concatenate([[0], np.cumsum(size)])[offsets].tolist()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class _Segments:
@@ -333,25 +336,19 @@ def encode_words(words: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     return folded.unionByName(long)
 
 
-def _hashes(words: pa.Array) -> np.ndarray:
-    """xxhash64 as Spark computes it."""
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(w, 42) for w in words.to_pylist()], dtype=np.uint64)
-
-
-def _word_table(encoded: DataFrame) -> dict[str, bytes]:
-    """Compact word table: steps of the sorted hashes, numbers of ids, ids."""
+def _word_table(encoded: DataFrame) -> dict[str, bytes] | None:
+    """Compact word table: steps of the sorted hashes, numbers of ids, ids;
+    ``None`` if two words share a hash."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = b.column("h").to_numpy().view(np.uint64)
             lists = b.column("ids")
             sizes = np.diff(lists.offsets.to_numpy()).astype(np.int32)
             ids = lists.flatten().to_numpy().astype(np.uint16)
-            yield pa.record_batch({k: pa.array([v.tobytes()], pa.binary())
-                                   for k, v in (("h", h), ("n", sizes), ("ids", ids))})
+            yield pa.record_batch({k: pa.array([v.tobytes()], pa.binary()) for k, v in (
+                ("h", word_keys(b.column("word"))), ("n", sizes), ("ids", ids))})
 
-    rows = (encoded.select(F.xxhash64("word").alias("h"), "ids")
+    rows = (encoded.select("word", "ids")
             .mapInArrow(pack, "h binary, n binary, ids binary").collect())  # size checked
     h, n, ids = (np.concatenate([np.zeros(0, t), *(np.frombuffer(r[k], t) for r in rows)])
                  for k, t in (("h", np.uint64), ("n", np.int32), ("ids", np.uint16)))
@@ -359,6 +356,8 @@ def _word_table(encoded: DataFrame) -> dict[str, bytes]:
     order = np.argsort(h)
     first = (np.cumsum(n, dtype=np.int64) - n)[order]
     h, n = h[order], n[order]
+    if (h[1:] == h[:-1]).any():
+        return None
     ids = _expand(first, n, ids)
     squeeze = zstandard.ZstdCompressor(level=1).compress
     return {k: squeeze(np.ascontiguousarray(v).view(np.uint8).reshape(-1, v.itemsize).T.tobytes())
@@ -379,7 +378,7 @@ def _open_table(packed: dict[str, bytes]) -> tuple[np.ndarray, ...]:
 
 def _spans(words: pa.Array, table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, first, n, ids = table
-    at = np.searchsorted(h, _hashes(words))
+    at = np.searchsorted(h, word_keys(words))
     return first[at], n[at], ids
 
 
@@ -405,19 +404,18 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
     source = docs.select(*carry, F.col(text).alias("_text"))
     words = materialize(words_of(docs.select(F.col(text)), tokenizer.pattern), "bpe-words")
     encoded = materialize(encode_words(words, tokenizer), "bpe-encoded")
-    size, clash = encoded.agg(
-        F.sum(12 + 2 * F.size("ids")), F.count(F.lit(1)) - F.count_distinct(F.xxhash64("word"))
-    ).first()
+    size = encoded.agg(F.sum(12 + 2 * F.size("ids"))).first()[0] or 0
     schema = T.StructType([*(docs.schema[c] for c in carry), *added])
-    if (size or 0) > table_bytes or clash:
+    table = _word_table(encoded) if size <= table_bytes else None
+    if table is None:
         return _encode_blocks(source, encoded, tokenizer.pattern, carry, schema, block_docs, reduce)
-    shared = spark.sparkContext.broadcast(_word_table(encoded))
+    shared = spark.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None
         for b in batches:
             at = 0
-            for part in slices(b.column("_text"), 4 << 20):
+            for part in slices(b.column("_text"), 6 << 20):
                 table = table or _open_table(shared.value)
                 seg = _Segments(part, tokenizer.pattern)
                 done = reduce(*seg.ids(*_spans(seg.words, table)))

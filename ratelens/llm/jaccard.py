@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, mix64
 from .tiles import linked, open_tiles, shared_tiles
-from .tokens import slices, word_codes, word_hashes
+from .tokens import slices, word_column, word_keys
 
 _SETS = ("doc_id long, n long, h1 long, h2 long, band int, rare boolean, bits binary, "
          "keys array<long>")
@@ -79,8 +79,8 @@ class Join:
 def ngram_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """Sorted distinct n-gram hashes of every text."""
     for run in slices(texts, 4 << 20):
-        codes, names, counts = word_codes(run)
-        h = word_hashes(names)[codes] if len(codes) else np.zeros(0, np.uint64)
+        codes, names, counts = word_column(run)
+        h = word_keys(names)[codes]
         grams = h.copy()
         for i in range(1, words):
             grams = grams * _M

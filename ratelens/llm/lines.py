@@ -3,10 +3,11 @@
 Lines are normalised (A-Z lower-cased, digits equal, punctuation around words
 dropped, words joined by one space); a line of fewer than ``min_words`` words
 is never removed.  Equal lines are one class.  Every class has a 64-bit
-SimHash of its words; hashes within ``radius`` bits agree on two of five
-blocks at least, so each class is keyed by all ten pairs of blocks, and classes
-that share a key are candidates if their hashes are near.  Candidates link if
-their edit similarity ``1 - levenshtein / longer length`` reaches ``similar``.
+SimHash of its words (those of ``feature_chars`` characters and more, if it has
+any: the short ones stand in most lines).  Hashes within two bits agree on two
+of four blocks at least, so each class is keyed by all six pairs of blocks, and
+classes that share a key are candidates if their hashes are near.  Candidates link if their
+edit similarity ``1 - edits / longer length``, in words, reaches ``similar``.
 Of every connected group of lines the occurrence with the smallest (doc_id,
 line number) stays, all others are removed from their documents.
 
@@ -29,58 +30,60 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import let, materialize, mix64
-from .tiles import linked, shared_tiles
-from .tokens import slices, word_codes, word_hashes
+from .tiles import join_tiles, linked, shared_tiles
+from .tokens import slices, word_column, word_keys
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # first bit, bits
-_DIGITS = str.maketrans("123456789", "000000000")
+_BLOCK_BITS, _BLOCKS = 16, 4
+_AROUND = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+_PLAIN_WORD = r"^[a-z\x{DF}-\x{F6}\x{F8}-\x{24F}]+$"
 
 
 @dataclass(frozen=True)
 class Settings:
     min_words: int = 8
-    radius: int = 3            # bits by which SimHashes may differ
+    radius: int = 2            # bits by which SimHashes may differ, two at most
+    feature_chars: int = 5
     similar: float = 0.85
     chunk: int = 2048
     broadcast_lines: int = 4_000_000  # about 16 bytes each
 
 
-def _normal_word(w: str) -> str:
-    if not w.isalpha():
-        a, b = 0, len(w)
-        while a < b and not w[a].isalnum():
-            a += 1
-        while b > a and not w[b - 1].isalnum():
-            b -= 1
-        w = w[a:b].translate(_DIGITS)
-    return w
+def _normal_words(names: pa.Array) -> pa.Array:
+    """Distinct words as they are compared (empty if nothing is left)."""
+    plain = pc.match_substring_regex(names, _PLAIN_WORD)
+    odd = pc.replace_substring_regex(names.filter(pc.invert(plain)), _AROUND, "")
+    odd = pc.replace_substring_regex(odd, "[1-9]", "0")
+    return pc.replace_with_mask(names, pc.invert(plain), odd)
 
 
-def normal_line(line: str) -> str:
-    """Words of a line as they are compared."""
-    words = pa.array([line], pa.string())
-    codes, names, _ = word_codes(words)
-    return " ".join(x for c in codes.tolist() if (x := _normal_word(names[c])))
+def normal_lines(lines: list[str]) -> list[list[str]]:
+    """The words by which lines are compared."""
+    codes, names, counts = word_column(pa.array(lines, pa.string()))
+    names = _normal_words(names).to_pylist()
+    words, at = [names[c] for c in codes.tolist()], np.cumsum(counts) - counts
+    return [[w for w in words[a:a + n] if w] for a, n in zip(at.tolist(), counts.tolist())]
 
 
-def _line_rows(texts: pa.Array, min_words: int) -> Iterator[tuple]:
+def _line_rows(texts: pa.Array, s: Settings) -> Iterator[tuple]:
     """Per text: line numbers, two hashes and the SimHash of its long lines."""
-    for run in slices(texts, 2 << 20):
+    for run in slices(texts, 6 << 20):
         lists = pc.split_pattern(pc.fill_null(run.cast(pa.large_string()), ""), "\n")
         lines = lists.flatten()
-        codes, names, words = word_codes(lines)
-        hashes = word_hashes([_normal_word(x) for x in names])
-        real = np.array([bool(_normal_word(x)) for x in names], dtype=bool)
+        codes, names, words = word_column(lines)
+        names = _normal_words(names)
+        hashes = word_keys(names)
+        sizes = pc.utf8_length(names).to_numpy()
+        real = sizes > 0
         owner = np.repeat(np.arange(len(words)), words)
         keep = real[codes] if len(codes) else np.zeros(0, dtype=bool)
         codes, owner = codes[keep], owner[keep]
         words = np.bincount(owner, minlength=len(words))
-        long = words >= min_words
+        long = words >= s.min_words
         chosen = long[owner]
         h = hashes[codes[chosen]] if len(codes) else np.zeros(0, np.uint64)
         n = words[long]
@@ -89,7 +92,7 @@ def _line_rows(texts: pa.Array, min_words: int) -> Iterator[tuple]:
         if len(n):
             h1 = mix64(np.add.reduceat(mix64(h + place * _A), first))
             h2 = mix64(np.add.reduceat(mix64((h ^ _B) + place * _B), first))
-            sim = _simhash(mix64(h), first, n)
+            sim = _simhash(mix64(h), first, n, sizes[codes[chosen]] >= s.feature_chars)
         else:
             h1 = h2 = sim = np.zeros(0, np.uint64)
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -101,16 +104,21 @@ def _line_rows(texts: pa.Array, min_words: int) -> Iterator[tuple]:
             yield number[a:b].astype(np.int32), h1[a:b], h2[a:b], sim[a:b]
 
 
-def _simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray, step: int = 1 << 17) -> np.ndarray:
-    """Majority of every bit over the words of each line."""
-    counts = np.zeros((len(n), 64), dtype=np.int32)
+def _simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray, feature: np.ndarray,
+             step: int = 1 << 17) -> np.ndarray:
+    """Majority of every bit over the feature words of each line (all words of
+    a line that has none)."""
     line = np.repeat(np.arange(len(n)), n)
+    feature = feature | (np.add.reduceat(feature.astype(np.int64), first) == 0)[line]
+    h, line = h[feature], line[feature]
+    counts = np.zeros((len(n), 64), dtype=np.int32)
     for lo in range(0, len(h), step):
         bits = np.unpackbits(h[lo:lo + step].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         own = line[lo:lo + step]
         cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         counts[own[cut]] += np.add.reduceat(bits, cut, axis=0, dtype=np.int32)
-    top = (2 * counts > n[:, None]).astype(np.uint8)
+    used = np.bincount(line, minlength=len(n))
+    top = (2 * counts > used[:, None]).astype(np.uint8)
     return np.packbits(top, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
@@ -119,7 +127,7 @@ def line_table(docs: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = list(_line_rows(b.column("text"), s.min_words))
+            rows = list(_line_rows(b.column("text"), s))
             ids = np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64),
                             [len(r[0]) for r in rows])
             cols = [np.concatenate(c) for c in zip(*rows)]
@@ -132,24 +140,14 @@ def line_table(docs: DataFrame, s: Settings) -> DataFrame:
             .mapInArrow(run, "doc_id long, line int, h1 long, h2 long, sim long"))
 
 
-def _block_keys(sim):
-    """Keys of the ten pairs of blocks of a SimHash."""
-
-    def block(i: int):
-        lo, n = _BLOCKS[i]
-        return F.shiftrightunsigned(sim, lo).bitwiseAND(F.lit((1 << n) - 1))
-
-    return F.array(*[F.shiftleft(F.lit(t).cast("long"), 32)
-                     + F.shiftleft(block(i), 13) + block(j)
-                     for t, (i, j) in enumerate(combinations(range(len(_BLOCKS)), 2))])
+def _block_keys(sim: Column) -> Column:
+    """Keys of the pairs of blocks of a SimHash."""
 
+    def block(i: int) -> Column:
+        return F.shiftrightunsigned(sim, i * _BLOCK_BITS).bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
 
-def _near(radius: int):
-    def prepare(t: pa.Table):
-        sim = t.column("sim").to_numpy().view(np.uint64)
-        return lambda r, at: np.bitwise_count(sim[at] ^ sim[r]) <= radius
-
-    return prepare
+    return F.array(*[F.lit(t << 2 * _BLOCK_BITS).cast("long") + F.shiftleft(block(i), _BLOCK_BITS) + block(j)
+                     for t, (i, j) in enumerate(combinations(range(_BLOCKS), 2))])
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
@@ -173,22 +171,56 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings)
                 own = text.split("\n")
                 for r in rows:
                     nodes_.append(r["node"])
-                    texts.append(normal_line(own[r["line"]]) if r["line"] < len(own) else "")
-            yield pa.record_batch({"node": pa.array(nodes_, pa.int64()),
-                                   "own": pa.array(texts, pa.string())})
+                    texts.append(own[r["line"]] if r["line"] < len(own) else "")
+            yield pa.record_batch({
+                "node": pa.array(nodes_, pa.int64()),
+                "own": pa.array(normal_lines(texts), pa.list_(pa.string()))})
 
     small = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= s.broadcast_lines
     texts = materialize(
         docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
         .join(F.broadcast(wanted) if small else wanted, "doc_id")
-        .mapInArrow(read, "node long, own string").distinct(), "line-texts")
-    longer = F.greatest(F.length("ta"), F.length("tb"))
-    most = F.floor(longer * (1 - s.similar) + 1e-9).cast("int")
-    return materialize(
-        near.join(texts.select(F.col("node").alias("a"), F.col("own").alias("ta")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("own").alias("tb")), "b")
-        .where((F.abs(F.length("ta") - F.length("tb")) <= most)
-               & (F.levenshtein("ta", "tb") <= most)).select("a", "b").distinct(), "line-links")
+        .mapInArrow(read, "node long, own array<string>").distinct(), "line-texts")
+    both = (near.join(texts.select(F.col("node").alias("a"), F.col("own").alias("ta")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("own").alias("tb")), "b"))
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            keep = []
+            for x, y in zip(t.column("ta").to_pylist(), t.column("tb").to_pylist()):
+                most = int(max(len(x), len(y)) * (1 - s.similar) + 1e-9)
+                keep.append(word_edits(x, y, most) <= most)
+            yield t.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return materialize(both.select("a", "b", "ta", "tb").mapInArrow(alike, "a long, b long")
+                       .distinct(), "line-links")
+
+
+def word_edits(x: list[str], y: list[str], most: int) -> int:
+    """Least insertions, deletions and replacements of words from ``x`` to
+    ``y``, or ``most + 1`` if there are more: for each number of edits, how far
+    each diagonal reaches, so near lines cost little more than reading them."""
+    n, m = len(x), len(y)
+    if abs(n - m) > most:
+        return most + 1
+    reach: dict[int, int] = {}
+    for d in range(most + 1):
+        new: dict[int, int] = {}
+        for k in range(-d, d + 1):  # diagonal: place in y less place in x
+            if d == 0:
+                i = 0
+            else:
+                i = max(reach.get(k, -2) + 1, reach.get(k - 1, -2), reach.get(k + 1, -2) + 1)
+            i = min(i, n, m - k)
+            if i < 0 or i + k < 0:
+                continue
+            while i < n and i + k < m and x[i] == y[i + k]:
+                i += 1
+            new[k] = i
+        if new.get(m - n, -1) == n:
+            return d
+        reach = new
+    return most + 1
 
 
 def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -200,8 +232,13 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                                       F.count(F.lit(1)).alias("n")), "line-classes")
     classes = equal.select(F.col("h1").alias("node"), "sim", "at.doc_id", "at.line")
     keyed = classes.select("node", F.explode(_block_keys(F.col("sim"))).alias("key"))
-    roots = linked(shared_tiles(keyed), classes.select("node", "sim"),
-                   lambda pairs: _verify(pairs, classes, docs, s), _near(s.radius), s.chunk)
+    members = shared_tiles(keyed)
+
+    def near(left: str, right: str) -> Column:
+        return F.bit_count(F.col(left + "sim").bitwiseXOR(F.col(right + "sim"))) <= s.radius
+
+    roots = linked(members, lambda pairs: _verify(pairs, classes, docs, s),
+                   lambda roots: join_tiles(members, roots, classes.select("node", "sim"), near, s.chunk))
     grouped = (equal.join(roots, equal["h1"] == roots["node"], "left")
                .where((F.col("n") > 1) | F.col("root").isNotNull())
                .select("h1", "h2", "at", F.coalesce("root", "h1").alias("root"),

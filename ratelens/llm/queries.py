@@ -85,10 +85,8 @@ def token_digests(docs: DataFrame, t: bpe.Tokenizer, carry: list[str]) -> DataFr
     name_of = bpe.BytesOf([b"%d," % i for i in range(len(pieces))])
 
     def digest(ids: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
-        ids_sha, text_sha = [], []
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            ids_sha.append(hashlib.sha256(name_of.join(ids[a:b])[:-1]).hexdigest())
-            text_sha.append(hashlib.sha256(text_of.join(ids[a:b])).hexdigest())
+        ids_sha = [hashlib.sha256(x[:-1]).hexdigest() for x in name_of.join(ids, offsets)]
+        text_sha = [hashlib.sha256(x).hexdigest() for x in text_of.join(ids, offsets)]
         return {"n_tokens": pa.array(np.diff(offsets).astype(np.int64)),
                 "ids_sha256": pa.array(ids_sha, pa.string()),
                 "decoded_sha256": pa.array(text_sha, pa.string())}

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+
+from .common import mix64
 
 
 def slices(column: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
@@ -23,15 +24,9 @@ def slices(column: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
         lo = hi
 
 
-def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+def word_column(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts, A-Z lower-cased: a number per
     word, the distinct words by number, and the words of each text."""
-    codes, names, counts = word_column(texts)
-    return codes, names.to_pylist(), counts
-
-
-def word_column(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """The same, with the distinct words as a column."""
     lists = pc.ascii_split_whitespace(
         pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
     flat = lists.flatten()
@@ -42,5 +37,22 @@ def word_column(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return enc.indices.to_numpy(), enc.dictionary, np.diff(before[offsets])
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
+_COEFFICIENTS = np.random.default_rng(64).integers(0, 1 << 63, 1 << 12, dtype=np.uint64) * np.uint64(2) \
+    + np.uint64(1)
+
+
+def word_keys(words: pa.Array) -> np.ndarray:
+    """64-bit multilinear hashes of a column of words (0 for an empty one)."""
+    words = words.cast(pa.large_string())
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]].astype(np.uint64)
+    first = ends[:-1] - ends[0]
+    size = np.diff(ends)
+    place = np.arange(len(data)) - np.repeat(first, size)
+    k = _COEFFICIENTS[place & 4095] * (place.astype(np.uint64) // np.uint64(4096) * np.uint64(2) + np.uint64(1))
+    some = np.flatnonzero(size)  # an empty word has no bytes to sum
+    out = np.zeros(len(words), np.uint64)
+    if len(some):
+        sums = np.add.reduceat((data + np.uint64(1)) * k, first[some])
+        out[some] = mix64(sums ^ size[some].astype(np.uint64))
+    return out

@@ -65,7 +65,8 @@ def line_removals(docs, normal, simhash, s):
     for k, a in enumerate(lines):
         for b in lines[k + 1:]:
             if (sims[a] ^ sims[b]).bit_count() <= s.radius and \
-                    levenshtein(a, b) <= int(max(len(a), len(b)) * (1 - s.similar) + 1e-9):
+                    levenshtein(a.split(" "), b.split(" ")) <= int(
+                        max(a.count(" "), b.count(" ")) * (1 - s.similar) + 1 - s.similar + 1e-9):
                 groups.join(a, b)
     found = defaultdict(list)
     for x in lines:

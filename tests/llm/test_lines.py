@@ -1,24 +1,27 @@
 import random
 
-import numpy as np
+import pyarrow as pa
 import pytest
-import xxhash
 
 from ratelens.llm import lines
 from ratelens.llm.common import mix64
-from tests.llm.brute import line_removals
+from ratelens.llm.tokens import word_keys
+from tests.llm.brute import levenshtein, line_removals
 
 
 def simhash(words):
     words = [w for w in words if len(w) >= 5] or words
     counts = [0] * 64
-    for w in words:
-        h = int(mix64(np.array([xxhash.xxh64_intdigest(w)], dtype=np.uint64))[0])
+    for h in mix64(word_keys(pa.array(words))).tolist():
         for k in range(64):
             counts[k] += h >> k & 1
     return sum((2 * c > len(words)) << k for k, c in enumerate(counts))
 
 
+def normal(line):
+    return " ".join(lines.normal_lines([line])[0])
+
+
 def make(seed):
     rng = random.Random(seed)
     vocab = [f"term{i}" for i in range(300)]
@@ -39,7 +42,7 @@ def make(seed):
 def test_removals_equal_all_pairs(spark, s):
     docs = make(1)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    want = line_removals(docs, lines.normal_line, simhash, s)
+    want = line_removals(docs, normal, simhash, s)
     assert want and {(r["doc_id"], r["line"]) for r in lines.removals(df, s).collect()} == want
     text = dict(docs)
     for r in lines.dedup_lines(df, s).collect():
@@ -65,5 +68,15 @@ def test_a_hot_line_is_kept_once(spark):
 
 
 def test_normal_lines():
-    assert lines.normal_line("  Hello,   WORLD! (2024) --- x9 ") == "hello world 0000 x0"
-    assert lines.normal_line("\t") == ""
+    assert normal("  Hello,   WORLD! (2024) --- x9 ") == "hello world 0000 x0"
+    assert normal("\t") == "" and normal("Über 'Straße'") == "Über straße"
+    assert lines.normal_lines(["a b", "", "- c"]) == [["a", "b"], [], ["c"]]
+
+
+def test_word_edits():
+    rng = random.Random(5)
+    for _ in range(400):
+        x = [rng.choice("abc") for _ in range(rng.randint(0, 12))]
+        y = [rng.choice("abc") for _ in range(rng.randint(0, 12))] if rng.random() < 0.5 else x[1:] + ["b"]
+        for most in (0, 2, 20):
+            assert lines.word_edits(x, y, most) == min(levenshtein(x, y), most + 1)
