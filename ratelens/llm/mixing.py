@@ -6,11 +6,11 @@
    aggregate per step over one row per source).
 2. Quotas.  Documents are dealt over shards by a hash of their id, about
    ``shard_tokens`` words each, so a hot source is cut into as many cells as
-   it needs.  In every shard, equal blocks of ``block_tokens`` words are the
-   seats and go to the sources by highest quotients ``v / (2 j + 1)``, where
-   ``v`` is the part of a source's target that lies in the shard.
-3. Selection.  A cell (source, shard) is one stream of words in seeded order,
-   cut into blocks.  All blocks are taken ``quota div blocks`` times and a
+   it needs.  A cell (source, shard) is cut into equal blocks of about
+   ``block_tokens`` words.  In every shard, blocks are the seats and go to the
+   sources by highest quotients ``v / (2 j + 1)``, where ``v`` is the part of a
+   source's target that lies in the shard, in blocks.
+3. Selection.  A cell is one stream of words in seeded order.  All blocks are taken ``quota div blocks`` times and a
    seeded choice of them once more.  A document takes the words that its part
    of the stream has in the chosen blocks.
 
@@ -64,10 +64,10 @@ def source_targets(sources: DataFrame, weights: Sequence[int], cap: int) -> Data
                          F.least(limit, F.col("_w") * F.lit(level)).alias("target"))
 
 
-def shard_quotas(cells: DataFrame, block_tokens: int) -> DataFrame:
+def shard_quotas(cells: DataFrame) -> DataFrame:
     """Seats per cell by highest quotients inside each shard.
 
-    ``cells`` has ``_KEYS`` and ``_v`` (words wanted).  Of ``n`` seats and
+    ``cells`` has ``_KEYS`` and ``_v`` (blocks wanted).  Of ``n`` seats and
     ``k`` sources with total ``V``, the divisors ``V / (n - k/2)`` and
     ``V / (n + k/2)`` enclose the right one, so only about two seats per
     source lie between them; these alone are ranked.
@@ -77,7 +77,7 @@ def shard_quotas(cells: DataFrame, block_tokens: int) -> DataFrame:
     bounds = (cells
               .withColumn("_k", F.count(F.lit(1)).over(shard))
               .withColumn("_all", F.sum("_v").over(shard))
-              .withColumn("_n", F.round(F.col("_all") / block_tokens).cast("long"))
+              .withColumn("_n", F.round("_all").cast("long"))
               .withColumn("_sure", F.when(seats > k, F.greatest(
                   F.lit(0), F.floor(v * (seats - k / 2) / F.col("_all") - 0.5).cast("long")))
                   .otherwise(F.lit(0).cast("long")))
@@ -97,25 +97,35 @@ def shard_quotas(cells: DataFrame, block_tokens: int) -> DataFrame:
             .select(*_KEYS, (F.col("_sure") + F.coalesce("_won", F.lit(0))).alias("_seats")))
 
 
-def _taken(block_tokens: int, seed: int) -> Column:
+def _taken(seed: int) -> Column:
     """Words of the document at ``_start`` in the blocks its cell takes."""
-    b = F.lit(block_tokens).cast("long")
-    size, start, blocks = F.col("size"), F.col("_start"), F.col("_blocks")
+    size, start, blocks, cell = F.col("size"), F.col("_start"), F.col("_blocks"), F.col("_cell")
     more = F.pmod(F.col("_seats"), blocks)
     pick = F.pmod(F.xxhash64(F.lit(seed), "_src", "_nosrc", "_shard"), F.lit(1 << 30))
     step = F.get(F.array(*[F.lit(p) for p in _PRIMES]),
                  F.pmod(pick, F.lit(len(_PRIMES))).cast("int"))
 
+    def first_word(j: Column) -> Column:
+        return _div(j * cell, blocks)
+
+    def block_of(word: Column) -> Column:
+        return _div((word + 1) * blocks - 1, cell)
+
     def words(j: Column) -> Column:
         chosen = F.pmod(j * F.pmod(step, blocks) + pick, blocks) < more
-        inside = F.least(start + size, (j + 1) * b) - F.greatest(start, j * b)
+        inside = F.least(start + size, first_word(j + 1)) - F.greatest(start, first_word(j))
         return F.when(chosen, inside).otherwise(F.lit(0).cast("long"))
 
     extra = F.aggregate(
-        F.sequence(F.floor(start / b), F.floor((start + size - 1) / b)),
+        F.sequence(block_of(start), block_of(start + size - 1)),
         F.lit(0).cast("long"), lambda a, j: a + words(j))
     return F.when((size == 0) | F.col("_seats").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor(F.col("_seats") / blocks) * size + extra)
+        _div(F.col("_seats"), blocks) * size + extra)
+
+
+def _div(a: Column, b: Column) -> Column:
+    """Whole-number division of longs that aren't negative."""
+    return F.call_function("div", a, b)
 
 
 def mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", source: str = "source",
@@ -141,18 +151,20 @@ def mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", source:
         "_shard", F.pmod(F.shiftrightunsigned("_place", 7), F.lit(n_shards)))
     cells = (sized.groupBy(*_KEYS).agg(F.sum("size").alias("_cell"))
              .join(targets, ["_src", "_nosrc"])
-             .withColumn("_blocks", F.ceil(F.col("_cell") / block_tokens))
-             .withColumn("_v", F.when(F.col("source_size") > 0, F.col("target")
-                                      * F.col("_cell") / F.col("source_size")).otherwise(0.0)))
+             .where("_cell > 0")
+             .withColumn("_blocks", F.greatest(F.lit(1), F.round(F.col("_cell") / block_tokens))
+                         .cast("long"))
+             # the cell's part of the target, in blocks of the cell
+             .withColumn("_v", F.col("target") * F.col("_blocks") / F.col("source_size")))
     cells = materialize(cells, "mix-cells")
-    quotas = cells.join(shard_quotas(cells.select(*_KEYS, "_v"), block_tokens), _KEYS).withColumn(
-        "_seats", F.when(F.col("_blocks") > 0, F.least("_seats", cap * F.col("_blocks"))))
+    quotas = cells.join(shard_quotas(cells.select(*_KEYS, "_v")), _KEYS).withColumn(
+        "_seats", F.least("_seats", cap * F.col("_blocks"))).drop("source_size", "target")
     stream = Window.partitionBy(*_KEYS).orderBy("_place", "doc_id", "size")
     return (sized.withColumn("_start", F.sum("size").over(stream.rowsBetween(
                 Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
-            .join(quotas, _KEYS)
+            .join(quotas, _KEYS, "left").join(targets, ["_src", "_nosrc"])
             .select("doc_id", "size", "source_size", "target",
-                    _taken(block_tokens, seed).alias("taken"), "source"))
+                    _taken(seed).alias("taken"), "source"))
 
 
 def copies(size: Column, taken: Column, doc_id: Column, seed: int = 17) -> Column:
