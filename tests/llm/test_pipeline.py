@@ -46,6 +46,17 @@ def test_stages_accept_an_empty_table(spark, documents, sf_dir):
         assert stage(spark, empty, sf_dir).count() == 0
 
 
+def test_stages_take_odd_rows(spark, edge_docs, documents, sf_dir):
+    docs = documents.where("doc_id < 60").unionByName(edge_docs, allowMissingColumns=True)
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, docs, sf_dir)
+        assert name == "byte_bpe" or rows.columns == docs.columns
+        got = rows.collect()
+        assert got and len(got) <= 3 * docs.count()
+        if name in ("line_dedup", "ngram_jaccard"):  # a text without words is like no other
+            assert sum(r["text"] is None for r in got) == 1 and sum(r["text"] == "" for r in got) == 1
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
     numbers = {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")}
