@@ -26,6 +26,7 @@ import base64
 import heapq
 import json
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -345,12 +346,12 @@ def _word_table(encoded: DataFrame) -> dict[str, bytes] | None:
             lists = b.column("ids")
             sizes = np.diff(lists.offsets.to_numpy()).astype(np.int32)
             ids = lists.flatten().to_numpy().astype(np.uint16)
-            yield pa.record_batch({k: pa.array([v.tobytes()], pa.binary()) for k, v in (
+            yield pa.record_batch({k: pa.array([_squeeze(v)], pa.binary()) for k, v in (
                 ("h", word_keys(b.column("word"))), ("n", sizes), ("ids", ids))})
 
     rows = (encoded.select("word", "ids")
             .mapInArrow(pack, "h binary, n binary, ids binary").collect())  # size checked
-    h, n, ids = (np.concatenate([np.zeros(0, t), *(np.frombuffer(r[k], t) for r in rows)])
+    h, n, ids = (np.concatenate([np.zeros(0, t), *(_unsqueeze(r[k], t) for r in rows)])
                  for k, t in (("h", np.uint64), ("n", np.int32), ("ids", np.uint16)))
     del rows
     order = np.argsort(h)
@@ -359,21 +360,25 @@ def _word_table(encoded: DataFrame) -> dict[str, bytes] | None:
     if (h[1:] == h[:-1]).any():
         return None
     ids = _expand(first, n, ids)
-    squeeze = zstandard.ZstdCompressor(level=1).compress
-    return {k: squeeze(np.ascontiguousarray(v).view(np.uint8).reshape(-1, v.itemsize).T.tobytes())
-            for k, v in (("h", np.diff(h, prepend=np.uint64(0))), ("n", n), ("ids", ids))}
+    return {"h": _squeeze(np.diff(h, prepend=np.uint64(0))), "n": _squeeze(n), "ids": _squeeze(ids)}
 
 
-def _open_table(packed: dict[str, bytes]) -> tuple[np.ndarray, ...]:
-    unpack = zstandard.ZstdDecompressor().decompress
+def _squeeze(x: np.ndarray) -> bytes:
+    """Compressed bytes, by significance."""
+    return zstandard.ZstdCompressor(level=1).compress(
+        np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+
+
+def _unsqueeze(packed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
-    def column(name: str, kind: type) -> np.ndarray:
-        planes = np.frombuffer(unpack(packed[name]), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-        return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-    h = np.cumsum(column("h", np.uint64), dtype=np.uint64)
-    n = column("n", np.int32)
-    return h, (np.cumsum(n, dtype=np.int64) - n).astype(np.uint32), n, column("ids", np.uint16)
+def _open_table(packed: dict[str, bytes]) -> tuple[np.ndarray, ...]:
+    h = np.cumsum(_unsqueeze(packed["h"], np.uint64), dtype=np.uint64)
+    n = _unsqueeze(packed["n"], np.int32)
+    return (h, (np.cumsum(n, dtype=np.int64) - n).astype(np.uint32), n,
+            _unsqueeze(packed["ids"], np.uint16))
 
 
 def _spans(words: pa.Array, table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -385,6 +390,21 @@ def _spans(words: pa.Array, table: tuple) -> tuple[np.ndarray, np.ndarray, np.nd
 Reduce = Callable[[np.ndarray, np.ndarray], dict[str, pa.Array]]
 
 
+@contextmanager
+def _short_plans(spark: SparkSession) -> Iterator[None]:
+    """Keep the literal rank map out of the plan descriptions that the driver
+    holds and logs; the plan has no shuffle, so it needs no adaptive updates."""
+    short = {"spark.sql.maxPlanStringLength": "10000", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in short}
+    try:
+        for k, v in short.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _ids_column(ids: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
     return {"ids": pa.ListArray.from_arrays(offsets.astype(np.int32), ids.astype(np.int32))}
 
@@ -403,7 +423,8 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
     carry = [c for c in (docs.columns if carry is None else carry) if c not in added.names]
     source = docs.select(*carry, F.col(text).alias("_text"))
     words = materialize(words_of(docs.select(F.col(text)), tokenizer.pattern), "bpe-words")
-    encoded = materialize(encode_words(words, tokenizer), "bpe-encoded")
+    with _short_plans(spark):
+        encoded = materialize(encode_words(words, tokenizer), "bpe-encoded")
     size = encoded.agg(F.sum(12 + 2 * F.size("ids"))).first()[0] or 0
     schema = T.StructType([*(docs.schema[c] for c in carry), *added])
     table = _word_table(encoded) if size <= table_bytes else None
