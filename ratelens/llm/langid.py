@@ -271,19 +271,21 @@ def train(learn: DataFrame, s: Settings = Settings()) -> Model:
     passes = max(1, round(s.min_rows / max(100, fit.count())))
     z, n = np.zeros(((1 << s.bits) + 1, width)), np.zeros(((1 << s.bits) + 1, width))
     for _ in range(s.rounds):
-        state = sc.broadcast((idf, z, n))
+        state = sc.broadcast((idf, z.astype(np.float32), n.astype(np.float32)))
 
         def step(table: pa.Table) -> pa.Table:
             idf_, z_, n_ = state.value
-            z_, n_ = z_.copy(), n_.copy()
+            z_, n_ = z_.astype(np.float64), n_.astype(np.float64)
             for _ in range(passes):
                 _ftrl(table, idf_, z_, n_, s)
-            return pa.table({"blob": pa.array([np.stack([z_, n_]).tobytes()], pa.binary())})
+            return pa.table({"blob": pa.array([np.stack([z_, n_]).astype(np.float32).tobytes()],
+                                               pa.binary())})
 
         blobs = fit.groupBy("shard").applyInArrow(step, "blob binary").collect()  # s.shards rows
         if not blobs:
             break
-        z, n = np.mean([np.frombuffer(r["blob"]).reshape(2, *z.shape) for r in blobs], axis=0)
+        z, n = np.mean([np.frombuffer(r["blob"], np.float32).reshape(2, *z.shape)
+                        for r in blobs], axis=0, dtype=np.float64)
         state.destroy()
     w = _weights(z, n, s)
     held = rows.where(F.pmod("u", F.lit(6)) == 0).toArrow()  # a sixth of the bounded sample
