@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, materialize
 
 RESULT = "query_id long, rank int, vec_id long, score double"
 
@@ -171,7 +171,7 @@ def _true_neighbours(index: DataFrame, probes: np.ndarray, ids: np.ndarray, dim:
             yield pa.record_batch({"p": pa.array(p), "c": pa.array(c[at]),
                                    "score": pa.array(scores[p, at])})
 
-    found = index.select("c", "v").mapInArrow(scan, "p long, c long, score double")
+    found = index.select("c", "v").mapInArrow(lean(scan), "p long, c long, score double")
     place = F.row_number().over(Window.partitionBy("p").orderBy(F.desc("score"), "c"))
     return found.where(F.col("score") > float("-inf")).withColumn("_n", place).where(F.col("_n") <= k)
 
@@ -264,7 +264,7 @@ def _candidates(cells: DataFrame, queries: DataFrame, forest: Forest, sizes: dic
                     "x": part.column("v").take(i).cast(pa.list_(pa.float64()))})
 
     asked = materialize(queries.select("c", "v").mapInArrow(
-        walk, "bucket long, q long, taken array<long>, x array<double>"), "ann-asked")
+        lean(walk), "bucket long, q long, taken array<long>, x array<double>"), "ann-asked")
     # many queries of one bucket are spread over copies of it
     parts = F.coalesce(F.get(F.lit(_parts(asked, int((first + count).max()), s)),
                              F.col("bucket").cast("int")), F.lit(1))
@@ -328,7 +328,7 @@ def _search(rows: DataFrame, dim: int, is_query: Column, s: Settings) -> DataFra
 
     kind = classes.schema["v"].dataType.simpleString()
     index = materialize(classes.select("c", "v").mapInArrow(
-        place, f"c long, v {kind}, cells array<long>"), "ann-index")
+        lean(place), f"c long, v {kind}, cells array<long>"), "ann-index")
     probes = queries.select("c", "v").orderBy(order, "c").limit(s.probes).toArrow()
     if not probes.num_rows:
         return rows.sparkSession.createDataFrame([], RESULT)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import let, materialize
+from .common import lean, let, materialize
 from .tokens import slices, word_keys
 
 LONG_WORD = 256
@@ -305,7 +305,7 @@ def words_of(texts: DataFrame, pattern: str) -> DataFrame:
         if held:
             yield _distinct(held)
 
-    return texts.mapInArrow(find, "word string").distinct()
+    return texts.mapInArrow(lean(find), "word string").distinct()
 
 
 def _distinct(parts: list[pa.Array]) -> pa.RecordBatch:
@@ -333,7 +333,7 @@ def encode_words(words: DataFrame, tokenizer: Tokenizer) -> DataFrame:
 
     long = (raw.where(F.octet_length("bytes") > LONG_WORD)
             .join(F.broadcast(tokens), "bytes", "left_anti").select("word")
-            .mapInArrow(merge, "word string, ids array<int>"))
+            .mapInArrow(lean(merge), "word string, ids array<int>"))
     return folded.unionByName(long)
 
 
@@ -350,7 +350,7 @@ def _word_table(encoded: DataFrame) -> dict[str, bytes] | None:
                 ("h", word_keys(b.column("word"))), ("n", sizes), ("ids", ids))})
 
     rows = (encoded.select("word", "ids")
-            .mapInArrow(pack, "h binary, n binary, ids binary").collect())  # size checked
+            .mapInArrow(lean(pack), "h binary, n binary, ids binary").collect())  # size checked
     h, n, ids = (np.concatenate([np.zeros(0, t), *(_unsqueeze(r[k], t) for r in rows)])
                  for k, t in (("h", np.uint64), ("n", np.int32), ("ids", np.uint16)))
     del rows
@@ -443,7 +443,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
                 yield _rows(b.slice(at, len(part)), carry, done)
                 at += len(part)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def _rows(batch: pa.RecordBatch, carry: list[str], done: dict[str, pa.Array]) -> pa.RecordBatch:

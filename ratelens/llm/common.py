@@ -6,7 +6,11 @@ names (``spark.checkpoint.dir``), so a lost executor never takes data along.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,21 @@ def clear_stored(spark: SparkSession) -> None:
         _STORED.remove(entry)
 
 
+def lean(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that hands its memory back at the end of
+    the task: workers are reused, and would hold on to the largest task's."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return wrapped
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """A stored table as the small side of a join: broadcast if it has at most
     ``rows`` rows (counted), else left to a shuffle join."""

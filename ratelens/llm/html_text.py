@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
+
 # Element names, roles, and words of class names and ids.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd "
@@ -211,5 +213,5 @@ def extract_text(pages: DataFrame, html: str = "html", carry: list[str] | None =
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in carry), texts],
                                              names=[*carry, "text"])
 
-    return (pages.select(*carry, F.col(html).alias("_html")).mapInArrow(run, schema)
+    return (pages.select(*carry, F.col(html).alias("_html")).mapInArrow(lean(run), schema)
             .withColumn("n_chars", F.length("text").cast("long")))

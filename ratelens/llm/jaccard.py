@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64
+from .common import lean, materialize, mix64
 from .tiles import linked, open_tiles, shared_tiles
 from .tokens import slices, word_column, word_keys
 
@@ -166,7 +166,7 @@ def describe(docs: DataFrame, join: Join) -> DataFrame:
                 "rare": pa.array(out["rare"], pa.bool_()), "bits": pa.array(out["bits"], pa.binary()),
                 "keys": pa.array(out["keys"], pa.list_(pa.int64()))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SETS)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), _SETS)
 
 
 def differing_bits(a: bytes, b: bytes) -> int:
@@ -199,7 +199,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, join: Join) -> D
             yield t.select(["a", "b"]).filter(pa.array(ok))
 
     pairs = materialize(both.select("a", "b", "na", "nb", "sa", "sb")
-                        .mapInArrow(bound, "a long, b long").distinct(), "join-pairs")
+                        .mapInArrow(lean(bound), "a long, b long").distinct(), "join-pairs")
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "join-ids")
     small = ids.count() <= join.broadcast_ids
     texts = docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
@@ -209,7 +209,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, join: Join) -> D
             grams = pa.array([u.tobytes() for u in ngram_sets(t.column("text"), join.words)], pa.binary())
             yield pa.record_batch({"doc_id": t.column("doc_id").cast(pa.int64()), "grams": grams})
 
-    grams = materialize(texts.mapInArrow(read, "doc_id long, grams binary").distinct(), "join-grams")
+    grams = materialize(texts.mapInArrow(lean(read), "doc_id long, grams binary").distinct(), "join-grams")
     both = (pairs.join(grams.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
             .join(grams.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b"))
 
@@ -222,7 +222,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, join: Join) -> D
                 keep[i] = join.den * both_n >= join.num * (len(u) + len(v) - both_n)
             yield t.select(["a", "b"]).filter(pa.array(keep))
 
-    return materialize(both.select("a", "b", "ga", "gb").mapInArrow(exact, "a long, b long").distinct(),
+    return materialize(both.select("a", "b", "ga", "gb").mapInArrow(lean(exact), "a long, b long").distinct(),
                        "join-links")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import lean, materialize
 from .vectors import blob_batch, sum_blobs
 
 UNDETERMINED = "und"
@@ -142,7 +142,7 @@ def document_frequencies(texts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
         total[-1] = n
         yield blob_batch(TaskContext.get().partitionId(), total)
 
-    total = sum_blobs(texts.mapInArrow(count, "part long, blob binary"), "int64")
+    total = sum_blobs(texts.mapInArrow(lean(count), "part long, blob binary"), "int64")
     if total is None:
         return np.zeros(1 << bits, dtype=np.int64), 0
     return total[:-1], int(total[-1])
@@ -179,7 +179,7 @@ def _features(sample: DataFrame, bits: int) -> DataFrame:
                 "ids": pa.array(ids, pa.list_(pa.int32())),
                 "values": pa.array(values, pa.list_(pa.float32()))})
 
-    return sample.mapInArrow(extract, "label int, u long, ids array<int>, values array<float>")
+    return sample.mapInArrow(lean(extract), "label int, u long, ids array<int>, values array<float>")
 
 
 def _lists(column) -> tuple[np.ndarray, np.ndarray]:
@@ -334,7 +334,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text",
                 [b.column(c) for c in carry] + [pa.array(langs, pa.string()), pa.array(scores)],
                 names=[*carry, "lang_pred", "score"])
 
-    return source.mapInArrow(run, T.StructType([
+    return source.mapInArrow(lean(run), T.StructType([
         *fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialize, mix64
+from .common import lean, let, materialize, mix64
 from .tiles import join_tiles, linked, shared_tiles
 from .tokens import slices, word_column, word_keys
 
@@ -137,7 +137,7 @@ def line_table(docs: DataFrame, s: Settings) -> DataFrame:
 
     return (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
             .select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, line int, h1 long, h2 long, sim long"))
+            .mapInArrow(lean(run), "doc_id long, line int, h1 long, h2 long, sim long"))
 
 
 def _block_keys(sim: Column) -> Column:
@@ -180,7 +180,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings)
     texts = materialize(
         docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
         .join(F.broadcast(wanted) if small else wanted, "doc_id")
-        .mapInArrow(read, "node long, own array<string>").distinct(), "line-texts")
+        .mapInArrow(lean(read), "node long, own array<string>").distinct(), "line-texts")
     both = (near.join(texts.select(F.col("node").alias("a"), F.col("own").alias("ta")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("own").alias("tb")), "b"))
 
@@ -192,7 +192,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings)
                 keep.append(word_edits(x, y, most) <= most)
             yield t.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return materialize(both.select("a", "b", "ta", "tb").mapInArrow(alike, "a long, b long")
+    return materialize(both.select("a", "b", "ta", "tb").mapInArrow(lean(alike), "a long, b long")
                        .distinct(), "line-links")
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ratelens.session import scratch_path
 
-from .common import materialize
+from .common import lean, materialize
 
 _END = "\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "
@@ -167,7 +167,7 @@ def capture_runs(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([{**e, "run": number} for e in entries], schema)
 
     return (spark.read.format("binaryFile").load(path).select("path", "content")
-            .mapInArrow(run, ENTRY))
+            .mapInArrow(lean(run), ENTRY))
 
 
 def _arrow() -> pa.Schema:
@@ -241,7 +241,7 @@ def merge_runs(runs: DataFrame, per_range: int = 100_000) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    return runs.repartitionByRange(n, *_ORDER).mapInArrow(merge, ENTRY)
+    return runs.repartitionByRange(n, *_ORDER).mapInArrow(lean(merge), ENTRY)
 
 
 def archive_and_index(pages: DataFrame, least: int = 1000) -> DataFrame:
