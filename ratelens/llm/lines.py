@@ -50,6 +50,7 @@ class Settings:
     feature_chars: int = 5
     similar: float = 0.85
     chunk: int = 2048
+    run_bytes: int = 6 << 20   # text that a task works on at once
     broadcast_lines: int = 4_000_000  # about 16 bytes each
 
 
@@ -71,7 +72,7 @@ def normal_lines(lines: list[str]) -> list[list[str]]:
 
 def _line_rows(texts: pa.Array, s: Settings) -> Iterator[tuple]:
     """Per text: line numbers, two hashes and the SimHash of its long lines."""
-    for run in slices(texts, 6 << 20):
+    for run in slices(texts, s.run_bytes):
         lists = pc.split_pattern(pc.fill_null(run.cast(pa.large_string()), ""), "\n")
         lines = lists.flatten()
         codes, names, words = word_column(lines)
