@@ -291,13 +291,13 @@ class _Segments:
         return _expand(first[numbers], n, ids), ends[cuts]
 
 
-def words_of(texts: DataFrame, pattern: str) -> DataFrame:
+def words_of(texts: DataFrame, pattern: str, run_bytes: int = 6 << 20) -> DataFrame:
     """Distinct words ``word`` of the only column of ``texts``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Array] = []
         for b in batches:
-            for run in slices(b.column(0)):
+            for run in slices(b.column(0), run_bytes):
                 held.append(_Segments(run, pattern).words)
                 if sum(map(len, held)) > 1_000_000:
                     yield _distinct(held)
@@ -411,10 +411,11 @@ def _ids_column(ids: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
 
 def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
            carry: list[str] | None = None, table_bytes: int = 256 << 20,
-           block_docs: int = 2048, reduce: Reduce = _ids_column,
+           block_docs: int = 2048, run_bytes: int = 6 << 20, reduce: Reduce = _ids_column,
            out: str = "ids array<int>") -> DataFrame:
     """Add ``ids array<int>`` to ``docs`` (or to its ``carry`` columns).
 
+    A task works on ``run_bytes`` of text at once.
     ``reduce(ids, offsets)`` may turn a batch's ids into other columns
     ``out`` in the task that made them, when the ids themselves needn't leave it.
     """
@@ -422,7 +423,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
     added = T.StructType.fromDDL(out)
     carry = [c for c in (docs.columns if carry is None else carry) if c not in added.names]
     source = docs.select(*carry, F.col(text).alias("_text"))
-    words = materialize(words_of(docs.select(F.col(text)), tokenizer.pattern), "bpe-words")
+    words = materialize(words_of(docs.select(F.col(text)), tokenizer.pattern, run_bytes), "bpe-words")
     with _short_plans(spark):
         encoded = materialize(encode_words(words, tokenizer), "bpe-encoded")
     size = encoded.agg(F.sum(12 + 2 * F.size("ids"))).first()[0] or 0
@@ -436,7 +437,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text",
         table = None
         for b in batches:
             at = 0
-            for part in slices(b.column("_text"), 6 << 20):
+            for part in slices(b.column("_text"), run_bytes):
                 table = table or _open_table(shared.value)
                 seg = _Segments(part, tokenizer.pattern)
                 done = reduce(*seg.ids(*_spans(seg.words, table)))
