@@ -79,7 +79,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame, t: bpe.Tokenizer, carry: list[str],
-                  run_bytes: int = 6 << 20) -> DataFrame:
+                  run_bytes: int = 6 << 20, table_bytes: int = 256 << 20) -> DataFrame:
     """Digests of the ids of every text, and of what the ids decode to."""
     pieces = bpe.token_bytes(t.ranks())
     text_of = bpe.BytesOf(pieces)
@@ -92,7 +92,8 @@ def token_digests(docs: DataFrame, t: bpe.Tokenizer, carry: list[str],
                 "ids_sha256": pa.array(ids_sha, pa.string()),
                 "decoded_sha256": pa.array(text_sha, pa.string())}
 
-    return bpe.encode(docs, t, carry=carry, run_bytes=run_bytes, reduce=digest,
+    return bpe.encode(docs, t, carry=carry, run_bytes=run_bytes,
+                      table_bytes=table_bytes, reduce=digest,
                       out="n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
