@@ -2,12 +2,20 @@
 
 Lines are normalised (A-Z lower-cased, digits equal, punctuation around words
 dropped, words joined by one space); a line of fewer than ``min_words`` words
-is never removed.  Equal lines are one class.  Every class has a 64-bit
-SimHash of its words (those of ``feature_chars`` characters and more, if it has
-any: the short ones stand in most lines).  Hashes within two bits agree on two
-of four blocks at least, so each class is keyed by all six pairs of blocks, and
-classes that share a key are candidates if their hashes are near.  Candidates link if their
-edit similarity ``1 - edits / longer length``, in words, reaches ``similar``.
+is never removed (two characters of a script written without spaces count as a
+word there).  Equal lines are one class.  Two classes of ``near_words`` words
+and more link if their edit similarity ``1 - edits / longer length``, in words,
+reaches ``similar``, and their SimHashes differ in ``radius`` bits at most (64,
+the default: any).
+
+Candidates are complete for the edit similarity.  The word pairs of a line are
+put in one order, rare words first.  An edit takes two word pairs from a line at
+most (an insertion one), so the first word pair that two linked lines share is
+among the first ``lost + 1`` of either, and these are the line's keys.  Classes
+that share a key are candidates if their lengths and the parity bitmaps of
+their words leave room for a link.  The order comes from word counts of a
+sample; no result depends on it.
+
 Of every connected group of lines the occurrence with the smallest (doc_id,
 line number) stays, all others are removed from their documents.
 
@@ -25,7 +33,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,20 +45,33 @@ from .tiles import join_tiles, linked, shared_tiles
 from .tokens import slices, word_column, word_keys
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_BLOCK_BITS, _BLOCKS = 16, 4
+_GRAM_BITS, _HASH_BITS = 44, 38  # of a word pair: its rank by rarity above its hash
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 _AROUND = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+_PAYLOAD = ("n", "sim", "b1", "b2")
 _PLAIN_WORD = r"^[a-z\x{DF}-\x{F6}\x{F8}-\x{24F}]+$"
 
 
 @dataclass(frozen=True)
 class Settings:
     min_words: int = 8
-    radius: int = 2            # bits by which SimHashes may differ, two at most
+    near_words: int = 8        # words of lines that may link with unequal ones
+    radius: int = 64           # bits by which SimHashes of linked lines may differ
     feature_chars: int = 5
     similar: float = 0.85
     chunk: int = 2048
     run_bytes: int = 6 << 20   # text that a task works on at once
     broadcast_lines: int = 4_000_000  # about 16 bytes each
+    sample_docs: int = 4000    # about so many settle the order of words
+    ranked_words: int = 1 << 16
+
+    def edits(self, words):
+        """Most edits between linked lines, the longer of so many words."""
+        return np.floor(words * (1 - self.similar) + 1e-9).astype(np.int64)
+
+    def lost(self, words):
+        """Most word pairs of a line of so many words that a linked line lacks."""
+        return np.maximum(2 * self.edits(words), 2 * self.edits(words + 1) - 1)
 
 
 def _normal_words(names: pa.Array) -> pa.Array:
@@ -70,8 +90,71 @@ def normal_lines(lines: list[str]) -> list[list[str]]:
     return [[w for w in words[a:a + n] if w] for a, n in zip(at.tolist(), counts.tolist())]
 
 
-def _line_rows(texts: pa.Array, s: Settings) -> Iterator[tuple]:
-    """Per text: line numbers, two hashes and the SimHash of its long lines."""
+@dataclass(frozen=True)
+class Ranks:
+    """Sorted hashes of the frequent words, and a level that grows with the count."""
+
+    words: np.ndarray
+    level: np.ndarray
+
+    @staticmethod
+    def of(docs: DataFrame, s: Settings) -> Ranks:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for texts in slices(b.column("text"), s.run_bytes):
+                    codes, names, _ = word_column(texts)
+                    yield pa.record_batch({
+                        "word": pa.array(word_keys(_normal_words(names)).view(np.int64)),
+                        "c": pa.array(np.bincount(codes, minlength=len(names)).astype(np.int64))})
+
+        every = max(1, docs.count() // s.sample_docs)
+        rows = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
+                .mapInArrow(lean(run), "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+                .orderBy(F.desc("c"), "word").limit(s.ranked_words).collect())
+        words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
+        level = 1 + np.minimum(30, 1.5 * np.log2([max(1, r["c"]) for r in rows])).astype(np.uint64)
+        order = np.argsort(words)
+        return Ranks(words[order], level[order])
+
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(hashes), np.uint64)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, self.level[at], np.uint64(0))
+
+
+def _pair_keys(h: np.ndarray, level: np.ndarray, n: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Keys per line, and the keys of all lines of ``n`` words: the first word
+    pairs in the order of all pairs, equal ones told apart by a number."""
+    counts, out = [], []
+    most = 1 << 64 - _GRAM_BITS
+    ends = np.cumsum(n)
+    for lo in range(0, len(n), most):
+        own = n[lo:lo + most]
+        a, b = ends[lo] - own[0], ends[lo + len(own) - 1]
+        x, r = h[a:b], level[a:b]
+        line = np.repeat(np.arange(len(own)), own)
+        inner = np.flatnonzero(line[1:] == line[:-1])
+        gram = mix64(x[inner] * _A + x[inner + 1]) >> np.uint64(64 - _HASH_BITS)
+        v = (line[inner].astype(np.uint64) << np.uint64(_GRAM_BITS)
+             | (r[inner] + r[inner + 1]) << np.uint64(_HASH_BITS) | gram)
+        v.sort()
+        line = (v >> np.uint64(_GRAM_BITS)).astype(np.int64)
+        pairs = np.maximum(own - 1, 0)
+        at = np.arange(len(v))
+        new = np.concatenate([[True], v[1:] != v[:-1]])[:len(v)]
+        again = at - np.maximum.accumulate(np.where(new, at, 0))
+        take = at - (np.cumsum(pairs) - pairs)[line] <= s.lost(own)[line]
+        v = v[take] & np.uint64((1 << _GRAM_BITS) - 1)
+        out.append(mix64(mix64(v) + again[take].astype(np.uint64) * _B))
+        counts.append(np.bincount(line[take], minlength=len(own)))
+    return (np.concatenate(counts), np.concatenate(out)) if out else (
+        np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
+    """Per run of texts: lines that may go of each text, their numbers, two
+    hashes, words, SimHash, parity bitmap of words, and keys (once per run)."""
     for run in slices(texts, s.run_bytes):
         lists = pc.split_pattern(pc.fill_null(run.cast(pa.large_string()), ""), "\n")
         lines = lists.flatten()
@@ -79,30 +162,44 @@ def _line_rows(texts: pa.Array, s: Settings) -> Iterator[tuple]:
         names = _normal_words(names)
         hashes = word_keys(names)
         sizes = pc.utf8_length(names).to_numpy()
-        real = sizes > 0
+        weight = (sizes > 0).astype(np.int64)
+        wide = np.flatnonzero(pc.binary_length(names).to_numpy() != sizes)
+        unspaced = pc.count_substring_regex(names.take(pa.array(wide)), _UNSPACED).to_numpy()
+        weight[wide] = np.maximum(weight[wide], unspaced // 2)
+        level = ranks.levels(hashes)
         owner = np.repeat(np.arange(len(words)), words)
-        keep = real[codes] if len(codes) else np.zeros(0, dtype=bool)
+        keep = sizes[codes] > 0 if len(codes) else np.zeros(0, dtype=bool)
         codes, owner = codes[keep], owner[keep]
+        weights = np.bincount(owner, weight[codes] if len(codes) else None, minlength=len(words))
         words = np.bincount(owner, minlength=len(words))
-        long = words >= s.min_words
-        chosen = long[owner]
-        h = hashes[codes[chosen]] if len(codes) else np.zeros(0, np.uint64)
+        long = weights >= max(1, s.min_words)
+        codes = codes[long[owner]]
         n = words[long]
-        first = np.cumsum(n) - n
-        place = (np.arange(len(h)) - np.repeat(first, n)).astype(np.uint64)
+        out = {k: np.zeros(len(n), np.uint64) for k in ("h1", "h2", "sim", "b1", "b2")}
+        counts, keys = np.zeros(len(n), np.int64), np.zeros(0, np.uint64)
         if len(n):
-            h1 = mix64(np.add.reduceat(mix64(h + place * _A), first))
-            h2 = mix64(np.add.reduceat(mix64((h ^ _B) + place * _B), first))
-            sim = _simhash(mix64(h), first, n, sizes[codes[chosen]] >= s.feature_chars)
-        else:
-            h1 = h2 = sim = np.zeros(0, np.uint64)
+            h = hashes[codes]
+            first = np.cumsum(n) - n
+            place = (np.arange(len(h)) - np.repeat(first, n)).astype(np.uint64)
+            out["h1"] = mix64(np.add.reduceat(mix64(h + place * _A), first))
+            out["h2"] = mix64(np.add.reduceat(mix64((h ^ _B) + place * _B), first))
+            mixed = mix64(h)
+            if s.radius < 64:
+                out["sim"] = _simhash(mixed, first, n, sizes[codes] >= s.feature_chars)
+            bit = np.uint64(1) << (mixed & np.uint64(63))
+            high = mixed >> np.uint64(63) > 0
+            out["b1"] = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), first)
+            out["b2"] = np.bitwise_xor.reduceat(np.where(high, bit, np.uint64(0)), first)
+            once = np.zeros(len(n), dtype=bool)
+            once[np.unique(out["h1"], return_index=True)[1]] = True
+            near = once & (n >= s.near_words)
+            chosen = np.repeat(near, n)
+            counts[near], keys = _pair_keys(h[chosen], level[codes[chosen]], n[near], s)
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         at = np.flatnonzero(long)
         text = np.searchsorted(offsets, at, side="right") - 1
-        number = at - offsets[text]
-        cuts = np.searchsorted(text, np.arange(len(run) + 1))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            yield number[a:b].astype(np.int32), h1[a:b], h2[a:b], sim[a:b]
+        yield out | {"n": n.astype(np.int32), "line": (at - offsets[text]).astype(np.int32),
+                     "lines": np.bincount(text, minlength=len(run)), "counts": counts, "keys": keys}
 
 
 def _simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray, feature: np.ndarray,
@@ -124,42 +221,50 @@ def _simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray, feature: np.ndarra
 
 
 def line_table(docs: DataFrame, s: Settings) -> DataFrame:
-    """``doc_id, line, h1, h2, sim`` of every long line."""
+    """``doc_id, line, h1, h2, n, sim, b1, b2, keys`` of every line that may go."""
+    docs = (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    ranks = docs.sparkSession.sparkContext.broadcast(Ranks.of(docs, s))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = list(_line_rows(b.column("text"), s))
-            ids = np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64),
-                            [len(r[0]) for r in rows])
-            cols = [np.concatenate(c) for c in zip(*rows)]
-            yield pa.record_batch({
-                "doc_id": pa.array(ids), "line": pa.array(cols[0]),
-                **{k: pa.array(v.view(np.int64)) for k, v in zip(("h1", "h2", "sim"), cols[1:])}})
+            ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            at = 0
+            for r in _line_rows(b.column("text"), ranks.value, s):
+                here = ids[at:at + len(r["lines"])]
+                at += len(here)
+                ends = np.concatenate([[0], np.cumsum(r["counts"])]).astype(np.int32)
+                yield pa.record_batch({
+                    "doc_id": pa.array(np.repeat(here, r["lines"])), "line": pa.array(r["line"]),
+                    "h1": pa.array(r["h1"].view(np.int64)), "h2": pa.array(r["h2"].view(np.int64)),
+                    "n": pa.array(r["n"]),
+                    **{k: pa.array(r[k].view(np.int64)) for k in _PAYLOAD[1:]},
+                    "keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(r["keys"].view(np.int64)))})
 
-    return (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-            .select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(lean(run), "doc_id long, line int, h1 long, h2 long, sim long"))
+    return docs.mapInArrow(lean(run), "doc_id long, line int, h1 long, h2 long, n int, sim long, "
+                                      "b1 long, b2 long, keys array<long>")
 
 
-def _block_keys(sim: Column) -> Column:
-    """Keys of the pairs of blocks of a SimHash."""
+def _near(left: str, right: str, s: Settings) -> Column:
+    """Whether lengths, bitmaps and SimHashes of two classes leave room for a link."""
 
-    def block(i: int) -> Column:
-        return F.shiftrightunsigned(sim, i * _BLOCK_BITS).bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
+    def apart(name: str) -> Column:
+        return F.bit_count(F.col(left + name).bitwiseXOR(F.col(right + name)))
 
-    return F.array(*[F.lit(t << 2 * _BLOCK_BITS).cast("long") + F.shiftleft(block(i), _BLOCK_BITS) + block(j)
-                     for t, (i, j) in enumerate(combinations(range(_BLOCKS), 2))])
+    n, m = F.col(left + "n"), F.col(right + "n")
+    most = F.floor(F.greatest(n, m) * F.lit(1 - s.similar) + F.lit(1e-9))
+    # a replaced word changes two bits, an added or a left out one changes one
+    ok = (F.abs(n - m) <= most) & (apart("b1") + apart("b2") <= 2 * most - F.abs(n - m))
+    return ok & (apart("sim") <= s.radius) if s.radius < 64 else ok
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """Links among candidate pairs of classes: SimHash distance, then edit
+    """Links among candidate pairs of classes: what ``_near`` sees, then edit
     similarity of the normalised lines."""
-    side = classes.select("node", "sim")
-    near = materialize(
-        pairs.join(side.select(F.col("node").alias("a"), F.col("sim").alias("sa")), "a")
-        .join(side.select(F.col("node").alias("b"), F.col("sim").alias("sb")), "b")
-        .where(F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= s.radius)
-        .select("a", "b").distinct(), "line-pairs")
+    a, b = (classes.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in _PAYLOAD])
+            for x in "ab")
+    near = materialize(pairs.join(a, "a").join(b, "b").where(_near("a_", "b_", s))
+                       .select("a", "b").distinct(), "line-pairs")
     nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialize(
         classes.join(nodes, "node").groupBy("doc_id").agg(
@@ -229,19 +334,16 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     table = materialize(line_table(docs, s), "lines")
     place = F.struct("doc_id", "line")
     equal = materialize(
-        table.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.min("sim").alias("sim"),
-                                      F.count(F.lit(1)).alias("n")), "line-classes")
-    classes = equal.select(F.col("h1").alias("node"), "sim", "at.doc_id", "at.line")
-    keyed = classes.select("node", F.explode(_block_keys(F.col("sim"))).alias("key"))
-    members = shared_tiles(keyed)
-
-    def near(left: str, right: str) -> Column:
-        return F.bit_count(F.col(left + "sim").bitwiseXOR(F.col(right + "sim"))) <= s.radius
-
+        table.groupBy("h1", "h2").agg(F.min(place).alias("at"), *[F.min(c).alias(c) for c in _PAYLOAD],
+                                      F.count(F.lit(1)).alias("copies")), "line-classes")
+    classes = (equal.where(F.col("n") >= s.near_words)
+               .select(F.col("h1").alias("node"), *_PAYLOAD, "at.doc_id", "at.line"))
+    members = shared_tiles(table.select(F.col("h1").alias("node"), F.explode("keys").alias("key")))
     roots = linked(members, lambda pairs: _verify(pairs, classes, docs, s),
-                   lambda roots: join_tiles(members, roots, classes.select("node", "sim"), near, s.chunk))
+                   lambda roots: join_tiles(members, roots, classes.select("node", *_PAYLOAD),
+                                            lambda x, y: _near(x, y, s), s.chunk))
     grouped = (equal.join(roots, equal["h1"] == roots["node"], "left")
-               .where((F.col("n") > 1) | F.col("root").isNotNull())
+               .where((F.col("copies") > 1) | F.col("root").isNotNull())
                .select("h1", "h2", "at", F.coalesce("root", "h1").alias("root"),
                        F.when(F.col("root").isNull(), F.col("h2")).alias("alone")))
     kept = grouped.groupBy("root", "alone").agg(F.min("at").alias("kept"))

@@ -80,3 +80,31 @@ def test_word_edits():
         y = [rng.choice("abc") for _ in range(rng.randint(0, 12))] if rng.random() < 0.5 else x[1:] + ["b"]
         for most in (0, 2, 20):
             assert lines.word_edits(x, y, most) == min(levenshtein(x, y), most + 1)
+
+
+def by_edits(docs, s):
+    """Removals by edit similarity alone, over all pairs of lines."""
+    return line_removals(docs, normal, lambda _: 0, s)
+
+
+def test_candidates_are_complete_for_the_edit_similarity(spark):
+    # near copies of all lengths: words replaced, left out and put in, words in common use
+    rng = random.Random(7)
+    vocab = [f"common{i}" for i in range(12)] + [f"rare{i}" for i in range(4000)]
+    docs = []
+    for i in range(50):
+        own = [rng.choice(vocab[:12] if rng.random() < 0.5 else vocab) for _ in range(rng.randint(8, 45))]
+        near = list(own)
+        for _ in range(int(len(own) * 0.15)):
+            at = rng.randrange(len(near))
+            near[at:at + rng.randint(0, 1)] = rng.choice(([], ["new"], [rng.choice(vocab)]))
+        docs.append((i, " ".join(own) + "\n" + " ".join(near)))
+    docs.append((900, "same " * 30 + "\n" + "same " * 27))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = by_edits(docs, lines.Settings())
+    assert len(want) > 30
+    for s in (lines.Settings(), lines.Settings(sample_docs=10, ranked_words=5)):
+        assert {(r["doc_id"], r["line"]) for r in lines.removals(df, s).collect()} == want
+    few = lines.Settings(radius=2)
+    assert {(r["doc_id"], r["line"]) for r in lines.removals(df, few).collect()} == \
+        line_removals(docs, normal, simhash, few)
