@@ -54,7 +54,7 @@ _PLAIN_WORD = r"^[a-z\x{DF}-\x{F6}\x{F8}-\x{24F}]+$"
 
 @dataclass(frozen=True)
 class Settings:
-    min_words: int = 8
+    min_words: int = 3
     near_words: int = 8        # words of lines that may link with unequal ones
     radius: int = 64           # bits by which SimHashes of linked lines may differ
     feature_chars: int = 5

@@ -108,3 +108,13 @@ def test_candidates_are_complete_for_the_edit_similarity(spark):
     few = lines.Settings(radius=2)
     assert {(r["doc_id"], r["line"]) for r in lines.removals(df, few).collect()} == \
         line_removals(docs, normal, simhash, few)
+
+
+def test_short_and_unspaced_lines_go_once_repeated(spark):
+    short = "Released under the MIT License.\n\u4f60\u597d\u4e16\u754c\u4f60\u597d\u4e16\u754c\ntwo words\n\u4f60\u597d"
+    near = "Released under the BSD License.\nLicensed under the new Apache License, Version"
+    other = "Licensed under the old Apache License, Version"
+    docs = [(1, short), (2, short), (3, near), (4, other)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    # seven words with one replaced are below the floor of unequal lines
+    assert {(r["doc_id"], r["line"]) for r in lines.removals(df).collect()} == {(2, 0), (2, 1)}
