@@ -338,7 +338,9 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                                       F.count(F.lit(1)).alias("copies")), "line-classes")
     classes = (equal.where(F.col("n") >= s.near_words)
                .select(F.col("h1").alias("node"), *_PAYLOAD, "at.doc_id", "at.line"))
-    members = shared_tiles(table.select(F.col("h1").alias("node"), F.explode("keys").alias("key")))
+    # dealt by key once, for the aggregate and the join back
+    members = shared_tiles(table.select(F.col("h1").alias("node"), F.explode("keys").alias("key"))
+                           .repartition("key"))
     roots = linked(members, lambda pairs: _verify(pairs, classes, docs, s),
                    lambda roots: join_tiles(members, roots, classes.select("node", *_PAYLOAD),
                                             lambda x, y: _near(x, y, s), s.chunk))
