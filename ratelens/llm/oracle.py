@@ -47,6 +47,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), sizes AS (SELECT unnest(range(1, 5)) AS m
+), grams AS (
+  SELECT lang, m, gram, count(*) AS f
+  FROM (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS gram
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, sizes
+              WHERE len(w) >= m))
+  GROUP BY lang, m, gram HAVING count(*) >= 30
+), cuts AS (
+  SELECT lang, gram, m, f, k, string_split(gram, ' ') AS w
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM grams WHERE m > 1)
+), scored AS (
+  SELECT c.lang, c.gram, c.f AS a, k, l.f AS l, r.f AS r,
+         CAST(CAST(2000000 AS HUGEINT) * c.f // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN grams l ON l.lang = c.lang AND l.gram = array_to_string(list_slice(c.w, 1, k), ' ')
+  JOIN grams r ON r.lang = c.lang AND r.gram = array_to_string(list_slice(c.w, k + 1, c.m), ' ')
+), weakest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, part, max(f) AS f
+  FROM (SELECT lang, f, array_to_string(list_slice(w, i, i + p - 1), ' ') AS part
+        FROM (SELECT *, unnest(range(1, m - p + 2)) AS i
+              FROM (SELECT lang, f, m, string_split(gram, ' ') AS w, unnest(range(2, m)) AS p
+                    FROM grams WHERE m > 2)))
+  GROUP BY lang, part
+), ranked AS (
+  SELECT w.lang, w.gram AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, encode(w.gram)) AS rank
+  FROM weakest w LEFT JOIN longer o ON o.lang = w.lang AND o.part = w.gram
+  WHERE o.f IS NULL OR 100 * CAST(o.f AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+)
+SELECT t.lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals t ON t.lang = ranked.lang WHERE rank <= 2000
+"""
+
 ORACLE_SQL = {
     "op5_quality_rules": OP5,
+    "op13_phrases": OP13,
 }

@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_text, jaccard, langid, lines, lm, mixing, quality, warc
+from . import (ann, bpe, html_text, jaccard, langid, lines, lm, mixing, packing, phrases, quality,
+               warc, whitening)
 from .common import read_table
 
 
@@ -104,6 +105,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        model = f.read()
+    pieces = packing.pack(read_table(spark, sf_dir, "documents", "doc_id", "text"), model)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    # exact in the operator at any size; the contract's column holds it below 2^63
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_score": op2_lm_score,
@@ -115,4 +135,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op11_packing": op11_packing,
+    "op12_whitening": op12_whitening,
+    "op13_phrases": op13_phrases,
 }

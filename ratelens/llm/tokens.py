@@ -24,11 +24,11 @@ def slices(column: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
         lo = hi
 
 
-def word_column(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts, A-Z lower-cased: a number per
-    word, the distinct words by number, and the words of each text."""
-    lists = pc.ascii_split_whitespace(
-        pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+def word_column(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts, A-Z lower-cased if wanted: a number
+    per word, the distinct words by number, and the words of each text."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     flat = lists.flatten()
     real = pc.greater(pc.binary_length(flat), 0)
     before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
