@@ -29,11 +29,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lean, materialize, mix64
+from .filters import MOST_BITS, bloom_filter, packed_parts, part_edges, passes, unpacked, unpacked_keys
 from .tokens import slices, word_keys
 
 UNKNOWN_LANG = "und"
@@ -44,7 +44,6 @@ _KIND[[0x20, 0x09]] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 _SPACE = pa.scalar(" ", pa.large_string())
 _HASH_BITS = 48
-_SLICE_BITS = 20  # of the filter, put together by one group
 
 
 @dataclass(frozen=True)
@@ -54,10 +53,10 @@ class Mining:
     top: int = 2000              # candidates returned of a language
     inside: int = 80             # per cent of its occurrences in a longer candidate
     scale: int = 2_000_000
-    part_mass: int = 4_000_000   # about so many occurrences of n-grams a hash partition
-    task_entries: int = 6_000_000  # hashes that a task holds before it hands them on
-    run_bytes: int = 6 << 20
-    filter_bits: int = 1 << 28   # most bits of the filter (32 MB)
+    part_mass: int = 2_000_000   # about so many occurrences of n-grams a hash partition
+    task_entries: int = 1_500_000  # hashes that a task holds before it hands them on
+    run_bytes: int = 3 << 20
+    filter_bits: int = MOST_BITS
 
 
 def piece_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
@@ -115,16 +114,6 @@ def _sum_equal(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys[first], np.add.reduceat(counts, first)
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """An integer array, its bytes by place (high ones are mostly zero)."""
-    return zstandard.compress(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
-
-
-def _unpacked(blob: bytes) -> np.ndarray:
-    flat = np.frombuffer(zstandard.decompress(blob), np.uint8)
-    return np.ascontiguousarray(flat.reshape(8, -1).T).view(np.uint64).ravel()
-
-
 @dataclass
 class Summary:
     """A Misra-Gries summary: counters by key, and by how much at most a
@@ -155,17 +144,11 @@ def frequent_hashes(docs: DataFrame, s: Mining = Mining()) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about six bytes a word; only the sizes of the groups depend on it
     parts = max(1, -(-size * s.longest // 6 // s.part_mass))
-    edges = np.array([(p << _HASH_BITS) // parts for p in range(1, parts)], np.uint64)
+    edges = part_edges(parts, _HASH_BITS)
 
     def emit(kept: list) -> pa.RecordBatch:
         keys, counts = _sum_equal(*(np.concatenate(x) for x in zip(*kept)))
-        cuts = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
-        some = np.flatnonzero(np.diff(cuts))
-        blobs = [(_packed(np.diff(keys[a:b], prepend=np.uint64(0))), _packed(counts[a:b]))
-                 for a, b in zip(cuts[some], cuts[some + 1])]
-        return pa.record_batch({"part": pa.array(some.astype(np.int32)),
-                                "keys": pa.array([x for x, _ in blobs], pa.binary()),
-                                "counts": pa.array([x for _, x in blobs], pa.binary())})
+        return packed_parts(keys, edges, counts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, held = [], 0
@@ -189,13 +172,13 @@ def frequent_hashes(docs: DataFrame, s: Mining = Mining()) -> DataFrame:
             yield emit(kept)
 
     def survivors(t: pa.Table) -> pa.Table:
-        counts = [_unpacked(x).astype(np.int64) for x in t.column("counts").to_pylist()]
+        counts = [unpacked(x).astype(np.int64) for x in t.column("v0").to_pylist()]
         capacity = int(sum(int(c.sum()) for c in counts)) // s.least
         total = Summary(np.zeros(0, np.uint64), np.zeros(0, np.int64))
         wait: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         for blob, c in zip(t.column("keys"), counts):
-            wait.append((np.cumsum(_unpacked(blob.as_py()), dtype=np.uint64), c))
+            wait.append((unpacked_keys(blob.as_py()), c))
             held += len(c)
             if held >= max(s.part_mass // 4, 2 * capacity):
                 total.merge(*(np.concatenate(x) for x in zip(*wait)), capacity)
@@ -205,42 +188,10 @@ def frequent_hashes(docs: DataFrame, s: Mining = Mining()) -> DataFrame:
         return pa.table({"hash": pa.array(total.at_least(s.least).view(np.int64))})
 
     return (docs.select("text", F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"))
-            .mapInArrow(lean(count), "part int, keys binary, counts binary")
+            .mapInArrow(lean(count), "part int, keys binary, v0 binary")
             .groupBy("part").applyInArrow(survivors, "hash long"))
 
 
-def _slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    x = mix64(hashes)
-    return (x & np.uint64(bits - 1)).astype(np.int64), (x >> np.uint64(32) & np.uint64(bits - 1)).astype(np.int64)
-
-
-def bloom_filter(hashes: DataFrame, s: Mining) -> np.ndarray:
-    """Bits set for all ``hash``: at most ``s.filter_bits`` of them, whatever
-    the number of hashes.  Groups put slices together."""
-    bits = 1 << _SLICE_BITS
-    many = hashes.count()
-    while bits < min(64 * many, s.filter_bits):
-        bits *= 2
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            slots = np.unique(np.concatenate(_slots(b.column("hash").to_numpy().view(np.uint64), bits)))
-            yield pa.record_batch({"slice": pa.array((slots >> _SLICE_BITS).astype(np.int32)),
-                                   "slot": pa.array((slots & ((1 << _SLICE_BITS) - 1)).astype(np.int32))})
-
-    def pack(t: pa.Table) -> pa.Table:
-        own = np.zeros(1 << _SLICE_BITS, bool)
-        own[t.column("slot").to_numpy()] = True
-        return pa.table({"slice": t.column("slice")[:1], "bits": pa.array([np.packbits(own).tobytes()], pa.binary())})
-
-    out = np.zeros(bits // 8, np.uint8)
-    step = (1 << _SLICE_BITS) // 8
-    for r in (hashes.mapInArrow(spread, "slice int, slot int").distinct()
-              .groupBy("slice").applyInArrow(pack, "slice int, bits binary").collect()):
-        out[r["slice"] * step:(r["slice"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
 def _dense(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers from 0 for equal values, an index of each value, and its count."""
     _, first, number, counts = np.unique(x, return_index=True, return_inverse=True, return_counts=True)
@@ -251,15 +202,9 @@ def gram_counts(docs: DataFrame, s: Mining = Mining()) -> DataFrame:
     """``lang, words, gram, f`` of every n-gram that occurs ``s.least`` times in
     a language, and per language a row of 0 words with the count of all words."""
     found = materialize(frequent_hashes(docs, s), "phrase-survivors")
-    shared = docs.sparkSession.sparkContext.broadcast(bloom_filter(found, s))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom_filter(found, s.filter_bits))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-
-        def passes(h: np.ndarray) -> np.ndarray:
-            one, two = _slots(h, 8 * len(bits))
-            return (bits[one >> 3] << (one & 7) & bits[two >> 3] << (two & 7) & 128) > 0
-
         for b in batches:
             at = 0
             for texts in slices(b.column("text"), s.run_bytes):
@@ -276,11 +221,11 @@ def gram_counts(docs: DataFrame, s: Mining = Mining()) -> DataFrame:
                         code, names, piece, _lang_keys(own_langs)[text], s.longest), 1):
                     if n == 1:
                         base, size = number, len(first)
-                        may = passes(h)
+                        may = passes(shared.value, h)
                     else:
                         may = may[:-1] & may[1:] & inside  # else a part of it is not frequent
                         at_ = np.flatnonzero(may)
-                        may[at_] = passes(h[at_])
+                        may[at_] = passes(shared.value, h[at_])
                         number = number[:-1]
                     at_ = np.flatnonzero(may)
                     pair = number[at_] if n == 1 else number[at_] * size + base[at_ + n - 1]

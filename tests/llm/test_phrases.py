@@ -61,7 +61,7 @@ def test_equal_to_counting_everything(spark, s):
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     docs = make(9, 60)
     s = phrases.Mining(least=3)
-    monkeypatch.setattr(phrases, "bloom_filter", lambda hashes, s: np.full(1 << 17, 255, np.uint8))
+    monkeypatch.setattr(phrases, "bloom_filter", lambda hashes, bits: np.full(1 << 17, 255, np.uint8))
     got = {tuple(r) for r in phrases.collocations(spark.createDataFrame(docs, "text string, lang string"), s).collect()}
     assert got == brute(docs, s)
 
