@@ -163,6 +163,7 @@ def lookup_join(
     broadcast: bool | None = None,
     skew: str | Sequence[tuple] = "detect",
     salt_cols: Sequence[str] | None = None,
+    key_rows: int | None = None,
 ) -> DataFrame:
     """Join ``fact`` (left side) to ``dim`` on ``key``; ``how`` is inner or left.
 
@@ -171,6 +172,9 @@ def lookup_join(
     ``none`` skips that (for joins whose fact keys are unique, such as an
     aggregate joined to its titles), or a precomputed hot-key list (found on
     a cheaper input, e.g. the rows before a pre-aggregation).
+    ``key_rows``: the most fact rows that any key can have, where the data
+    model bounds them; a bound below the hot-key threshold settles that no key
+    is hot, so nothing is counted.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -178,6 +182,8 @@ def lookup_join(
         broadcast = fits_broadcast(dim)
     if broadcast:
         return fact.join(F.broadcast(dim), key, how)
+    if key_rows is not None and key_rows < _conf_int(fact, HOT_KEY_ROWS_KEY, HOT_KEY_ROWS):
+        skew = "none"
     if isinstance(skew, str):
         if skew == "detect":
             hot = detect_hot_keys(fact, key)

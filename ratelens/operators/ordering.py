@@ -4,10 +4,11 @@ Spark sorts globally by range-partitioning on the sort key and sorting each
 partition; no task ever sees all rows.  A 0-based ordinal is then
 ``rows in earlier partitions + index inside the partition``.  The per
 partition counts are one row per partition (bounded by the partition
-count), so their running sum and its broadcast are small.  The sorted rows
-are checkpointed to the session's reliable checkpoint folder first, so the
-count pass and the numbering pass read identical partitions even if a task
-is re-executed.
+count), so their running sum and its broadcast are small.  Each row is
+written once, with the number of its sorted partition and its index there, to
+the session's shared folder, so the count and the numbering read the same rows
+even if a task is re-executed.  Lines of written files need no sort at all:
+their file, split and row already number them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelens.session import checkpoint_dir
+from ratelens.session import scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row index
 
@@ -39,11 +40,11 @@ def with_position(df: DataFrame, order: Sequence[Column | str],
     ``order`` must be a total order (unique keys) for the ordinal to be
     well defined.
     """
-    checkpoint_dir(df.sparkSession)
     cols = df.columns
-    sorted_ = (df.orderBy(*order)
-               .withColumn("_rid", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+    numbered = df.orderBy(*order).withColumn("_rid", F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, "positions")
+    numbered.write.parquet(path)
+    sorted_ = df.sparkSession.read.schema(numbered.schema).parquet(path)
     part = F.shiftright(F.col("_rid"), _LOCAL_BITS)
     local = F.col("_rid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     counts = sorted_.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
@@ -69,8 +70,10 @@ def file_order_position(lines: DataFrame, name: str = "position") -> DataFrame:
     """Lines of a text scan with their 0-based position in file order.
 
     Files are ordered by folder, part number and name, lines inside a file by
-    split start and then by their order inside the split; the numbering is
-    that of any sorted rows, so no task sees more than one range.
+    split start and then by their order inside the split.  A first scan counts
+    the lines of each split and finds its first row number, a second one reads
+    the lines; both cut the files alike, so nothing is sorted or shuffled but
+    one row per split.
     """
     rows = lines.select(
         F.col("value"),
@@ -78,5 +81,11 @@ def file_order_position(lines: DataFrame, name: str = "position") -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    keys = ["_folder", "_part", "_file", "_block", "_row"]
-    return with_position(rows, keys, name).select("value", name)
+    split = ["_folder", "_part", "_file", "_block"]
+    splits = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("_c"), F.min("_row").alias("_first"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per split of the files: a small input for one window
+    offsets = splits.select("_file", "_block", (
+        F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    return (rows.join(F.broadcast(offsets), ["_file", "_block"])
+            .select("value", (F.col("_off") + F.col("_row")).alias(name)))

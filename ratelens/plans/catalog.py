@@ -32,7 +32,7 @@ from ratelens.plans.reports import (
 )
 from ratelens.plans import runner
 from ratelens.plans.sinks import write_lines
-from ratelens.session import remove_path, scratch_path, session_key
+from ratelens.session import scratch_path, session_key
 from ratelens.sources import (
     parse_keyed,
     parse_movies,
@@ -297,12 +297,9 @@ def age_group_avg_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _read_report(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their position; the numbered rows are checkpointed, so the
-    report's files can go once they are read."""
+    """Lines of the report's files with their position."""
     back = file_order_position(spark.read.text(path))
-    out = back.select(F.col("value").alias("line"), "position")
-    remove_path(spark, path)
-    return out
+    return back.select(F.col("value").alias("line"), "position")
 
 
 def _report(spark: SparkSession, sf: str, run: Callable, with_users: bool, **kw) -> DataFrame:

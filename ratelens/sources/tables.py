@@ -23,6 +23,9 @@ from ratelens.operators.joins import fits_broadcast, lookup_join
 # Fixed value of the mapping: a rating is half the quantity.
 RATING_DIVISOR = 2.0
 
+# An order has at most seven lines, so no order key of lineitem is ever hot.
+LINES_PER_ORDER = 7
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name``."""
@@ -46,7 +49,7 @@ def user_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", _item(False), (F.col("l_quantity") / RATING_DIVISOR).alias("rating"))
     return lookup_join(facts, orders, "l_orderkey", "inner",
-                       salt_cols=["movie_id", "rating"]).drop("l_orderkey")
+                       key_rows=LINES_PER_ORDER).drop("l_orderkey")
 
 
 def movies(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
@@ -82,12 +85,16 @@ def order_users(spark: SparkSession, sf_dir: str, user_dim: DataFrame,
     Joining the user dimension into ``orders`` (a quarter of lineitem's
     rows) instead of into the ratings saves one fact-sized shuffle when the
     dimensions are too big to broadcast: lineitem then shuffles once, on the
-    order key.  Orders of unknown customers drop here (inner join).
+    order key.  Orders of unknown customers drop here (inner join).  A customer
+    with very many orders is left to AQE, which splits the partition it finds
+    too large: the result is dealt out anew by the order key, so nothing needs
+    a customer's orders together, and finding hot customers first would read
+    ``orders`` once more.
     """
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
     return lookup_join(orders, user_dim.select("user_id", attr), "user_id", "inner",
-                       salt_cols=["l_orderkey"]).drop("user_id")
+                       skew="none").drop("user_id")
 
 
 def rated_with_user(spark: SparkSession, sf_dir: str, user_dim: DataFrame, attr: str,
@@ -101,4 +108,4 @@ def rated_with_user(spark: SparkSession, sf_dir: str, user_dim: DataFrame, attr:
     # so the orders bound its size without computing the join.
     small = fits_broadcast(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     return lookup_join(facts, ou, "l_orderkey", "inner", broadcast=small,
-                       salt_cols=["movie_id", "s"]).drop("l_orderkey")
+                       key_rows=LINES_PER_ORDER).drop("l_orderkey")

@@ -105,3 +105,24 @@ def test_best_item_is_a_per_task_top1(spark):
     assert "TakeOrderedAndProject(limit=1" in p
     assert "rangepartitioning" not in p  # no global sort
     assert p.count("Exchange hashpartitioning") == 1
+
+
+def test_table_reports_look_for_no_hot_orders(spark, monkeypatch):
+    """An order has a bounded number of lines: beyond the broadcast limit the
+    joins by order run without a count of their keys."""
+    from ratelens.operators import joins
+    from ratelens.plans import catalog
+
+    def fail(*args, **kwargs):
+        raise AssertionError("hot keys were counted")
+
+    want = sorted(tuple(r) for r in catalog.QUERIES["gender_avg"](spark, SF_SMALL).collect())
+    monkeypatch.setattr(joins, "detect_hot_keys", fail)
+    spark.conf.set("ratelens.broadcast.maxBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = catalog.QUERIES["gender_avg"](spark, SF_SMALL).collect()
+    finally:
+        spark.conf.unset("ratelens.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(tuple(r) for r in got) == want and want

@@ -93,7 +93,7 @@ def test_existing_output_directory_raises(spark, tmp_path):
     assert len(files) == 1 and files[0].read_text() == "a\nb\n"
 
 
-def test_single_file_is_one_sorted_task(spark, tmp_path):
+def test_single_file_joins_the_ordered_parts(spark, tmp_path):
     df = spark.range(3000).selectExpr("format_string('%04d', (id * 7) % 3000) AS line").repartition(9)
     write_lines(df, str(tmp_path / "o"), ["line"], single_file=True)
     parts = [p for p in (tmp_path / "o").iterdir() if p.name.startswith("part-")]
@@ -181,3 +181,14 @@ def test_a_file_rewritten_in_place_is_measured_anew(spark, tmp_path):
     assert measure(read_lines(spark, str(d)))[0] == 1
     (d / "a.txt").write_text("2, x, y\n" * 1000)
     assert measure(read_lines(spark, str(d)))[0] == 1000
+
+
+def test_single_file_respects_an_existing_output_and_joins_gzip(spark, tmp_path):
+    import gzip
+    df = spark.range(500).selectExpr("format_string('%03d', id) AS line").repartition(5)
+    out = str(tmp_path / "g")
+    write_lines(df, out, ["line"], single_file=True, compression="gzip")
+    [part] = [p for p in (tmp_path / "g").iterdir() if p.name.startswith("part-")]
+    assert gzip.decompress(part.read_bytes()).decode().split() == [f"{i:03d}" for i in range(500)]
+    with pytest.raises(FileExistsError):
+        write_lines(df, out, ["line"], single_file=True)
