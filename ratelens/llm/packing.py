@@ -55,8 +55,26 @@ class Packing:
     run_bytes: int = 24 << 20     # text that a task works on at once
 
 
+_MARK = r"[!-&(-/:-@\[-`{-~]"  # ASCII punctuation, without the apostrophe of contractions
+_EDGE = r"[A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]"
+_MARKED = rf"^(?P<before>{_MARK}*)(?P<core>{_EDGE}(?:.*{_EDGE})?)(?P<after>{_MARK}*)$"
+
+
+def _gather(ids: np.ndarray, size: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The ids of the entries ``codes`` of a list of ``size`` ids each, in a row."""
+    first = np.cumsum(size) - size
+    many = size[codes]
+    ends = np.cumsum(many)
+    return ids[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many - first[codes], many)]
+
+
 class _WordIds:
-    """Ids of distinct words by a tokenizer (its JSON text)."""
+    """Ids of distinct words by a tokenizer (its JSON text).
+
+    The tokenizer splits a word between a letter or digit and ASCII marks, so
+    marks around a word and the word itself are looked up apart: many words
+    share them.  Words of the letters a-z go to its model directly.
+    """
 
     def __init__(self, model: str, at_once: int = 20_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,13 +85,32 @@ class _WordIds:
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of them of each word."""
-        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for lo in range(0, len(words), self.at_once):
-            own = [e.ids for e in self.tokenizer.encode_batch_fast(
-                words[lo:lo + self.at_once].to_pylist(), add_special_tokens=False)]
-            counts.append(np.fromiter(map(len, own), np.int64, len(own)))
-            ids.append(np.fromiter((i for x in own for i in x), np.uint32, int(counts[-1].sum())))
-        return np.concatenate(ids), np.concatenate(counts)
+        # composed letters of upper and lower case differ, so only ASCII words change here
+        words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        cut = pc.extract_regex(words, _MARKED)
+        whole = pc.is_null(cut)
+        parts = [pc.struct_field(cut, [i]) for i in range(3)]
+        before, core, after = (pc.if_else(whole, words if i == 1 else "", x) for i, x in enumerate(parts))
+        every = pa.concat_arrays([before, core, after]).dictionary_encode()
+        ids, size = self._pieces(every.dictionary)
+        codes = every.indices.to_numpy().astype(np.int64).reshape(3, -1).T
+        return _gather(ids, size, codes.ravel()), size[codes].sum(axis=1)
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.match_substring_regex(pieces, "^[a-z]+$").to_numpy(zero_copy_only=False)
+        own: list[list[int]] = [[]] * len(pieces)
+        tokenize = self.tokenizer.model.tokenize
+        at = np.flatnonzero(plain)
+        for i, w in zip(at.tolist(), pieces.take(pa.array(at)).to_pylist()):
+            own[i] = [t.id for t in tokenize(w)]
+        at = np.flatnonzero(~plain)
+        for lo in range(0, len(at), self.at_once):
+            few = at[lo:lo + self.at_once]
+            for i, e in zip(few.tolist(), self.tokenizer.encode_batch_fast(
+                    pieces.take(pa.array(few)).to_pylist(), add_special_tokens=False)):
+                own[i] = e.ids
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        return np.fromiter((i for x in own for i in x), np.uint32, int(size.sum())), size
 
 
 def text_ids(texts: pa.Array, words: _WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,11 +120,8 @@ def text_ids(texts: pa.Array, words: _WordIds, end_id: int) -> tuple[np.ndarray,
     # the end of a text as one more word
     ids, size = np.append(ids, np.uint32(end_id)), np.append(size, 1)
     codes = np.insert(codes.astype(np.int64), np.cumsum(per_text), len(names))
-    first = np.cumsum(size) - size
-    many = size[codes]
-    ends = np.cumsum(many)
-    at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many - first[codes], many)
-    out = ids[at]
+    out = _gather(ids, size, codes)
+    ends = np.cumsum(size[codes])
     bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_text + 1)])]
     return out, np.diff(bounds)
 

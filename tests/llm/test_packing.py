@@ -14,6 +14,7 @@ with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
     MODEL = f.read()
 TOKENIZER = Tokenizer.from_str(MODEL)
 TOKENIZER.encode_special_tokens = True
+WORDS = packing._WordIds(MODEL)
 
 ODD = [
     (1, None), (1, ""), (2, " \t\n"),
@@ -82,6 +83,19 @@ def test_query_digest_is_crc32_of_ids(spark, sf_dir):
         assert r["ids_crc32"] == zlib.crc32(own.tobytes()) and r["doc_tokens"] == len(ids[r["doc_id"]])
 
 
+_ODD_TEXT = st.text(st.sampled_from("aAzZéÉÀİıẞßĦ'stld.,;:!?()<>|=#\u0331\u0301\u0338\u0307 \u00a0\n\x1c\x8505你ΣςǅK−"), max_size=24)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(_ODD_TEXT | st.text(max_size=12), max_size=5))
+def test_ids_are_those_of_the_whole_text(texts):
+    import pyarrow as pa
+
+    ids, counts = packing.text_ids(pa.array(texts, pa.string()), WORDS, 1)
+    assert ids.tolist() == [i for t in texts for i in whole(t)]
+    assert counts.tolist() == [len(whole(t)) for t in texts]
+
+
 def plain_first_fit(sizes, capacity):
     bins = []
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
