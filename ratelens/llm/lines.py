@@ -5,21 +5,30 @@ dropped, words joined by one space); a line of fewer than ``min_words`` words
 is never removed (two characters of a script written without spaces count as a
 word there).  Equal lines are one class.  Two classes of ``near_words`` words
 and more link if their edit similarity ``1 - edits / longer length``, in words,
-reaches ``similar``, and their SimHashes differ in ``radius`` bits at most (64,
-the default: any).
-
-Candidates are complete for the edit similarity.  The word pairs of a line are
-put in one order, rare words first.  An edit takes two word pairs from a line at
-most (an insertion one), so the first word pair that two linked lines share is
-among the first ``lost + 1`` of either, and these are the line's keys.  Classes
-that share a key are candidates if their lengths and the parity bitmaps of
-their words leave room for a link.  The order comes from word counts of a
-sample; no result depends on it.
+reaches ``similar``.  (Below seven words no edit is allowed at 0.85.)
+
+Candidates come in two stages.  First every line has a SimHash, and lines that
+agree on ``agree`` of its ``blocks`` blocks (by pigeonhole all within ``blocks -
+agree`` bits) meet the smallest line of their block tile.  Then the candidates
+are made complete for the edit similarity: the word pairs of a line are put in
+one order, rare ones first.  An edit takes two word pairs from a line at most
+(an insertion one), so the first word pair that two linked lines share is among
+the first ``lost + 1`` of either, and these are the line's keys; the second one
+is among the first ``lost + 2``.  Lines meet the smallest line of each key's
+tile; tiles that still hold several groups of linked lines are opened, and those
+of more than ``tile`` lines by two shared word pairs.  A pair is verified if
+lengths and parity bitmaps of words leave room for a link.  The order comes
+from counts of a sample; no result depends on it.
+
+All keys of a line are hashes, most of which no other line has.  Tasks send
+them packed to hash ranges, which tell those that occur twice; a Bloom filter
+of bounded size then keeps the rest from being shuffled with their lines.
 
 Of every connected group of lines the occurrence with the smallest (doc_id,
 line number) stays, all others are removed from their documents.
 
-Only hashes are shuffled; texts of lines are read again for candidates alone.
+Texts of lines are read again for candidates alone; words are compared by 64-bit
+hashes.
 
 Defined results for odd rows: a null text stays null; rows that share a
 doc_id are one document, whose lines are kept or removed alike; rows with a
@@ -31,6 +40,7 @@ are replaced.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,29 +51,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, let, materialize, mix64
-from .tiles import join_tiles, linked, shared_tiles
+from .filters import bloom_filter, packed_parts, part_edges, passes, unpacked, unpacked_keys
+from .tiles import join_tiles, linked, mixed_tiles, shared_tiles
 from .tokens import slices, word_column, word_keys
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_GRAM_BITS, _HASH_BITS = 44, 38  # of a word pair: its rank by rarity above its hash
+_GRAM_BITS, _LEVEL_BITS, _HASH_BITS = 49, 6, 38  # of a word pair: its rank by rarity above its hash
+_KEY_BITS = 48  # by which keys are dealt
+_SLOT_BITS = 20
+_SLOT = np.uint64((1 << _SLOT_BITS) - 1)
 _UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 _AROUND = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
-_PAYLOAD = ("n", "sim", "b1", "b2")
+_PAYLOAD = ("n", "b1", "b2")
 _PLAIN_WORD = r"^[a-z\x{DF}-\x{F6}\x{F8}-\x{24F}]+$"
 
 
 @dataclass(frozen=True)
 class Settings:
     min_words: int = 3
-    near_words: int = 8        # words of lines that may link with unequal ones
-    radius: int = 64           # bits by which SimHashes of linked lines may differ
+    near_words: int = 7        # words of lines that may link with unequal ones
+    blocks: int = 4            # of a SimHash
+    agree: int = 2             # blocks that make a key
     feature_chars: int = 5
     similar: float = 0.85
+    tile: int = 64             # lines of a tile that is opened by one key
     chunk: int = 2048
+    part_keys: int = 2_000_000  # about so many in a hash range
     run_bytes: int = 6 << 20   # text that a task works on at once
     broadcast_lines: int = 4_000_000  # about 16 bytes each
     sample_docs: int = 4000    # about so many settle the order of words
     ranked_words: int = 1 << 16
+    ranked_pairs: int = 1 << 17
 
     def edits(self, words):
         """Most edits between linked lines, the longer of so many words."""
@@ -90,42 +108,73 @@ def normal_lines(lines: list[str]) -> list[list[str]]:
     return [[w for w in words[a:a + n] if w] for a, n in zip(at.tolist(), counts.tolist())]
 
 
-@dataclass(frozen=True)
 class Ranks:
-    """Sorted hashes of the frequent words, and a level that grows with the count."""
-
-    words: np.ndarray
-    level: np.ndarray
-
-    @staticmethod
-    def of(docs: DataFrame, s: Settings) -> Ranks:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for texts in slices(b.column("text"), s.run_bytes):
-                    codes, names, _ = word_column(texts)
-                    yield pa.record_batch({
-                        "word": pa.array(word_keys(_normal_words(names)).view(np.int64)),
-                        "c": pa.array(np.bincount(codes, minlength=len(names)).astype(np.int64))})
-
-        every = max(1, docs.count() // s.sample_docs)
-        rows = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
-                .mapInArrow(lean(run), "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
-                .orderBy(F.desc("c"), "word").limit(s.ranked_words).collect())
-        words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
-        level = 1 + np.minimum(30, 1.5 * np.log2([max(1, r["c"]) for r in rows])).astype(np.uint64)
-        order = np.argsort(words)
-        return Ranks(words[order], level[order])
-
-    def levels(self, hashes: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the frequent words and word pairs of a sample, each with
+    a level that grows with its count."""
+
+    def __init__(self, words: np.ndarray, word_level: np.ndarray, pairs: np.ndarray, pair_level: np.ndarray):
+        self.words, self.word_level = words, word_level
+        # pairs in a table by their last bits; of those in one place the most frequent stays
+        self.slots, self.levels = np.zeros(1 << _SLOT_BITS, np.uint64), np.zeros(1 << _SLOT_BITS, np.uint64)
+        order = np.argsort(pair_level, kind="stable")
+        at = (pairs[order] & _SLOT).astype(np.int64)
+        self.slots[at], self.levels[at] = pairs[order], pair_level[order]
+
+    def of_words(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(hashes), np.uint64)
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.level[at], np.uint64(0))
+        return np.where(self.words[at] == hashes, self.word_level[at], np.uint64(0))
 
+    def of_pairs(self, hashes: np.ndarray) -> np.ndarray:
+        at = (hashes & _SLOT).astype(np.int64)
+        return np.where(self.slots[at] == hashes, self.levels[at], np.uint64(0))
 
-def _pair_keys(h: np.ndarray, level: np.ndarray, n: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+
+def rank_arrays(docs: DataFrame, s: Settings) -> tuple[np.ndarray, ...]:
+    """What ``Ranks`` is made of: plain arrays, of bounded size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for texts in slices(b.column("text"), s.run_bytes):
+                lists = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), "\n")
+                codes, names, counts = word_column(lists.flatten())
+                h = word_keys(_normal_words(names))[codes]
+                line = np.repeat(np.arange(len(counts)), counts)[h != 0]
+                h = h[h != 0]
+                inner = np.flatnonzero(line[1:] == line[:-1])
+                for kind, keys in ((0, h), (1, _pair_hashes(h, inner))):
+                    keys, c = np.unique(keys, return_counts=True)
+                    yield pa.record_batch({
+                        "kind": pa.array(np.full(len(keys), kind, np.int8)),
+                        "key": pa.array(keys.view(np.int64)), "c": pa.array(c.astype(np.int64))})
+
+    every = max(1, docs.count() // s.sample_docs)
+    counts = materialize(
+        docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
+        .mapInArrow(lean(run), "kind byte, key long, c long").groupBy("kind", "key")
+        .agg(F.sum("c").alias("c")).where("c > 2 OR kind = 0"), "line-ranks")
+    out = []
+    for kind, most in ((0, s.ranked_words), (1, s.ranked_pairs)):
+        rows = (counts.where(F.col("kind") == kind).orderBy(F.desc("c"), "key").limit(most)
+                .select("key", "c").toArrow())
+        keys = rows.column("key").to_numpy().view(np.uint64)
+        level = 1 + np.minimum(29, 1.5 * np.log2(np.maximum(1, rows.column("c").to_numpy()))).astype(np.uint64)
+        order = np.argsort(keys)
+        out += [keys[order], level[order]]
+    return tuple(out)
+
+
+def _pair_hashes(h: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """Of the pairs of neighbouring words that begin at ``inner``."""
+    return mix64(h[inner] * _A + h[inner + 1]) >> np.uint64(64 - _HASH_BITS)
+
+
+def _pair_keys(h: np.ndarray, level: np.ndarray, n: np.ndarray, ranks: Ranks,
+               s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Keys per line, and the keys of all lines of ``n`` words: the first word
-    pairs in the order of all pairs, equal ones told apart by a number."""
+    pairs in the order of all pairs (one more than a tile needs), equal ones
+    told apart by a number."""
     counts, out = [], []
     most = 1 << 64 - _GRAM_BITS
     ends = np.cumsum(n)
@@ -135,16 +184,16 @@ def _pair_keys(h: np.ndarray, level: np.ndarray, n: np.ndarray, s: Settings) ->
         x, r = h[a:b], level[a:b]
         line = np.repeat(np.arange(len(own)), own)
         inner = np.flatnonzero(line[1:] == line[:-1])
-        gram = mix64(x[inner] * _A + x[inner + 1]) >> np.uint64(64 - _HASH_BITS)
-        v = (line[inner].astype(np.uint64) << np.uint64(_GRAM_BITS)
-             | (r[inner] + r[inner + 1]) << np.uint64(_HASH_BITS) | gram)
+        gram = _pair_hashes(x, inner)
+        rank = (ranks.of_pairs(gram) << np.uint64(_LEVEL_BITS)) + r[inner] + r[inner + 1]
+        v = line[inner].astype(np.uint64) << np.uint64(_GRAM_BITS) | rank << np.uint64(_HASH_BITS) | gram
         v.sort()
         line = (v >> np.uint64(_GRAM_BITS)).astype(np.int64)
         pairs = np.maximum(own - 1, 0)
         at = np.arange(len(v))
         new = np.concatenate([[True], v[1:] != v[:-1]])[:len(v)]
         again = at - np.maximum.accumulate(np.where(new, at, 0))
-        take = at - (np.cumsum(pairs) - pairs)[line] <= s.lost(own)[line]
+        take = at - (np.cumsum(pairs) - pairs)[line] <= s.lost(own)[line] + 1
         v = v[take] & np.uint64((1 << _GRAM_BITS) - 1)
         out.append(mix64(mix64(v) + again[take].astype(np.uint64) * _B))
         counts.append(np.bincount(line[take], minlength=len(own)))
@@ -152,9 +201,20 @@ def _pair_keys(h: np.ndarray, level: np.ndarray, n: np.ndarray, s: Settings) ->
         np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
 
+def block_keys(sim: np.ndarray, s: Settings) -> np.ndarray:
+    """Keys of SimHashes, a row each: every choice of ``agree`` blocks."""
+    edges = [64 * i // s.blocks for i in range(s.blocks + 1)]
+    out = []
+    for i, chosen in enumerate(itertools.combinations(range(s.blocks), s.agree)):
+        mask = sum((1 << edges[c + 1]) - (1 << edges[c]) for c in chosen)
+        out.append(mix64((sim & np.uint64(mask)) ^ mix64(np.full(1, i + 1, np.uint64) * _B)))
+    return np.stack(out, axis=1)
+
+
 def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
     """Per run of texts: lines that may go of each text, their numbers, two
-    hashes, words, SimHash, parity bitmap of words, and keys (once per run)."""
+    hashes, words, parity bitmap of words, and (once per run) keys: those of the
+    SimHash before those of word pairs."""
     for run in slices(texts, s.run_bytes):
         lists = pc.split_pattern(pc.fill_null(run.cast(pa.large_string()), ""), "\n")
         lines = lists.flatten()
@@ -166,7 +226,7 @@ def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
         wide = np.flatnonzero(pc.binary_length(names).to_numpy() != sizes)
         unspaced = pc.count_substring_regex(names.take(pa.array(wide)), _UNSPACED).to_numpy()
         weight[wide] = np.maximum(weight[wide], unspaced // 2)
-        level = ranks.levels(hashes)
+        level = ranks.of_words(hashes)
         owner = np.repeat(np.arange(len(words)), words)
         keep = sizes[codes] > 0 if len(codes) else np.zeros(0, dtype=bool)
         codes, owner = codes[keep], owner[keep]
@@ -175,17 +235,15 @@ def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
         long = weights >= max(1, s.min_words)
         codes = codes[long[owner]]
         n = words[long]
-        out = {k: np.zeros(len(n), np.uint64) for k in ("h1", "h2", "sim", "b1", "b2")}
+        out = {k: np.zeros(len(n), np.uint64) for k in ("h1", "h2", "b1", "b2")}
         counts, keys = np.zeros(len(n), np.int64), np.zeros(0, np.uint64)
         if len(n):
             h = hashes[codes]
             first = np.cumsum(n) - n
             place = (np.arange(len(h)) - np.repeat(first, n)).astype(np.uint64)
-            out["h1"] = mix64(np.add.reduceat(mix64(h + place * _A), first))
+            out["h1"] = _line_hash(h, place, first)
             out["h2"] = mix64(np.add.reduceat(mix64((h ^ _B) + place * _B), first))
             mixed = mix64(h)
-            if s.radius < 64:
-                out["sim"] = _simhash(mixed, first, n, sizes[codes] >= s.feature_chars)
             bit = np.uint64(1) << (mixed & np.uint64(63))
             high = mixed >> np.uint64(63) > 0
             out["b1"] = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), first)
@@ -194,7 +252,18 @@ def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
             once[np.unique(out["h1"], return_index=True)[1]] = True
             near = once & (n >= s.near_words)
             chosen = np.repeat(near, n)
-            counts[near], keys = _pair_keys(h[chosen], level[codes[chosen]], n[near], s)
+            if near.any():
+                per_line, pairs = _pair_keys(h[chosen], level[codes[chosen]], n[near], ranks, s)
+                few = n[near]
+                sim = block_keys(_simhash(mixed[chosen], np.cumsum(few) - few, few,
+                                          sizes[codes[chosen]] >= s.feature_chars), s)
+                # the blocks' keys of a line, then its pairs'
+                counts[near] = per_line + sim.shape[1]
+                ends = np.cumsum(counts[near])
+                place = np.arange(ends[-1]) - np.repeat(ends - counts[near], counts[near])
+                keys = np.empty(ends[-1], np.uint64)
+                keys[place < sim.shape[1]] = sim.ravel()
+                keys[place >= sim.shape[1]] = pairs
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         at = np.flatnonzero(long)
         text = np.searchsorted(offsets, at, side="right") - 1
@@ -202,6 +271,11 @@ def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
                      "lines": np.bincount(text, minlength=len(run)), "counts": counts, "keys": keys}
 
 
+def _line_hash(h: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of each line from the hashes and places of its words."""
+    return mix64(np.add.reduceat(mix64(h + place * _A), first))
+
+
 def _simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray, feature: np.ndarray,
              step: int = 1 << 17) -> np.ndarray:
     """Majority of every bit over the feature words of each line (all words of
@@ -221,16 +295,17 @@ def _simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray, feature: np.ndarra
 
 
 def line_table(docs: DataFrame, s: Settings) -> DataFrame:
-    """``doc_id, line, h1, h2, n, sim, b1, b2, keys`` of every line that may go."""
+    """``doc_id, line, h1, h2, n, b1, b2, keys`` of every line that may go."""
     docs = (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
             .select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    ranks = docs.sparkSession.sparkContext.broadcast(Ranks.of(docs, s))
+    shared = docs.sparkSession.sparkContext.broadcast(rank_arrays(docs, s))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = Ranks(*shared.value)
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             at = 0
-            for r in _line_rows(b.column("text"), ranks.value, s):
+            for r in _line_rows(b.column("text"), ranks, s):
                 here = ids[at:at + len(r["lines"])]
                 at += len(here)
                 ends = np.concatenate([[0], np.cumsum(r["counts"])]).astype(np.int32)
@@ -241,12 +316,76 @@ def line_table(docs: DataFrame, s: Settings) -> DataFrame:
                     **{k: pa.array(r[k].view(np.int64)) for k in _PAYLOAD[1:]},
                     "keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(r["keys"].view(np.int64)))})
 
-    return docs.mapInArrow(lean(run), "doc_id long, line int, h1 long, h2 long, n int, sim long, "
+    return docs.mapInArrow(lean(run), "doc_id long, line int, h1 long, h2 long, n int, "
                                       "b1 long, b2 long, keys array<long>")
 
 
+def _key_arrays(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a batch in a row, and how many each line has."""
+    keys = b.column("keys")
+    return keys.flatten().to_numpy().view(np.uint64), np.diff(keys.offsets.to_numpy())
+
+
+def repeated_keys(table: DataFrame, s: Settings) -> DataFrame:
+    """``hash`` (the first ``_KEY_BITS`` bits) of all keys that occur twice."""
+    n, many = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    edges = part_edges(max(1, int(n * 0.35 + many * 8) // s.part_keys), _KEY_BITS)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def parts() -> pa.RecordBatch:
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return packed_parts(keys, edges, np.minimum(counts, 2))
+
+        for b in batches:
+            held.append(_key_arrays(b)[0] >> np.uint64(64 - _KEY_BITS))
+            if sum(map(len, held)) > s.part_keys:
+                yield parts()
+        if sum(map(len, held)):
+            yield parts()
+
+    def twice(t: pa.Table) -> pa.Table:
+        keys = np.concatenate([unpacked_keys(x) for x in t.column("keys").to_pylist()])
+        counts = np.concatenate([unpacked(x) for x in t.column("v0").to_pylist()])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        many = np.add.reduceat(counts, first)
+        return pa.table({"hash": pa.array(keys[first][many > 1].view(np.int64))})
+
+    return (table.select("keys").mapInArrow(lean(send), "part int, keys binary, v0 binary")
+            .groupBy("part").applyInArrow(twice, "hash long"))
+
+
+def keyed_lines(table: DataFrame, s: Settings) -> DataFrame:
+    """``key, node, block`` of the keys that several lines may have; ``block``
+    for those of SimHashes."""
+    twice = materialize(repeated_keys(table, s), "line-keys-twice")
+    shared = table.sparkSession.sparkContext.broadcast(bloom_filter(twice))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = len(list(itertools.combinations(range(s.blocks), s.agree)))
+        for b in batches:
+            keys, counts = _key_arrays(b)
+            ends = np.cumsum(counts)
+            line = np.repeat(np.arange(len(counts)), counts)
+            place = np.arange(len(keys)) - (ends - counts)[line]
+            n = b.column("n").to_numpy()
+            # the last word pair only serves to refine a tile
+            at = np.flatnonzero(place <= blocks + s.lost(n)[line])
+            at = at[passes(shared.value, keys[at] >> np.uint64(64 - _KEY_BITS))]
+            yield pa.record_batch({"key": pa.array(keys[at].view(np.int64)),
+                                   "node": b.column("h1").take(pa.array(line[at])),
+                                   "block": pa.array(place[at] < blocks)})
+
+    return (table.select("h1", "n", "keys").mapInArrow(lean(run), "key long, node long, block boolean")
+            .distinct())
+
+
 def _near(left: str, right: str, s: Settings) -> Column:
-    """Whether lengths, bitmaps and SimHashes of two classes leave room for a link."""
+    """Whether lengths and bitmaps of two classes leave room for a link."""
 
     def apart(name: str) -> Column:
         return F.bit_count(F.col(left + name).bitwiseXOR(F.col(right + name)))
@@ -254,8 +393,42 @@ def _near(left: str, right: str, s: Settings) -> Column:
     n, m = F.col(left + "n"), F.col(right + "n")
     most = F.floor(F.greatest(n, m) * F.lit(1 - s.similar) + F.lit(1e-9))
     # a replaced word changes two bits, an added or a left out one changes one
-    ok = (F.abs(n - m) <= most) & (apart("b1") + apart("b2") <= 2 * most - F.abs(n - m))
-    return ok & (apart("sim") <= s.radius) if s.radius < 64 else ok
+    return (F.abs(n - m) <= most) & (apart("b1") + apart("b2") <= 2 * most - F.abs(n - m))
+
+
+def _refined(large: DataFrame, table: DataFrame, s: Settings) -> DataFrame:
+    """``key, node`` of two word pairs: the tile's of ``large`` (``key, node``) and
+    any later one of the line.  Linked lines of a tile share another pair: if
+    the tile is of the first that they share, the second is among their keys."""
+    blocks = len(list(itertools.combinations(range(s.blocks), s.agree)))
+    nodes = large.select("node").distinct()
+    keys = (table.where(F.size("keys") > 0).select(F.col("h1").alias("node"), "keys")
+            .join(nodes, "node").dropDuplicates(["node"]))
+    own = F.slice("keys", F.lit(blocks + 1), F.size("keys"))
+    later = let(F.array_position(own, F.col("key")).cast("int"),
+                lambda i: F.slice(own, i + 1, F.size(own)))
+    return (large.join(keys, "node").withColumn("then", F.explode(later))
+            .select(F.xxhash64("key", "then").alias("key"), "node"))
+
+
+def _opened(members: DataFrame, roots: DataFrame, classes: DataFrame, table: DataFrame,
+            s: Settings) -> DataFrame:
+    """Pairs across components that share a tile and may link."""
+    payload = classes.select("node", *_PAYLOAD)
+
+    def test(x: str, y: str) -> Column:
+        return _near(x, y, s)
+
+    rows, mixed = mixed_tiles(members, roots)
+    mixed = materialize(mixed, "line-mixed")
+    small = mixed.where(F.col("size") <= s.tile).select("key")
+    large = mixed.where(F.col("size") > s.tile).select("key")
+    pairs = join_tiles(rows.join(small, "key"), payload, test, s.chunk)
+    if not large.head(1):
+        return pairs
+    again = shared_tiles(_refined(rows.join(large, "key").select("key", "node"), table, s))
+    rows, mixed = mixed_tiles(again, roots)
+    return pairs.unionByName(join_tiles(rows.join(mixed.select("key"), "key"), payload, test, s.chunk))
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
@@ -272,37 +445,83 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes_, texts = [], []
-            for text, rows in zip(b.column("text").to_pylist(), b.column("wanted").to_pylist()):
-                own = text.split("\n")
-                for r in rows:
-                    nodes_.append(r["node"])
-                    texts.append(own[r["line"]] if r["line"] < len(own) else "")
-            yield pa.record_batch({
-                "node": pa.array(nodes_, pa.int64()),
-                "own": pa.array(normal_lines(texts), pa.list_(pa.string()))})
+            lists = b.column("wanted")
+            rows = lists.flatten()
+            owner = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            line, node = rows.field("line").to_numpy(), rows.field("node")
+            at = 0
+            for texts in slices(b.column("text"), s.run_bytes):
+                mine = np.flatnonzero((owner >= at) & (owner < at + len(texts)))
+                split = pc.split_pattern(texts.cast(pa.large_string()), "\n")
+                offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+                first, many = offsets[owner[mine] - at], np.diff(offsets)[owner[mine] - at]
+                # rows that share a doc_id may have other lines than the one that was seen
+                there = line[mine] < many
+                own = split.flatten().take(pa.array((first + line[mine])[there]))
+                yield _of_nodes(node.take(pa.array(mine[there])), own)
+                at += len(texts)
 
     small = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= s.broadcast_lines
     texts = materialize(
         docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
         .join(F.broadcast(wanted) if small else wanted, "doc_id")
-        .mapInArrow(lean(read), "node long, own array<string>").distinct(), "line-texts")
+        .mapInArrow(lean(read), "node long, own binary")
+        .distinct(), "line-texts")
     both = (near.join(texts.select(F.col("node").alias("a"), F.col("own").alias("ta")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("own").alias("tb")), "b"))
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def linked_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            keep = []
-            for x, y in zip(t.column("ta").to_pylist(), t.column("tb").to_pylist()):
-                most = int(max(len(x), len(y)) * (1 - s.similar) + 1e-9)
-                keep.append(word_edits(x, y, most) <= most)
+            keep = [alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), s)
+                    for x, y in zip(t.column("ta"), t.column("tb"))]
             yield t.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return materialize(both.select("a", "b", "ta", "tb").mapInArrow(lean(alike), "a long, b long")
+    return materialize(both.select("a", "b", "ta", "tb").mapInArrow(lean(linked_pairs), "a long, b long")
                        .distinct(), "line-links")
 
 
-def word_edits(x: list[str], y: list[str], most: int) -> int:
+def word_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words by which lines are compared, and how many each has."""
+    codes, names, counts = word_column(lines)
+    h = word_keys(_normal_words(names))[codes]
+    line = np.repeat(np.arange(len(counts)), counts)[h != 0]
+    return np.ascontiguousarray(h[h != 0]), np.bincount(line, minlength=len(counts))
+
+
+def _of_nodes(nodes: pa.Array, lines: pa.Array) -> pa.RecordBatch:
+    """``node, own``: the bytes of the lines' word hashes, where these are the node's."""
+    h, n = word_hashes(lines)
+    ends = np.cumsum(n)
+    blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [
+        None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64) * 8), pa.py_buffer(h)])
+    same = n > 0
+    if same.any():
+        place = (np.arange(len(h)) - np.repeat(ends - n, n)).astype(np.uint64)
+        same[same] = _line_hash(h, place, (ends - n)[same]) == nodes.to_numpy().view(np.uint64)[same]
+    return pa.record_batch({"node": nodes, "own": blobs.cast(pa.binary())}).filter(pa.array(same))
+
+
+def alike(x: np.ndarray, y: np.ndarray, s: Settings) -> bool:
+    """Whether two lines of word hashes reach the edit similarity."""
+    n, m = len(x), len(y)
+    most = int(s.edits(max(n, m)))
+    if abs(n - m) > most:
+        return False
+    if n == m and np.count_nonzero(x != y) <= most:
+        return True
+    # what lies between the first and the last word that differ
+    short = min(n, m)
+    off = np.flatnonzero(x[:short] != y[:short])
+    head = int(off[0]) if len(off) else short
+    off = np.flatnonzero(x[n - short + head:][::-1] != y[m - short + head:][::-1])
+    tail = int(off[0]) if len(off) else short - head
+    x, y = x[head:n - tail], y[head:m - tail]
+    if max(len(x), len(y)) <= most:
+        return True
+    return word_edits(x.tolist(), y.tolist(), most) <= most
+
+
+def word_edits(x: list, y: list, most: int) -> int:
     """Least insertions, deletions and replacements of words from ``x`` to
     ``y``, or ``most + 1`` if there are more: for each number of edits, how far
     each diagonal reaches, so near lines cost little more than reading them."""
@@ -338,12 +557,11 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                                       F.count(F.lit(1)).alias("copies")), "line-classes")
     classes = (equal.where(F.col("n") >= s.near_words)
                .select(F.col("h1").alias("node"), *_PAYLOAD, "at.doc_id", "at.line"))
-    # dealt by key once, for the aggregate and the join back
-    members = shared_tiles(table.select(F.col("h1").alias("node"), F.explode("keys").alias("key"))
-                           .repartition("key"))
-    roots = linked(members, lambda pairs: _verify(pairs, classes, docs, s),
-                   lambda roots: join_tiles(members, roots, classes.select("node", *_PAYLOAD),
-                                            lambda x, y: _near(x, y, s), s.chunk))
+    members = shared_tiles(keyed_lines(table, s))
+    met = members.where("block AND node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = members.where("NOT block").drop("block")
+    roots = linked(pairs, lambda found: _verify(found, classes, docs, s),
+                   lambda roots: _opened(pairs, roots, classes, table, s), extra=met)
     grouped = (equal.join(roots, equal["h1"] == roots["node"], "left")
                .where((F.col("copies") > 1) | F.col("root").isNotNull())
                .select("h1", "h2", "at", F.coalesce("root", "h1").alias("root"),

@@ -34,23 +34,27 @@ def shared_tiles(keyed: DataFrame) -> DataFrame:
     return materialize(keyed.join(shared, "key").distinct(), "tile-members")
 
 
-def _mixed(members: DataFrame, roots: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
-    """``key, node, root`` of all members, and ``key, chunks`` of the tiles that
+def mixed_tiles(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, node, root`` of all members, and ``key, size`` of the tiles that
     hold several components."""
     rows = (members.join(roots.select("node", "root"), "node", "left")
             .select("key", "node", F.coalesce("root", "node").alias("root")))
     mixed = (rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                      F.count(F.lit(1)).alias("size")).where("lo < hi")
-             .select("key", F.ceil(F.col("size") / chunk).cast("int").alias("chunks")))
+             .select("key", "size"))
     return rows, mixed
 
 
+def _chunks(size: Column, chunk: int) -> Column:
+    return F.ceil(size / chunk).cast("int")
+
+
 def open_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
                test: Callable[[pa.Table], Test], chunk: int) -> DataFrame:
     """Pairs ``a < b`` across components that share a tile and pass ``test``,
     which sees the payload of a pair of chunks at a time."""
-    rows, mixed = _mixed(members, roots, chunk)
-    opened = (rows.join(mixed, "key")
+    rows, mixed = mixed_tiles(members, roots)
+    opened = (rows.join(mixed.select("key", _chunks(F.col("size"), chunk).alias("chunks")), "key")
               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
               # a chunk meets every chunk: the row goes to all its chunk pairs
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -76,13 +80,14 @@ def open_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
     return opened.groupBy("key", "i", "j").applyInArrow(pairs, "a long, b long").distinct()
 
 
-def join_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
-               test: Callable[[str, str], Column], chunk: int) -> DataFrame:
-    """The same by a join, for a test that Spark can express: ``test`` gets the
-    prefixes of the two sides' payload columns.  Suits many small tiles; a large
-    one is spread over its pairs of chunks."""
-    rows, mixed = _mixed(members, roots, chunk)
-    opened = (rows.join(mixed, "key").join(payload, "node")
+def join_tiles(rows: DataFrame, payload: DataFrame, test: Callable[[str, str], Column],
+               chunk: int) -> DataFrame:
+    """The same by a join, for a test that Spark can express: ``rows`` are ``key,
+    node, root`` of the tiles to open, ``test`` gets the prefixes of the two
+    sides' payload columns.  Suits many small tiles; a large one is spread over
+    its pairs of chunks."""
+    sizes = rows.groupBy("key").agg(_chunks(F.count(F.lit(1)), chunk).alias("chunks"))
+    opened = (rows.join(sizes, "key").join(payload, "node")
               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
     last = F.col("chunks") - 1
     left = opened.withColumn("i", F.col("own")).withColumn("j", F.explode(F.sequence("own", last)))

@@ -51,7 +51,7 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def line_removals(docs, normal, simhash, s):
+def line_removals(docs, normal, s):
     """Lines that go: all but the first of every connected group."""
     places = defaultdict(list)
     for i, text in docs:
@@ -60,13 +60,11 @@ def line_removals(docs, normal, simhash, s):
             if own and len(own.split(" ")) >= s.min_words:
                 places[own].append((i, n))
     lines = sorted(places)
-    sims = {x: simhash(x.split(" ")) for x in lines}
     groups = Groups(lines)
     for k, a in enumerate(lines):
         for b in lines[k + 1:]:
-            if (sims[a] ^ sims[b]).bit_count() <= s.radius and \
-                    levenshtein(a.split(" "), b.split(" ")) <= int(
-                        max(a.count(" "), b.count(" ")) * (1 - s.similar) + 1 - s.similar + 1e-9):
+            if levenshtein(a.split(" "), b.split(" ")) <= int(
+                    max(a.count(" "), b.count(" ")) * (1 - s.similar) + 1 - s.similar + 1e-9):
                 groups.join(a, b)
     found = defaultdict(list)
     for x in lines:

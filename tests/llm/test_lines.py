@@ -1,5 +1,9 @@
+import os
 import random
+import subprocess
+import sys
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -25,7 +29,7 @@ def normal(line):
 def make(seed):
     rng = random.Random(seed)
     vocab = [f"term{i}" for i in range(300)]
-    pool = [[rng.choice(vocab) for _ in range(rng.choice((4, 8, 12, 40)))] for _ in range(30)]
+    pool = [[rng.choice(vocab) for _ in range(rng.choice((4, 7, 8, 12, 40)))] for _ in range(30)]
     docs = []
     for i in range(40):
         out = []
@@ -38,11 +42,12 @@ def make(seed):
     return docs
 
 
-@pytest.mark.parametrize("s", [lines.Settings(), lines.Settings(chunk=2, broadcast_lines=0)])
+@pytest.mark.parametrize("s", [
+    lines.Settings(), lines.Settings(chunk=2, tile=2, part_keys=50, broadcast_lines=0)])
 def test_removals_equal_all_pairs(spark, s):
     docs = make(1)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    want = line_removals(docs, normal, simhash, s)
+    want = line_removals(docs, normal, s)
     assert want and {(r["doc_id"], r["line"]) for r in lines.removals(df, s).collect()} == want
     text = dict(docs)
     for r in lines.dedup_lines(df, s).collect():
@@ -82,18 +87,13 @@ def test_word_edits():
             assert lines.word_edits(x, y, most) == min(levenshtein(x, y), most + 1)
 
 
-def by_edits(docs, s):
-    """Removals by edit similarity alone, over all pairs of lines."""
-    return line_removals(docs, normal, lambda _: 0, s)
-
-
 def test_candidates_are_complete_for_the_edit_similarity(spark):
     # near copies of all lengths: words replaced, left out and put in, words in common use
     rng = random.Random(7)
     vocab = [f"common{i}" for i in range(12)] + [f"rare{i}" for i in range(4000)]
     docs = []
     for i in range(50):
-        own = [rng.choice(vocab[:12] if rng.random() < 0.5 else vocab) for _ in range(rng.randint(8, 45))]
+        own = [rng.choice(vocab[:12] if rng.random() < 0.5 else vocab) for _ in range(rng.randint(7, 45))]
         near = list(own)
         for _ in range(int(len(own) * 0.15)):
             at = rng.randrange(len(near))
@@ -101,13 +101,71 @@ def test_candidates_are_complete_for_the_edit_similarity(spark):
         docs.append((i, " ".join(own) + "\n" + " ".join(near)))
     docs.append((900, "same " * 30 + "\n" + "same " * 27))
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    want = by_edits(docs, lines.Settings())
+    want = line_removals(docs, normal, lines.Settings())
     assert len(want) > 30
-    for s in (lines.Settings(), lines.Settings(sample_docs=10, ranked_words=5)):
+    for s in (lines.Settings(), lines.Settings(sample_docs=10, ranked_words=5, ranked_pairs=3, tile=2)):
         assert {(r["doc_id"], r["line"]) for r in lines.removals(df, s).collect()} == want
-    few = lines.Settings(radius=2)
-    assert {(r["doc_id"], r["line"]) for r in lines.removals(df, few).collect()} == \
-        line_removals(docs, normal, simhash, few)
+
+
+def test_large_tiles_are_refined_without_a_loss(spark):
+    # lines around a few common phrases: every tile holds many lines that do not link
+    rng = random.Random(3)
+    phrase = [[f"p{i}w{j}" for j in range(6)] for i in range(3)]
+    docs = []
+    for i in range(90):
+        own = [f"x{rng.randrange(60)}" for _ in range(rng.randint(6, 10))]
+        text = own[:4] + rng.choice(phrase) + own[4:]
+        other = list(text)
+        other[rng.randrange(len(other))] = f"y{i}"
+        docs.append((i, "\n".join(" ".join(x) for x in (text, other)[:rng.randint(1, 2)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = line_removals(docs, normal, lines.Settings())
+    got = {(r["doc_id"], r["line"]) for r in lines.removals(df, lines.Settings(tile=3)).collect()}
+    assert len(want) > 20 and got == want
+
+
+def test_simhash_blocks_meet_by_pigeonhole():
+    s = lines.Settings()
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    keys = lines.block_keys(base, s)
+    for bits in range(s.blocks - s.agree + 1):
+        near = base.copy()
+        for row in range(len(near)):
+            for k in rng.choice(64, bits, replace=False):
+                near[row] ^= np.uint64(1 << int(k))
+        assert (lines.block_keys(near, s) == keys).any(axis=1).all()
+    assert not (lines.block_keys(~base, s) == keys).any()
+
+
+def test_simhash_of_lines():
+    rng = random.Random(4)
+    texts = [[f"word{rng.randrange(50)}" if rng.random() < 0.7 else "ab" for _ in range(rng.randint(1, 30))]
+             for _ in range(40)]
+    h, n = lines.word_hashes(pa.array([" ".join(t) for t in texts]))
+    words = [w for t in texts for w in t]
+    # digits count as equal in lines, so hash the words as they are compared
+    plain = [[w for w in lines.normal_lines([" ".join(t)])[0]] for t in texts]
+    got = lines._simhash(mix64(h), np.cumsum(n) - n, n, np.array([len(w) >= 5 for w in words]))
+    assert got.tolist() == [simhash(t) for t in plain]
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    script = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from ratelens.session import build_session
+from ratelens.llm import lines
+spark = build_session("local[2]", 2)
+text = "one two three four five six seven eight nine"
+df = spark.createDataFrame([(1, text), (2, text + " ten"), (3, "x")], "doc_id long, text string")
+print("removed", [r["n_removed"] for r in lines.dedup_lines(df).orderBy("doc_id").collect()])
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script, root], cwd=tmp_path, env=env, text=True,
+                         capture_output=True, timeout=300)
+    assert "removed [0, 1, 0]" in out.stdout, out.stderr[-2000:]
 
 
 def test_short_and_unspaced_lines_go_once_repeated(spark):
@@ -116,5 +174,18 @@ def test_short_and_unspaced_lines_go_once_repeated(spark):
     other = "Licensed under the old Apache License, Version"
     docs = [(1, short), (2, short), (3, near), (4, other)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    # seven words with one replaced are below the floor of unequal lines
-    assert {(r["doc_id"], r["line"]) for r in lines.removals(df).collect()} == {(2, 0), (2, 1)}
+    # one of five words is too much, one of seven is not
+    assert {(r["doc_id"], r["line"]) for r in lines.removals(df).collect()} == {(2, 0), (2, 1), (4, 0)}
+
+
+def test_alike_equals_the_edit_distance():
+    rng = random.Random(6)
+    s = lines.Settings(similar=0.7)
+    for _ in range(2000):
+        x = [rng.randrange(4) for _ in range(rng.randint(1, 16))]
+        y = list(x)
+        for _ in range(rng.randint(0, 6)):
+            at = rng.randrange(len(y) + 1)
+            y[at:at + rng.randint(0, 1)] = [rng.randrange(4)] * rng.randint(0, 2)
+        want = levenshtein(x, y) <= int(s.edits(max(len(x), len(y))))
+        assert lines.alike(np.array(x, np.uint64), np.array(y, np.uint64), s) == want
