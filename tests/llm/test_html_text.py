@@ -31,6 +31,57 @@ def test_comments_and_hidden_parts_of_an_article():
     assert html_text.extract(page) == f"Title\n{LONG.strip()}"
 
 
+def test_names_are_hints_not_verdicts():
+    text = f"{LONG.strip()}\n{LONG.strip()}"
+    paragraphs = f"<p>{LONG}</p><p>{LONG}</p>"
+    assert html_text.extract(f'<body><div class="content with-sidebar">{paragraphs}</div></body>') == text
+    assert html_text.extract(f'<div id="main" class="post no-comments">{paragraphs}</div>') == text
+    assert html_text.extract(f"<body><form action=/x>{paragraphs}<input></form></body>") == text
+    assert html_text.extract(f"<form><nav>Menu</nav><article>{paragraphs}</article></form>") == text
+    assert html_text.extract(f'<article><p>{LONG}</p><section id="related-work"><p>{LONG}</p></section></article>') == text
+
+
+def test_boxes_that_names_and_contents_speak_against():
+    article = f"<article><p>{LONG}</p><p>{LONG}</p></article>"
+    text = f"{LONG.strip()}\n{LONG.strip()}"
+    for box in ('<div class="sidebar">{}</div>', '<div class="promo-box"><p>{}</p></div>', '<section id=comments>{}</section>',
+                '<div class="related"><a href=x>{}</a></div>', "<form><label>{}</label></form>",
+                '<div class="cookie-notice">{}</div>', '<div role="alert">{}</div>'):
+        own = box.format("Some words of a box, not long.")
+        assert html_text.extract(f"<body>{own}{article}{own}</body>") == text
+        inside = article.replace("</article>", f"{own}</article>")
+        assert html_text.extract(f"<body>{inside}</body>") == text
+    # however long they are, comments are no article
+    comments = f'<div class="comments">{f"<p>{LONG}</p>" * 9}</div>'
+    assert html_text.extract(f"<div><p>{LONG}</p></div>{comments}") == LONG.strip()
+
+
+def test_the_ratio_decides_without_an_article_element():
+    body = f"<div><h1>A title</h1><p>{LONG}</p><p>short one</p></div>"
+    text = f"A title\n{LONG.strip()}\nshort one"
+    assert html_text.extract(f"<body><div>Buy one, get one now</div>{body}<div><a href=1>more</a></div></body>") == text
+    parts = f"<div><div><h2>Start</h2><p>{LONG}</p></div>{body}</div>"
+    assert html_text.extract(f"<body>{parts}<div>Bye</div></body>") == f"Start\n{LONG.strip()}\n{text}"
+
+
+def test_given_pages_without_names(sf_dir):
+    import pyarrow.parquet as pq
+    exact = total = 0
+    for page in pq.read_table(f"{sf_dir}/pages.parquet", columns=["html"]).column(0).to_pylist():
+        bare = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", re.sub(r'\s(?:class|id|role)="[^"]*"', "", page))
+        want, got = html_text.extract(page), html_text.extract(bare)
+        exact += got == want
+        total += 1
+        assert set(want.split("\n")) <= set(got.split("\n"))  # nothing is lost
+    assert exact >= 0.95 * total
+
+
+def test_a_very_long_page():
+    many = 20000
+    page = "<body><nav>x</nav><div>" + f"<p>{LONG}</p>" * many + "</div></body>"
+    assert html_text.extract(page).count("\n") == many - 1
+
+
 def test_odd_markup():
     assert html_text.extract(None) == html_text.extract("") == html_text.extract("<p>") == ""
     assert html_text.extract("just text") == "just text"
