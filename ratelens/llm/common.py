@@ -7,10 +7,12 @@ names (``spark.checkpoint.dir``), so a lost executor never takes data along.
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,14 @@ def clear_stored(spark: SparkSession) -> None:
         _STORED.remove(entry)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and broadcasts of steps that have been
+    written: it does so when the driver's objects for them are collected, which
+    by itself may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lean(run: Callable) -> Callable:
     """A function for ``mapInArrow`` that hands its memory back at the end of
     the task: workers are reused, and would hold on to the largest task's."""
@@ -77,6 +87,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def numbered_rows(df: DataFrame, out: str, label: str) -> DataFrame:
+    """``df`` with a column that tells its rows apart, the same at every read:
+    the file that a row stands in (a hash of its path) and its place there.
+    What isn't read from Parquet files is written first."""
+    try:
+        df.select("_metadata.row_index")
+    except AnalysisException:
+        df = materialize(df, label)
+    return df.withColumn(out, F.struct(F.xxhash64("_metadata.file_path").alias("file"),
+                                       F.col("_metadata.row_index").alias("place")))
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body`` (inside one expression)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -47,10 +47,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, let, materialize, mix64
+from .common import lean, let, materialize, mix64, release
 from .filters import bloom_filter, packed_parts, part_edges, passes, unpacked, unpacked_keys
 from .tiles import join_tiles, linked, mixed_tiles, shared_tiles
 from .tokens import slices, word_column, word_keys
@@ -211,13 +212,16 @@ def block_keys(sim: np.ndarray, s: Settings) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
+def _line_rows(texts: pa.Array, ids: np.ndarray, ranks: Ranks, s: Settings) -> Iterator[dict]:
     """Per run of texts: lines that may go of each text, their numbers, two
-    hashes, words, parity bitmap of words, and (once per run) keys: those of the
-    SimHash before those of word pairs."""
+    hashes, words, parity bitmap of words, and keys: those of the SimHash before
+    those of word pairs.  Of equal lines of a run the one with the smallest
+    (doc_id, line number) has keys."""
+    at_text = 0
     for run in slices(texts, s.run_bytes):
         lists = pc.split_pattern(pc.fill_null(run.cast(pa.large_string()), ""), "\n")
         lines = lists.flatten()
+        here, at_text = ids[at_text:at_text + len(run)], at_text + len(run)
         codes, names, words = word_column(lines)
         names = _normal_words(names)
         hashes = word_keys(names)
@@ -235,6 +239,10 @@ def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
         long = weights >= max(1, s.min_words)
         codes = codes[long[owner]]
         n = words[long]
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        at = np.flatnonzero(long)
+        text = np.searchsorted(offsets, at, side="right") - 1
+        line = (at - offsets[text]).astype(np.int32)
         out = {k: np.zeros(len(n), np.uint64) for k in ("h1", "h2", "b1", "b2")}
         counts, keys = np.zeros(len(n), np.int64), np.zeros(0, np.uint64)
         if len(n):
@@ -248,8 +256,10 @@ def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
             high = mixed >> np.uint64(63) > 0
             out["b1"] = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), first)
             out["b2"] = np.bitwise_xor.reduceat(np.where(high, bit, np.uint64(0)), first)
+            order = np.lexsort((line, here[text], out["h1"]))
+            own = out["h1"][order]
             once = np.zeros(len(n), dtype=bool)
-            once[np.unique(out["h1"], return_index=True)[1]] = True
+            once[order[np.concatenate([[True], own[1:] != own[:-1]])]] = True
             near = once & (n >= s.near_words)
             chosen = np.repeat(near, n)
             if near.any():
@@ -264,11 +274,8 @@ def _line_rows(texts: pa.Array, ranks: Ranks, s: Settings) -> Iterator[dict]:
                 keys = np.empty(ends[-1], np.uint64)
                 keys[place < sim.shape[1]] = sim.ravel()
                 keys[place >= sim.shape[1]] = pairs
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        at = np.flatnonzero(long)
-        text = np.searchsorted(offsets, at, side="right") - 1
-        yield out | {"n": n.astype(np.int32), "line": (at - offsets[text]).astype(np.int32),
-                     "lines": np.bincount(text, minlength=len(run)), "counts": counts, "keys": keys}
+        yield out | {"n": n.astype(np.int32), "line": line,
+                     "doc": here[text], "counts": counts, "keys": keys}
 
 
 def _line_hash(h: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -304,13 +311,10 @@ def line_table(docs: DataFrame, s: Settings) -> DataFrame:
         ranks = Ranks(*shared.value)
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            at = 0
-            for r in _line_rows(b.column("text"), ranks, s):
-                here = ids[at:at + len(r["lines"])]
-                at += len(here)
+            for r in _line_rows(b.column("text"), ids, ranks, s):
                 ends = np.concatenate([[0], np.cumsum(r["counts"])]).astype(np.int32)
                 yield pa.record_batch({
-                    "doc_id": pa.array(np.repeat(here, r["lines"])), "line": pa.array(r["line"]),
+                    "doc_id": pa.array(r["doc"]), "line": pa.array(r["line"]),
                     "h1": pa.array(r["h1"].view(np.int64)), "h2": pa.array(r["h2"].view(np.int64)),
                     "n": pa.array(r["n"]),
                     **{k: pa.array(r[k].view(np.int64)) for k in _PAYLOAD[1:]},
@@ -326,7 +330,18 @@ def _key_arrays(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return keys.flatten().to_numpy().view(np.uint64), np.diff(keys.offsets.to_numpy())
 
 
-def repeated_keys(table: DataFrame, s: Settings) -> DataFrame:
+def first_places(equal: DataFrame) -> np.ndarray:
+    """A Bloom filter of the places where classes stand first: what it holds back
+    is certainly a copy, whose keys its class has already."""
+    return bloom_filter(equal.select(F.expr("shiftleft(at.doc_id, 24) ^ at.line").alias("hash")))
+
+
+def _firsts(b: pa.RecordBatch, places: np.ndarray) -> pa.RecordBatch:
+    at = b.column("doc_id").to_numpy() << 24 ^ b.column("line").to_numpy().astype(np.int64)
+    return b.filter(pa.array(passes(places, at.view(np.uint64))))
+
+
+def repeated_keys(table: DataFrame, places: Broadcast, s: Settings) -> DataFrame:
     """``hash`` (the first ``_KEY_BITS`` bits) of all keys that occur twice."""
     n, many = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     edges = part_edges(max(1, int(n * 0.35 + many * 8) // s.part_keys), _KEY_BITS)
@@ -340,7 +355,7 @@ def repeated_keys(table: DataFrame, s: Settings) -> DataFrame:
             return packed_parts(keys, edges, np.minimum(counts, 2))
 
         for b in batches:
-            held.append(_key_arrays(b)[0] >> np.uint64(64 - _KEY_BITS))
+            held.append(_key_arrays(_firsts(b, places.value))[0] >> np.uint64(64 - _KEY_BITS))
             if sum(map(len, held)) > s.part_keys:
                 yield parts()
         if sum(map(len, held)):
@@ -355,19 +370,22 @@ def repeated_keys(table: DataFrame, s: Settings) -> DataFrame:
         many = np.add.reduceat(counts, first)
         return pa.table({"hash": pa.array(keys[first][many > 1].view(np.int64))})
 
-    return (table.select("keys").mapInArrow(lean(send), "part int, keys binary, v0 binary")
+    return (table.select("doc_id", "line", "keys").mapInArrow(lean(send), "part int, keys binary, v0 binary")
             .groupBy("part").applyInArrow(twice, "hash long"))
 
 
-def keyed_lines(table: DataFrame, s: Settings) -> DataFrame:
+def keyed_lines(table: DataFrame, equal: DataFrame, s: Settings) -> DataFrame:
     """``key, node, block`` of the keys that several lines may have; ``block``
     for those of SimHashes."""
-    twice = materialize(repeated_keys(table, s), "line-keys-twice")
-    shared = table.sparkSession.sparkContext.broadcast(bloom_filter(twice))
+    sc = table.sparkSession.sparkContext
+    places = sc.broadcast(first_places(equal))
+    twice = materialize(repeated_keys(table, places, s), "line-keys-twice")
+    shared = sc.broadcast(bloom_filter(twice))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = len(list(itertools.combinations(range(s.blocks), s.agree)))
         for b in batches:
+            b = _firsts(b, places.value)
             keys, counts = _key_arrays(b)
             ends = np.cumsum(counts)
             line = np.repeat(np.arange(len(counts)), counts)
@@ -380,8 +398,8 @@ def keyed_lines(table: DataFrame, s: Settings) -> DataFrame:
                                    "node": b.column("h1").take(pa.array(line[at])),
                                    "block": pa.array(place[at] < blocks)})
 
-    return (table.select("h1", "n", "keys").mapInArrow(lean(run), "key long, node long, block boolean")
-            .distinct())
+    return (table.select("doc_id", "line", "h1", "n", "keys")
+            .mapInArrow(lean(run), "key long, node long, block boolean"))
 
 
 def _near(left: str, right: str, s: Settings) -> Column:
@@ -438,6 +456,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings)
             for x in "ab")
     near = materialize(pairs.join(a, "a").join(b, "b").where(_near("a_", "b_", s))
                        .select("a", "b").distinct(), "line-pairs")
+    release(docs.sparkSession)
     nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialize(
         classes.join(nodes, "node").groupBy("doc_id").agg(
@@ -557,11 +576,16 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                                       F.count(F.lit(1)).alias("copies")), "line-classes")
     classes = (equal.where(F.col("n") >= s.near_words)
                .select(F.col("h1").alias("node"), *_PAYLOAD, "at.doc_id", "at.line"))
-    members = shared_tiles(keyed_lines(table, s))
+    release(docs.sparkSession)
+    keyed = keyed_lines(table, equal, s)
+    release(docs.sparkSession)
+    members = shared_tiles(keyed)
+    release(docs.sparkSession)
     met = members.where("block AND node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     pairs = members.where("NOT block").drop("block")
     roots = linked(pairs, lambda found: _verify(found, classes, docs, s),
                    lambda roots: _opened(pairs, roots, classes, table, s), extra=met)
+    release(docs.sparkSession)
     grouped = (equal.join(roots, equal["h1"] == roots["node"], "left")
                .where((F.col("copies") > 1) | F.col("root").isNotNull())
                .select("h1", "h2", "at", F.coalesce("root", "h1").alias("root"),

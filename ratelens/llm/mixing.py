@@ -130,14 +130,16 @@ def _div(a: Column, b: Column) -> Column:
 
 def mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", source: str = "source",
         weights: Sequence[int] = WEIGHTS, cap: int = 3, block_tokens: int = 16,
-        shard_tokens: int = 1 << 20, seed: int = 17) -> DataFrame:
+        shard_tokens: int = 1 << 20, seed: int = 17, row: str | None = None) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` (and ``source``) per row.
 
-    Only ids, sources and sizes leave the scan of the texts.
+    Only ids, sources and sizes leave the scan of the texts.  ``row`` names a
+    column that tells rows apart and is returned with them.
     """
+    carry = [row] if row else []
     sized = materialize(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-        F.size(word_array(F.col(text))).cast("long").alias("size")), "mix-sizes")
+        F.size(word_array(F.col(text))).cast("long").alias("size"), *carry), "mix-sizes")
     sized = sized.withColumn("_src", F.coalesce("source", F.lit(""))) \
                  .withColumn("_nosrc", F.col("source").isNull())
     sources = materialize(sized.groupBy("_src", "_nosrc")
@@ -159,12 +161,12 @@ def mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", source:
     cells = materialize(cells, "mix-cells")
     quotas = cells.join(shard_quotas(cells.select(*_KEYS, "_v")), _KEYS).withColumn(
         "_seats", F.least("_seats", cap * F.col("_blocks"))).drop("source_size", "target")
-    stream = Window.partitionBy(*_KEYS).orderBy("_place", "doc_id", "size")
+    stream = Window.partitionBy(*_KEYS).orderBy("_place", "doc_id", "size", *carry)
     return (sized.withColumn("_start", F.sum("size").over(stream.rowsBetween(
                 Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
             .join(quotas, _KEYS, "left").join(targets, ["_src", "_nosrc"])
             .select("doc_id", "size", "source_size", "target",
-                    _taken(seed).alias("taken"), "source"))
+                    _taken(seed).alias("taken"), "source", *carry))
 
 
 def copies(size: Column, taken: Column, doc_id: Column, seed: int = 17) -> Column:

@@ -43,7 +43,13 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       fail_bits = 0 AS kept, fail_bits
+       fail_bits = 0 AS kept, fail_bits,
+       CASE fail_bits WHEN 1 THEN 'too_few_words' WHEN 2 THEN 'repeated_windows'
+         WHEN 4 THEN 'short_words' WHEN 8 THEN 'long_words' WHEN 16 THEN 'symbols'
+         WHEN 32 THEN 'duplicate_lines' WHEN 64 THEN 'few_letter_words' WHEN 128 THEN 'shouting'
+       END AS sole_rule,
+       CASE WHEN bit_count(fail_bits) = 1 THEN count(*) OVER (PARTITION BY fail_bits)
+       END AS sole_rule_docs
 FROM b
 """
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import (ann, bpe, html_text, jaccard, langid, lines, lm, mixing, packing, phrases, quality,
                warc, whitening)
-from .common import read_table
+from .common import materialize, read_table
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,11 +41,17 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    entries = quality.apply_policy(quality.ledger(docs), "v2")
+    entries = materialize(quality.ledger(docs), "quality-ledger")
+    # what each rule costs by itself: the documents that fail no other one
+    alone = quality.ablations(entries, "v2").where("n_only > 0").select(
+        F.expr("shiftleft(1L, bit)").alias("fail_bits"), F.col("rule").alias("sole_rule"),
+        F.col("n_only").alias("sole_rule_docs"))
     base = F.lit(quality.POLICIES["base"]).cast("long")
-    return entries.select(
+    return quality.apply_policy(entries, "v2").join(
+        F.broadcast(alone), "fail_bits", "left").select(  # a row per rule at most
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (F.col("fail_bits").bitwiseAND(base) != 0).alias("base_failed"), "kept", "fail_bits")
+        (F.col("fail_bits").bitwiseAND(base) != 0).alias("base_failed"), "kept", "fail_bits",
+        "sole_rule", "sole_rule_docs")
 
 
 def tokenizer() -> bpe.Tokenizer:

@@ -6,14 +6,20 @@ record; so files are committed atomically on whatever store the path names.
 Of records with equal payloads of at least ``least`` bytes, the largest
 page_id holds the payload and the others are revisit records.
 
-Reading: archives are read by Spark as binary files of bounded record count;
-a task parses each file by its Content-Length headers, checks the digests and
-emits the file's index entries as one locally sorted run.
+A task begins a new archive where the bytes written would pass a bound, so an
+archive has at most that size and one record more, however large the pages.
 
-Index: the runs go to the shared folder, are cut into ranges of (URL key,
-timestamp, page_id), and every range is merged from its runs by a loser tree.
-Partition order is global order, so all captures of a URL stand together in
-time order, however many there are.
+Reading: archives are read by Spark as binary files; a task parses each file by
+its Content-Length headers, checks the digests and sorts the file's index
+entries, which are few.  A loser tree merges the files of a task into runs of
+bounded length.
+
+Index: the runs go to the shared folder and are cut into ranges of (URL key,
+timestamp, page_id).  The pieces of runs that meet in a range are told apart by
+their order alone: a piece ends where the next entry is smaller.  They are
+merged by loser trees, over several levels if there are more of them than the
+fan-in; nothing is sorted again.  Partition order is global order, so all
+captures of a URL stand together in time order, however many there are.
 
 Defined results for odd rows: a null html is an empty payload; a null page_id
 keeps an empty record id, holds no payload for others and refers to them; a
@@ -27,9 +33,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,10 +104,24 @@ def records(pages: DataFrame, least: int = 1000, broadcast_rows: int = 1_000_000
     return rows.select(F.concat(head, block).alias("record"))
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 1000, per_file: int = 1000) -> None:
-    """Write ``page_id, url, html, captured_at`` as WARC files below ``path``."""
-    (records(pages, least).write.option("lineSep", _END)
-     .option("maxRecordsPerFile", per_file).text(path))
+def write_archives(pages: DataFrame, path: str, least: int = 1000,
+                   archive_bytes: int = 64 << 20) -> None:
+    """Write ``page_id, url, html, captured_at`` as WARC files below ``path``,
+    each of ``archive_bytes`` and one record at most."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive, held = 0, 0
+        for b in batches:
+            numbers = []
+            for size in pc.binary_length(b.column("record")).to_pylist():
+                if held and held + size + len(_END) > archive_bytes:
+                    archive, held = archive + 1, 0
+                held += size + len(_END)
+                numbers.append(archive)
+            yield pa.record_batch({"record": b.column("record"), "archive": pa.array(numbers, pa.int32())})
+
+    (records(pages, least).mapInArrow(lean(number), "record string, archive int")
+     .write.partitionBy("archive").option("lineSep", _END).text(path))
 
 
 def url_key(url: str) -> str:
@@ -155,19 +178,34 @@ def _rank(e: dict) -> tuple:
     return e["url_key"].encode(), e["captured_at"], p is not None, p or 0
 
 
-def capture_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Index entries of all archives below ``path``, a sorted run per file."""
+def capture_runs(spark: SparkSession, path: str, run_entries: int = 200_000,
+                 fan_in: int = 64) -> DataFrame:
+    """Index entries of all archives below ``path``: sorted runs of about
+    ``run_entries``, each from the files that one task reads after one another."""
     schema = _arrow()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files: list[pa.Table] = []
+        number = 0
+
+        def merged() -> Iterator[pa.RecordBatch]:
+            for t in merge_pieces(files, fan_in):
+                yield from t.append_column("run", pa.array([number] * len(t), pa.int64())).to_batches()
+            files.clear()
+
         for b in batches:
             for file, data in zip(b.column("path").to_pylist(), b.column("content")):
                 entries = sorted(parse_archive(data.as_buffer(), file), key=_rank)
-                number = int.from_bytes(hashlib.sha1(file.encode()).digest()[:7], "big")
-                yield pa.RecordBatch.from_pylist([{**e, "run": number} for e in entries], schema)
+                if not files:
+                    number = int.from_bytes(hashlib.sha1(file.encode()).digest()[:7], "big")
+                files.append(pa.Table.from_pylist(entries, schema.remove(len(schema) - 1)))
+                if sum(map(len, files)) >= run_entries:
+                    yield from merged()
+        if files:
+            yield from merged()
 
-    return (spark.read.format("binaryFile").load(path).select("path", "content")
-            .mapInArrow(lean(run), ENTRY))
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path", "content").mapInArrow(lean(run), ENTRY))
 
 
 def _arrow() -> pa.Schema:
@@ -216,30 +254,52 @@ class LoserTree:
             self._play(w)
 
 
-def merge_runs(runs: DataFrame, per_range: int = 100_000) -> DataFrame:
+def _ranks(t: pa.Table) -> list[tuple]:
+    """Sort keys of the entries; a missing page_id comes first."""
+    return [(u.encode(), c, p is not None, p or 0) for u, c, p in zip(
+        *(t.column(name).to_pylist() for name in _ORDER))]
+
+
+def ascending(ranks: list[tuple]) -> list[int]:
+    """Where the ascending pieces of a list of keys begin, and its end."""
+    return [0, *(i for i in range(1, len(ranks)) if ranks[i] < ranks[i - 1]), len(ranks)]
+
+
+def merge_pieces(pieces: list[pa.Table], fan_in: int, rows: int = 10_000) -> Iterator[pa.Table]:
+    """Sorted tables as one, by loser trees of at most ``fan_in`` runs."""
+    if not pieces:
+        return
+    every = pa.concat_tables(pieces)
+    ranks = _ranks(every)
+    ends = np.cumsum([0, *map(len, pieces)]).tolist()
+    runs: list[list[int] | range] = [range(a, b) for a, b in zip(ends, ends[1:])]
+
+    def merged(some: list) -> Iterator[int]:
+        return iter(LoserTree([((ranks[i], i) for i in r) for r in some]))
+
+    while len(runs) > fan_in:  # a level: runs in turn become fewer, longer ones
+        runs = [list(merged(runs[k:k + fan_in])) for k in range(0, len(runs), fan_in)]
+    order = merged(runs)
+    while at := list(islice(order, rows)):
+        yield every.take(pa.array(at, pa.int64()))
+
+
+def merge_runs(runs: DataFrame, per_range: int = 100_000, fan_in: int = 64) -> DataFrame:
     """Capture index in global order of URL key, timestamp and page_id.
 
     Ranges hold about ``per_range`` entries, as page_id splits even a URL
     with any number of captures; a range is merged from its pieces of runs.
     """
     n = max(1, -(-runs.count() // per_range))
-    schema = _arrow()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: dict[int, list[tuple]] = {}
-        for b in batches:
-            for e in b.to_pylist():
-                pieces.setdefault(e["run"], []).append((_rank(e), e))
-        for p in pieces.values():
-            p.sort(key=lambda x: x[0])  # a run may arrive in several blocks
-        out = []
-        for e in LoserTree([iter(pieces[r]) for r in sorted(pieces)]):
-            out.append(e)
-            if len(out) == 10_000:
-                yield pa.RecordBatch.from_pylist(out, schema)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema)
+        seen = [b for b in batches if b.num_rows]
+        if not seen:
+            return
+        every = pa.Table.from_batches(seen)
+        cuts = ascending(_ranks(every))
+        for t in merge_pieces([every.slice(a, b - a) for a, b in zip(cuts, cuts[1:])], fan_in):
+            yield from t.combine_chunks().to_batches()
 
     return runs.repartitionByRange(n, *_ORDER).mapInArrow(lean(merge), ENTRY)
 

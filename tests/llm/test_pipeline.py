@@ -33,6 +33,25 @@ def test_mix_repeats_whole_documents(spark, documents, sf_dir):
     assert out.join(documents, documents.columns, "left_anti").count() == 0
 
 
+def test_mix_counts_rows_without_an_id_and_rows_that_share_one(spark, sf_dir):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, f"words of row {i} " * 30, "en", "ab"[i % 2], i) for i in range(200)]
+    rows += [(7, f"other words {i} " * (1 + 40 * (i % 2)), "en", "c", i) for i in range(100)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    out = corpus_pipeline.mix_sources(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    times = {}
+    for r in out.collect():
+        times[r["source"], r["n_chars"]] = times.get((r["source"], r["n_chars"]), 0) + 1
+    assert max(times.values()) <= 3 and sum(s == "c" for s, _ in times) > 10
+    assert sum(s == "a" for s, _ in times) == 100  # weighs most, so every row of it is in
+    # the words taken of a source come near its target
+    words = {s: sum(n * len(rows[c if s != "c" else 200 + c][1].split()) for (x, c), n in times.items() if x == s)
+             for s in "abc"}
+    total = sum(len(r[1].split()) for r in rows)
+    assert abs(words["a"] / total - 5 / 8) < 0.15 and abs(words["b"] / total - 2 / 8) < 0.15
+
+
 def test_whole_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
@@ -60,5 +79,5 @@ def test_stages_take_odd_rows(spark, edge_docs, documents, sf_dir):
 def test_registered(spark):
     import __spark_entry__ as entry
     numbers = {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
     assert jaccard.Join().num == 90 and F is not None and queries.QUERIES

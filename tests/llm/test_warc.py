@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,20 +47,49 @@ def test_index_is_in_global_order(pages):
     assert key == sorted(key)
 
 
-def test_many_ranges_and_files(spark, pages, tmp_path):
+def _keys(rows):
+    return [(r["url_key"].encode(), r["captured_at"], r["page_id"] is not None, r["page_id"] or 0) for r in rows]
+
+
+def test_more_runs_than_the_fan_in(spark, pages, tmp_path):
     path = str(tmp_path / "w")
-    warc.write_archives(pages, path, per_file=4)
-    runs = warc.capture_runs(spark, path)
-    rows = warc.merge_runs(runs, per_range=5).collect()
-    key = [(r["url_key"].encode(), r["captured_at"], r["page_id"] is not None, r["page_id"] or 0) for r in rows]
-    assert len(rows) == pages.count() and key == sorted(key)
+    warc.write_archives(pages, path, archive_bytes=3000)
+    runs = warc.capture_runs(spark, path, run_entries=3, fan_in=2)
     assert runs.select("run").distinct().count() > 10
+    for rows in (warc.merge_runs(runs, per_range=5, fan_in=2).collect(), warc.merge_runs(runs, fan_in=3).collect()):
+        assert len(rows) == pages.count() and _keys(rows) == sorted(_keys(rows))
+
+
+def test_runs_are_sorted(spark, pages, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path, archive_bytes=3000)
+    by = {}
+    for r in warc.capture_runs(spark, path, run_entries=20).collect():
+        by.setdefault(r["run"], []).append(r)
+    assert all(_keys(rows) == sorted(_keys(rows)) for rows in by.values())
+
+
+def test_large_pages_and_bounded_archives(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "w")
+    texts = {i: chr(97 + i) * (3_000_000 + i) for i in range(8)} | {100 + i: f"small {i}" for i in range(50)}
+    df = spark.createDataFrame([(i, f"http://x.org/{i}", t, "clash") for i, t in texts.items()],
+                               "page_id long, url string, html string, archive string").withColumn(
+        "captured_at", F.timestamp_seconds(F.lit(0))).coalesce(1)
+    warc.write_archives(df, path, archive_bytes=5_000_000)
+    sizes = [os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".txt")]
+    assert len(sizes) >= 5 and max(sizes) <= 5_000_000 + 3_010_000
+    rows = warc.merge_runs(warc.capture_runs(spark, path)).collect()
+    assert {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in rows} == {
+        i: (len(t), hashlib.sha1(t.encode()).hexdigest()) for i, t in texts.items()}
 
 
 def test_records_can_be_read_at_their_offsets(spark, pages, tmp_path):
     path = str(tmp_path / "w")
     warc.write_archives(pages, path)
     for r in warc.capture_runs(spark, path).collect():
+        assert r["file"].startswith("file:")
         with open(r["file"].removeprefix("file:"), "rb") as f:
             f.seek(r["at"])
             record = f.read(r["length"])
@@ -78,6 +108,18 @@ def test_broken_archives_are_refused():
             list(warc.parse_archive(memoryview(bad), "f"))
 
 
+def test_merged_pieces():
+    rng = random.Random(1)
+    schema = warc._arrow()
+    for fan_in in (2, 3, 64):
+        pieces = []
+        for k in range(rng.randint(0, 12)):
+            own = sorted((rng.choice("ab"), str(rng.randint(0, 3)), rng.randint(0, 9)) for _ in range(rng.randint(0, 9)))
+            pieces.append(pa.Table.from_pylist([{"url_key": u, "captured_at": c, "page_id": p} for u, c, p in own], schema))
+        rows = [r for t in warc.merge_pieces(pieces, fan_in, rows=4) for r in t.to_pylist()]
+        assert len(rows) == sum(map(len, pieces)) and _keys(rows) == sorted(_keys(rows))
+
+
 def test_loser_tree():
     rng = random.Random(0)
     for k in range(14):
@@ -98,5 +140,13 @@ def test_empty_table(spark):
 def test_query(spark, sf_dir):
     rows = queries.op6_warc_index(spark, sf_dir).collect()
     pages = {r["page_id"]: r["html"].encode() for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
-    assert {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in rows} == {
-        p: (len(h), hashlib.sha1(h).hexdigest()) for p, h in pages.items()}
+    last = {}
+    for p, h in pages.items():
+        last[h] = max(p, last.get(h, p))
+    assert len(rows) == len(pages)
+    for r in rows:
+        h = pages[r["page_id"]]
+        revisit = len(h) >= 1000 and last[h] != r["page_id"]
+        assert (r["payload_bytes"], r["payload_digest"]) == (len(h), hashlib.sha1(h).hexdigest())
+        assert (r["record_type"], r["refers_to"]) == (
+            ("revisit", last[h]) if revisit else ("response", None))
