@@ -45,6 +45,7 @@ LONG_WORD = 256
 _BITS = 16  # ids fit 16 bits
 _ODD_SPACES = r" [\s\p{Z}\x{85}]"  # a space before other white space
 _LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+$"
+_MARKED = rf"^(?P<word> ?{_LETTERS[1:-1]})(?P<marks>[.,;:!?]+)$"  # letters, then marks
 
 
 @dataclass(frozen=True)
@@ -211,11 +212,14 @@ class _Segments:
     next one, and only distinct segments are split by the pattern.  The
     pattern never matches across such a cut, unless more white space follows
     the space; texts with that are split as a whole.  Segments of letters
-    alone are words as they are (checked where Unicode versions agree).
+    alone are words as they are (checked where Unicode versions agree), and
+    those of letters and marks are two, if the pattern cuts there.
     """
 
     def __init__(self, texts: pa.Array, pattern: str):
         self._split = regex.compile(pattern).findall
+        marks_apart = [self._split(x) for x in (" ab,", "é?!", " ß...")] == [
+            [" ab", ","], ["é", "?!"], [" ß", "..."]]
         self._texts = pc.fill_null(texts.cast(pa.large_string()), "")
         self._odd = np.flatnonzero(pc.match_substring_regex(self._texts, _ODD_SPACES)
                                    .to_numpy(zero_copy_only=False))
@@ -240,29 +244,38 @@ class _Segments:
                                                           pa.scalar("", wide)))
         plain_word = pc.match_substring_regex(names, _LETTERS).to_numpy(zero_copy_only=False)
         words = segments.filter(pa.array(plain_word))
+        cut = pc.extract_regex(segments, _MARKED)
+        marked = pc.is_valid(cut).to_numpy(zero_copy_only=False) & ~plain_word & marks_apart
+        cut = cut.filter(pa.array(marked))
+        stems, marks = (pc.struct_field(cut, [i]).dictionary_encode() for i in range(2))
         index: dict[str, int] = {}
         flat: list[int] = []
         self._size = np.ones(len(kinds), dtype=np.int32)
-        mixed = np.flatnonzero(~plain_word)
+        self._size[marked] = 2
+        rest = ~plain_word & ~marked
         sizes = []
         n, split = len(words), self._split
-        for piece in segments.filter(pa.array(~plain_word)).to_pylist():
+        others = n + len(stems.dictionary) + len(marks.dictionary)
+        for piece in segments.filter(pa.array(rest)).to_pylist():
             found = split(piece)
             sizes.append(len(found))
             for w in found:
-                flat.append(index.setdefault(w, n + len(index)))
+                flat.append(index.setdefault(w, others + len(index)))
         self._whole = {}
         for i in self._odd.tolist():
-            self._whole[i] = [index.setdefault(w, n + len(index))
+            self._whole[i] = [index.setdefault(w, others + len(index))
                               for w in split(self._texts[i].as_py())]
-        self._size[mixed] = sizes
+        self._size[rest] = sizes
         first = np.cumsum(self._size, dtype=np.int64) - self._size
         self._flat = np.empty(int(self._size.sum()), dtype=np.int32)
         self._flat[first[plain_word]] = np.arange(n)
-        is_mixed = np.repeat(~plain_word, self._size)
-        self._flat[is_mixed] = flat
+        self._flat[first[marked]] = n + stems.indices.to_numpy()
+        self._flat[first[marked] + 1] = n + len(stems.dictionary) + marks.indices.to_numpy()
+        self._flat[np.repeat(rest, self._size)] = flat
         self._first = first
-        self.words = pa.concat_arrays([words, pa.array(list(index), pa.large_string())])
+        wide = pa.large_string()
+        self.words = pa.concat_arrays([words, stems.dictionary.cast(wide), marks.dictionary.cast(wide),
+                                       pa.array(list(index), wide)])
 
     def _numbers(self) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts, and their offsets."""

@@ -8,7 +8,7 @@ from ratelens.llm import bpe, queries
 
 TEXTS = [None, "", " ", "a  b \n c\t\td   ", "don't 'll  x's we're 12 345 6.7", "x" * 700 + " " + "ab" * 900,
          "日本語 текст <|endoftext|>    x", " " * 600 + "y", "a\n b\r\n  c", "!" * 3000, "  a \x85b \xa0c",
-         "Éa naïve ŒUVRE ﬁ Ǆ", "tab\tnew\nline   x", "😀😀 a😀", " lead", "trail "]
+         "Éa naïve ŒUVRE ﬁ Ǆ", "word, word. Ünd? so!? end... a,b .c x,' y.' Z;", "tab\tnew\nline   x", "😀😀 a😀", " lead", "trail "]
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def known():
 @pytest.fixture(scope="module")
 def texts(spark):
     rng = random.Random(1)
-    more = ["".join(rng.choice("ab éß\n'1. \t") for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    more = ["".join(rng.choice("ab éß\n'1., \t") for _ in range(rng.randint(0, 60))) for _ in range(60)]
     rows = [(i, t, "x") for i, t in enumerate(TEXTS + more + more[:5])]
     return spark.createDataFrame(rows, "doc_id long, text string, ids string")
 

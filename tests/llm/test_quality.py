@@ -56,6 +56,8 @@ def test_query_matches_sql(spark, sf_dir):
     assert ok, why
 
 
-def test_plan_has_no_python(spark, sf_dir):
-    plan = queries.op5_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Exchange" not in plan and "Arrow" not in plan
+def test_plan_has_no_python(spark, documents, sf_dir):
+    plans = [df._jdf.queryExecution().executedPlan().toString()
+             for df in (quality.ledger(documents), queries.op5_quality_rules(spark, sf_dir))]
+    assert all("Python" not in p and "Arrow" not in p for p in plans)
+    assert "Exchange" not in plans[0]  # building the ledger shuffles nothing
