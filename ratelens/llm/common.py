@@ -39,7 +39,17 @@ def materialize(df: DataFrame, label: str, large_rows: bool = False) -> DataFram
             "parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 4)
     writer.parquet(path)
     _STORED.append((spark.sparkContext.applicationId, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def remove_stored(df: DataFrame) -> None:
+    """Delete the table that ``materialize`` returned as ``df``, when nothing
+    reads it any more."""
+    path = df._stored_at
+    remove_path(df.sparkSession, path)
+    _STORED.remove((df.sparkSession.sparkContext.applicationId, path))
 
 
 def clear_stored(spark: SparkSession) -> None:

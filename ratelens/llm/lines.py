@@ -51,7 +51,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, let, materialize, mix64, release
+from .common import lean, let, materialize, mix64, release, remove_stored
 from .filters import bloom_filter, packed_parts, part_edges, passes, unpacked, unpacked_keys
 from .tiles import join_tiles, linked, mixed_tiles, shared_tiles
 from .tokens import slices, word_column, word_keys
@@ -414,14 +414,26 @@ def _near(left: str, right: str, s: Settings) -> Column:
     return (F.abs(n - m) <= most) & (apart("b1") + apart("b2") <= 2 * most - F.abs(n - m))
 
 
-def _refined(large: DataFrame, table: DataFrame, s: Settings) -> DataFrame:
+def large_tile_keys(table: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
+    """``node, keys`` of (at least) the lines that lie in tiles of more than
+    ``s.tile`` lines."""
+    large = members.groupBy("key").count().where(F.col("count") > s.tile).select("key")
+    nodes = materialize(members.join(large, "key").select(F.col("node").alias("hash")).distinct(), "line-large")
+    shared = table.sparkSession.sparkContext.broadcast(bloom_filter(nodes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(passes(shared.value, b.column("node").to_numpy().view(np.uint64))))
+
+    return (table.where(F.size("keys") > 0).select(F.col("h1").alias("node"), "keys")
+            .mapInArrow(run, "node long, keys array<long>").dropDuplicates(["node"]))
+
+
+def _refined(large: DataFrame, keys: DataFrame, s: Settings) -> DataFrame:
     """``key, node`` of two word pairs: the tile's of ``large`` (``key, node``) and
     any later one of the line.  Linked lines of a tile share another pair: if
     the tile is of the first that they share, the second is among their keys."""
     blocks = len(list(itertools.combinations(range(s.blocks), s.agree)))
-    nodes = large.select("node").distinct()
-    keys = (table.where(F.size("keys") > 0).select(F.col("h1").alias("node"), "keys")
-            .join(nodes, "node").dropDuplicates(["node"]))
     own = F.slice("keys", F.lit(blocks + 1), F.size("keys"))
     later = let(F.array_position(own, F.col("key")).cast("int"),
                 lambda i: F.slice(own, i + 1, F.size(own)))
@@ -429,7 +441,7 @@ def _refined(large: DataFrame, table: DataFrame, s: Settings) -> DataFrame:
             .select(F.xxhash64("key", "then").alias("key"), "node"))
 
 
-def _opened(members: DataFrame, roots: DataFrame, classes: DataFrame, table: DataFrame,
+def _opened(members: DataFrame, roots: DataFrame, classes: DataFrame, keys: DataFrame,
             s: Settings) -> DataFrame:
     """Pairs across components that share a tile and may link."""
     payload = classes.select("node", *_PAYLOAD)
@@ -444,7 +456,7 @@ def _opened(members: DataFrame, roots: DataFrame, classes: DataFrame, table: Dat
     pairs = join_tiles(rows.join(small, "key"), payload, test, s.chunk)
     if not large.head(1):
         return pairs
-    again = shared_tiles(_refined(rows.join(large, "key").select("key", "node"), table, s))
+    again = shared_tiles(_refined(rows.join(large, "key").select("key", "node"), keys, s))
     rows, mixed = mixed_tiles(again, roots)
     return pairs.unionByName(join_tiles(rows.join(mixed.select("key"), "key"), payload, test, s.chunk))
 
@@ -581,10 +593,16 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     release(docs.sparkSession)
     members = shared_tiles(keyed)
     release(docs.sparkSession)
-    met = members.where("block AND node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    # from here on only places and hashes of the lines are needed
+    keys = materialize(large_tile_keys(table, members, s), "line-tile-keys")
+    whole, table = table, materialize(table.select("doc_id", "line", "h1", "h2"), "line-places")
+    remove_stored(whole)
+    release(docs.sparkSession)
+    met = (members.where("block AND node > hub").groupBy("node").agg(F.min("hub").alias("a"))
+           .select("a", F.col("node").alias("b")))
     pairs = members.where("NOT block").drop("block")
     roots = linked(pairs, lambda found: _verify(found, classes, docs, s),
-                   lambda roots: _opened(pairs, roots, classes, table, s), extra=met)
+                   lambda roots: _opened(pairs, roots, classes, keys, s), extra=met, rounds=2)
     release(docs.sparkSession)
     grouped = (equal.join(roots, equal["h1"] == roots["node"], "left")
                .where((F.col("copies") > 1) | F.col("root").isNotNull())

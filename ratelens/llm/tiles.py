@@ -104,16 +104,46 @@ def join_tiles(rows: DataFrame, payload: DataFrame, test: Callable[[str, str], C
             .distinct())
 
 
+def _met_again(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """One pair ``a < b`` for each node of a tile with several components: with
+    the first node of the first component, or the last one of the last."""
+    rows, _ = mixed_tiles(members, roots)
+    place = F.struct("root", "node")
+    sides = (rows.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+             .where("lo.root < hi.root"))
+    other = F.when(F.col("root") == F.col("lo.root"), F.col("hi.node")).otherwise(F.col("lo.node"))
+    return (rows.join(sides, "key").groupBy("node").agg(F.min(other).alias("other"))
+            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+
+
 def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-           across: Callable[[DataFrame], DataFrame], extra: DataFrame | None = None) -> DataFrame:
+           across: Callable[[DataFrame], DataFrame], extra: DataFrame | None = None,
+           rounds: int = 0) -> DataFrame:
     """``node, root`` of all nodes with links.  ``across`` gives the pairs of
-    opened tiles for the roots so far; ``extra`` are further candidates."""
+    opened tiles for the roots so far; ``extra`` are further candidates.  In up
+    to ``rounds`` rounds the nodes of tiles that hold several components meet a
+    node of another one, so that fewer tiles have to be opened."""
     first = (members.where("node > hub").groupBy("node").agg(F.min("hub").alias("a"))
              .select("a", F.col("node").alias("b")))
-    first = materialize(first if extra is None else first.unionByName(extra).distinct(), "tile-first")
-    links = verify(first)
+    seen = materialize(first if extra is None else first.unionByName(extra).distinct(), "tile-first")
+    links = verify(seen)
     roots = components(links)
-    more = materialize(across(roots).join(first, ["a", "b"], "left_anti"), "tile-more")
+    for _ in range(rounds):
+        more = materialize(_met_again(members, roots).join(seen, ["a", "b"], "left_anti"), "tile-again")
+        if not more.head(1):
+            break
+        found = verify(more)
+        seen = seen.unionByName(more)
+        if not found.head(1):
+            break
+        links = _stars(roots).unionByName(found)
+        roots = components(links)
+    more = materialize(across(roots).join(seen, ["a", "b"], "left_anti"), "tile-more")
     if not more.head(1):
         return roots
-    return components(links.unionByName(verify(more)))
+    return components((_stars(roots) if rounds else links).unionByName(verify(more)))
+
+
+def _stars(roots: DataFrame) -> DataFrame:
+    """Links that hold the components found so far together."""
+    return roots.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
