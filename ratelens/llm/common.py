@@ -59,14 +59,24 @@ def clear_stored(spark: SparkSession) -> None:
     for entry in [e for e in _STORED if e[0] == app]:
         remove_path(spark, entry[1])
         _STORED.remove(entry)
+    release(spark)
 
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files and broadcasts of steps that have been
     written: it does so when the driver's objects for them are collected, which
-    by itself may be long after."""
+    by itself may be long after.  The driver's Python hands its memory back too."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    _trim()
+
+
+def _trim() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def lean(run: Callable) -> Callable:
@@ -75,11 +85,7 @@ def lean(run: Callable) -> Callable:
 
     def wrapped(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # another C library
-            pass
+        _trim()
 
     return wrapped
 

@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 
 from .common import lean, let, materialize, mix64, release, remove_stored
 from .filters import bloom_filter, packed_parts, part_edges, passes, unpacked, unpacked_keys
-from .tiles import join_tiles, linked, mixed_tiles, shared_tiles
+from .tiles import join_tiles, linked, open_rows, shared_tiles
 from .tokens import slices, word_column, word_keys
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -80,9 +80,10 @@ class Settings:
     part_keys: int = 2_000_000  # about so many in a hash range
     run_bytes: int = 6 << 20   # text that a task works on at once
     broadcast_lines: int = 4_000_000  # about 16 bytes each
-    sample_docs: int = 4000    # about so many settle the order of words
+    sample_docs: int = 4000    # so many at least settle the order of words and pairs,
+    sample_share: int = 16     # and one of so many of a large table
     ranked_words: int = 1 << 16
-    ranked_pairs: int = 1 << 17
+    ranked_pairs: int = 1 << 18
 
     def edits(self, words):
         """Most edits between linked lines, the longer of so many words."""
@@ -150,7 +151,7 @@ def rank_arrays(docs: DataFrame, s: Settings) -> tuple[np.ndarray, ...]:
                         "kind": pa.array(np.full(len(keys), kind, np.int8)),
                         "key": pa.array(keys.view(np.int64)), "c": pa.array(c.astype(np.int64))})
 
-    every = max(1, docs.count() // s.sample_docs)
+    every = max(1, min(s.sample_share, docs.count() // s.sample_docs))
     counts = materialize(
         docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
         .mapInArrow(lean(run), "kind byte, key long, c long").groupBy("kind", "key")
@@ -374,9 +375,9 @@ def repeated_keys(table: DataFrame, places: Broadcast, s: Settings) -> DataFrame
             .groupBy("part").applyInArrow(twice, "hash long"))
 
 
-def keyed_lines(table: DataFrame, equal: DataFrame, s: Settings) -> DataFrame:
+def keyed_lines(table: DataFrame, equal: DataFrame, s: Settings) -> tuple[DataFrame, list[Broadcast]]:
     """``key, node, block`` of the keys that several lines may have; ``block``
-    for those of SimHashes."""
+    for those of SimHashes.  Also what can go once these have been read."""
     sc = table.sparkSession.sparkContext
     places = sc.broadcast(first_places(equal))
     twice = materialize(repeated_keys(table, places, s), "line-keys-twice")
@@ -399,7 +400,7 @@ def keyed_lines(table: DataFrame, equal: DataFrame, s: Settings) -> DataFrame:
                                    "block": pa.array(place[at] < blocks)})
 
     return (table.select("doc_id", "line", "h1", "n", "keys")
-            .mapInArrow(lean(run), "key long, node long, block boolean"))
+            .mapInArrow(lean(run), "key long, node long, block boolean")), [places, shared]
 
 
 def _near(left: str, right: str, s: Settings) -> Column:
@@ -449,16 +450,13 @@ def _opened(members: DataFrame, roots: DataFrame, classes: DataFrame, keys: Data
     def test(x: str, y: str) -> Column:
         return _near(x, y, s)
 
-    rows, mixed = mixed_tiles(members, roots)
-    mixed = materialize(mixed, "line-mixed")
-    small = mixed.where(F.col("size") <= s.tile).select("key")
-    large = mixed.where(F.col("size") > s.tile).select("key")
-    pairs = join_tiles(rows.join(small, "key"), payload, test, s.chunk)
+    rows = materialize(open_rows(members, roots), "line-mixed")
+    pairs = join_tiles(rows.where(F.col("size") <= s.tile), payload, test, s.chunk)
+    large = rows.where(F.col("size") > s.tile)
     if not large.head(1):
         return pairs
-    again = shared_tiles(_refined(rows.join(large, "key").select("key", "node"), keys, s))
-    rows, mixed = mixed_tiles(again, roots)
-    return pairs.unionByName(join_tiles(rows.join(mixed.select("key"), "key"), payload, test, s.chunk))
+    again = materialize(open_rows(shared_tiles(_refined(large.select("key", "node"), keys, s)), roots), "line-refined")
+    return pairs.unionByName(join_tiles(again, payload, test, s.chunk))
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
@@ -589,9 +587,12 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     classes = (equal.where(F.col("n") >= s.near_words)
                .select(F.col("h1").alias("node"), *_PAYLOAD, "at.doc_id", "at.line"))
     release(docs.sparkSession)
-    keyed = keyed_lines(table, equal, s)
+    keyed, filters = keyed_lines(table, equal, s)
     release(docs.sparkSession)
     members = shared_tiles(keyed)
+    del keyed
+    for f in filters:
+        f.destroy()
     release(docs.sparkSession)
     # from here on only places and hashes of the lines are needed
     keys = materialize(large_tile_keys(table, members, s), "line-tile-keys")
@@ -602,7 +603,7 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
            .select("a", F.col("node").alias("b")))
     pairs = members.where("NOT block").drop("block")
     roots = linked(pairs, lambda found: _verify(found, classes, docs, s),
-                   lambda roots: _opened(pairs, roots, classes, keys, s), extra=met, rounds=2)
+                   lambda roots: _opened(pairs, roots, classes, keys, s), extra=met, rounds=1)
     release(docs.sparkSession)
     grouped = (equal.join(roots, equal["h1"] == roots["node"], "left")
                .where((F.col("copies") > 1) | F.col("root").isNotNull())

@@ -45,17 +45,18 @@ def mixed_tiles(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFr
     return rows, mixed
 
 
-def _chunks(size: Column, chunk: int) -> Column:
-    return F.ceil(size / chunk).cast("int")
+def open_rows(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, node, root, size`` of the tiles that hold several components."""
+    rows, mixed = mixed_tiles(members, roots)
+    return rows.join(mixed, "key")
 
 
 def open_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
                test: Callable[[pa.Table], Test], chunk: int) -> DataFrame:
     """Pairs ``a < b`` across components that share a tile and pass ``test``,
     which sees the payload of a pair of chunks at a time."""
-    rows, mixed = mixed_tiles(members, roots)
-    opened = (rows.join(mixed.select("key", _chunks(F.col("size"), chunk).alias("chunks")), "key")
-              .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    opened = (open_rows(members, roots).withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
+              .drop("size").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
               # a chunk meets every chunk: the row goes to all its chunk pairs
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
               .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
@@ -82,12 +83,11 @@ def open_tiles(members: DataFrame, roots: DataFrame, payload: DataFrame,
 
 def join_tiles(rows: DataFrame, payload: DataFrame, test: Callable[[str, str], Column],
                chunk: int) -> DataFrame:
-    """The same by a join, for a test that Spark can express: ``rows`` are ``key,
-    node, root`` of the tiles to open, ``test`` gets the prefixes of the two
+    """The same by a join, for a test that Spark can express: ``rows`` are those of
+    ``open_rows`` for the tiles to open, ``test`` gets the prefixes of the two
     sides' payload columns.  Suits many small tiles; a large one is spread over
     its pairs of chunks."""
-    sizes = rows.groupBy("key").agg(_chunks(F.count(F.lit(1)), chunk).alias("chunks"))
-    opened = (rows.join(sizes, "key").join(payload, "node")
+    opened = (rows.withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int")).join(payload, "node")
               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
     last = F.col("chunks") - 1
     left = opened.withColumn("i", F.col("own")).withColumn("j", F.explode(F.sequence("own", last)))
