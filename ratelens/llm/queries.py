@@ -41,7 +41,7 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    entries = materialize(quality.ledger(docs), "quality-ledger")
+    entries = materialize(quality.ledger(docs).drop("text"), "quality-ledger")
     # what each rule costs by itself: the documents that fail no other one
     alone = quality.ablations(entries, "v2").where("n_only > 0").select(
         F.expr("shiftleft(1L, bit)").alias("fail_bits"), F.col("rule").alias("sole_rule"),
