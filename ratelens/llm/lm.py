@@ -7,6 +7,11 @@ own, frequent word endings are classes, and the other endings share the rest
 by hash, so the class of any word, seen or not, follows from the word.  Every
 class keeps one slot for unseen words, so the probabilities sum to one.
 
+Both factors are the priors of what the training texts have after the preceding
+word: its classes there, and the words of the class there, by counts of all
+pairs of neighbours.  So what is learned grows with the corpus, and context
+tells words of one class apart.
+
 How it runs:
 
 1. Texts are tokenised once, into blocks of a few MB that hold word numbers
@@ -17,8 +22,10 @@ How it runs:
    minibatch updates over their blocks from the shared weights, and the
    weights are averaged by tokens (a tree of Spark groups).  Every training
    token is used once.
-4. Every block gets back the counts of its words by a join, and its texts are
-   scored in sparse numpy batches.
+4. The words of every block and its pairs of neighbours go to hash ranges, packed,
+   a row per block and range; each range adds them up and hands every block its
+   counts back, in its order.
+5. Texts are scored beside the counts of their block in sparse numpy batches.
 
 Words are identified by 64-bit hashes (52 bits of the word, 12 of its ending).  Defined results for odd rows: a null
 text has only its end token; repeated rows are scored alike; a table without
@@ -40,6 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, materialize, mix64
+from .filters import packed, packed_parts, part_edges, unpacked, unpacked_keys
 from .tokens import slices, word_column, word_keys
 from .vectors import blob_batch, sum_blobs
 
@@ -47,8 +55,10 @@ _END = np.uint64(0x5EED0E4D)       # hash of the end token; no word, as words ha
 _START = np.uint64(0x5EED57A7)
 _BLOCK = ("block long, doc_id array<long>, held array<boolean>, n array<int>, codes binary, "
           "words binary, hash array<long>, tf array<int>")
-_SEQUENCE, _PLACE = 14, 26  # bits of a block's number in its partition, of a word's place
+_SEQUENCE = 14  # bits of a block's number in its partition
 _ENDING = 52  # a word's hash: 12 bits of its ending above 52 bits of the word
+_MIDDLE = 20  # bits of a hash that a block of texts is scored without
+_KEY_BITS = 40  # by which pairs of neighbours are counted
 
 
 @dataclass(frozen=True)
@@ -63,6 +73,10 @@ class Settings:
     rate: float = 0.2
     shares: tuple[int, ...] = (1, 3, 6)  # tenths of the blocks in each round
     block_bytes: int = 6 << 20
+    part_keys: int = 2_000_000  # about so many in a hash range
+    # what the priors weigh against n counts: a * n^b
+    class_prior: tuple[float, float] = (3.0, 0.7)
+    word_prior: tuple[float, float] = (1.0, 0.8)
 
     @property
     def classes(self) -> int:
@@ -212,13 +226,18 @@ def features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray, bits:
     return np.stack([(mix64(k) >> np.uint64(64 - bits)).astype(np.uint16) for k in keys], axis=1)
 
 
-def _block_tokens(row: dict, model: Classes, s: Settings) -> tuple:
+def _words(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: the word number of every token, and low hash and ending of every word."""
     unpack = zstandard.ZstdDecompressor().decompress
     codes = _numbers(unpack(row["codes"]), np.uint32)
     words = unpack(row["words"])
     cut = len(words) // 6 * 4
-    low = _numbers(words[:cut], np.uint32)
-    k = model.number(low, _numbers(words[cut:], np.uint16), s)
+    return codes, _numbers(words[:cut], np.uint32), _numbers(words[cut:], np.uint16)
+
+
+def _block_tokens(row: dict, model: Classes, s: Settings) -> tuple:
+    codes, low, endings = _words(row)
+    k = model.number(low, endings, s)
     n = np.asarray(row["n"])
     starts = np.cumsum(n) - n
     y = k[codes]
@@ -307,6 +326,89 @@ def train(blocks: DataFrame, model: Classes, s: Settings) -> tuple[np.ndarray, n
     return w, bias
 
 
+def _neighbours(row: dict, model: Classes, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block, sorted, and which of them each token has: first the
+    pairs of the preceding word and the word of all tokens, then those of the
+    preceding word and the class."""
+    codes, low, endings = _words(row)
+    n = np.asarray(row["n"])
+    word = mix64(low.astype(np.uint64) | endings.astype(np.uint64) << np.uint64(32))
+    class_ = mix64(model.number(low, endings, s).astype(np.uint64) + np.uint64(1))
+    before = _after(word[codes], np.cumsum(n) - n, _START) * np.uint64(0x9E3779B97F4A7C15)
+    keys = np.concatenate([mix64(before + x[codes]) for x in (word, class_)])
+    keys, place = np.unique(keys >> np.uint64(64 - _KEY_BITS), return_inverse=True)
+    return keys, place
+
+
+def _word_order(low: np.ndarray, endings: np.ndarray) -> np.ndarray:
+    """The order in which a block's words are sent: by evenly spread bits of their hashes."""
+    return np.argsort(low.astype(np.uint64) << np.uint64(64 - _ENDING) | endings.astype(np.uint64),
+                      kind="stable")
+
+
+def _ordered_bits(hash_: np.ndarray) -> np.ndarray:
+    """The same hashes with the bits that order them first."""
+    middle = hash_ >> np.uint64(32) & np.uint64((1 << _MIDDLE) - 1)
+    return hash_ << np.uint64(32) | hash_ >> np.uint64(_ENDING) << np.uint64(_MIDDLE) | middle
+
+
+def block_counts(blocks: DataFrame, model: Classes, s: Settings) -> DataFrame:
+    """``block, part, counts``: what the training texts have of each block's words
+    (parts from -1 down) and of its neighbours' keys (from 0 up), packed, in the
+    order of the parts and of the keys."""
+    words, tokens = blocks.agg(
+        F.coalesce(F.sum(F.size("hash")), F.lit(0)),
+        F.coalesce(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()
+    # words that the order can't tell apart share a range
+    of_words = part_edges(max(1, words // s.part_keys), 64 - _MIDDLE) << np.uint64(_MIDDLE)
+    # a block has about as many distinct keys as tokens
+    of_keys = part_edges(max(1, tokens // s.part_keys), _KEY_BITS)
+
+    def rows(block: int, first: int, step: int, parts: pa.RecordBatch) -> pa.RecordBatch:
+        part = first + step * parts.column("part").to_numpy()
+        return pa.record_batch({
+            "block": pa.array(np.full(len(part), block)), "part": pa.array(part.astype(np.int32)),
+            "keys": parts.column("keys"), "tf": parts.column("v0")})
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = _row(b, i)
+                order = _word_order(*_words(row)[1:])
+                yield rows(row["block"], -1, -1, packed_parts(
+                    _ordered_bits(row["hash"].view(np.uint64)[order]), of_words, row["tf"][order]))
+                keys, place = _neighbours(row, model, s)
+                train = np.repeat(~row["held"].astype(bool), row["n"])
+                yield rows(row["block"], 0, 1, packed_parts(
+                    keys, of_keys, np.bincount(place, np.tile(train, 2), len(keys))))
+
+    def add(t: pa.Table) -> pa.Table:
+        keys = [unpacked_keys(x) for x in t.column("keys").to_pylist()]
+        cuts = np.cumsum([len(x) for x in keys])[:-1]
+        place = np.unique(np.concatenate(keys), return_inverse=True)[1]
+        total = np.bincount(place, np.concatenate([unpacked(x) for x in t.column("tf").to_pylist()]))[place]
+        return pa.table({"block": t.column("block"), "part": t.column("part"),
+                         "counts": pa.array([packed(x) for x in np.split(total, cuts)], pa.binary())})
+
+    return (blocks.select("block", "held", "n", "codes", "words", "hash", "tf")
+            .mapInArrow(lean(send), "block long, part int, keys binary, tf binary")
+            .groupBy("part").applyInArrow(add, "block long, part int, counts binary"))
+
+
+def _in_order(sent: pa.Table, words: bool) -> np.ndarray:
+    """What a block's rows of ``block_counts`` hold for its words, or for its neighbours' keys."""
+    part = sent.column("part").to_numpy()
+    own = np.flatnonzero((part < 0) == words)
+    counts = sent.column("counts").take(pa.array(own[np.argsort(np.abs(part[own]))]))
+    return np.concatenate([unpacked(x) for x in counts.to_pylist()]).astype(np.float64)
+
+
+def blend(count: np.ndarray, total: np.ndarray, share: np.ndarray, prior: tuple[float, float]) -> np.ndarray:
+    """Share of what was counted ``count`` times of ``total``, smoothed by its share in the prior."""
+    weight = prior[0] * np.maximum(total, 1.0) ** prior[1]
+    return (count + weight * share) / (total + weight)
+
+
 def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``doc_id, held_out, text``; learns where not held out."""
@@ -324,31 +426,29 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                 out.append(_score_block(_row(batch, i), right, w_, bias_, model, s))
         return pa.concat_tables(out)
 
-    # block and place of a word in one number: these are the most rows shuffled
-    known = (blocks.select("block", F.posexplode("hash").alias("pos", "hash"))
-             .select(F.shiftleft("block", _PLACE).bitwiseOR(F.col("pos").cast("long")).alias("at"),
-                     "hash")
-             .join(counts.select("hash", "c"), "hash").select("at", "c"))
+    sent = block_counts(blocks, model, s)
     texts = blocks.drop("hash", "tf").withColumnRenamed("block", "_block")
-    return texts.groupBy("_block").cogroup(
-        known.groupBy(F.shiftright("at", _PLACE).alias("block"))).applyInArrow(
+    return texts.groupBy("_block").cogroup(sent.groupBy("block")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double")
 
 
-def _score_block(row: dict, known: pa.Table, w: np.ndarray, bias: np.ndarray, model: Classes,
+def _score_block(row: dict, sent: pa.Table, w: np.ndarray, bias: np.ndarray, model: Classes,
                  s: Settings) -> pa.Table:
     codes, k, n, starts, y, x = _block_tokens(row, model, s)
-    c = np.zeros(len(k))
-    c[known.column("at").to_numpy() & ((1 << _PLACE) - 1)] = known.column("c").to_numpy()
-    own = np.log10(c + 0.5)
-    base = own - np.log10(model.total + 0.5 * (model.distinct + 1))
-    inside = own - np.log10(model.mass + 0.5 * (model.types + 1))[k]
-    logp = np.empty(len(codes))
+    c = np.empty(len(k))
+    c[_word_order(*_words(row)[1:])] = _in_order(sent, words=True)
+    base = np.log10(c + 0.5) - np.log10(model.total + 0.5 * (model.distinct + 1))
+    inside = (c + 0.5) / (model.mass + 0.5 * (model.types + 1))[k]
+    of_word, of_class = _in_order(sent, words=False)[_neighbours(row, model, s)[1]].reshape(2, -1)
+    # a text's first token follows its start, of which there are as many as ends
+    before = _after(c[codes], starts, c[-1])
+    p = np.empty(len(codes))
     for lo in range(0, len(codes), s.batch):
-        p = _softmax(_logits(w, bias, x[lo:lo + s.batch]))
-        logp[lo:lo + s.batch] = np.log10(np.maximum(
-            p[np.arange(len(p)), y[lo:lo + s.batch]], 1e-30))
+        own = _softmax(_logits(w, bias, x[lo:lo + s.batch]))
+        p[lo:lo + s.batch] = own[np.arange(len(own)), y[lo:lo + s.batch]]
+    p = blend(of_class, before, np.maximum(p, 1e-30), s.class_prior)
+    logp = np.log10(p) + np.log10(blend(of_word, of_class, inside[codes], s.word_prior))
     rows = len(n)
     return pa.table({
         "doc_id": pa.array(row["doc_id"]) if row["doc_id"].dtype == np.int64
@@ -358,5 +458,5 @@ def _score_block(row: dict, known: pa.Table, w: np.ndarray, bias: np.ndarray, mo
         "n_known": pa.array(np.add.reduceat((c > 0)[codes].astype(np.int64), starts)),
         "train_tokens": pa.array(np.full(rows, model.total, np.int64)),
         "base_score": pa.array(np.add.reduceat(base[codes], starts)),
-        "score": pa.array(np.add.reduceat(logp + inside[codes], starts)),
+        "score": pa.array(np.add.reduceat(logp, starts)),
     })

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 
 from ratelens.llm import langid, lm, queries
@@ -74,3 +75,45 @@ def test_edge_rows(edge_docs, no_docs):
 def test_word_numbers_survive_packing():
     x = np.array([0, 1, 255, 256, 70000, 2**32 - 1], dtype=np.uint32)
     assert (lm._numbers(lm._planes(x), np.uint32) == x).all()
+
+
+def test_context_tells_words_of_one_class_apart(spark):
+    # one ending, so one class: only the word before says which of 40 words comes next
+    names = [f"{chr(97 + i % 26)}{i}zz" for i in range(40)]
+    docs = [(i, " ".join(names[(i * 7 + j) % 40] for j in range(200)), i % 5 == 1) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, held_out boolean")
+    s = lm.Settings(words=1, endings=1, others=1, shares=(1,), block_bytes=4000, part_keys=500)
+    rows = lm.score(df, s).where("held_out").collect()
+    assert len(rows) == 12 and all(r["score"] > 0.25 * r["base_score"] for r in rows)
+
+
+@pytest.mark.parametrize("part_keys", [2_000_000, 40])
+def test_neighbours_are_counted_over_all_blocks(spark, part_keys):
+    rng = np.random.default_rng(3)
+    docs = [(i, " ".join(f"w{rng.integers(9)}" for _ in range(30)), i % 4 == 1) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, held_out boolean").repartition(3)
+    s = lm.Settings(block_bytes=400, part_keys=part_keys)
+    blocks = lm.tokenize(df, s.block_bytes).persist()
+    model = lm.Classes.of(lm.word_counts(blocks), s)
+    sent = lm.block_counts(blocks, model, s).toArrow()
+    want = Counter()
+    for _, text, held in docs:
+        if not held:
+            want.update(zip([0, *words(text)], [*words(text), 1]))
+    texts = {i: text for i, text, _ in docs}
+    rows = blocks.collect()
+    assert len(rows) > 10
+    for row in rows:
+        row = {k: np.asarray(v) if isinstance(v, list) else v for k, v in row.asDict().items()}
+        _, place = lm._neighbours(row, model, s)
+        own = sent.filter(pc.equal(sent.column("block"), row["block"]))
+        got = lm._in_order(own, words=False)[place][:len(place) // 2].tolist()
+        own = [pair for i in row["doc_id"] for pair in zip([0, *words(texts[i])], [*words(texts[i]), 1])]
+        assert got == [want[pair] for pair in own]
+
+
+def test_blended_shares_sum_to_one():
+    counts, prior = np.array([5.0, 0, 12, 1]), np.array([0.1, 0.4, 0.3, 0.2])
+    for n in (counts, counts * 0):
+        total = np.full(4, n.sum())
+        assert lm.blend(n, total, prior, (3.0, 0.7)).sum() == pytest.approx(1)
