@@ -18,7 +18,8 @@ is among the first ``lost + 2``.  Lines meet the smallest line of each key's
 tile; tiles that still hold several groups of linked lines are opened, and those
 of more than ``tile`` lines by two shared word pairs.  A pair is verified if
 lengths and parity bitmaps of words leave room for a link.  The order comes
-from counts of a sample; no result depends on it.
+from counts of all words and word pairs of all documents, added up by hash in
+tables of a fixed size; no result depends on it.
 
 All keys of a line are hashes, most of which no other line has.  Tasks send
 them packed to hash ranges, which tell those that occur twice; a Bloom filter
@@ -52,15 +53,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, let, materialize, mix64, release, remove_stored
-from .filters import bloom_filter, packed_parts, part_edges, passes, unpacked, unpacked_keys
+from .filters import bloom_filter, packed, packed_parts, part_edges, passes, unpacked, unpacked_keys
 from .tiles import join_tiles, linked, open_rows, shared_tiles
 from .tokens import slices, word_column, word_keys
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _GRAM_BITS, _LEVEL_BITS, _HASH_BITS = 49, 6, 38  # of a word pair: its rank by rarity above its hash
 _KEY_BITS = 48  # by which keys are dealt
-_SLOT_BITS = 20
-_SLOT = np.uint64((1 << _SLOT_BITS) - 1)
+_RANK_SLICE = 1 << 14  # slots of a table of counts that a group adds up
 _UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 _AROUND = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 _PAYLOAD = ("n", "b1", "b2")
@@ -80,10 +80,9 @@ class Settings:
     part_keys: int = 2_000_000  # about so many in a hash range
     run_bytes: int = 6 << 20   # text that a task works on at once
     broadcast_lines: int = 4_000_000  # about 16 bytes each
-    sample_docs: int = 4000    # so many at least settle the order of words and pairs,
-    sample_share: int = 16     # and one of so many of a large table
-    ranked_words: int = 1 << 16
-    ranked_pairs: int = 1 << 18
+    sample_docs: int = 0       # kept for callers; all documents settle the order of words and pairs
+    ranked_words: int = 1 << 18  # slots of the table that counts words, by hash,
+    ranked_pairs: int = 1 << 22  # and of the one that counts pairs
 
     def edits(self, words):
         """Most edits between linked lines, the longer of so many words."""
@@ -111,32 +110,30 @@ def normal_lines(lines: list[str]) -> list[list[str]]:
 
 
 class Ranks:
-    """Sorted hashes of the frequent words and word pairs of a sample, each with
-    a level that grows with its count."""
+    """Levels of words and word pairs, which grow with their counts (by slot: of
+    those that share one, all have the level of their sum)."""
 
-    def __init__(self, words: np.ndarray, word_level: np.ndarray, pairs: np.ndarray, pair_level: np.ndarray):
-        self.words, self.word_level = words, word_level
-        # pairs in a table by their last bits; of those in one place the most frequent stays
-        self.slots, self.levels = np.zeros(1 << _SLOT_BITS, np.uint64), np.zeros(1 << _SLOT_BITS, np.uint64)
-        order = np.argsort(pair_level, kind="stable")
-        at = (pairs[order] & _SLOT).astype(np.int64)
-        self.slots[at], self.levels[at] = pairs[order], pair_level[order]
+    def __init__(self, words: np.ndarray, pairs: np.ndarray):
+        self.words, self.pairs = words, pairs
 
     def of_words(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(hashes), np.uint64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.word_level[at], np.uint64(0))
+        return self.words[_slots(hashes, self.words)].astype(np.uint64)
 
     def of_pairs(self, hashes: np.ndarray) -> np.ndarray:
-        at = (hashes & _SLOT).astype(np.int64)
-        return np.where(self.slots[at] == hashes, self.levels[at], np.uint64(0))
+        return self.pairs[_slots(hashes, self.pairs)].astype(np.uint64)
+
+
+def _slots(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(len(table))).astype(np.int64)
 
 
 def rank_arrays(docs: DataFrame, s: Settings) -> tuple[np.ndarray, ...]:
-    """What ``Ranks`` is made of: plain arrays, of bounded size."""
+    """What ``Ranks`` is made of: plain arrays, of a fixed size.  Every task counts
+    all its words and pairs; groups add slices of the tables up."""
+    sizes = (s.ranked_words, s.ranked_pairs)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [np.zeros(n, np.int64) for n in sizes]
         for b in batches:
             for texts in slices(b.column("text"), s.run_bytes):
                 lists = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), "\n")
@@ -145,26 +142,27 @@ def rank_arrays(docs: DataFrame, s: Settings) -> tuple[np.ndarray, ...]:
                 line = np.repeat(np.arange(len(counts)), counts)[h != 0]
                 h = h[h != 0]
                 inner = np.flatnonzero(line[1:] == line[:-1])
-                for kind, keys in ((0, h), (1, _pair_hashes(h, inner))):
-                    keys, c = np.unique(keys, return_counts=True)
-                    yield pa.record_batch({
-                        "kind": pa.array(np.full(len(keys), kind, np.int8)),
-                        "key": pa.array(keys.view(np.int64)), "c": pa.array(c.astype(np.int64))})
-
-    every = max(1, min(s.sample_share, docs.count() // s.sample_docs))
-    counts = materialize(
-        docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
-        .mapInArrow(lean(run), "kind byte, key long, c long").groupBy("kind", "key")
-        .agg(F.sum("c").alias("c")).where("c > 2 OR kind = 0"), "line-ranks")
-    out = []
-    for kind, most in ((0, s.ranked_words), (1, s.ranked_pairs)):
-        rows = (counts.where(F.col("kind") == kind).orderBy(F.desc("c"), "key").limit(most)
-                .select("key", "c").toArrow())
-        keys = rows.column("key").to_numpy().view(np.uint64)
-        level = 1 + np.minimum(29, 1.5 * np.log2(np.maximum(1, rows.column("c").to_numpy()))).astype(np.uint64)
-        order = np.argsort(keys)
-        out += [keys[order], level[order]]
-    return tuple(out)
+                for table, keys in zip(tables, (h, _pair_hashes(h, inner))):
+                    table += np.bincount(_slots(keys, table), minlength=len(table))
+        rows = [(kind, at, packed(table[at:at + _RANK_SLICE])) for kind, table in enumerate(tables)
+                for at in range(0, len(table), _RANK_SLICE) if table[at:at + _RANK_SLICE].any()]
+        if rows:
+            kinds, at, blobs = zip(*rows)
+            yield pa.record_batch({"kind": pa.array(kinds, pa.int32()), "at": pa.array(at, pa.int32()),
+                                   "counts": pa.array(blobs, pa.binary())})
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(unpacked(x.as_py()).astype(np.float64) for x in t.column("counts"))
+        level = np.where(total > 0, 1 + np.minimum(29, 1.5 * np.log2(np.maximum(1, total))), 0)
+        return pa.table({"kind": t.column("kind")[:1], "at": t.column("at")[:1],
+                         "levels": pa.array([level.astype(np.uint8).tobytes()], pa.binary())})
+
+    out = tuple(np.zeros(n, np.uint8) for n in sizes)
+    for r in (docs.select("text").mapInArrow(lean(count), "kind int, at int, counts binary")
+              .groupBy("kind", "at").applyInArrow(add, "kind int, at int, levels binary").collect()):
+        level = np.frombuffer(r["levels"], np.uint8)
+        out[r["kind"]][r["at"]:r["at"] + len(level)] = level
+    return out
 
 
 def _pair_hashes(h: np.ndarray, inner: np.ndarray) -> np.ndarray:

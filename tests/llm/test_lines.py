@@ -189,3 +189,12 @@ def test_alike_equals_the_edit_distance():
             y[at:at + rng.randint(0, 1)] = [rng.randrange(4)] * rng.randint(0, 2)
         want = levenshtein(x, y) <= int(s.edits(max(len(x), len(y))))
         assert lines.alike(np.array(x, np.uint64), np.array(y, np.uint64), s) == want
+
+
+def test_the_order_comes_from_all_documents(spark):
+    docs = [(i, " ".join([f"{'abcdefgh'[i % 8] * 3}{'abcdefgh'[i // 8]}"] * 8)) for i in range(64)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    ranks = lines.Ranks(*lines.rank_arrays(df, lines.Settings(sample_docs=1)))
+    h = word_keys(pa.array([t.split()[0] for _, t in docs]))
+    assert (ranks.of_words(h) >= 1 + int(1.5 * 3)).all()  # each stands there eight times
+    assert (ranks.of_pairs(lines._pair_hashes(np.repeat(h, 2), np.arange(0, 128, 2))) >= 1 + int(1.5 * np.log2(7))).all()
