@@ -133,7 +133,7 @@ def rank_arrays(docs: DataFrame, s: Settings) -> tuple[np.ndarray, ...]:
     sizes = (s.ranked_words, s.ranked_pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(n, np.int64) for n in sizes]
+        tables = [np.zeros(n, np.uint32) for n in sizes]
         for b in batches:
             for texts in slices(b.column("text"), s.run_bytes):
                 lists = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), "\n")
@@ -143,7 +143,7 @@ def rank_arrays(docs: DataFrame, s: Settings) -> tuple[np.ndarray, ...]:
                 h = h[h != 0]
                 inner = np.flatnonzero(line[1:] == line[:-1])
                 for table, keys in zip(tables, (h, _pair_hashes(h, inner))):
-                    table += np.bincount(_slots(keys, table), minlength=len(table))
+                    np.add.at(table, _slots(keys, table), np.uint32(1))  # in place: a worker holds one table
         rows = [(kind, at, packed(table[at:at + _RANK_SLICE])) for kind, table in enumerate(tables)
                 for at in range(0, len(table), _RANK_SLICE) if table[at:at + _RANK_SLICE].any()]
         if rows:
@@ -283,7 +283,7 @@ def _line_hash(h: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarra
 
 
 def _simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray, feature: np.ndarray,
-             step: int = 1 << 17) -> np.ndarray:
+             step: int = 1 << 15) -> np.ndarray:
     """Majority of every bit over the feature words of each line (all words of
     a line that has none)."""
     line = np.repeat(np.arange(len(n)), n)

@@ -2,6 +2,7 @@ import os
 import random
 import subprocess
 import sys
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -198,3 +199,43 @@ def test_the_order_comes_from_all_documents(spark):
     h = word_keys(pa.array([t.split()[0] for _, t in docs]))
     assert (ranks.of_words(h) >= 1 + int(1.5 * 3)).all()  # each stands there eight times
     assert (ranks.of_pairs(lines._pair_hashes(np.repeat(h, 2), np.arange(0, 128, 2))) >= 1 + int(1.5 * np.log2(7))).all()
+
+
+class TaskFunctions:
+    """Stands for a DataFrame; holds the functions that tasks would run."""
+
+    def __init__(self):
+        self.found = []
+
+    def select(self, *cols):
+        return self
+
+    groupBy = select
+
+    def mapInArrow(self, run, schema):
+        self.found.append(run)
+        return self
+
+    applyInArrow = mapInArrow
+
+    def collect(self):
+        return []
+
+
+def test_counting_pairs_needs_one_table_in_a_worker():
+    docs, s = TaskFunctions(), lines.Settings(run_bytes=1 << 16)
+    lines.rank_arrays(docs, s)
+    texts = pa.array(["one two three four five six seven\n" * 40] * 100)
+    tracemalloc.start()
+    out = list(docs.found[0](iter([pa.record_batch({"text": texts})])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out and peak < 6 * s.ranked_pairs
+    # bits of words are unpacked in small steps
+    h = mix64(np.arange(1 << 17, dtype=np.uint64))
+    first = np.arange(0, 1 << 17, 128)
+    tracemalloc.start()
+    lines._simhash(h, first, np.full(len(first), 128), np.ones(len(h), bool))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 << 20
