@@ -6,9 +6,10 @@ names (``spark.checkpoint.dir``), so a lost executor never takes data along.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,28 @@ def materialize(df: DataFrame, label: str, large_rows: bool = False) -> DataFram
     if large_rows:
         writer = writer.option("parquet.block.size", 16 << 20).option(
             "parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 4)
-    writer.parquet(path)
+    with files_go(spark):
+        writer.parquet(path)
     _STORED.append((spark.sparkContext.applicationId, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
+@contextlib.contextmanager
+def files_go(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of a result that is made and written (or
+    collected) in here at its end, not when the driver happens to collect its
+    garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def remove_stored(df: DataFrame) -> None:
     """Delete the table that ``materialize`` returned as ``df``, when nothing
     reads it any more."""

@@ -9,7 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import mix64
+from .common import files_go, mix64
 
 _SLICE_BITS = 20  # of a filter, put together by one group
 MOST_BITS = 1 << 28  # of a filter: 32 MB
@@ -83,7 +83,9 @@ def bloom_filter(hashes: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
 
     out = np.zeros(bits // 8, np.uint8)
     step = (1 << _SLICE_BITS) // 8
-    for r in (hashes.mapInArrow(spread, "slice int, slot int").distinct()
-              .groupBy("slice").applyInArrow(pack, "slice int, bits binary").collect()):
+    with files_go(hashes.sparkSession):
+        rows = (hashes.mapInArrow(spread, "slice int, slot int").distinct()
+                .groupBy("slice").applyInArrow(pack, "slice int, bits binary").collect())
+    for r in rows:
         out[r["slice"] * step:(r["slice"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
     return out

@@ -14,16 +14,19 @@ are made complete for the edit similarity: the word pairs of a line are put in
 one order, rare ones first.  An edit takes two word pairs from a line at most
 (an insertion one), so the first word pair that two linked lines share is among
 the first ``lost + 1`` of either, and these are the line's keys; the second one
-is among the first ``lost + 2``.  Lines meet the smallest line of each key's
-tile; tiles that still hold several groups of linked lines are opened, and those
-of more than ``tile`` lines by two shared word pairs.  A pair is verified if
-lengths and parity bitmaps of words leave room for a link.  The order comes
+is among the first ``lost + 2``.  Tiles of up to
+``tile`` lines give all their pairs at once; in larger ones, lines meet the
+smallest line, and tiles that still hold several groups of linked lines are opened
+by two shared word pairs.  A pair is verified if lengths and parity bitmaps of
+words leave room for a link: first one of each line, then those that are left
+between groups of linked lines.  The order comes
 from counts of all words and word pairs of all documents, added up by hash in
 tables of a fixed size; no result depends on it.
 
 All keys of a line are hashes, most of which no other line has.  Tasks send
-them packed to hash ranges, which tell those that occur twice; a Bloom filter
-of bounded size then keeps the rest from being shuffled with their lines.
+them packed to hash ranges, which tell those that occur twice, and those that
+occur more than ``tile`` times; Bloom filters of bounded size then keep the rest
+from being shuffled with their lines, and small tiles from large ones.
 
 Of every connected group of lines the occurrence with the smallest (doc_id,
 line number) stays, all others are removed from their documents.
@@ -52,7 +55,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, let, materialize, mix64, release, remove_stored
+from .common import files_go, lean, let, materialize, mix64, release, remove_stored
 from .filters import bloom_filter, packed, packed_parts, part_edges, passes, unpacked, unpacked_keys
 from .tiles import join_tiles, linked, open_rows, shared_tiles
 from .tokens import slices, word_column, word_keys
@@ -158,8 +161,10 @@ def rank_arrays(docs: DataFrame, s: Settings) -> tuple[np.ndarray, ...]:
                          "levels": pa.array([level.astype(np.uint8).tobytes()], pa.binary())})
 
     out = tuple(np.zeros(n, np.uint8) for n in sizes)
-    for r in (docs.select("text").mapInArrow(lean(count), "kind int, at int, counts binary")
-              .groupBy("kind", "at").applyInArrow(add, "kind int, at int, levels binary").collect()):
+    with files_go(docs.sparkSession):
+        rows = (docs.select("text").mapInArrow(lean(count), "kind int, at int, counts binary")
+                .groupBy("kind", "at").applyInArrow(add, "kind int, at int, levels binary").collect())
+    for r in rows:
         level = np.frombuffer(r["levels"], np.uint8)
         out[r["kind"]][r["at"]:r["at"] + len(level)] = level
     return out
@@ -341,7 +346,8 @@ def _firsts(b: pa.RecordBatch, places: np.ndarray) -> pa.RecordBatch:
 
 
 def repeated_keys(table: DataFrame, places: Broadcast, s: Settings) -> DataFrame:
-    """``hash`` (the first ``_KEY_BITS`` bits) of all keys that occur twice."""
+    """``hash`` (the first ``_KEY_BITS`` bits) of all keys that occur twice, and
+    whether a key may occur more than ``s.tile`` times."""
     n, many = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     edges = part_edges(max(1, int(n * 0.35 + many * 8) // s.part_keys), _KEY_BITS)
 
@@ -351,7 +357,7 @@ def repeated_keys(table: DataFrame, places: Broadcast, s: Settings) -> DataFrame
         def parts() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return packed_parts(keys, edges, np.minimum(counts, 2))
+            return packed_parts(keys, edges, np.minimum(counts, s.tile + 1))
 
         for b in batches:
             held.append(_key_arrays(_firsts(b, places.value))[0] >> np.uint64(64 - _KEY_BITS))
@@ -367,38 +373,97 @@ def repeated_keys(table: DataFrame, places: Broadcast, s: Settings) -> DataFrame
         keys, counts = keys[order], counts[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         many = np.add.reduceat(counts, first)
-        return pa.table({"hash": pa.array(keys[first][many > 1].view(np.int64))})
+        return pa.table({"hash": pa.array(keys[first][many > 1].view(np.int64)),
+                         "large": pa.array(many[many > 1] > s.tile)})
 
     return (table.select("doc_id", "line", "keys").mapInArrow(lean(send), "part int, keys binary, v0 binary")
-            .groupBy("part").applyInArrow(twice, "hash long"))
+            .groupBy("part").applyInArrow(twice, "hash long, large boolean"))
 
 
-def keyed_lines(table: DataFrame, equal: DataFrame, s: Settings) -> tuple[DataFrame, list[Broadcast]]:
-    """``key, node, block`` of the keys that several lines may have; ``block``
-    for those of SimHashes.  Also what can go once these have been read."""
+def keyed_lines(table: DataFrame, equal: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, list[Broadcast]]:
+    """Of the keys that several lines may have: ``key, node`` and the payload of those
+    that at most ``s.tile`` lines have, and ``key, node, block`` of the others;
+    ``block`` for those of SimHashes.  Also what can go once these have been read."""
     sc = table.sparkSession.sparkContext
     places = sc.broadcast(first_places(equal))
     twice = materialize(repeated_keys(table, places, s), "line-keys-twice")
-    shared = sc.broadcast(bloom_filter(twice))
+    shared = sc.broadcast(bloom_filter(twice.select("hash")))
+    large = sc.broadcast(bloom_filter(twice.where("large").select("hash")))
+    remove_stored(twice)
+
+    def rows(of_large: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            blocks = len(list(itertools.combinations(range(s.blocks), s.agree)))
+            for b in batches:
+                b = _firsts(b, places.value)
+                keys, counts = _key_arrays(b)
+                ends = np.cumsum(counts)
+                line = np.repeat(np.arange(len(counts)), counts)
+                place = np.arange(len(keys)) - (ends - counts)[line]
+                n = b.column("n").to_numpy()
+                # the last word pair only serves to refine a tile
+                at = np.flatnonzero(place <= blocks + s.lost(n)[line])
+                hashes = keys[at] >> np.uint64(64 - _KEY_BITS)
+                many = passes(large.value, hashes)
+                at = at[many if of_large else passes(shared.value, hashes) & ~many]
+                own = {"key": pa.array(keys[at].view(np.int64)),
+                       "node": b.column("h1").take(pa.array(line[at]))}
+                yield pa.record_batch(
+                    own | ({"block": pa.array(place[at] < blocks)} if of_large else
+                           {c: b.column(c).take(pa.array(line[at])) for c in _PAYLOAD}))
+
+        return table.select("doc_id", "line", "h1", *_PAYLOAD, "keys").mapInArrow(
+            lean(run), "key long, node long, " + ("block boolean" if of_large else "n int, b1 long, b2 long"))
+
+    return rows(False), rows(True), [places, shared, large]
+
+
+def near_pairs(small: DataFrame, s: Settings) -> DataFrame:
+    """Pairs ``a < b`` of lines that share a small tile (``key, node`` and payload)
+    and may link.  Tasks go through their tiles key by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = len(list(itertools.combinations(range(s.blocks), s.agree)))
+        held = None  # the last tile so far, which may go on
         for b in batches:
-            b = _firsts(b, places.value)
-            keys, counts = _key_arrays(b)
-            ends = np.cumsum(counts)
-            line = np.repeat(np.arange(len(counts)), counts)
-            place = np.arange(len(keys)) - (ends - counts)[line]
-            n = b.column("n").to_numpy()
-            # the last word pair only serves to refine a tile
-            at = np.flatnonzero(place <= blocks + s.lost(n)[line])
-            at = at[passes(shared.value, keys[at] >> np.uint64(64 - _KEY_BITS))]
-            yield pa.record_batch({"key": pa.array(keys[at].view(np.int64)),
-                                   "node": b.column("h1").take(pa.array(line[at])),
-                                   "block": pa.array(place[at] < blocks)})
-
-    return (table.select("doc_id", "line", "h1", "n", "keys")
-            .mapInArrow(lean(run), "key long, node long, block boolean")), [places, shared]
+            if b.num_rows:
+                rows = [b.column(c).to_numpy() for c in ("key", "node", *_PAYLOAD)]
+                if held:
+                    rows = [np.concatenate(x) for x in zip(held, rows)]
+                cut = int(np.searchsorted(rows[0], rows[0][-1]))
+                held = [x[cut:].copy() for x in rows]
+                yield _tile_pairs(*[x[:cut] for x in rows], s)
+        if held:
+            yield _tile_pairs(*held, s)
+
+    return (small.repartition("key").sortWithinPartitions("key")
+            .mapInArrow(lean(run), "a long, b long").distinct())
+
+
+def _tile_pairs(key: np.ndarray, node: np.ndarray, n: np.ndarray, b1: np.ndarray, b2: np.ndarray,
+                s: Settings) -> pa.RecordBatch:
+    """The pairs of rows of one key, in order of keys, for which ``_near`` holds."""
+    b1, b2 = b1.view(np.uint64), b2.view(np.uint64)
+    at, step, a, b = np.arange(len(key)), 0, [node[:0]], [node[:0]]
+    while len(at):
+        step += 1
+        at = at[at + step < len(key)]
+        at = at[key[at] == key[at + step]]
+        to = at + step
+        most, gap = s.edits(np.maximum(n[at], n[to])), np.abs(n[at] - n[to])
+        ok = np.flatnonzero((gap <= most) & (node[at] != node[to]))
+        x, y = at[ok], to[ok]
+        apart = np.bitwise_count(b1[x] ^ b1[y]) + np.bitwise_count(b2[x] ^ b2[y])  # 128 at most
+        near = apart <= 2 * most[ok] - gap[ok]
+        a.append(np.minimum(node[x], node[y])[near])
+        b.append(np.maximum(node[x], node[y])[near])
+    return pa.record_batch({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose lines are in different components."""
+    a, b = (roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+    return (pairs.join(a, "a", "left").join(b, "b", "left")
+            .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
 
 
 def _near(left: str, right: str, s: Settings) -> Column:
@@ -585,10 +650,12 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     classes = (equal.where(F.col("n") >= s.near_words)
                .select(F.col("h1").alias("node"), *_PAYLOAD, "at.doc_id", "at.line"))
     release(docs.sparkSession)
-    keyed, filters = keyed_lines(table, equal, s)
+    small, large, filters = keyed_lines(table, equal, s)
     release(docs.sparkSession)
-    members = shared_tiles(keyed)
-    del keyed
+    near = materialize(near_pairs(small, s), "line-near")
+    release(docs.sparkSession)
+    members = shared_tiles(large)
+    del small, large
     for f in filters:
         f.destroy()
     release(docs.sparkSession)
@@ -599,9 +666,11 @@ def removals(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     release(docs.sparkSession)
     met = (members.where("block AND node > hub").groupBy("node").agg(F.min("hub").alias("a"))
            .select("a", F.col("node").alias("b")))
+    met = met.unionByName(near.groupBy("b").agg(F.min("a").alias("a")))
     pairs = members.where("NOT block").drop("block")
     roots = linked(pairs, lambda found: _verify(found, classes, docs, s),
-                   lambda roots: _opened(pairs, roots, classes, keys, s), extra=met, rounds=1)
+                   lambda roots: _opened(pairs, roots, classes, keys, s).unionByName(_apart(near, roots)).distinct(),
+                   extra=met, rounds=1)
     release(docs.sparkSession)
     grouped = (equal.join(roots, equal["h1"] == roots["node"], "left")
                .where((F.col("copies") > 1) | F.col("root").isNotNull())

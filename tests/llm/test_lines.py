@@ -2,6 +2,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 import tracemalloc
 
 import numpy as np
@@ -9,7 +10,8 @@ import pyarrow as pa
 import pytest
 
 from ratelens.llm import lines
-from ratelens.llm.common import mix64
+from ratelens.llm.common import materialize, mix64
+from ratelens.llm.filters import bloom_filter
 from ratelens.llm.tokens import word_keys
 from tests.llm.brute import levenshtein, line_removals
 
@@ -204,8 +206,8 @@ def test_the_order_comes_from_all_documents(spark):
 class TaskFunctions:
     """Stands for a DataFrame; holds the functions that tasks would run."""
 
-    def __init__(self):
-        self.found = []
+    def __init__(self, spark):
+        self.found, self.sparkSession = [], spark
 
     def select(self, *cols):
         return self
@@ -222,8 +224,8 @@ class TaskFunctions:
         return []
 
 
-def test_counting_pairs_needs_one_table_in_a_worker():
-    docs, s = TaskFunctions(), lines.Settings(run_bytes=1 << 16)
+def test_counting_pairs_needs_one_table_in_a_worker(spark):
+    docs, s = TaskFunctions(spark), lines.Settings(run_bytes=1 << 16)
     lines.rank_arrays(docs, s)
     texts = pa.array(["one two three four five six seven\n" * 40] * 100)
     tracemalloc.start()
@@ -238,4 +240,40 @@ def test_counting_pairs_needs_one_table_in_a_worker():
     lines._simhash(h, first, np.full(len(first), 128), np.ones(len(h), bool))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert peak < 10 << 20
+    assert peak < 15 << 20
+
+
+def test_pairs_of_small_tiles_are_complete(spark):
+    rng = random.Random(5)
+    s = lines.Settings()
+    rows = [(rng.choice((-3, -1, 0, 2, 9, 11)) * 10 ** 17 + rng.randrange(8), rng.randrange(-30, 30),
+             rng.choice((8, 14, 15, 21)), rng.getrandbits(3), rng.getrandbits(2)) for _ in range(600)]
+    want = set()
+    for x in rows:
+        for y in rows:
+            most = int(s.edits(max(x[2], y[2])))
+            gap, apart = abs(x[2] - y[2]), (x[3] ^ y[3]).bit_count() + (x[4] ^ y[4]).bit_count()
+            if x[0] == y[0] and x[1] < y[1] and gap <= most and apart <= 2 * most - gap:
+                want.add((x[1], y[1]))
+    df = spark.createDataFrame(rows, "key long, node long, n int, b1 long, b2 long")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")  # tiles go on from batch to batch
+    try:
+        assert {(r["a"], r["b"]) for r in lines.near_pairs(df, s).collect()} == want
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before = files()
+    df = materialize(spark.range(5000).selectExpr("id % 700 AS hash").groupBy("hash").count(), "files")
+    bloom_filter(df.select("hash"))
+    end = time.time() + 20  # Spark deletes them beside the driver's work
+    while time.time() < end and (left := {x for x in files() - before if x.startswith("shuffle_")}):
+        time.sleep(0.2)
+    assert len(left) <= 2  # of the count's single row
